@@ -171,3 +171,7 @@ latest AS (
          arg_max(actual_sales, (updated_at, id)) AS actual_sales,
          max(updated_at) AS updated_at
   FROM actuals GROUP BY store_id, date)"""
+
+
+def with_log(actuals: bool = False) -> str:
+    return "WITH " + LOG_CTE + ("," + ACTUALS_CTE if actuals else "")
