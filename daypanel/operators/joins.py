@@ -121,19 +121,22 @@ def densify_panel(facts: DataFrame, entity: str = "Store", date: str = "Date",
     return out.select(*facts.columns)  # drops the _added flag
 
 
-def fold_overlap_check(assigned: DataFrame, key: tuple[str, ...] = ("Store", "Date"),
-                       date: str = "Date") -> DataFrame:
-    """Per fold, rows in both train and val (must be 0) and max(train d) < min(val d)."""
-    tr = assigned.where("role = 'train'")
-    va = assigned.where("role = 'val'")
-    shared = tr.select("fold", *key).join(va.select("fold", *key), ["fold", *key], "left_semi") \
-               .groupBy("fold").agg(F.count(F.lit(1)).alias("n_shared"))
-    bounds = assigned.groupBy("fold").agg(
-        F.max(F.when(F.col("role") == "train", F.col(date))).alias("train_max"),
-        F.min(F.when(F.col("role") == "val", F.col(date))).alias("val_min"))
-    return bounds.join(shared, "fold", "left").select(
-        "fold", F.coalesce("n_shared", F.lit(0)).alias("n_shared"),
-        (F.col("train_max") < F.col("val_min")).alias("ordered"))
+def fold_overlap_check(rows: DataFrame, folds: DataFrame, date: str = "Date") -> DataFrame:
+    """Per fold, rows that are both train and val (must be 0) and max(train d) < min(val d).
+
+    Rows meet the <= n-fold table in a broadcast nested-loop join that feeds a
+    partial aggregate in the same stage, so the rows x folds pairs are never
+    shuffled or stored.
+    """
+    j = rows.select(date).join(F.broadcast(folds))
+    d = F.col(date)
+    is_tr = d < F.col("val_start")
+    is_va = d.between(F.col("val_start"), F.col("val_end"))
+    g = j.groupBy("fold").agg(
+        F.count_if(is_tr & is_va).alias("n_shared"),
+        F.max(F.when(is_tr, d)).alias("train_max"),
+        F.min(F.when(is_va, d)).alias("val_min"))
+    return g.select("fold", "n_shared", (F.col("train_max") < F.col("val_min")).alias("ordered"))
 
 
 def holdout_disjoint_check(train: DataFrame, holdout: DataFrame, date: str = "Date") -> DataFrame:

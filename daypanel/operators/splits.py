@@ -53,8 +53,8 @@ def fold_assignment(df: DataFrame, folds: DataFrame, date: str = "Date") -> Data
     fa = folds.agg(F.sort_array(F.collect_list(F.struct("fold", "val_start", "val_end"))).alias("_f"))
     d = F.col(date)
     tagged = df.crossJoin(F.broadcast(fa))
-    val_fold = F.element_at(F.transform(
-        F.filter("_f", lambda s: (d >= s["val_start"]) & (d <= s["val_end"])), lambda s: s["fold"]), 1)
+    val_fold = F.try_element_at(F.transform(
+        F.filter("_f", lambda s: (d >= s["val_start"]) & (d <= s["val_end"])), lambda s: s["fold"]), F.lit(1))
     train = F.transform(F.filter("_f", lambda s: d < s["val_start"]), lambda s: s["fold"])
     return tagged.withColumns({"val_fold": val_fold, "train_folds": train}).drop("_f")
 
