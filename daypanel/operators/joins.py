@@ -61,7 +61,8 @@ def errors_with_metadata(pva: DataFrame, dim: DataFrame, entity_left: str = "sto
                          entity_right: str = "Store") -> DataFrame:
     """Prediction errors joined to the dimension (checked broadcast)."""
     d = dim.withColumnRenamed(entity_right, entity_left)
-    return pva.drop(*[c for c in d.columns if c != entity_left and c in pva.columns]) \
+    clash = {c.lower() for c in d.columns if c != entity_left}  # names resolve case-insensitively
+    return pva.drop(*[c for c in pva.columns if c.lower() in clash]) \
               .join(checked_broadcast(d), entity_left, "left")
 
 

@@ -134,9 +134,16 @@ def sink_log(scored: DataFrame, path: str, batch_id: str, model_version: str,
     out.write.mode("append").partitionBy("log_date").parquet(path)
 
 
+JSON_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # keep microseconds in JSON text
+
+
 def sink_json_report(report: DataFrame, path: str) -> None:
     """Small report DataFrame (one or a few rows) as JSON."""
-    report.coalesce(1).write.mode("overwrite").json(path)
+    report.coalesce(1).write.mode("overwrite").option("timestampFormat", JSON_TS).json(path)
+
+
+def scan_json_report(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).option("timestampFormat", JSON_TS).json(path)
 
 
 def normalise_batch_dates(df: DataFrame, col: str = "Date") -> DataFrame:
