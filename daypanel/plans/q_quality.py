@@ -14,7 +14,7 @@ from daypanel.plans import sqlparts as S
 from daypanel.plans.registry import clean, dim, facts, features, query
 from daypanel.plans.suites import (EXTENDED_SUITE, FEATURES_SUITE, PROCESSED_SUITE, RAW_DIM_SUITE,
                                    RAW_FACTS_SUITE)
-from daypanel.sources.tables import DIM_COLUMNS, FACT_COLUMNS, read_table
+from daypanel.sources.tables import DIM_COLUMNS, FACT_COLUMNS, read_table, requests_from_orders
 
 # Known schemas of the suite inputs, used by the SQL twin for the schema rules.
 CLEAN_TYPES = {"Store": "int", "DayOfWeek": "int", "Date": "date", "Sales": "double", "Customers": "double",
@@ -188,20 +188,8 @@ def q_stage_gate(spark, sf):
 # ---- row validation on batch requests (stand-in rows from orders) ---------------------------
 
 def _requests(spark, sf):
-    """Scoring requests: one row per order, fields in the request schema (some out of range)."""
-    o = read_table(spark, sf, "orders")
-    d = F.to_date("o_orderdate")
-    return o.select(
-        F.col("o_orderkey").alias("request_id"),
-        F.col("o_custkey").cast("int").alias("Store"),
-        iso_day_of_week(d).alias("DayOfWeek"),
-        d.alias("Date"),
-        (F.col("o_orderstatus") == "O").cast("int").alias("Open"),
-        (F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("Promo"),
-        F.when(F.col("o_orderstatus") == "F", F.lit("0")).when(F.col("o_orderstatus") == "O", F.lit("a"))
-         .otherwise(F.lower(F.col("o_orderstatus"))).alias("StateHoliday"),
-        F.pmod(F.month(d), F.lit(2)).cast("int").alias("SchoolHoliday"),
-    )
+    """Scoring requests built from orders (stand-in rows in the request schema)."""
+    return requests_from_orders(read_table(spark, sf, "orders"))
 
 
 REQ_SQL = """WITH req AS (

@@ -85,13 +85,17 @@ def _props_k(props: str = "props"):
 
 
 def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prediction log (23 columns of the log schema) from events.
+    """Prediction log (23 columns of the log schema) from events."""
+    return log_from_events(read_table(spark, sf_dir, "events"))
+
+
+def log_from_events(e: DataFrame) -> DataFrame:
+    """Events -> log rows; works on a batch or a streaming DataFrame.
 
     ts -> timestamp (session time zone UTC), user -> store, value -> prediction,
     event type -> model version.  Feature fields are simple functions of the
     event's keys; lag fields are NULL for one event type.
     """
-    e = read_table(spark, sf_dir, "events")
     k = _props_k()
     uid = F.col("user_id")
     promo2 = F.pmod(uid, F.lit(2)).cast("int")
@@ -125,7 +129,11 @@ def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def actuals_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Actual-sales updates (id, store_id, date, actual_sales, updated_at), several per key."""
-    e = read_table(spark, sf_dir, "events")
+    return actuals_from_events(read_table(spark, sf_dir, "events"))
+
+
+def actuals_from_events(e: DataFrame) -> DataFrame:
+    """Events -> actual-sales updates; batch or streaming."""
     return e.select(
         F.col("event_id").alias("id"),
         F.col("user_id").cast("int").alias("store_id"),
@@ -133,3 +141,19 @@ def actuals_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("value") * 100 * (F.lit(0.9) + F.pmod(F.col("event_id"), F.lit(5)) * 0.05), 2).alias("actual_sales"),
         F.col("ts").cast("timestamp").alias("updated_at"),
     )
+
+
+def requests_from_orders(o: DataFrame) -> DataFrame:
+    """Scoring requests: one row per order in the request schema (some fields out of range)."""
+    d = F.to_date("o_orderdate")
+    return o.select(
+        F.col("o_orderkey").alias("request_id"),
+        F.col("o_custkey").cast("int").alias("Store"),
+        iso_day_of_week(d).alias("DayOfWeek"),
+        d.alias("Date"),
+        (F.col("o_orderstatus") == "O").cast("int").alias("Open"),
+        (F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("Promo"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("0")).when(F.col("o_orderstatus") == "O", F.lit("a"))
+         .otherwise(F.lower(F.col("o_orderstatus"))).alias("StateHoliday"),
+        F.pmod(F.month(d), F.lit(2)).cast("int").alias("SchoolHoliday"),
+    )
