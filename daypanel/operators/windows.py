@@ -27,44 +27,57 @@ def lag_columns(target: str = "Sales", lags=None, entity: str = "Store",
     return {f"{target}_Lag_{k}": F.lag(F.col(target), k).over(w) for k in (lags or DEFAULT_LAGS)}
 
 
-def exact_mean_std(x: Column, frame, scale: int) -> tuple[Column, Column]:
-    """Mean and sample std from exact DECIMAL(38, scale) sums over a frame.
-
-    Decimal sums do not depend on the order rows arrive in, so a re-executed task
-    (lost executor, speculative copy) reproduces bit-identical features; float
-    sums do not.  mean = S1 / n, var = (S2 - S1 * S1 / n) / (n - 1), n > 1.
-    """
-    xd = x.cast(f"decimal(18,{scale})")
-    s1 = F.sum(xd).over(frame).cast("double")
-    s2 = F.sum(xd * xd).over(frame).cast("double")
-    n = F.count(x).over(frame)
-    mean = s1 / F.nullif(n, F.lit(0))
-    var = (s2 - s1 * s1 / n) / (n - 1)
-    std = F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
-    return mean, std
-
-
 def rolling_columns(target: str = "Sales", windows=None, entity: str = "Store",
-                    date: str = "Date", closed: str = "right",
-                    exact_scale: int | None = None) -> dict[str, Column]:
+                    date: str = "Date", closed: str = "right") -> dict[str, Column]:
     """W02/W03 (closed='right', current row included, min_periods 1) and W04 (closed='left').
 
-    The std is the sample std, so a one-row frame gives NULL.  With
-    ``exact_scale`` (e.g. 2 for currency) the sums are exact decimals.
+    Float path: sliding row frames.  The std is the sample std, so a one-row
+    frame gives NULL.
     """
     base = _spec(entity, date)
     out = {}
     for w in (windows or DEFAULT_WINDOWS):
         frame = base.rowsBetween(-(w - 1), 0) if closed == "right" else base.rowsBetween(-w, -1)
-        if exact_scale is not None:
-            mean, std = exact_mean_std(F.col(target), frame, exact_scale)
-        else:
-            mean, std = F.avg(F.col(target)).over(frame), F.stddev_samp(F.col(target)).over(frame)
-        out[f"{target}_RollingMean_{w}"] = mean
-        out[f"{target}_RollingStd_{w}"] = std
+        out[f"{target}_RollingMean_{w}"] = F.avg(F.col(target)).over(frame)
+        out[f"{target}_RollingStd_{w}"] = F.stddev_samp(F.col(target)).over(frame)
     return out
 
 
+def rolling_exact_columns(target: str = "Sales", windows=None, entity: str = "Store",
+                          date: str = "Date", closed: str = "right", scale: int = 2) -> dict[str, Column]:
+    """W02-W04 from exact running DECIMAL sums, O(1) work per row and window.
+
+    A frame of w rows is the difference of two running sums: rows (first..i)
+    minus rows (first..i-w).  Both are unbounded-preceding frames, which Spark
+    evaluates incrementally, and all of them share one Window operator with the
+    lags.  A sliding frame would re-aggregate all w rows for every row instead.
+    Decimal differences are exact, so the result is bit-identical to summing
+    each frame, and a re-executed task reproduces identical features.
+    mean = S1 / N, var = (S2 - S1 * S1 / N) / (N - 1) for N > 1.
+    """
+    spec = _spec(entity, date)
+    x = F.col(target)
+    xd = x.cast(f"decimal(18,{scale})")
+    zero1 = F.lit(0).cast(f"decimal(28,{scale})")
+    zero2 = F.lit(0).cast(f"decimal(38,{2 * scale})")
+
+    def upto(off: int):
+        """Running S1, S2, N over rows first..(i - off)."""
+        fr = spec.rowsBetween(Window.unboundedPreceding, -off)
+        return (F.coalesce(F.sum(xd).over(fr), zero1), F.coalesce(F.sum(xd * xd).over(fr), zero2),
+                F.count(x).over(fr))
+
+    cols = {}
+    for w in (windows or DEFAULT_WINDOWS):
+        hi, lo = (0, w) if closed == "right" else (1, w + 1)
+        (a1, a2, an), (b1, b2, bn) = upto(hi), upto(lo)
+        s1, s2, n = (a1 - b1).cast("double"), (a2 - b2).cast("double"), an - bn
+        var = (s2 - s1 * s1 / n) / (n - 1)
+        cols[f"{target}_RollingMean_{w}"] = s1 / F.nullif(n, F.lit(0))
+        cols[f"{target}_RollingStd_{w}"] = F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+    return cols
+
+
 def add_lags(df: DataFrame, target: str = "Sales", lags=None, entity: str = "Store",
              date: str = "Date") -> DataFrame:
     return df.withColumns(lag_columns(target, lags, entity, date))
@@ -72,7 +85,10 @@ def add_lags(df: DataFrame, target: str = "Sales", lags=None, entity: str = "Sto
 
 def add_rolling(df: DataFrame, target: str = "Sales", windows=None, entity: str = "Store",
                 date: str = "Date", closed: str = "right", exact_scale: int | None = None) -> DataFrame:
-    return df.withColumns(rolling_columns(target, windows, entity, date, closed, exact_scale))
+    """W02-W04; with ``exact_scale`` (e.g. 2 for currency) the exact running-sum form."""
+    if exact_scale is not None:
+        return df.withColumns(rolling_exact_columns(target, windows, entity, date, closed, exact_scale))
+    return df.withColumns(rolling_columns(target, windows, entity, date, closed))
 
 
 def calendar_lag(df: DataFrame, target: str = "Sales", days: int = 7, entity: str = "Store",

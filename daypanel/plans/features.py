@@ -14,7 +14,8 @@ from daypanel.functions.competition import competition_columns
 from daypanel.functions.promo import promo_columns
 from daypanel.operators.clean import add_dummy_target, basic_cleaning, feature_columns
 from daypanel.operators.joins import merge_entity_info
-from daypanel.operators.windows import DEFAULT_LAGS, DEFAULT_WINDOWS, lag_columns, rolling_columns
+from daypanel.operators.windows import (DEFAULT_LAGS, DEFAULT_WINDOWS, lag_columns, rolling_columns,
+                                       rolling_exact_columns)
 
 DEFAULT_CONFIG = {
     "lags": DEFAULT_LAGS,
@@ -44,11 +45,12 @@ def build_all_features(df: DataFrame, config: dict | None = None, target: str =
         cols.update(competition_columns(d, F.col("CompetitionDistance"),
                                         F.col("CompetitionOpenSinceMonth"),
                                         F.col("CompetitionOpenSinceYear")))
-    out = df.withColumns(cols)
     win = dict(lag_columns(target, cfg["lags"], entity, date))
-    win.update(rolling_columns(target, cfg["rolling_windows"], entity, date,
-                               exact_scale=cfg["exact_scale"]))
-    return out.withColumns(win)
+    if cfg["exact_scale"] is not None:
+        win.update(rolling_exact_columns(target, cfg["rolling_windows"], entity, date, scale=cfg["exact_scale"]))
+    else:
+        win.update(rolling_columns(target, cfg["rolling_windows"], entity, date))
+    return df.withColumns(cols).withColumns(win)
 
 
 def union_history(history: DataFrame, rows: DataFrame) -> DataFrame:
