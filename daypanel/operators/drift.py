@@ -45,10 +45,13 @@ def value_counts_two(ref: DataFrame, cur: DataFrame, features: list[str]) -> Dat
 def ecdf_pairs(counts: DataFrame, blocks: int = 256, accuracy: int = 10000) -> DataFrame:
     """(feature, v, cdf1, cdf2) - both ECDFs at every distinct value, blocked prefix sums."""
     totals = counts.groupBy("feature").agg(F.sum("n1").alias("tot1"), F.sum("n2").alias("tot2"))
-    qs = [i / blocks for i in range(1, blocks)]
-    cuts = counts.groupBy("feature").agg(F.percentile_approx("v", qs, accuracy).alias("_cuts"))
-    blocked = counts.join(F.broadcast(cuts), "feature").withColumn(
-        "_blk", F.size(F.filter("_cuts", lambda c: c < F.col("v")))).drop("_cuts")
+    if blocks > 1:
+        qs = [i / blocks for i in range(1, blocks)]
+        cuts = counts.groupBy("feature").agg(F.percentile_approx("v", qs, accuracy).alias("_cuts"))
+        blocked = counts.join(F.broadcast(cuts), "feature").withColumn(
+            "_blk", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("v"))), F.lit(0))).drop("_cuts")
+    else:
+        blocked = counts.withColumn("_blk", F.lit(0))
     bt = blocked.groupBy("feature", "_blk").agg(F.sum("n1").alias("_b1"), F.sum("n2").alias("_b2"))
     before = Window.partitionBy("feature").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offs = bt.select("feature", "_blk",

@@ -35,9 +35,12 @@ def rmse(y: Column, p: Column) -> Column:
     return F.sqrt(F.avg(F.pow(y - p, 2)))
 
 
-def mae(y: Column, p: Column) -> Column:
-    """M03."""
-    return F.avg(F.abs(y - p))
+def mae(y: Column, p: Column, scale: int | None = None) -> Column:
+    """M03.  With ``scale`` (currency inputs) the differences are exact decimals."""
+    if scale is None:
+        return F.avg(F.abs(y - p))
+    d = F.abs(y.cast(f"decimal(18,{scale})") - p.cast(f"decimal(18,{scale})"))
+    return F.sum(d).cast("double") / F.nullif(F.count(d), F.lit(0))
 
 
 def _div_numpy(a: Column, b: Column) -> Column:
@@ -55,20 +58,21 @@ def mape(y: Column, p: Column, ignore_zero: bool = True) -> Column:
     return F.avg(F.abs(_div_numpy(y - p, y))) * 100
 
 
-def metric_columns(y: str = "y", p: str = "p", ignore_zero: bool = True) -> list[Column]:
+def metric_columns(y: str = "y", p: str = "p", ignore_zero: bool = True,
+                   scale: int | None = None) -> list[Column]:
     yc, pc = F.col(y), F.col(p)
     return [
         rmspe(yc, pc).alias("rmspe"),
         rmse(yc, pc).alias("rmse"),
-        mae(yc, pc).alias("mae"),
+        mae(yc, pc, scale).alias("mae"),
         mape(yc, pc, ignore_zero).alias("mape"),
     ]
 
 
 def evaluate(df: DataFrame, y: str = "y", p: str = "p", by: list[str] | None = None,
-             ignore_zero: bool = True) -> DataFrame:
+             ignore_zero: bool = True, scale: int | None = None) -> DataFrame:
     """Rmspe, rmse, mae, mape in one aggregation, optionally per group."""
-    cols = metric_columns(y, p, ignore_zero) + [F.count(F.lit(1)).alias("n")]
+    cols = metric_columns(y, p, ignore_zero, scale) + [F.count(F.lit(1)).alias("n")]
     return df.groupBy(*(by or [])).agg(*cols)
 
 

@@ -52,11 +52,12 @@ def error_by(pva: DataFrame, by: str) -> DataFrame:
     return pva.groupBy(by).agg(F.avg("abs_pct_error").alias("mean_ape"), F.count(F.lit(1)).alias("n"))
 
 
-def daily_performance(pva: DataFrame, date: str = "date", version: str = "model_version") -> DataFrame:
+def daily_performance(pva: DataFrame, date: str = "date", version: str = "model_version",
+                      scale: int | None = None) -> DataFrame:
     """Rmspe, rmse, mae, mape and count per (day, model version)."""
     y, p = F.col("actual_sales"), F.col("prediction")
     return pva.groupBy(date, version).agg(
-        rmspe(y, p).alias("rmspe"), rmse(y, p).alias("rmse"), mae(y, p).alias("mae"),
+        rmspe(y, p).alias("rmspe"), rmse(y, p).alias("rmse"), mae(y, p, scale).alias("mae"),
         mape(y, p).alias("mape"), F.count(F.lit(1)).alias("n"))
 
 

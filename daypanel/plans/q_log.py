@@ -107,7 +107,8 @@ def q_worst_k_errors(spark, sf):
 
 DAILY_PERF = """
 SELECT date, model_version, round(sqrt(avg(power((actual_sales - prediction) / NULLIF(actual_sales, 0), 2))), 6) AS rmspe,
-       round(sqrt(avg(power(actual_sales - prediction, 2))), 4) AS rmse, round(avg(abs(actual_sales - prediction)), 4) AS mae,
+       round(sqrt(avg(power(actual_sales - prediction, 2))), 4) AS rmse,
+       CAST(SUM(abs(CAST(actual_sales AS DECIMAL(18,2)) - CAST(prediction AS DECIMAL(18,2)))) AS DOUBLE) / COUNT(*) AS mae,
        round(avg(abs((actual_sales - prediction) / NULLIF(actual_sales, 0))) * 100, 6) AS mape, COUNT(*) AS n
 FROM pva GROUP BY date, model_version"""
 
@@ -115,8 +116,8 @@ FROM pva GROUP BY date, model_version"""
 @query("daily_performance", PVA_SQL + DAILY_PERF)
 def q_daily_performance(spark, sf):
     """Metrics per day and model version."""
-    d = L.daily_performance(_pva(spark, sf))
-    return rounded(d, {"rmspe": 6, "rmse": 4, "mae": 4, "mape": 6})
+    d = L.daily_performance(_pva(spark, sf), scale=2)
+    return rounded(d, {"rmspe": 6, "rmse": 4, "mape": 6})
 
 
 TREND_SQL = PVA_SQL + """,

@@ -42,7 +42,12 @@ preds AS (
 RMSPE_SQL = "sqrt(avg(power((y - p) / NULLIF(y, 0), 2)))"
 METRICS_SQL = f"""round({RMSPE_SQL}, 6) AS rmspe, round(sqrt(avg(power(y - p, 2))), 4) AS rmse,
        round(avg(abs(y - p)), 4) AS mae, round(avg(abs((y - p) / NULLIF(y, 0))) * 100, 6) AS mape, COUNT(*) AS n"""
+# Lag forecasts are copies of currency values, so their MAE is an exact decimal mean.
+EXACT_METRICS_SQL = METRICS_SQL.replace(
+    "round(avg(abs(y - p)), 4) AS mae",
+    "CAST(SUM(abs(CAST(y AS DECIMAL(18,2)) - CAST(p AS DECIMAL(18,2)))) AS DOUBLE) / COUNT(*) AS mae")
 ROUND_METRICS = {"rmspe": 6, "rmse": 4, "mae": 4, "mape": 6}
+ROUND_EXACT = {"rmspe": 6, "rmse": 4, "mape": 6}
 
 
 @query("expanding_folds", FOLDS + " SELECT * FROM folds")
@@ -141,10 +146,10 @@ def q_training_ready(spark, sf):
     return df.select("Store", "Date", "Sales")
 
 
-@query("evaluate", LONG_SQL + f" SELECT model, fold, {METRICS_SQL} FROM preds GROUP BY model, fold")
+@query("evaluate", LONG_SQL + f" SELECT model, fold, {EXACT_METRICS_SQL} FROM preds GROUP BY model, fold")
 def q_evaluate(spark, sf):
     """Rmspe, rmse, mae, mape per (model, fold) in one aggregation."""
-    return rounded(M.evaluate(_long_preds(spark, sf), "y", "p", by=["model", "fold"]), ROUND_METRICS)
+    return rounded(M.evaluate(_long_preds(spark, sf), "y", "p", by=["model", "fold"], scale=2), ROUND_EXACT)
 
 
 @query("r2_and_counts", LONG_SQL + """
@@ -158,12 +163,13 @@ def q_r2_and_counts(spark, sf):
 
 GATE_SQL = HOLDOUT + f""",
 h AS (SELECT Sales AS y, Sales_Lag_7 AS p FROM roles WHERE role = 'holdout' AND Open = 1 AND Sales_Lag_7 IS NOT NULL),
-m AS (SELECT {METRICS_SQL} FROM h)"""
+m AS (SELECT {EXACT_METRICS_SQL} FROM h)"""
 
 
 def _holdout_scores(spark, sf):
     r = holdout_split(features(spark, sf), 42).where("role = 'holdout' AND Open = 1 AND Sales_Lag_7 IS NOT NULL")
-    return rounded(M.evaluate(r.select(F.col("Sales").alias("y"), F.col("Sales_Lag_7").alias("p"))), ROUND_METRICS)
+    return rounded(M.evaluate(r.select(F.col("Sales").alias("y"), F.col("Sales_Lag_7").alias("p")), scale=2),
+                   ROUND_EXACT)
 
 
 @query("target_gap", GATE_SQL + """
