@@ -87,8 +87,10 @@ def cap_outliers(df: DataFrame, cap: float, target: str = "Sales") -> DataFrame:
 
 
 def fill_median(df: DataFrame, col: str) -> DataFrame:
-    """Fill NULLs with the exact median (one-row aggregate joined back by broadcast)."""
-    med = df.agg(F.median(col).alias("_median"))
+    """Fill NULLs with the exact median (one-row result joined back by broadcast)."""
+    from daypanel.operators.quantiles import exact_median
+
+    med = exact_median(df, col, name="_median")
     return (df.crossJoin(F.broadcast(med))
               .withColumn(col, F.coalesce(F.col(col), F.col("_median").cast(df.schema[col].dataType)))
               .drop("_median"))

@@ -3,17 +3,19 @@
 KS statistic (exact, distributed).  Both samples are melted to (feature, v) and
 reduced to one row per distinct value with the count from each sample.  The ECDF
 of each sample needs a running sum in value order; instead of one window over
-all values of a feature (one task), values are cut into ``blocks`` ranges with
-approximate quantiles of the distinct values.  Block totals (features x blocks
-rows) give each block its offset; a window inside each block gives the rest.
-The statistic is exact for any cut points - they only balance the work.
+all values of a feature (one task), ``blocked_running`` cuts the values into
+ranges at approximate quantiles, offsets each block by the totals of the blocks
+before it and runs a window inside each block only.  The statistic is exact for
+any cut points - they only balance the work.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daypanel.operators.quantiles import blocked_running
+
 # Categorical features, their test and thresholds.
 CATEGORICAL = ["store_type", "assortment", "state_holiday"]
 KS_ALPHA = 0.05
@@ -43,26 +45,17 @@ def value_counts_two(ref: DataFrame, cur: DataFrame, features: list[str]) -> Dat
 
 
 def ecdf_pairs(counts: DataFrame, blocks: int = 256, accuracy: int = 10000) -> DataFrame:
-    """(feature, v, cdf1, cdf2) - both ECDFs at every distinct value, blocked prefix sums."""
+    """(feature, v, tot1, tot2, cdf1, cdf2) - both ECDFs at every distinct value.
+
+    The running counts come from blocked prefix sums, so no window spans all
+    values of a feature.
+    """
     totals = counts.groupBy("feature").agg(F.sum("n1").alias("tot1"), F.sum("n2").alias("tot2"))
-    if blocks > 1:
-        qs = [i / blocks for i in range(1, blocks)]
-        cuts = counts.groupBy("feature").agg(F.percentile_approx("v", qs, accuracy).alias("_cuts"))
-        blocked = counts.join(F.broadcast(cuts), "feature").withColumn(
-            "_blk", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("v"))), F.lit(0))).drop("_cuts")
-    else:
-        blocked = counts.withColumn("_blk", F.lit(0))
-    bt = blocked.groupBy("feature", "_blk").agg(F.sum("n1").alias("_b1"), F.sum("n2").alias("_b2"))
-    before = Window.partitionBy("feature").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = bt.select("feature", "_blk",
-                     F.coalesce(F.sum("_b1").over(before), F.lit(0)).alias("_o1"),
-                     F.coalesce(F.sum("_b2").over(before), F.lit(0)).alias("_o2"))
-    run = Window.partitionBy("feature", "_blk").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    j = blocked.join(F.broadcast(offs), ["feature", "_blk"]).join(F.broadcast(totals), "feature")
-    return j.select(
-        "feature", "v", "tot1", "tot2",
-        ((F.col("_o1") + F.sum("n1").over(run)) / F.nullif(F.col("tot1"), F.lit(0))).alias("cdf1"),
-        ((F.col("_o2") + F.sum("n2").over(run)) / F.nullif(F.col("tot2"), F.lit(0))).alias("cdf2"))
+    run = blocked_running(counts, ["feature"], "v", ["n1", "n2"], blocks, accuracy)
+    j = run.join(F.broadcast(totals), "feature")  # one row per feature
+    return j.select("feature", "v", "tot1", "tot2",
+                    (F.col("run_n1") / F.nullif(F.col("tot1"), F.lit(0))).alias("cdf1"),
+                    (F.col("run_n2") / F.nullif(F.col("tot2"), F.lit(0))).alias("cdf2"))
 
 
 def kolmogorov_pvalue(lam: Column, terms: int = 100) -> Column:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daypanel.operators.quantiles import exact_median, exact_percentiles
+
 
 def mean(c: Column, scale: int | None = None) -> Column:
     """avg(c); with ``scale`` an exact decimal sum divided by the count."""
@@ -62,27 +64,37 @@ def data_profile(df: DataFrame, entity: str = "Store", date: str = "Date") -> Da
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Count, mean, std (ddof 1), min, exact quartiles, max per numeric column."""
+    """Count, mean, std (ddof 1), min, exact quartiles, max per numeric column.
+
+    Moments for all columns come from one aggregation; quartiles from the
+    distributed exact-percentile operator (no group gathered into one task).
+    """
     aggs = []
     for c in cols:
         x = F.col(c)
-        q = F.percentile(x, [0.25, 0.5, 0.75])
         aggs.append(F.struct(
             F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
             F.stddev_samp(x).alias("std"), F.min(x).cast("double").alias("min"),
-            q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"),
             F.max(x).cast("double").alias("max")).alias(c))
-    return df.agg(*aggs).select(F.inline(F.array(*[F.col(c) for c in cols])))
+    moments = df.agg(*aggs).select(F.inline(F.array(*[F.col(c) for c in cols])))
+    qs = None
+    for c in cols:
+        q = exact_percentiles(df, c, [0.25, 0.5, 0.75]).select(
+            F.lit(c).alias("column"), F.col("p0").alias("p25"), F.col("p1").alias("p50"), F.col("p2").alias("p75"))
+        qs = q if qs is None else qs.unionByName(q)
+    out = moments.join(qs, "column")
+    return out.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def target_stats(df: DataFrame, target: str = "Sales", scale: int | None = None) -> DataFrame:
     """Mean, median, min, max, zero count, zero percent."""
     y = F.col(target)
-    return df.agg(
-        mean(y, scale).alias("mean"), F.median(y).alias("median"), F.min(y).alias("min"),
+    main = df.agg(
+        mean(y, scale).alias("mean"), F.min(y).alias("min"),
         F.max(y).alias("max"), F.count_if(y == 0).alias("n_zero"),
         (F.count_if(y == 0) * 100.0 / F.count(F.lit(1))).alias("zero_pct"),
     )
+    return main.crossJoin(exact_median(df, target))  # two one-row results
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -106,11 +118,11 @@ def grouped_stats(df: DataFrame, by: str, target: str = "Sales", scale: int | No
                   with_std: bool = True) -> DataFrame:
     """Mean, median, (sample std), count of the target per group."""
     y = F.col(target)
-    aggs = [mean(y, scale).alias("mean"), F.median(y).alias("median")]
+    aggs = [mean(y, scale).alias("mean")]
     if with_std:
         aggs.append(F.stddev_samp(y).alias("std"))
     aggs.append(F.count(y).alias("n"))
-    return df.groupBy(by).agg(*aggs)
+    return df.groupBy(by).agg(*aggs).join(exact_median(df, target, [by]), by)
 
 
 def promo_lift(df: DataFrame, flag: str = "Promo", target: str = "Sales", scale: int | None = None) -> DataFrame:
@@ -125,12 +137,13 @@ def promo_lift(df: DataFrame, flag: str = "Promo", target: str = "Sales", scale:
 def boxplot_stats(df: DataFrame, by: str, target: str = "Sales") -> DataFrame:
     """Quartiles, 1.5 IQR whiskers and outlier counts per group.
 
-    Quartiles are one aggregation; the fences are joined back on the group key
-    (one row per group) and a second aggregation finds whiskers and outliers.
+    Exact quartiles come from the distributed percentile operator; the fences
+    are joined back on the group key (one row per group) and one aggregation
+    finds whiskers and outliers.
     """
     y = F.col(target)
-    q = df.groupBy(by).agg(F.percentile(y, [0.25, 0.5, 0.75]).alias("_q")).select(
-        by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    q = exact_percentiles(df, target, [0.25, 0.5, 0.75], [by]).select(
+        by, F.col("p0").alias("q1"), F.col("p1").alias("median"), F.col("p2").alias("q3"))
     q = q.withColumns({"lo_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "hi_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
     j = df.select(by, target).join(q, by)
@@ -223,7 +236,11 @@ def consistency_rates(df: DataFrame) -> DataFrame:
 
 
 def summary_stats(scores: DataFrame, score: str = "rmspe") -> DataFrame:
-    """Mean, population std, min, max, median of scores."""
+    """Mean, population std, min, max, median of scores.
+
+    A score table has one row per fold or model, so the exact median aggregate
+    is bounded here.
+    """
     s = F.col(score)
     return scores.agg(F.avg(s).alias("mean"), F.stddev_pop(s).alias("std"), F.min(s).alias("min"),
                       F.max(s).alias("max"), F.median(s).alias("median"))

@@ -1,9 +1,9 @@
 """Declarative data-quality expectations.
 
 ``validate(df, suite)`` compiles every column expectation of a suite into ONE
-aggregation pass (count_if / count / avg / percentile per expectation) and
-schema expectations into driver-side checks of ``df.schema``; uniqueness needs
-its own grouped pass.  NULL cells are ignored by between / in-set / regex rules
+aggregation pass (count_if / count / avg / stddev per expectation) and schema
+expectations into driver-side checks of ``df.schema``; uniqueness and exact
+quantiles need their own distributed passes.  NULL cells are ignored by between / in-set / regex rules
 and count only against not-null rules.  Result rows:
 
     expectation, column, kwargs, success, element_count, unexpected_count,
@@ -113,20 +113,6 @@ def _stat_rule(e: dict, i: int):
         stat = F.stddev_samp(col)
     elif kind == "expect_column_unique_value_count_to_be_between":
         stat = F.count_distinct(col)
-    elif kind == "expect_column_quantile_values_to_be_between":
-        qs = kw["quantile_ranges"]["quantiles"]
-        ranges = kw["quantile_ranges"]["value_ranges"]
-        q = F.percentile(F.col(col), qs).alias(f"_s{i}")
-        ok = F.lit(True)
-        for j, (a, b) in enumerate(ranges):
-            ok = ok & F.coalesce(_between(F.col(f"_s{i}")[j], a, b), F.lit(False))
-        row = F.struct(F.lit(kind).alias("expectation"), F.lit(col).alias("column"),
-                       F.lit(_kw(e)).alias("kwargs"), ok.alias("success"),
-                       F.lit(None).cast("long").alias("element_count"),
-                       F.lit(None).cast("long").alias("unexpected_count"),
-                       F.lit(None).cast("double").alias("unexpected_pct"),
-                       F.lit(None).cast("double").alias("observed"))
-        return [q], row
     else:
         return None
     s = F.col(f"_s{i}")
@@ -155,6 +141,24 @@ def _schema_row(df: DataFrame, e: dict):
     return (kind, col, _kw(e), bool(ok), None, None, None, None)
 
 
+def _quantile_rows(df: DataFrame, e: dict) -> DataFrame:
+    """Quantiles from the distributed exact-percentile operator (own pass)."""
+    from daypanel.operators.quantiles import exact_percentiles
+
+    col = e["kwargs"]["column"]
+    qs = e["kwargs"]["quantile_ranges"]["quantiles"]
+    ranges = e["kwargs"]["quantile_ranges"]["value_ranges"]
+    q = exact_percentiles(df, col, qs)
+    ok = F.lit(True)
+    for j, (a, b) in enumerate(ranges):
+        ok = ok & F.coalesce(_between(F.col(f"p{j}"), a, b), F.lit(False))
+    return q.select(
+        F.lit(e["expectation_type"]).alias("expectation"), F.lit(col).alias("column"),
+        F.lit(_kw(e)).alias("kwargs"), ok.alias("success"), F.lit(None).cast("long").alias("element_count"),
+        F.lit(None).cast("long").alias("unexpected_count"), F.lit(None).cast("double").alias("unexpected_pct"),
+        F.lit(None).cast("double").alias("observed"))
+
+
 def _unique_rows(df: DataFrame, e: dict) -> DataFrame:
     """Rows whose value occurs more than once (own grouped pass, partial aggregation)."""
     col = e["kwargs"]["column"]
@@ -186,6 +190,9 @@ def validate(df: DataFrame, suite: list[dict]) -> DataFrame:
         if e["expectation_type"] == "expect_column_values_to_be_unique":
             uniques.append(_unique_rows(df, e))
             continue
+        if e["expectation_type"] == "expect_column_quantile_values_to_be_between":
+            uniques.append(_quantile_rows(df, e))
+            continue
         built = _column_rule(df, e, i) or _stat_rule(e, i)
         if built is None:
             raise ValueError(f"unsupported expectation {e['expectation_type']}")

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from daypanel.operators import predlog as L
+from daypanel.operators.clean import LOG_TO_PANEL, rename_align
 from daypanel.operators.joins import errors_with_metadata, latest_actuals, predictions_vs_actuals
 from daypanel.operators.metrics import compare_models, cv_scores, degradation_alert, rmspe
 from daypanel.operators.windows import trend_vs_recent
@@ -252,3 +253,17 @@ def q_sink_json_report(spark, sf):
     rep = L.log_summary(plog(spark, sf))
     IO.sink_json_report(rep, path)
     return IO.scan_json_report(spark, path, rep.schema)
+
+
+@query("sort_panel", S.PANEL_WITH + " SELECT * FROM clean")
+def q_sort_panel(spark, sf):
+    """Panel written in (Store, Date) order per entity partition and read back."""
+    path = shared_dir(spark, "sorted-panel")
+    IO.sink_parquet(IO.sort_panel(clean(spark, sf)), path)
+    return IO.scan_parquet(spark, path)
+
+
+@query("rename_align", LW + " SELECT " + ", ".join(f"{a} AS {b}" for a, b in LOG_TO_PANEL.items()) + " FROM plog")
+def q_rename_align(spark, sf):
+    """Log columns (snake_case) mapped to the panel's names through an explicit table."""
+    return rename_align(plog(spark, sf), LOG_TO_PANEL)

@@ -62,6 +62,15 @@ def sink_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
+def sort_panel(df: DataFrame, entity: str = "Store", date: str = "Date") -> DataFrame:
+    """(entity, date) order for a sink - hash-partition by entity, sort inside partitions.
+
+    No global sort: each output file holds whole entities in date order, which is
+    what per-entity readers need, and the work is one shuffle plus local sorts.
+    """
+    return df.repartition(entity).sortWithinPartitions(entity, date)
+
+
 def sink_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                  mode: str = "overwrite") -> None:
     """Parquet, optionally partitioned (e.g. by year) for pruning on read."""
