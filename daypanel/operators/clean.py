@@ -87,13 +87,11 @@ def cap_outliers(df: DataFrame, cap: float, target: str = "Sales") -> DataFrame:
 
 
 def fill_median(df: DataFrame, col: str) -> DataFrame:
-    """Fill NULLs with the exact median (one-row result joined back by broadcast)."""
+    """Fill NULLs with the exact median (a scalar subquery)."""
     from daypanel.operators.quantiles import exact_median
 
-    med = exact_median(df, col, name="_median")
-    return (df.crossJoin(F.broadcast(med))
-              .withColumn(col, F.coalesce(F.col(col), F.col("_median").cast(df.schema[col].dataType)))
-              .drop("_median"))
+    med = exact_median(df, col, name="_median").scalar()  # scalar subquery
+    return df.withColumn(col, F.coalesce(F.col(col), med.cast(df.schema[col].dataType)))
 
 
 def add_dummy_target(df: DataFrame) -> DataFrame:

@@ -131,10 +131,8 @@ def compare_models(scores: DataFrame, model: str = "model", score: str = "rmspe"
 def improvement_pct(summary: DataFrame, baseline: str, model: str = "model",
                     score: str = "mean_score") -> DataFrame:
     """(baseline - model) / baseline x 100 for every model."""
-    base = summary.where(F.col(model) == baseline).select(F.col(score).alias("_base"))
-    return summary.crossJoin(F.broadcast(base)).withColumn(
-        "improvement_pct", (F.col("_base") - F.col(score)) / F.nullif(F.col("_base"), F.lit(0)) * 100
-    ).drop("_base")
+    base = summary.where(F.col(model) == baseline).agg(F.first(score)).scalar()  # scalar subquery
+    return summary.withColumn("improvement_pct", (base - F.col(score)) / F.nullif(base, F.lit(0)) * 100)
 
 
 def check_weights(weights: dict[str, float]) -> None:
@@ -176,10 +174,9 @@ def blend_weights(df: DataFrame, preds: list[str], y: str = "y", step: float = 0
     k = round(1 / step)
     pts = [c for c in itertools.product(range(k + 1), repeat=len(preds) - 1) if sum(c) <= k]
     rows = [tuple(x / k for x in c) + ((k - sum(c)) / k,) for c in pts]
-    spark = df.sparkSession
-    lattice = spark.createDataFrame(rows, [f"w_{c}" for c in preds])
+    lattice = F.array(*[F.struct(*[F.lit(float(v)).alias(f"w_{c}") for v, c in zip(r, preds)]) for r in rows])
     g = blend_gram(df, preds, y, by)
-    j = g.crossJoin(F.broadcast(lattice))
+    j = g.select("*", F.inline(lattice))  # one generated row per lattice point
     quad = None
     for i, a in enumerate(preds):
         for jx, b in enumerate(preds):
@@ -202,8 +199,8 @@ def histogram(df: DataFrame, col: str, bins: int = 20, log1p: bool = False,
     """
     v = F.log1p(F.col(col)) if log1p else F.col(col)
     base = df.select(*(by or []), v.alias("_v")).where(F.col("_v").isNotNull())
-    rng = base.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    j = base.crossJoin(F.broadcast(rng))
+    rng = base.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"))).scalar()  # scalar subquery
+    j = base.withColumns({"_lo": rng["lo"], "_hi": rng["hi"]})
     width = (F.col("_hi") - F.col("_lo")) / bins
     b = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("_v") - F.col("_lo")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))

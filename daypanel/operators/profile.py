@@ -94,19 +94,18 @@ def target_stats(df: DataFrame, target: str = "Sales", scale: int | None = None)
         F.max(y).alias("max"), F.count_if(y == 0).alias("n_zero"),
         (F.count_if(y == 0) * 100.0 / F.count(F.lit(1))).alias("zero_pct"),
     )
-    return main.crossJoin(exact_median(df, target))  # two one-row results
+    return main.withColumn("median", exact_median(df, target).scalar())  # scalar subquery
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """Count and share of each value.
 
-    The share divides by a one-row total joined by broadcast, so no window has
-    to gather all distinct values of the column into one partition.
+    The share divides by the total from a scalar subquery, so no window has to
+    gather all distinct values of the column into one partition.
     """
     counts = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return counts.crossJoin(F.broadcast(total)).select(
-        "value", "n", (F.col("n") / F.col("_total")).alias("share"))
+    total = df.agg(F.count(F.lit(1))).scalar()  # scalar subquery
+    return counts.select("value", "n", (F.col("n") / total).alias("share"))
 
 
 def daily_total(df: DataFrame, target: str = "Sales", date: str = "Date", scale: int = 2) -> DataFrame:

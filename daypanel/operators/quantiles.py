@@ -20,8 +20,10 @@ from daypanel.operators.joins import checked_broadcast
 
 
 def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    r = checked_broadcast(right)
-    return left.join(r, keys) if keys else left.crossJoin(r)
+    """Keyed join with a checked broadcast; with no keys ``right`` is one row (a scalar subquery)."""
+    if keys:
+        return left.join(checked_broadcast(right), keys)
+    return left.withColumns({c: right.select(c).scalar() for c in right.columns})
 
 
 def blocked_running(df: DataFrame, part: list[str], order: str, sums: list[str], blocks: int = 64,

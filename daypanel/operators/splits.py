@@ -23,10 +23,10 @@ def expanding_folds(df: DataFrame, n_folds: int = 5, fold_length_days: int = 42,
     max date; skip folds without validation rows (later folds are renumbered).
     """
     dates = df.select(F.col(date).alias("d")).distinct()
-    span = dates.agg(F.min("d").alias("dmin"), F.max("d").alias("dmax"))
-    first = (dates.crossJoin(F.broadcast(span))
-             .where(F.col("d") >= F.date_add(F.col("dmin"), min_train_days))
-             .groupBy().agg(F.min("d").alias("first_val"), F.max("dmax").alias("dmax")))
+    dmin = dates.agg(F.min("d")).scalar()  # scalar subqueries: one value each
+    dmax = dates.agg(F.max("d")).scalar()
+    first = (dates.where(F.col("d") >= F.date_add(dmin, min_train_days))
+             .groupBy().agg(F.min("d").alias("first_val")).withColumn("dmax", dmax))
     cand = first.select(
         F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))).alias("k"), "first_val", "dmax"
     ).select(
@@ -47,12 +47,12 @@ def fold_assignment(df: DataFrame, folds: DataFrame, date: str = "Date") -> Data
     """Tag each row with its validation fold (or NULL) and its training folds.
 
     ``train_folds`` is the sorted array of folds whose validation starts after the
-    row.  The fold table is folded into two small arrays broadcast with the plan,
-    so the tagging is a projection - no join, no row explosion.
+    row.  The fold table (<= n rows) becomes one array value through a scalar
+    subquery, so the tagging is a projection - no join, no row explosion.
     """
-    fa = folds.agg(F.sort_array(F.collect_list(F.struct("fold", "val_start", "val_end"))).alias("_f"))
+    fa = folds.agg(F.sort_array(F.collect_list(F.struct("fold", "val_start", "val_end")))).scalar()
     d = F.col(date)
-    tagged = df.crossJoin(F.broadcast(fa))
+    tagged = df.withColumn("_f", fa)
     val_fold = F.try_element_at(F.transform(
         F.filter("_f", lambda s: (d >= s["val_start"]) & (d <= s["val_end"])), lambda s: s["fold"]), F.lit(1))
     train = F.transform(F.filter("_f", lambda s: d < s["val_start"]), lambda s: s["fold"])
@@ -95,13 +95,10 @@ def fold_summary(df: DataFrame, folds: DataFrame, date: str = "Date") -> DataFra
 def holdout_split(df: DataFrame, holdout_days: int = 42, date: str = "Date") -> DataFrame:
     """role = 'holdout' for the last N days (inclusive), else 'train'.
 
-    start = max(d) - (N - 1), from a one-row aggregate broadcast into the plan.
+    start = max(d) - (N - 1), a scalar subquery evaluated once.
     """
-    mx = df.agg(F.date_sub(F.max(date), holdout_days - 1).alias("_holdout_start"))
-    out = df.crossJoin(F.broadcast(mx))
-    return out.withColumn(
-        "role", F.when(F.col(date) >= F.col("_holdout_start"), F.lit("holdout")).otherwise(F.lit("train"))
-    ).drop("_holdout_start")
+    start = df.agg(F.date_sub(F.max(date), holdout_days - 1)).scalar()  # scalar subquery
+    return df.withColumn("role", F.when(F.col(date) >= start, F.lit("holdout")).otherwise(F.lit("train")))
 
 
 def holdout_ready(df: DataFrame, holdout_days: int = 42, date: str = "Date",

@@ -37,7 +37,6 @@ def drift_report(reference: DataFrame, log: DataFrame, days: int = 7, anchor=Non
     ref, cur, feats = align(reference, current)
     tested = feats + (["target"] if include_target else [])
     table = drift_table(ref, cur, tested, blocks=blocks)
-    n_cur = cur.agg(F.count(F.lit(1)).alias("_n_cur"))
-    out = drift_summary(table, len(tested)).crossJoin(n_cur)
-    return out.withColumn("error", F.when(F.col("_n_cur") == 0, F.lit("No production data available"))) \
-              .drop("_n_cur")
+    n_cur = cur.agg(F.count(F.lit(1))).scalar()  # scalar subquery
+    return drift_summary(table, len(tested)).withColumn(
+        "error", F.when(n_cur == 0, F.lit("No production data available")))

@@ -180,7 +180,7 @@ def q_latest_version(spark, sf):
     allv = reg.agg(F.max_by("version", F.struct("created_at", "version")).alias("latest_version"))
     prod = reg.where("stage = 'Production'").agg(
         F.max_by("version", F.struct("created_at", "version")).alias("latest_production_version"))
-    return allv.crossJoin(prod)
+    return allv.withColumn("latest_production_version", prod.scalar())
 
 
 # ---- sinks and sources (write to the shared folder, read back) ------------------------------

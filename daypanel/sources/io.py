@@ -119,16 +119,15 @@ def scan_log(log: DataFrame, days: int, anchor=None, ts: str = "timestamp",
     """Projection of the drift columns over the last ``days`` days.
 
     ``anchor`` is a timestamp literal; when None the newest log timestamp is used
-    (a one-row aggregate joined back, not the wall clock), which keeps the job
-    reproducible.  On a log partitioned by ``log_date`` the range predicate
+    (a scalar subquery, not the wall clock), which keeps the job reproducible.  On a log partitioned by ``log_date`` the range predicate
     prunes partitions.
     """
     cols = columns or LOG_DRIFT_COLUMNS
     if anchor is not None:
         lo = F.lit(anchor).cast("timestamp") - F.make_dt_interval(F.lit(days))
         return log.where(F.col(ts) >= lo).select(*cols)
-    bound = log.agg((F.max(ts) - F.make_dt_interval(F.lit(days))).alias("_lo"))
-    return log.join(F.broadcast(bound), F.col(ts) >= F.col("_lo")).select(*cols)
+    lo = log.agg(F.max(ts) - F.make_dt_interval(F.lit(days))).scalar()  # scalar subquery
+    return log.where(F.col(ts) >= lo).select(*cols)
 
 
 def sink_log(scored: DataFrame, path: str, batch_id: str, model_version: str,
