@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daypanel.operators.joins import checked_broadcast
 
 
 def code_table(df: DataFrame, col: str) -> DataFrame:
@@ -23,12 +22,14 @@ def label_encode(df: DataFrame, cols: list[str], codes: dict[str, DataFrame] | N
 
     Pass ``codes`` fitted on training data to score other frames with the same
     codes (a per-frame recomputation would disagree between train and score).
+    The code table has one row per category; AQE broadcasts it from its measured
+    size.
     """
     out = df
     for c in cols:
         t = (codes or {}).get(c)
         t = code_table(df, c) if t is None else t
-        out = out.join(checked_broadcast(t), out[c].eqNullSafe(t["_v"]), "left") \
+        out = out.join(t, out[c].eqNullSafe(t["_v"]), "left") \
                  .withColumn(f"{c}{suffix}", F.coalesce(F.col("_code"), F.lit(-1))) \
                  .drop("_v", "_code")
     return out

@@ -121,7 +121,7 @@ def grouped_stats(df: DataFrame, by: str, target: str = "Sales", scale: int | No
     if with_std:
         aggs.append(F.stddev_samp(y).alias("std"))
     aggs.append(F.count(y).alias("n"))
-    return df.groupBy(by).agg(*aggs).join(exact_median(df, target, [by]), by)
+    return df.groupBy(by).agg(*aggs).join(exact_median(df, target, [by]), by, "left")
 
 
 def promo_lift(df: DataFrame, flag: str = "Promo", target: str = "Sales", scale: int | None = None) -> DataFrame:

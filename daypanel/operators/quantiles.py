@@ -16,20 +16,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daypanel.operators.joins import checked_broadcast
-
 
 def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Keyed join with a checked broadcast; with no keys ``right`` is one row (a scalar subquery)."""
+    """Join a per-group side table (one or a few rows per group).
+
+    With group keys the join is left to AQE, which broadcasts the side table from
+    its measured shuffle size when small and keeps a shuffle join otherwise (no
+    extra job to count it).  Without keys the side table is one row: a scalar
+    subquery.
+    """
     if keys:
-        return left.join(checked_broadcast(right), keys)
+        return left.join(right, keys)
     return left.withColumns({c: right.select(c).scalar() for c in right.columns})
 
 
 def blocked_running(df: DataFrame, part: list[str], order: str, sums: list[str], blocks: int = 64,
-                    accuracy: int = 10000) -> DataFrame:
+                    accuracy: int = 10000, totals: bool = False) -> DataFrame:
     """Append ``run_<s>`` = running sum of ``s`` in ``order`` within ``part`` (rows with equal
-    ``order`` values must already be combined).  Windows span one block at a time."""
+    ``order`` values must already be combined); with ``totals`` also ``tot_<s>`` per group.
+    Windows span one block at a time; offsets and totals come from the small block table."""
     if blocks > 1:
         qs = [i / blocks for i in range(1, blocks)]
         cuts = df.groupBy(*part).agg(F.percentile_approx(order, qs, accuracy).alias("_cuts"))
@@ -39,12 +44,16 @@ def blocked_running(df: DataFrame, part: list[str], order: str, sums: list[str],
         b = df.withColumn("_blk", F.lit(0))
     bt = b.groupBy(*part, "_blk").agg(*[F.sum(s).alias(f"_b_{s}") for s in sums])
     before = Window.partitionBy(*part).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = bt.select(*part, "_blk", *[F.coalesce(F.sum(f"_b_{s}").over(before), F.lit(0)).alias(f"_o_{s}")
-                                      for s in sums])
+    whole = Window.partitionBy(*part)
+    side = [F.coalesce(F.sum(f"_b_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in sums]
+    if totals:
+        side += [F.sum(f"_b_{s}").over(whole).alias(f"tot_{s}") for s in sums]
+    offs = bt.select(*part, "_blk", *side)
     inside = Window.partitionBy(*part, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    j = b.join(checked_broadcast(offs), [*part, "_blk"])
-    return j.select(*[c for c in df.columns], *[(F.col(f"_o_{s}") + F.sum(s).over(inside)).alias(f"run_{s}")
-                                                 for s in sums])
+    # offsets: at most groups x blocks rows; without groups at most ``blocks`` rows
+    j = b.join(offs if part else F.broadcast(offs), [*part, "_blk"])
+    keep = [*df.columns, *([f"tot_{s}" for s in sums] if totals else [])]
+    return j.select(*keep, *[(F.col(f"_o_{s}") + F.sum(s).over(inside)).alias(f"run_{s}") for s in sums])
 
 
 def exact_percentiles(df: DataFrame, col: str | Column, probs: list[float], by: list[str] | None = None,
@@ -52,40 +61,37 @@ def exact_percentiles(df: DataFrame, col: str | Column, probs: list[float], by:
     """(by..., {prefix}0, {prefix}1, ...) exact percentiles with linear interpolation.
 
     position = p * (N - 1); value = (hi - pos) * v[lo] + (pos - lo) * v[hi], the
-    same rule as Spark's ``percentile``.
+    same rule as Spark's ``percentile``.  Groups without a non-null value are
+    absent from the result.
     """
     by = by or []
     v = F.col(col) if isinstance(col, str) else col
     vals = df.select(*by, v.cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v")) \
              .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = blocked_running(vals, by, "_v", ["_n"], blocks)
-    ranked = ranked.withColumn("_start", F.col("run__n") - F.col("_n"))  # first 0-based rank of the value
-    tot = vals.groupBy(*by).agg(F.sum("_n").alias("_N"))
-    tg = tot.select(*by, F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_i"), (F.lit(float(p)) * (F.col("_N") - 1)).alias("_pos")) for i, p in enumerate(probs)])))
-    tg = tg.withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos")})
-    # each target rank meets the one distinct value whose rank range holds it
-    hit_lo = F.col("_lo").between(F.col("_start"), F.col("run__n") - 1)
-    hit_hi = F.col("_hi").between(F.col("_start"), F.col("run__n") - 1)
-    tgr = tg.select(*[F.col(k).alias(f"_t_{k}") for k in by], "_i", "_pos", "_lo", "_hi")
-    cond = hit_lo | hit_hi
-    for k in by:
-        cond = (F.col(k) == F.col(f"_t_{k}")) & cond
-    j = ranked.join(checked_broadcast(tgr), cond)
-    lo_v = F.max(F.when(hit_lo, F.col("_v")))
-    hi_v = F.max(F.when(hit_hi, F.col("_v")))
-    per = j.groupBy(*by, "_i").agg(lo_v.alias("_lv"), hi_v.alias("_hv"), F.first("_pos").alias("_pos"),
-                                   F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
-    val = F.when((F.col("_lo") == F.col("_hi")) | (F.col("_lv") == F.col("_hv")), F.col("_lv")).otherwise(
-        (F.col("_hi") - F.col("_pos")) * F.col("_lv") + (F.col("_pos") - F.col("_lo")) * F.col("_hv"))
-    per = per.withColumn("_val", val)
-    out = per.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, F.col("_val"))).alias(f"{prefix}{i}")
-                                 for i in range(len(probs))])
-    if not by:
-        return out
-    # groups whose values are all NULL still get a row (with NULL percentiles)
-    keys = df.select(*by).distinct()
-    return keys.join(out, by, "left")
+    ranked = blocked_running(vals, by, "_v", ["_n"], blocks, totals=True)
+    start = F.col("run__n") - F.col("_n")          # first 0-based rank held by this value
+    last = F.col("run__n") - 1                     # last 0-based rank held by this value
+    aggs = [F.max("tot__n").alias("_N")]
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("tot__n") - 1)
+        lo, hi = F.floor(pos), F.ceil(pos)
+        aggs += [F.max(F.when(lo.between(start, last), F.col("_v"))).alias(f"_lv{i}"),
+                 F.max(F.when(hi.between(start, last), F.col("_v"))).alias(f"_hv{i}")]
+    # only the few distinct values holding a target rank survive the filter before the aggregation
+    hits = None
+    for p in probs:
+        pos = F.lit(float(p)) * (F.col("tot__n") - 1)
+        h = F.floor(pos).between(start, last) | F.ceil(pos).between(start, last)
+        hits = h if hits is None else hits | h
+    per = ranked.where(hits).groupBy(*by).agg(*aggs)
+    outs = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("_N") - 1)
+        lo, hi = F.floor(pos), F.ceil(pos)
+        lv, hv = F.col(f"_lv{i}"), F.col(f"_hv{i}")
+        outs.append(F.when((lo == hi) | (lv == hv), lv).otherwise((hi - pos) * lv + (pos - lo) * hv)
+                    .alias(f"{prefix}{i}"))
+    return per.select(*by, *outs)
 
 
 def exact_median(df: DataFrame, col: str, by: list[str] | None = None, name: str = "median") -> DataFrame:
