@@ -78,14 +78,25 @@ def ks_test(ref: DataFrame, cur: DataFrame, features: list[str], blocks: int = 2
     return d.withColumn("p_value", kolmogorov_pvalue(lam))
 
 
-def categorical_distance(ref: DataFrame, cur: DataFrame, features: list[str], half: bool = False) -> DataFrame:
-    """Sum over the union of categories of |p_ref - p_cur| (missing share = 0)."""
+def category_shares(ref: DataFrame, cur: DataFrame, features: list[str]) -> DataFrame:
+    """(feature, value, n1, n2, tot1, tot2, share_ref, share_cur) over the union of categories.
+
+    One grouped pass over the tagged union; a category absent from a sample has
+    count 0 and share 0.  Totals have one row per feature (broadcast).
+    """
     long = melt_categorical(ref, features, 1).unionByName(melt_categorical(cur, features, 2))
     c = long.groupBy("feature", "value").agg(
         F.count_if(F.col("sample") == 1).alias("n1"), F.count_if(F.col("sample") == 2).alias("n2"))
     t = c.groupBy("feature").agg(F.sum("n1").alias("tot1"), F.sum("n2").alias("tot2"))
-    j = c.join(F.broadcast(t), "feature")
-    diff = F.abs(F.col("n1") / F.nullif(F.col("tot1"), F.lit(0)) - F.col("n2") / F.nullif(F.col("tot2"), F.lit(0)))
+    return c.join(F.broadcast(t), "feature").withColumns({
+        "share_ref": F.col("n1") / F.nullif(F.col("tot1"), F.lit(0)),
+        "share_cur": F.col("n2") / F.nullif(F.col("tot2"), F.lit(0))})
+
+
+def categorical_distance(ref: DataFrame, cur: DataFrame, features: list[str], half: bool = False) -> DataFrame:
+    """Sum over the union of categories of |p_ref - p_cur| (missing share = 0)."""
+    j = category_shares(ref, cur, features)
+    diff = F.abs(F.col("share_ref") - F.col("share_cur"))
     out = j.groupBy("feature").agg(F.sum(diff).alias("l1_distance"), F.first("tot1").alias("n_ref"),
                                    F.first("tot2").alias("n_cur"))
     return out.withColumn("l1_distance", F.col("l1_distance") * (0.5 if half else 1.0))

@@ -128,6 +128,11 @@ def compare_models(scores: DataFrame, model: str = "model", score: str = "rmspe"
     ).orderBy("mean_score", model)
 
 
+def rank_models(summary: DataFrame, model: str = "model", score: str = "mean_score") -> DataFrame:
+    """1-based rank by ascending score (window over one row per model)."""
+    return summary.select(F.row_number().over(Window.orderBy(score, model)).alias("rank"), model, score)
+
+
 def improvement_pct(summary: DataFrame, baseline: str, model: str = "model",
                     score: str = "mean_score") -> DataFrame:
     """(baseline - model) / baseline x 100 for every model."""

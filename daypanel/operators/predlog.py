@@ -61,8 +61,24 @@ def daily_performance(pva: DataFrame, date: str = "date", version: str = "model_
         mape(y, p).alias("mape"), F.count(F.lit(1)).alias("n"))
 
 
+def version_registry(log: DataFrame, ts: str = "timestamp", key: str = "id") -> DataFrame:
+    """Registry table from the log: one row per model version with its first use and latest stage."""
+    return log.groupBy(F.col("model_version").alias("version")).agg(
+        F.min(ts).alias("created_at"), F.max_by("model_stage", F.struct(ts, key)).alias("stage"))
+
+
 def latest_version(registry: DataFrame, stage: str | None = None) -> DataFrame:
-    """Newest version overall, or newest within a stage (``max_by`` aggregate)."""
-    r = registry if stage is None else registry.where(F.col("stage") == stage)
-    return r.agg(F.max_by("version", F.struct("version_num", "version")).alias("latest_version"),
-                 F.max("version_num").alias("latest_version_num"))
+    """Newest version overall (and within ``stage``) by creation time (``max_by`` aggregates)."""
+    newest = F.max_by("version", F.struct("created_at", "version"))
+    out = registry.agg(newest.alias("latest_version"))
+    if stage is not None:
+        in_stage = registry.where(F.col("stage") == stage).agg(newest).scalar()  # scalar subquery
+        out = out.withColumn(f"latest_{stage.lower()}_version", in_stage)
+    return out
+
+
+def predictions_by_entity(log: DataFrame, entity: str = "store_id") -> DataFrame:
+    """Mean, min, max prediction and count per entity."""
+    return log.groupBy(entity).agg(
+        F.avg("prediction").alias("mean_prediction"), F.min("prediction").alias("min_prediction"),
+        F.max("prediction").alias("max_prediction"), F.count(F.lit(1)).alias("n"))

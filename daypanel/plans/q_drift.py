@@ -120,13 +120,7 @@ FROM ccnt c JOIN ctot t ON c.feature = t.feature""")
 def q_category_union(spark, sf):
     """Category shares of both samples over their union (absent = 0)."""
     ref, cur = _split(spark, sf)
-    long = D.melt_categorical(ref, PANEL_CAT, 1).unionByName(D.melt_categorical(cur, PANEL_CAT, 2))
-    c = long.groupBy("feature", "value").agg(F.count_if(F.col("sample") == 1).alias("n1"),
-                                             F.count_if(F.col("sample") == 2).alias("n2"))
-    t = c.groupBy("feature").agg(F.sum("n1").alias("tot1"), F.sum("n2").alias("tot2"))
-    out = c.join(F.broadcast(t), "feature").select(
-        "feature", "value", (F.col("n1") / F.col("tot1")).alias("share_ref"),
-        (F.col("n2") / F.col("tot2")).alias("share_cur"))
+    out = D.category_shares(ref, cur, PANEL_CAT).select("feature", "value", "share_ref", "share_cur")
     return rounded(out, {"share_ref": 9, "share_cur": 9})
 
 

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from daypanel.operators import predlog as L
 from daypanel.operators.clean import LOG_TO_PANEL, rename_align
 from daypanel.operators.joins import errors_with_metadata, latest_actuals, predictions_vs_actuals
-from daypanel.operators.metrics import compare_models, cv_scores, degradation_alert, rmspe
+from daypanel.operators.metrics import compare_models, cv_scores, degradation_alert, rank_models, rmspe
 from daypanel.operators.windows import trend_vs_recent
 from daypanel.plans import sqlparts as S
 from daypanel.plans.registry import actuals, clean, dim, facts, features, plog, query, rounded
@@ -161,8 +160,7 @@ SELECT CAST(row_number() OVER (ORDER BY mean_score, model) AS INTEGER) AS rank,
 def q_rank_models(spark, sf):
     """Models ranked by mean fold RMSPE (window over one row per model)."""
     from daypanel.plans.q_splits import _long_preds
-    c = compare_models(cv_scores(_long_preds(spark, sf)))
-    r = c.select(F.row_number().over(Window.orderBy("mean_score", "model")).alias("rank"), "model", "mean_score")
+    r = rank_models(compare_models(cv_scores(_long_preds(spark, sf))))
     return rounded(r, {"mean_score": 6})
 
 
@@ -173,14 +171,7 @@ SELECT (SELECT arg_max(version, (created_at, version)) FROM reg) AS latest_versi
        (SELECT arg_max(version, (created_at, version)) FROM reg WHERE stage = 'Production') AS latest_production_version""")
 def q_latest_version(spark, sf):
     """Newest registered version overall and in Production (registry derived from the log)."""
-    log = plog(spark, sf)
-    reg = log.groupBy(F.col("model_version").alias("version")).agg(
-        F.min("timestamp").alias("created_at"),
-        F.max_by("model_stage", F.struct("timestamp", "id")).alias("stage"))
-    allv = reg.agg(F.max_by("version", F.struct("created_at", "version")).alias("latest_version"))
-    prod = reg.where("stage = 'Production'").agg(
-        F.max_by("version", F.struct("created_at", "version")).alias("latest_production_version"))
-    return allv.withColumn("latest_production_version", prod.scalar())
+    return L.latest_version(L.version_registry(plog(spark, sf)), stage="Production")
 
 
 # ---- sinks and sources (write to the shared folder, read back) ------------------------------

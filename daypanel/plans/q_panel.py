@@ -12,7 +12,7 @@ from daypanel.operators import clean as C
 from daypanel.operators import joins as J
 from daypanel.operators import windows as W
 from daypanel.plans import sqlparts as S
-from daypanel.plans.features import build_all_features, prediction_features
+from daypanel.plans.features import prediction_features
 from daypanel.plans.naive import naive_last_week_by_fold
 from daypanel.plans.registry import PANEL_CONFIG, clean, dim, facts, features, query, rounded
 

@@ -239,10 +239,8 @@ SELECT store_id, round(avg(prediction), 6) AS mean_prediction, min(prediction) A
        max(prediction) AS max_prediction, COUNT(*) AS n FROM plog GROUP BY store_id""")
 def q_predictions_by_entity(spark, sf):
     """mean/min/max prediction per store from the prediction log."""
-    g = plog(spark, sf).groupBy("store_id").agg(
-        F.avg("prediction").alias("mean_prediction"), F.min("prediction").alias("min_prediction"),
-        F.max("prediction").alias("max_prediction"), F.count(F.lit(1)).alias("n"))
-    return rounded(g, {"mean_prediction": 6})
+    from daypanel.operators.predlog import predictions_by_entity
+    return rounded(predictions_by_entity(plog(spark, sf)), {"mean_prediction": 6})
 
 
 @query("prediction_overview", FW + f"""
