@@ -23,8 +23,8 @@ def expanding_folds(df: DataFrame, n_folds: int = 5, fold_length_days: int = 42,
     max date; skip folds without validation rows (later folds are renumbered).
     """
     dates = df.select(F.col(date).alias("d")).distinct()
-    dmin = dates.agg(F.min("d")).scalar()  # scalar subqueries: one value each
-    dmax = dates.agg(F.max("d")).scalar()
+    span = dates.agg(F.struct(F.min("d").alias("lo"), F.max("d").alias("hi"))).scalar()  # one scalar subquery
+    dmin, dmax = span["lo"], span["hi"]
     first = (dates.where(F.col("d") >= F.date_add(dmin, min_train_days))
              .groupBy().agg(F.min("d").alias("first_val")).withColumn("dmax", dmax))
     cand = first.select(
