@@ -1,8 +1,8 @@
 """Exact percentiles and running sums without gathering a group into one task.
 
-Spark's exact ``percentile`` / ``median`` aggregates buffer every value of a
-group in one task, so one hot group (a weekday holding a seventh of the data)
-would land whole on one executor.  Here a group is first reduced to its
+Spark's exact ``percentile`` / ``median`` aggregates keep a map of every
+distinct value of a group in one task, so one hot group (a weekday holding a
+seventh of the data) would land whole on one executor.  Here a group is first reduced to its
 distinct values with counts (partial aggregation), then split into value-range
 blocks cut at approximate quantiles (mergeable sketches).  Block totals (groups
 x blocks rows) give each block its starting offset; a window inside each block
