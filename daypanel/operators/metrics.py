@@ -195,6 +195,12 @@ def blend_weights(df: DataFrame, preds: list[str], y: str = "y", step: float = 0
     return best.select(*(by or []), *[f"w_{c}" for c in preds], "rmspe")
 
 
+def average_weights(best: DataFrame, preds: list[str]) -> DataFrame:
+    """M14 (averaged): mean of the per-fold optimal weights, renormalised to sum to 1."""
+    s = sum((F.avg(f"w_{c}") for c in preds), F.lit(0.0))
+    return best.agg(*[(F.avg(f"w_{c}") / s).alias(f"w_{c}") for c in preds], F.count(F.lit(1)).alias("n_folds"))
+
+
 def histogram(df: DataFrame, col: str, bins: int = 20, log1p: bool = False,
               by: list[str] | None = None) -> DataFrame:
     """Equal-width bins between the column's min and max.

@@ -263,3 +263,34 @@ def q_blend_weights(spark, sf):
     val = validation_rows(op, folds).dropna(subset=list(BLEND_W))
     best = M.blend_weights(val, list(BLEND_W), "Sales", step=0.05, by=["fold"])
     return rounded(best, {"w_Sales_Lag_7": 2, "w_Sales_Lag_14": 2, "w_Sales_Lag_28": 2, "rmspe": 6})
+
+
+BLEND_BEST_SQL = FOLDS + f""",
+val AS (SELECT f.fold, o.* FROM open_rows o JOIN folds f ON o.Date BETWEEN f.val_start AND f.val_end
+        WHERE Sales_Lag_7 IS NOT NULL AND Sales_Lag_14 IS NOT NULL AND Sales_Lag_28 IS NOT NULL),
+g AS (SELECT fold,
+        avg({_r('Sales_Lag_7')} * {_r('Sales_Lag_7')}) AS g11, avg({_r('Sales_Lag_7')} * {_r('Sales_Lag_14')}) AS g12,
+        avg({_r('Sales_Lag_7')} * {_r('Sales_Lag_28')}) AS g13, avg({_r('Sales_Lag_14')} * {_r('Sales_Lag_14')}) AS g22,
+        avg({_r('Sales_Lag_14')} * {_r('Sales_Lag_28')}) AS g23, avg({_r('Sales_Lag_28')} * {_r('Sales_Lag_28')}) AS g33
+      FROM val GROUP BY fold),
+lat AS (SELECT CAST(i AS DOUBLE) / 20 AS w1, CAST(j AS DOUBLE) / 20 AS w2, CAST(20 - i - j AS DOUBLE) / 20 AS w3
+        FROM range(0, 21) a(i), range(0, 21) b(j) WHERE i + j <= 20),
+sc AS (SELECT fold, w1, w2, w3,
+         sqrt(GREATEST(w1*w1*g11 + w1*w2*g12 + w1*w3*g13 + w2*w1*g12 + w2*w2*g22 + w2*w3*g23
+                       + w3*w1*g13 + w3*w2*g23 + w3*w3*g33, 0.0)) AS rmspe FROM g, lat),
+rk AS (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY rmspe, w1 DESC, w2 DESC, w3 DESC) AS rk FROM sc)
+SELECT fold, w1, w2, w3 FROM rk WHERE rk = 1"""
+
+
+@query("blend_weights_mean", BLEND_BEST_SQL.replace("SELECT fold, w1, w2, w3 FROM rk WHERE rk = 1", """,
+best AS (SELECT fold, w1, w2, w3 FROM rk WHERE rk = 1)
+SELECT round(avg(w1) / (avg(w1) + avg(w2) + avg(w3)), 4) AS w_Sales_Lag_7,
+       round(avg(w2) / (avg(w1) + avg(w2) + avg(w3)), 4) AS w_Sales_Lag_14,
+       round(avg(w3) / (avg(w1) + avg(w2) + avg(w3)), 4) AS w_Sales_Lag_28, COUNT(*) AS n_folds FROM best""", 1))
+def q_blend_weights_mean(spark, sf):
+    """Per-fold optimal blend weights averaged over the folds."""
+    op, folds = _open_and_folds(spark, sf)
+    val = validation_rows(op, folds).dropna(subset=list(BLEND_W))
+    best = M.blend_weights(val, list(BLEND_W), "Sales", step=0.05, by=["fold"])
+    avg = M.average_weights(best, list(BLEND_W))
+    return rounded(avg, {f"w_{c}": 4 for c in BLEND_W})
