@@ -44,7 +44,7 @@ def value_counts_two(ref: DataFrame, cur: DataFrame, features: list[str]) -> Dat
         F.count_if(F.col("sample") == 1).alias("n1"), F.count_if(F.col("sample") == 2).alias("n2"))
 
 
-def ecdf_pairs(counts: DataFrame, blocks: int = 256, accuracy: int = 10000) -> DataFrame:
+def ecdf_pairs(counts: DataFrame, blocks: int = 64, accuracy: int = 10000) -> DataFrame:
     """(feature, v, tot1, tot2, cdf1, cdf2) - both ECDFs at every distinct value.
 
     The running counts come from blocked prefix sums, so no window spans all
@@ -68,7 +68,7 @@ def kolmogorov_pvalue(lam: Column, terms: int = 100) -> Column:
     return F.when(lam < 0.04, F.lit(1.0)).otherwise(p)
 
 
-def ks_test(ref: DataFrame, cur: DataFrame, features: list[str], blocks: int = 256) -> DataFrame:
+def ks_test(ref: DataFrame, cur: DataFrame, features: list[str], blocks: int = 64) -> DataFrame:
     """(feature, n_ref, n_cur, ks_stat, p_value) per numeric feature."""
     e = ecdf_pairs(value_counts_two(ref, cur, features), blocks)
     d = e.groupBy("feature").agg(F.first("tot1").alias("n_ref"), F.first("tot2").alias("n_cur"),
@@ -103,7 +103,7 @@ def categorical_distance(ref: DataFrame, cur: DataFrame, features: list[str], ha
 
 
 def drift_table(ref: DataFrame, cur: DataFrame, features: list[str],
-                categorical: list[str] | None = None, blocks: int = 256) -> DataFrame:
+                categorical: list[str] | None = None, blocks: int = 64) -> DataFrame:
     """Per feature: test, score, p-value (KS only), detected flag."""
     cats = [f for f in (CATEGORICAL if categorical is None else categorical) if f in features]
     nums = [f for f in features if f not in cats]

@@ -9,6 +9,10 @@ x blocks rows) give each block its starting offset; a window inside each block
 gives the rest.  Ranks are therefore exact, and the value at any rank is found
 with a join against a small target table - the result equals the exact
 aggregate, with linear interpolation between neighbouring ranks.
+
+``blocks`` trades a per-value cost (one comparison per cut point) for the size
+of the largest window partition: raise it until a block's distinct values fit
+comfortably in one task.
 """
 
 from __future__ import annotations

@@ -31,7 +31,7 @@ def align(reference: DataFrame, current: DataFrame, features=None, mapping=None,
 
 
 def drift_report(reference: DataFrame, log: DataFrame, days: int = 7, anchor=None,
-                 include_target: bool = False, blocks: int = 256) -> DataFrame:
+                 include_target: bool = False, blocks: int = 64) -> DataFrame:
     """S08 -> P11 -> D04 -> D05 with an ``error`` column for an empty window."""
     current = scan_log(log, days, anchor)
     ref, cur, feats = align(reference, current)
