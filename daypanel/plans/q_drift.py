@@ -172,10 +172,11 @@ def q_sample_entities(spark, sf):
     return sample_entities(features(spark, sf).select("Store"), 25, seed=7).distinct()
 
 
-@query("reference_sample", S.FEATURES_WITH + ref_sample_sql() + " SELECT * EXCLUDE (Date, Store, Customers) FROM refs")
+@query("reference_sample", S.FEATURES_WITH + ref_sample_sql()
+       + " SELECT * EXCLUDE (Date, Store, Customers) REPLACE (round(CompetitionDistance_log, 6) AS CompetitionDistance_log) FROM refs")
 def q_reference_sample(spark, sf):
     """Stratified reference sample (features + Sales) for drift monitoring."""
-    return reference_sample(features(spark, sf))
+    return rounded(reference_sample(features(spark, sf)), {"CompetitionDistance_log": 6})
 
 
 LOG_WINDOW = """,

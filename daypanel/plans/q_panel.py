@@ -96,11 +96,12 @@ def q_cap_outliers(spark, sf):
 
 
 @query("fill_median", PW + """
-SELECT Store, COALESCE(CompetitionDistance, (SELECT median(CompetitionDistance) FROM dim)) AS CompetitionDistance
+SELECT Store, round(COALESCE(CompetitionDistance, (SELECT median(CompetitionDistance) FROM dim)), 4) AS CompetitionDistance
 FROM dim""")
 def q_fill_median(spark, sf):
-    """NULL distances filled with the exact median."""
-    return C.fill_median(dim(spark, sf), "CompetitionDistance").select("Store", "CompetitionDistance")
+    """NULL distances filled with the exact median (reported to 4 dp)."""
+    out = C.fill_median(dim(spark, sf), "CompetitionDistance").select("Store", "CompetitionDistance")
+    return rounded(out, {"CompetitionDistance": 4})
 
 
 @query("recompute_dow", PW + """
@@ -201,10 +202,13 @@ def q_holiday_lookup_calendar(spark, sf):
 
 # ---- features ---------------------------------------------------------------------------
 
-@query("build_all_features", FW + " SELECT * FROM features")
+LOG6 = "round(CompetitionDistance_log, 6) AS CompetitionDistance_log"
+
+
+@query("build_all_features", FW + f" SELECT * REPLACE ({LOG6}) FROM features")
 def q_build_all_features(spark, sf):
-    """18 clean + 32 engineered columns, one window exchange."""
-    return features(spark, sf)
+    """18 clean + 32 engineered columns, one window exchange (log distance reported to 6 dp)."""
+    return rounded(features(spark, sf), {"CompetitionDistance_log": 6})
 
 
 @query("calendar_features", PW + ", cal AS (SELECT Store, Date, DayOfWeek," + S.CALENDAR_SQL
@@ -321,12 +325,12 @@ rclean AS (SELECT f.Store, f.DayOfWeek, f.Date, f.Sales, f.Customers, f.Open, f.
          COALESCE(d.Promo2SinceWeek, 0) AS Promo2SinceWeek, COALESCE(d.Promo2SinceYear, 0) AS Promo2SinceYear,
          COALESCE(d.PromoInterval, '') AS PromoInterval
   FROM req f LEFT JOIN dim d ON f.Store = d.Store)
-SELECT * EXCLUDE (Sales, Customers) FROM (SELECT *,""" + S.CALENDAR_SQL + "," + S.PROMO_SQL + ","
-       + S.COMPETITION_SQL + ",\n" + S.lags_sql() + ",\n" + S.rolling_sql() + " FROM rclean)")
+SELECT * EXCLUDE (Sales, Customers) REPLACE (""" + LOG6 + """) FROM (SELECT *,""" + S.CALENDAR_SQL + ","
+       + S.PROMO_SQL + "," + S.COMPETITION_SQL + ",\n" + S.lags_sql() + ",\n" + S.rolling_sql() + " FROM rclean)")
 def q_prediction_features(spark, sf):
     """F17 + P09: scoring rows (no target) -> 46 model features with keys beside them."""
     req = facts(spark, sf).where(F.col("Date") >= F.lit("2001-06-01").cast("date")).drop("Sales", "Customers")
-    return prediction_features(req, dim(spark, sf), config=PANEL_CONFIG)
+    return rounded(prediction_features(req, dim(spark, sf), config=PANEL_CONFIG), {"CompetitionDistance_log": 6})
 
 
 @query("prediction_features_with_history", PW + """,
@@ -342,12 +346,13 @@ rclean AS (SELECT f.Store, f.DayOfWeek, f.Date, f.Sales, f.Customers, f.Open, f.
          COALESCE(d.Promo2SinceWeek, 0) AS Promo2SinceWeek, COALESCE(d.Promo2SinceYear, 0) AS Promo2SinceYear,
          COALESCE(d.PromoInterval, '') AS PromoInterval, f._req
   FROM u f LEFT JOIN dim d ON f.Store = d.Store)
-SELECT * EXCLUDE (Sales, Customers, _req) FROM (SELECT *,""" + S.CALENDAR_SQL + "," + S.PROMO_SQL + ","
-       + S.COMPETITION_SQL + ",\n" + S.lags_sql() + ",\n" + S.rolling_sql() + " FROM rclean) WHERE _req")
+SELECT * EXCLUDE (Sales, Customers, _req) REPLACE (""" + LOG6 + """) FROM (SELECT *,""" + S.CALENDAR_SQL + ","
+       + S.PROMO_SQL + "," + S.COMPETITION_SQL + ",\n" + S.lags_sql() + ",\n" + S.rolling_sql() + " FROM rclean) WHERE _req")
 def q_prediction_features_hist(spark, sf):
     """U01 + F17: history unioned before the windows, so lags see real past sales."""
     f = facts(spark, sf)
     cut = F.lit("2001-06-01").cast("date")
     req = f.where(F.col("Date") >= cut).drop("Sales", "Customers")
     hist = f.where(F.col("Date") < cut)
-    return prediction_features(req, dim(spark, sf), history=hist, config=PANEL_CONFIG)
+    out = prediction_features(req, dim(spark, sf), history=hist, config=PANEL_CONFIG)
+    return rounded(out, {"CompetitionDistance_log": 6})
