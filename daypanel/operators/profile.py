@@ -77,12 +77,12 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
             F.stddev_samp(x).alias("std"), F.min(x).cast("double").alias("min"),
             F.max(x).cast("double").alias("max")).alias(c))
     moments = df.agg(*aggs).select(F.inline(F.array(*[F.col(c) for c in cols])))
-    qs = None
-    for c in cols:
-        q = exact_percentiles(df, c, [0.25, 0.5, 0.75]).select(
-            F.lit(c).alias("column"), F.col("p0").alias("p25"), F.col("p1").alias("p50"), F.col("p2").alias("p75"))
-        qs = q if qs is None else qs.unionByName(q)
-    out = moments.join(qs, "column")
+    # all columns in one pass: melt to (column, value) and take percentiles per column
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+                                        for c in cols])))
+    qs = exact_percentiles(long, "value", [0.25, 0.5, 0.75], ["column"]).select(
+        "column", F.col("p0").alias("p25"), F.col("p1").alias("p50"), F.col("p2").alias("p75"))
+    out = moments.join(qs, "column", "left")
     return out.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

@@ -222,11 +222,11 @@ def q_sink_predictions(spark, sf):
 SELECT b.batch_id, b.model_version, COUNT(*) AS n,
        CAST(sum(CAST(Sales_Lag_7 AS DECIMAL(18,2))) AS DOUBLE) AS total_prediction
 FROM features, (VALUES ('batch-1', '1'), ('batch-2', '2')) b(batch_id, model_version)
-WHERE Date >= DATE '2001-10-01' AND Sales_Lag_7 IS NOT NULL GROUP BY 1, 2""")
+WHERE Sales_Lag_7 IS NOT NULL GROUP BY 1, 2""")
 def q_sink_log_append(spark, sf):
     """Two scored batches appended to a log partitioned by log date; read back per batch."""
     path = shared_dir(spark, "predlog")
-    scored = features(spark, sf).where("Date >= DATE '2001-10-01' AND Sales_Lag_7 IS NOT NULL").select(
+    scored = features(spark, sf).where("Sales_Lag_7 IS NOT NULL").select(
         F.col("Store").alias("store_id"), F.col("Date").alias("date"), F.col("Sales_Lag_7").alias("prediction"))
     IO.sink_log(scored, path, "batch-1", "1")
     IO.sink_log(scored, path, "batch-2", "2")

@@ -316,7 +316,7 @@ def q_label_encode(spark, sf):
 
 @query("prediction_features", PW + """,
 req AS (SELECT Store, DayOfWeek, Date, 0.0 AS Sales, 0.0 AS Customers, Open, Promo, StateHoliday,
-               SchoolHoliday FROM facts WHERE Date >= DATE '2001-06-01'),
+               SchoolHoliday FROM facts),
 rclean AS (SELECT f.Store, f.DayOfWeek, f.Date, f.Sales, f.Customers, f.Open, f.Promo, f.StateHoliday,
          f.SchoolHoliday, d.StoreType, d.Assortment,
          COALESCE(d.CompetitionDistance, 100000.0) AS CompetitionDistance,
@@ -328,8 +328,8 @@ rclean AS (SELECT f.Store, f.DayOfWeek, f.Date, f.Sales, f.Customers, f.Open, f.
 SELECT * EXCLUDE (Sales, Customers) REPLACE (""" + LOG6 + """) FROM (SELECT *,""" + S.CALENDAR_SQL + ","
        + S.PROMO_SQL + "," + S.COMPETITION_SQL + ",\n" + S.lags_sql() + ",\n" + S.rolling_sql() + " FROM rclean)")
 def q_prediction_features(spark, sf):
-    """F17 + P09: scoring rows (no target) -> 46 model features with keys beside them."""
-    req = facts(spark, sf).where(F.col("Date") >= F.lit("2001-06-01").cast("date")).drop("Sales", "Customers")
+    """F17 + P09: every fact row as a scoring request (target dropped) -> 46 model features with keys."""
+    req = facts(spark, sf).drop("Sales", "Customers")
     return rounded(prediction_features(req, dim(spark, sf), config=PANEL_CONFIG), {"CompetitionDistance_log": 6})
 
 
