@@ -61,3 +61,15 @@ def test_query_matches_twin(spark, duck, name):
 def test_every_query_has_a_docstring():
     for name, fn in queries().items():
         assert fn.__doc__, name
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", TWINNED)
+def test_plan_has_no_cartesian_product_or_python_udf(spark, name):
+    """Every SQL-expressible query: no cartesian product, no Python UDF evaluation."""
+    text = _plan(queries()[name](spark, SMOKE))
+    assert "CartesianProduct" not in text
+    assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
