@@ -43,6 +43,13 @@ def rolling_columns(target: str = "Sales", windows=None, entity: str = "Store",
     return out
 
 
+def rolling_exact_inputs(target: str = "Sales", scale: int = 2) -> dict[str, Column]:
+    """Row-wise inputs of the exact rolling statistics, projected once before the window:
+    x and x^2 as decimals (a frame would otherwise re-evaluate them for every offset)."""
+    xd = F.col(target).cast(f"decimal(18,{scale})")
+    return {"_rx": xd, "_rx2": xd * xd}
+
+
 def rolling_exact_columns(target: str = "Sales", windows=None, entity: str = "Store",
                           date: str = "Date", closed: str = "right", scale: int = 2) -> dict[str, Column]:
     """W02-W04 from exact running DECIMAL sums, O(1) work per row and window.
@@ -54,17 +61,17 @@ def rolling_exact_columns(target: str = "Sales", windows=None, entity: str = "St
     Decimal differences are exact, so the result is bit-identical to summing
     each frame, and a re-executed task reproduces identical features.
     mean = S1 / N, var = (S2 - S1 * S1 / N) / (N - 1) for N > 1.
+    Needs the columns of ``rolling_exact_inputs`` on the frame.
     """
     spec = _spec(entity, date)
     x = F.col(target)
-    xd = x.cast(f"decimal(18,{scale})")
     zero1 = F.lit(0).cast(f"decimal(28,{scale})")
     zero2 = F.lit(0).cast(f"decimal(38,{2 * scale})")
 
     def upto(off: int):
         """Running S1, S2, N over rows first..(i - off)."""
         fr = spec.rowsBetween(Window.unboundedPreceding, -off)
-        return (F.coalesce(F.sum(xd).over(fr), zero1), F.coalesce(F.sum(xd * xd).over(fr), zero2),
+        return (F.coalesce(F.sum("_rx").over(fr), zero1), F.coalesce(F.sum("_rx2").over(fr), zero2),
                 F.count(x).over(fr))
 
     cols = {}
@@ -87,7 +94,10 @@ def add_rolling(df: DataFrame, target: str = "Sales", windows=None, entity: str
                 date: str = "Date", closed: str = "right", exact_scale: int | None = None) -> DataFrame:
     """W02-W04; with ``exact_scale`` (e.g. 2 for currency) the exact running-sum form."""
     if exact_scale is not None:
-        return df.withColumns(rolling_exact_columns(target, windows, entity, date, closed, exact_scale))
+        helpers = rolling_exact_inputs(target, exact_scale)
+        out = df.withColumns(helpers).withColumns(
+            rolling_exact_columns(target, windows, entity, date, closed, exact_scale))
+        return out.drop(*helpers)
     return df.withColumns(rolling_columns(target, windows, entity, date, closed))
 
 

@@ -15,7 +15,7 @@ from daypanel.functions.promo import promo_columns
 from daypanel.operators.clean import add_dummy_target, basic_cleaning, feature_columns
 from daypanel.operators.joins import merge_entity_info
 from daypanel.operators.windows import (DEFAULT_LAGS, DEFAULT_WINDOWS, lag_columns, rolling_columns,
-                                       rolling_exact_columns)
+                                       rolling_exact_columns, rolling_exact_inputs)
 
 DEFAULT_CONFIG = {
     "lags": DEFAULT_LAGS,
@@ -34,7 +34,11 @@ def clean_panel(facts: DataFrame, dim: DataFrame, entity: str = "Store") -> Data
 
 def build_all_features(df: DataFrame, config: dict | None = None, target: str = "Sales",
                        entity: str = "Store", date: str = "Date") -> DataFrame:
-    """calendar (12) -> promo (5) -> competition (3) -> lags (4) -> rolling (8)."""
+    """calendar (12) -> promo (5) -> competition (3) -> lags (4) -> rolling (8).
+
+    One Exchange on the entity, one Sort and one Window operator; the row-wise
+    feature columns are computed after the window so the shuffle stays narrow.
+    """
     cfg = {**DEFAULT_CONFIG, **(config or {})}
     d = F.col(date)
     cols = dict(calendar_columns(d, F.col("DayOfWeek")))
@@ -46,11 +50,16 @@ def build_all_features(df: DataFrame, config: dict | None = None, target: str =
                                         F.col("CompetitionOpenSinceMonth"),
                                         F.col("CompetitionOpenSinceYear")))
     win = dict(lag_columns(target, cfg["lags"], entity, date))
+    helpers = {}
     if cfg["exact_scale"] is not None:
+        helpers = rolling_exact_inputs(target, cfg["exact_scale"])
         win.update(rolling_exact_columns(target, cfg["rolling_windows"], entity, date, scale=cfg["exact_scale"]))
     else:
         win.update(rolling_columns(target, cfg["rolling_windows"], entity, date))
-    return df.withColumns(cols).withColumns(win)
+    # Window first, row-wise columns after: the entity shuffle then carries only the input
+    # columns, not the 20 derived ones.  The final select restores the documented order.
+    out = df.withColumns(helpers).withColumns(win).withColumns(cols)
+    return out.select(*df.columns, *cols.keys(), *win.keys())
 
 
 def union_history(history: DataFrame, rows: DataFrame) -> DataFrame:
