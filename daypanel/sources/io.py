@@ -125,9 +125,12 @@ def scan_log(log: DataFrame, days: int, anchor=None, ts: str = "timestamp",
     cols = columns or LOG_DRIFT_COLUMNS
     if anchor is not None:
         lo = F.lit(anchor).cast("timestamp") - F.make_dt_interval(F.lit(days))
-        return log.where(F.col(ts) >= lo).select(*cols)
-    lo = log.agg(F.max(ts) - F.make_dt_interval(F.lit(days))).scalar()  # scalar subquery
-    return log.where(F.col(ts) >= lo).select(*cols)
+    else:
+        lo = log.agg(F.max(ts) - F.make_dt_interval(F.lit(days))).scalar()  # scalar subquery
+    cond = F.col(ts) >= lo
+    if "log_date" in log.columns:  # log_date = to_date(timestamp): the same bound on the partition column
+        cond = cond & (F.col("log_date") >= F.to_date(lo))
+    return log.where(cond).select(*cols)
 
 
 def sink_log(scored: DataFrame, path: str, batch_id: str, model_version: str,
