@@ -125,16 +125,17 @@ def densify_panel(facts: DataFrame, entity: str = "Store", date: str = "Date",
 def fold_overlap_check(rows: DataFrame, folds: DataFrame, date: str = "Date") -> DataFrame:
     """Per fold, rows that are both train and val (must be 0) and max(train d) < min(val d).
 
-    Rows meet the <= n-fold table in a broadcast nested-loop join that feeds a
-    partial aggregate in the same stage, so the rows x folds pairs are never
-    shuffled or stored.
+    Roles are date predicates, so rows are first reduced to daily counts; only
+    the (day, fold) pairs with day <= val_end meet, which is bounded by
+    days x folds.
     """
-    j = rows.select(date).join(F.broadcast(folds))
-    d = F.col(date)
+    daily = rows.groupBy(F.col(date).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    j = daily.join(F.broadcast(folds), F.col("_d") <= F.col("val_end"))
+    d = F.col("_d")
     is_tr = d < F.col("val_start")
     is_va = d.between(F.col("val_start"), F.col("val_end"))
     g = j.groupBy("fold").agg(
-        F.count_if(is_tr & is_va).alias("n_shared"),
+        F.coalesce(F.sum(F.when(is_tr & is_va, F.col("_n"))), F.lit(0)).cast("long").alias("n_shared"),
         F.max(F.when(is_tr, d)).alias("train_max"),
         F.min(F.when(is_va, d)).alias("val_min"))
     return g.select("fold", "n_shared", (F.col("train_max") < F.col("val_min")).alias("ordered"))

@@ -205,8 +205,8 @@ def histogram(df: DataFrame, col: str, bins: int = 20, log1p: bool = False,
               by: list[str] | None = None) -> DataFrame:
     """Equal-width bins between the column's min and max.
 
-    Bin edges come from a one-row min/max aggregate broadcast into the plan;
-    the maximum falls into the last bin.
+    Bin edges come from a min/max scalar subquery; the maximum falls into the
+    last bin.
     """
     v = F.log1p(F.col(col)) if log1p else F.col(col)
     base = df.select(*(by or []), v.alias("_v")).where(F.col("_v").isNotNull())
