@@ -58,3 +58,22 @@ def test_label_codes_reused_for_scoring(spark):
     score = spark.createDataFrame([("c",), ("z",), (None,)], "t string")
     got = {r.t: r.t_code for r in label_encode(score, ["t"], codes).collect()}
     assert got == {"c": 2, "z": -1, None: -1}
+
+
+def test_scan_log_prunes_log_date_partitions(spark):
+    from daypanel.sources import io as IO
+
+    rows = spark.createDataFrame(
+        [(i, dt.datetime(2024, 1, 1 + i % 20, 12, 0), 1.0 * i) for i in range(40)],
+        "id long, timestamp timestamp, prediction double")
+    rows = rows.withColumns({c: F.lit(0) for c in ("promo", "day_of_week", "month", "school_holiday", "promo2",
+                                                   "is_promo2_active")})
+    rows = rows.withColumns({"state_holiday": F.lit("0"), "store_type": F.lit("a"), "assortment": F.lit("a"),
+                             "competition_distance": F.lit(1.0), "log_date": F.to_date("timestamp")})
+    path = shared_dir(spark, "pruned-log")
+    rows.write.partitionBy("log_date").parquet(path)
+    log = IO.scan_parquet(spark, path)
+    got = IO.scan_log(log, 7, anchor="2024-01-20 12:00:00")
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(log_date" in text and "log_date" in text.split("PartitionFilters")[1][:120]
+    assert got.count() == rows.where("timestamp >= TIMESTAMP '2024-01-13 12:00:00'").count()
