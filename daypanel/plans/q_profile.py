@@ -164,6 +164,12 @@ def q_histogram(spark, sf):
     return rounded(histogram(clean(spark, sf), "Sales", 20), {"bin_lo": 4, "bin_hi": 4})
 
 
+@query("histogram_log1p", PW + HIST_SQL.format(v="ln(1 + Sales)", src="clean", bins=20))
+def q_histogram_log1p(spark, sf):
+    """20 equal-width bins of log1p(target)."""
+    return rounded(histogram(clean(spark, sf), "Sales", 20, log1p=True), {"bin_lo": 4, "bin_hi": 4})
+
+
 @query("residual_histogram", FW + HIST_SQL.format(
     v="(Sales_Lag_7 - Sales)", src="(SELECT * FROM features WHERE Open = 1 AND Sales_Lag_7 IS NOT NULL) s",
     bins=30))
