@@ -31,3 +31,29 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "source", common.word_count(F.col("text")).alias("size"))
     return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
+
+
+from daypanel.llm import rotated_bits  # noqa: E402
+
+
+@query("op3_rotated_bits_ann")
+def op3_rotated_bits_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all other vectors for every vector whose id is divisible by 20."""
+    vectors = common.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return rotated_bits.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+from daypanel.llm import bpe_tree  # noqa: E402
+
+
+def tokenizer_path() -> str:
+    """The byte-level BPE vocabulary that op8 and the pipeline use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op8_bpe_tree")
+def op8_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and hashes of the ids and of the decoded text of every document."""
+    return bpe_tree.encode_decode(common.table(spark, sf_dir, "documents"), "text", tokenizer_path(), ["doc_id"])
