@@ -172,40 +172,80 @@ class Encoder:
         self.tok, self.leaf, self.most = tokenizer(path), leaf, most
         self.marks = _specials(self.tok)
         self.known: dict[str, bytes] = {}
-        self.long: set[str] = set()  # parts not worth keeping
+
+    def _words(self, words: list[str]) -> None:
+        """Learn parts of letters only, a space before them or none, many in one call.
+
+        Line feeds between them are parts of their own, so each word encodes as by itself.
+        """
+        e = self.tok.encode("\n".join(words), add_special_tokens=False)
+        at = np.array(e.offsets, dtype=np.int64)[:, 0]
+        begins = np.cumsum([0, *(len(w) + 1 for w in words)])
+        word = np.searchsorted(begins, at, "right") - 1
+        kept = at < begins[word + 1] - 1  # not a line feed
+        ids = np.array(e.ids, dtype="<u4")[kept].tobytes()
+        ends = np.cumsum(np.bincount(word[kept], minlength=len(words))) * 4
+        begin = 0
+        for w, end in zip(words, ends.tolist()):
+            self.known[w] = ids[begin:end]
+            begin = end
 
     def _learn(self, parts: set[str]) -> None:
-        new = [p for p in parts if len(p) <= self.leaf]
-        for p, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
+        words = [p for p in parts if len(p) <= 64 and p[p[0] == " ":].isalpha()]
+        for k in range(0, len(words), 8192):
+            self._words(words[k:k + 8192])
+        other = [p for p in parts - set(words) if len(p) <= self.leaf]
+        for p, e in zip(other, self.tok.encode_batch_fast(other, add_special_tokens=False)):
             self.known[p] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        self.long.update(p for p in parts if len(p) > 64)
         for p in parts:
             if len(p) > self.leaf:
                 self.known[p] = encode_unsplit(self.tok, p, self.leaf).astype("<u4").tobytes()
 
-    def _piece(self, text: str) -> bytes:
-        if _OTHER.search(text) is None:
-            parts: list[str] = []
-            for k, stretch in enumerate(self.marks.split(text) if self.marks else [text]):
-                parts += [stretch] if k % 2 else _SPLIT.findall(stretch)
-            if missing := set(parts) - self.known.keys():
-                self._learn(missing)
-            return b"".join(map(self.known.__getitem__, parts))
+    def _odd(self, text: str) -> bytes:
+        """A piece with characters beyond the pattern's: the library splits it."""
         if len(text) <= 2 * self.leaf:
             ids = np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
         else:
             ids = encode_piece(self.tok, text, self.leaf).astype("<u4")
         return ids.tobytes()
 
-    def encode(self, text: str | None) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        split: list[list[str] | None] = []
+        for text in pieces:
+            if _OTHER.search(text):
+                split.append(None)
+                continue
+            parts: list[str] = []
+            for k, stretch in enumerate(self.marks.split(text) if self.marks else [text]):
+                parts += [stretch] if k % 2 else _SPLIT.findall(stretch)
+            split.append(parts)
         if len(self.known) > self.most:
             self.known.clear()
-        ids = b"".join(map(self._piece, cut(text or "", self.leaf)))
-        for p in self.long:
+        missing = set().union(*(p for p in split if p)) - self.known.keys()
+        if missing:
+            self._learn(missing)
+        get = self.known.__getitem__
+        out = [self._odd(t) if p is None else b"".join(map(get, p)) for t, p in zip(pieces, split)]
+        for p in [p for p in missing if len(p) > 64]:
             del self.known[p]
-        self.long = set()
-        return ids
+        return out
+
+    def encode(self, texts: list[str | None], budget: int = 1 << 20) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers; ``budget`` characters at a time."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        pieces, owner, size = [], [], 0
+        for k, text in enumerate(texts):
+            for piece in cut(text or "", self.leaf):
+                pieces.append(piece)
+                owner.append(k)
+                size += len(piece)
+                if size > budget:
+                    for o, ids in zip(owner, self._pieces(pieces)):
+                        out[o].append(ids)
+                    pieces, owner, size = [], [], 0
+        for o, ids in zip(owner, self._pieces(pieces)):
+            out[o].append(ids)
+        return [b"".join(x) for x in out]
 
 
 @lru_cache(maxsize=4)
@@ -230,7 +270,7 @@ def _run(batches: Iterator[pa.RecordBatch], path: str, leaf: int, want_ids: bool
     for b in batches:
         for at in range(0, b.num_rows, 256):
             part = b.slice(at, 256)
-            ids = [encoder.encode(t) for t in part.column(part.num_columns - 1).to_pylist()]
+            ids = encoder.encode(part.column(part.num_columns - 1).to_pylist())
             decoded = [decode(i, path) for i in ids]
             cols = [*part.columns[:-1], pa.array([len(i) // 4 for i in ids], pa.int64()),
                     pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
