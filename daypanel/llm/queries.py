@@ -57,3 +57,12 @@ def tokenizer_path() -> str:
 def op8_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and hashes of the ids and of the decoded text of every document."""
     return bpe_tree.encode_decode(common.table(spark, sf_dir, "documents"), "text", tokenizer_path(), ["doc_id"])
+
+
+from daypanel.llm import trie_join  # noqa: E402
+
+
+@query("op5_trie_jaccard")
+def op5_trie_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose sets of 3-word shingles have a Jaccard similarity of 0.9 or more."""
+    return trie_join.classes(common.table(spark, sf_dir, "documents"), n=3, num=90, den=100)
