@@ -66,3 +66,15 @@ from daypanel.llm import trie_join  # noqa: E402
 def op5_trie_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents whose sets of 3-word shingles have a Jaccard similarity of 0.9 or more."""
     return trie_join.classes(common.table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
+from daypanel.llm import brown  # noqa: E402
+
+
+@query("op2_brown_classes")
+def op2_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and class-bigram scores of every document, learnt from those whose crc32 mod 7 is not 2."""
+    docs = common.table(spark, sf_dir, "documents")
+    held = common.remainder("doc_id", 7) == 2
+    model = brown.fit(docs.filter(~held).select("text"))
+    return brown.score(docs, model, held)
