@@ -78,3 +78,15 @@ def op2_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = common.remainder("doc_id", 7) == 2
     model = brown.fit(docs.filter(~held).select("text"))
     return brown.score(docs, model, held)
+
+
+from daypanel.llm import crf_language  # noqa: E402
+
+
+@query("op9_crf_language")
+def op9_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from those whose crc32 mod 3 is not 1."""
+    docs = common.table(spark, sf_dir, "documents")
+    held = common.remainder("doc_id", 3) == 1
+    crf = crf_language.fit(docs.filter(~held))
+    return crf_language.predict(docs.withColumn("held_out", held), crf, ["doc_id", "held_out"])
