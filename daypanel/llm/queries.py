@@ -90,3 +90,12 @@ def op9_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = common.remainder("doc_id", 3) == 1
     crf = crf_language.fit(docs.filter(~held))
     return crf_language.predict(docs.withColumn("held_out", held), crf, ["doc_id", "held_out"])
+
+
+from daypanel.llm import pii_bootstrap  # noqa: E402
+
+
+@query("op10_pii_bootstrap")
+def op10_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base entities and those found by their context."""
+    return pii_bootstrap.digest(pii_bootstrap.find(common.table(spark, sf_dir, "documents")))
