@@ -99,3 +99,12 @@ from daypanel.llm import pii_bootstrap  # noqa: E402
 def op10_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: base entities and those found by their context."""
     return pii_bootstrap.digest(pii_bootstrap.find(common.table(spark, sf_dir, "documents")))
+
+
+from daypanel.llm import imatch  # noqa: E402
+
+
+@query("op4_imatch")
+def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprints of every document and of its edited text, with likenesses."""
+    return imatch.compare(common.table(spark, sf_dir, "documents"))
