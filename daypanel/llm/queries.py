@@ -108,3 +108,26 @@ from daypanel.llm import imatch  # noqa: E402
 def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I-Match fingerprints of every document and of its edited text, with likenesses."""
     return imatch.compare(common.table(spark, sf_dir, "documents"))
+
+
+from daypanel.llm import knn_quality  # noqa: E402
+
+
+@query("op6_knn_quality")
+def op6_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by votes of labelled ones whose crc32 mod 5 is not 0."""
+    docs = common.table(spark, sf_dir, "documents")
+    held = common.remainder("doc_id", 5) == 0
+    labels = common.table(spark, sf_dir, "labels").filter(~held).select("doc_id", "quality")
+    space = knn_quality.fit(docs.select("doc_id", "text"), labels)
+    scored = knn_quality.score(docs.withColumn("held_out", held), space, ["doc_id", "held_out"])
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0).cast("int"))
+
+
+from daypanel.llm import license_zstd  # noqa: E402
+
+
+@query("op7_license_zstd")
+def op7_license_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses found in every document."""
+    return license_zstd.scan(common.table(spark, sf_dir, "documents"), ["doc_id"])
