@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daypanel.llm.common import with_fields
+
 LEAF = 16_384
 _CUT = re.compile(r"(?<=\S)(?=\s)")
 
@@ -288,7 +290,5 @@ def encode_decode(docs: DataFrame, text: Column | str, path: str, keep: list[str
     """``keep`` columns with n_tokens, ids_sha256, decoded_sha256 and, if wanted, ids and the decoded text."""
     text = F.col(text) if isinstance(text, str) else text
     rows = docs.select(*keep, text.alias("_text"))
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    schema = kinds + ", n_tokens long, ids_sha256 string, decoded_sha256 string"
-    schema += ", ids array<int>, decoded string" if want_ids else ""
-    return rows.mapInArrow(lambda it: _run(it, path, leaf, want_ids), schema)
+    more = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if want_ids else "")
+    return rows.mapInArrow(lambda it: _run(it, path, leaf, want_ids), with_fields(rows, more))

@@ -260,7 +260,7 @@ def score(docs: DataFrame, model: Model, held: Column, id_col: str = "doc_id", t
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model.params())
     rows = docs.select(F.col(id_col).alias("_id"), held.alias("_held"), F.col(text_col).alias("_text"))
-    kind = rows.schema["_id"].dataType.simpleString()
+    kind = rows.schema["_id"].dataType.simpleString()  # an atomic type
     rows = rows.mapInArrow(lambda it: _score(it, shared), "rid long, key binary, tf long, path double, "
                            f"id {kind}, held boolean, n long, n_known long, base double, score double")
     others = model.counts.filter(F.col("c") * lexicon < model.tokens).select(F.col("word").alias("key"), "c")

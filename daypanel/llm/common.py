@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daypanel.session import ensure_checkpoint_dir
 
@@ -39,3 +40,8 @@ def byte_words(text: str | None) -> list[bytes]:
     the six ASCII white-space characters of ``WORD``.
     """
     return text.encode("utf-8").lower().split() if text else []
+
+
+def with_fields(df: DataFrame, ddl: str) -> T.StructType:
+    """The schema of ``df`` without its last column, then the columns of ``ddl``."""
+    return T.StructType([*df.schema.fields[:-1], *T.StructType.fromDDL(ddl).fields])

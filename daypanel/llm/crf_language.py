@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daypanel.llm.common import materialise
+from daypanel.llm.common import materialise, with_fields
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -281,5 +281,4 @@ def predict(docs: DataFrame, crf: Crf, keep: list[str], text: Column | str = "te
     text = F.col(text) if isinstance(text, str) else text
     shared = docs.sparkSession.sparkContext.broadcast(crf)
     rows = docs.select(*keep, text.alias("_text"))
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(lambda it: _predict(it, shared, known), kinds + "lang_pred string, score double")
+    return rows.mapInArrow(lambda it: _predict(it, shared, known), with_fields(rows, "lang_pred string, score double"))

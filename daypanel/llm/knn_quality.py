@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daypanel.llm.common import with_fields
+
 BUCKETS = 2048
 _HALF = BUCKETS // 2
 _RUN = re.compile(r"(.)\1{2,}")
@@ -158,5 +160,4 @@ def score(docs: DataFrame, space: Space, keep: list[str], text: Column | str = "
     text = F.col(text) if isinstance(text, str) else text
     shared = docs.sparkSession.sparkContext.broadcast(space)
     rows = docs.select(*keep, text.alias("_text"))
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(lambda it: _scores(it, shared, k), kinds + "score double")
+    return rows.mapInArrow(lambda it: _scores(it, shared, k), with_fields(rows, "score double"))

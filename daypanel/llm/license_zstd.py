@@ -24,6 +24,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daypanel.llm.common import with_fields
+
 # Names and opening words of public licenses and the notices that refer to them.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -119,7 +121,6 @@ def scan(docs: DataFrame, keep: list[str], text_col: str = "text", templates: di
         cue = cue | F.contains(text, F.lit(c))
     # documents without a cue send no text to the workers
     rows = docs.select(*keep, F.when(cue, F.col(text_col)).alias("_text"))
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
     options = (templates or TEMPLATES, reach, confirm, slack)
-    return rows.mapInArrow(lambda it: _scan(it, options), kinds + "n_blocks long, license string, reduction double, "
-                           "differences long, licenses string")
+    return rows.mapInArrow(lambda it: _scan(it, options), with_fields(rows, "n_blocks long, license string, reduction double, "
+                           "differences long, licenses string"))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from daypanel.llm.common import byte_words, materialise
+from daypanel.llm.common import byte_words, materialise, with_fields
 from daypanel.llm.components import components
 
 #: Cells of the counting sketch (2 ** BITS) and of one row of it.
@@ -244,9 +244,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     order = spark.sparkContext.broadcast(sketch(texts, "text", n))
-    kind = texts.schema["_id"].dataType.simpleString()
     records = materialise(texts.mapInArrow(
-        lambda it: _records(it, n, num, den, order), f"_id {kind}, n_shingles long, digest binary, first array<bigint>"))
+        lambda it: _records(it, n, num, den, order), with_fields(texts, "n_shingles long, digest binary, first array<bigint>")))
     sets = materialise(records.filter("n_shingles > 0").groupBy("digest").agg(
         F.min("_id").alias("_id"), F.first("n_shingles").alias("n_shingles"), F.first("first").alias("first"))
         .withColumn("node", F.xxhash64("digest")))
