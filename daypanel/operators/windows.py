@@ -45,8 +45,15 @@ def rolling_columns(target: str = "Sales", windows=None, entity: str = "Store",
 
 def rolling_exact_inputs(target: str = "Sales", scale: int = 2) -> dict[str, Column]:
     """Row-wise inputs of the exact rolling statistics, projected once before the window:
-    x and x^2 as decimals (a frame would otherwise re-evaluate them for every offset)."""
+    x and x^2 as decimals (a frame would otherwise re-evaluate them for every offset).
+
+    A value that has more than ``scale`` digits after the point ends the job: rounding it
+    would give wrong statistics without a word.  Such targets take the float path.
+    """
+    x = F.col(target).cast("double")
     xd = F.col(target).cast(f"decimal(18,{scale})")
+    lost = F.raise_error(F.format_string(f"{target} has more than {scale} decimal places: %s", x.cast("string")))
+    xd = F.when(x.isNull() | (xd.cast("double") == x), xd).otherwise(lost.cast(f"decimal(18,{scale})"))
     return {"_rx": xd, "_rx2": xd * xd}
 
 
@@ -60,7 +67,8 @@ def rolling_exact_columns(target: str = "Sales", windows=None, entity: str = "St
     lags.  A sliding frame would re-aggregate all w rows for every row instead.
     Decimal differences are exact, so the result is bit-identical to summing
     each frame, and a re-executed task reproduces identical features.
-    mean = S1 / N, var = (S2 - S1 * S1 / N) / (N - 1) for N > 1.
+    mean = S1 / N, var = (N * S2 - S1 * S1) / (N * (N - 1)) for N > 1; the difference, in
+    which large values would cancel, is taken in decimals before any cast to double.
     Needs the columns of ``rolling_exact_inputs`` on the frame.
     """
     spec = _spec(entity, date)
@@ -78,10 +86,13 @@ def rolling_exact_columns(target: str = "Sales", windows=None, entity: str = "St
     for w in (windows or DEFAULT_WINDOWS):
         hi, lo = (0, w) if closed == "right" else (1, w + 1)
         (a1, a2, an), (b1, b2, bn) = upto(hi), upto(lo)
-        s1, s2, n = (a1 - b1).cast("double"), (a2 - b2).cast("double"), an - bn
-        var = (s2 - s1 * s1 / n) / (n - 1)
-        cols[f"{target}_RollingMean_{w}"] = s1 / F.nullif(n, F.lit(0))
-        cols[f"{target}_RollingStd_{w}"] = F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+        n, s1 = an - bn, (a1 - b1).cast(f"decimal(18,{scale})")
+        s2 = (a2 - b2).cast(f"decimal(27,{2 * scale})")
+        # in units of the last digit squared, a whole number
+        spread = ((n.cast("decimal(6,0)") * s2 - s1 * s1).cast(f"decimal(38,{2 * scale})") * F.lit(10 ** (2 * scale))).cast("decimal(38,0)")
+        var = spread.cast("double") / F.nullif((n * (n - 1)).cast("double"), F.lit(0.0))
+        cols[f"{target}_RollingMean_{w}"] = (a1 - b1).cast("double") / F.nullif(n, F.lit(0))
+        cols[f"{target}_RollingStd_{w}"] = F.when(n > 1, F.sqrt(var) / F.lit(float(10 ** scale)))
     return cols
 
 

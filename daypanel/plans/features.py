@@ -74,11 +74,14 @@ def prediction_features(raw: DataFrame, dim: DataFrame, history: DataFrame | Non
 
     With no ``history`` the target is the dummy 0 and lags/rollings are computed
     over zeros, exactly as the original scoring path does.  With ``history`` the
-    windows run over history + request rows and only request rows are returned.
+    windows run over history + request rows, whose own targets are unknown (NULL): lags and
+    means see real past values only.  Only request rows are returned.
     """
-    req = add_dummy_target(raw).withColumn("_req", F.lit(True))
-    if history is not None:
-        req = union_history(history.withColumn("_req", F.lit(False)), req)
+    if history is None:
+        req = add_dummy_target(raw).withColumn("_req", F.lit(True))
+    else:
+        unknown = raw.withColumns({c: F.lit(None).cast("double") for c in ("Sales", "Customers")})
+        req = union_history(history.withColumn("_req", F.lit(False)), unknown.withColumn("_req", F.lit(True)))
     feats = build_all_features(clean_panel(req, dim, entity), config, entity=entity, date=date)
     feats = feats.where("_req").drop("_req")
     return feats.select(*keys, *[c for c in feature_columns(feats) if c not in keys])

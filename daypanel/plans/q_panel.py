@@ -293,7 +293,7 @@ def q_leak_check_lags(spark, sf):
 SELECT Store, Date, Sales AS Actual_Sales, Sales_Lag_7 AS Predicted_Sales,
        Sales - Sales_Lag_7 AS Prediction_Error,
        round(abs((Sales - Sales_Lag_7) / NULLIF(Sales, 0)) * 100, 6) AS Absolute_Percentage_Error,
-       Sales_Lag_7 - Sales AS Residual
+       Sales - Sales_Lag_7 AS Residual
 FROM features WHERE Open = 1 AND Sales_Lag_7 IS NOT NULL""")
 def q_error_columns(spark, sf):
     """error, absolute percentage error, residual of the last-week forecast."""
@@ -334,8 +334,8 @@ def q_prediction_features(spark, sf):
 
 
 @query("prediction_features_with_history", PW + """,
-req AS (SELECT Store, DayOfWeek, Date, 0.0 AS Sales, 0.0 AS Customers, Open, Promo, StateHoliday,
-               SchoolHoliday, true AS _req FROM facts WHERE Date >= DATE '2001-06-01'),
+req AS (SELECT Store, DayOfWeek, Date, CAST(NULL AS DOUBLE) AS Sales, CAST(NULL AS DOUBLE) AS Customers, Open, Promo,
+               StateHoliday, SchoolHoliday, true AS _req FROM facts WHERE Date >= DATE '2001-06-01'),
 hist AS (SELECT *, false AS _req FROM facts WHERE Date < DATE '2001-06-01'),
 u AS (SELECT * FROM hist UNION ALL SELECT * FROM req),
 rclean AS (SELECT f.Store, f.DayOfWeek, f.Date, f.Sales, f.Customers, f.Open, f.Promo, f.StateHoliday,

@@ -55,10 +55,12 @@ clean AS (
 
 def exact_mean_std_sql(x: str, frame: str, alias_mean: str, alias_std: str) -> str:
     s1 = f"CAST(SUM(CAST({x} AS DECIMAL(18,2))) OVER ({frame}) AS DOUBLE)"
-    s2 = f"CAST(SUM(CAST({x} AS DECIMAL(18,2)) * CAST({x} AS DECIMAL(18,2))) OVER ({frame}) AS DOUBLE)"
+    cents = f"CAST(CAST(round({x} * 100) AS BIGINT) AS HUGEINT)"
+    c1, c2 = f"SUM({cents}) OVER ({frame})", f"SUM({cents} * {cents}) OVER ({frame})"
     n = f"COUNT({x}) OVER ({frame})"
     return (f"{s1} / NULLIF({n}, 0) AS {alias_mean},\n"
-            f"    CASE WHEN {n} > 1 THEN sqrt(GREATEST(({s2} - {s1} * {s1} / {n}) / ({n} - 1), 0.0)) END AS {alias_std}")
+            f"    CASE WHEN {n} > 1 THEN sqrt(CAST({n} * {c2} - {c1} * {c1} AS DOUBLE)"
+            f" / NULLIF(CAST({n} * ({n} - 1) AS DOUBLE), 0)) / 100.0 END AS {alias_std}")
 
 
 def rolling_sql(windows=(7, 14, 28, 60), target: str = "Sales", closed: str = "right") -> str:

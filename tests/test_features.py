@@ -145,5 +145,55 @@ def test_one_window_exchange(spark, daily_facts, entity_dim):
     plan = build_all_features(clean_panel(daily_facts, entity_dim), {"exact_scale": 2})
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
-    physical = plan._jdf.queryExecution().sparkPlan().toString()
-    assert physical.count("Exchange hashpartitioning(Store") <= 1
+    # one for each side of the dimension join; the windows need none of their own
+    assert text.count("Exchange hashpartitioning(Store") == 2
+
+
+@pytest.mark.parametrize("value", [0.01, 123456.78, 98765432.1, 9999999999.99])
+def test_rolling_std_of_a_large_constant_is_zero(spark, value):
+    d0 = dt.date(2020, 1, 1)
+    df = _series(spark, [(1, d0 + dt.timedelta(days=i), value) for i in range(70)])
+    out = add_rolling(df, exact_scale=2).collect()
+    for r in out:
+        for w in (7, 14, 28, 60):
+            assert r[f"Sales_RollingStd_{w}"] in (None, 0.0)
+            assert math.isclose(r[f"Sales_RollingMean_{w}"], value, rel_tol=1e-12)
+
+
+def test_rolling_std_of_large_alternating_values(spark):
+    import statistics
+
+    d0 = dt.date(2020, 1, 1)
+    values = [98765432.1 + (i % 2) for i in range(70)]
+    df = _series(spark, [(1, d0 + dt.timedelta(days=i), v) for i, v in enumerate(values)])
+    for closed, shift in (("right", 0), ("left", 1)):
+        out = sorted(add_rolling(df, windows=[14], closed=closed, exact_scale=2).collect(), key=lambda r: r.Date)
+        for i, r in enumerate(out):
+            frame = values[max(0, i - 13 - shift):i + 1 - shift]
+            if len(frame) > 1:
+                assert math.isclose(r.Sales_RollingStd_14, statistics.stdev(frame), rel_tol=1e-9)
+            else:
+                assert r.Sales_RollingStd_14 is None
+
+
+def test_exact_scale_refuses_finer_values(spark):
+    df = _series(spark, [(1, dt.date(2020, 1, 1), 0.1045)])
+    with pytest.raises(Exception, match="more than 2 decimal places"):
+        add_rolling(df, windows=[7], exact_scale=2).collect()
+
+
+def test_history_requests_see_past_values_only(spark, entity_dim):
+    from daypanel.plans.features import prediction_features
+
+    def row(day, sales=None):
+        base = (1, day.isoweekday(), day, 1, 0, "0", 0)
+        return base if sales is None else (*base, sales, 10.0)
+
+    cols = "Store int, DayOfWeek int, Date date, Open int, Promo int, StateHoliday string, SchoolHoliday int"
+    d0 = dt.date(2015, 3, 2)
+    hist = spark.createDataFrame([row(d0 + dt.timedelta(days=i), 100.0) for i in range(10)],
+                                 cols + ", Sales double, Customers double")
+    req = spark.createDataFrame([row(d0 + dt.timedelta(days=10 + i)) for i in range(2)], cols)
+    out = sorted(prediction_features(req, entity_dim, history=hist).collect(), key=lambda r: r.Date)
+    assert out[0].Sales_Lag_1 == 100.0 and out[1].Sales_Lag_1 is None
+    assert out[0].Sales_RollingMean_7 == 100.0 and out[1].Sales_RollingMean_7 == 100.0
