@@ -8,8 +8,9 @@ sink read back; the SQL twin is the batch form of the same question.
 from __future__ import annotations
 
 from daypanel.plans import sqlparts as S
+from daypanel.plans.q_log import PVA_SQL
 from daypanel.plans.q_quality import DOW_SQL, REQ_SQL
-from daypanel.plans.registry import query
+from daypanel.plans.registry import query, rounded
 from daypanel.streaming import streams as ST
 
 
@@ -36,17 +37,17 @@ def q_stream_log_append(spark, sf):
 
 @query("stream_latest_actuals", S.with_log(actuals=True) + " SELECT store_id, date, id, actual_sales, updated_at FROM latest")
 def q_stream_latest_actuals(spark, sf):
-    """Latest actual per key kept in streaming state."""
+    """Latest actual per key from a stream of updates."""
     return ST.stream_latest_actuals(spark, sf)
 
 
-@query("stream_join_actuals", S.with_log(actuals=True) + """
-SELECT p.id, p.store_id, p.date, p.timestamp, p.prediction, a.id AS actual_id, a.actual_sales, a.updated_at
-FROM plog p JOIN actuals a ON p.store_id = a.store_id AND p.date = a.date
- AND a.updated_at >= p.timestamp - INTERVAL 1 DAY AND a.updated_at <= p.timestamp + INTERVAL 1 DAY""")
+@query("stream_join_actuals", PVA_SQL + """
+SELECT id, store_id, date, timestamp, prediction, actual_sales, error, round(abs_pct_error, 6) AS abs_pct_error FROM pva""")
 def q_stream_join_actuals(spark, sf):
-    """Stream-stream join of log and actual updates with watermarks on both sides."""
-    return ST.stream_join_actuals(spark, sf)
+    """Streamed log rows with the latest of the streamed actuals."""
+    j = ST.stream_join_actuals(spark, sf).select("id", "store_id", "date", "timestamp", "prediction", "actual_sales",
+                                                 "error", "abs_pct_error")
+    return rounded(j, {"abs_pct_error": 6})
 
 
 @query("stream_sliding_rate", S.with_log() + """,

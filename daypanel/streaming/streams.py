@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daypanel.operators.joins import latest_actuals, predictions_vs_actuals
 from daypanel.operators.quality import row_errors
 from daypanel.session import shared_dir
 from daypanel.sources.tables import actuals_from_events, log_from_events, requests_from_orders
@@ -89,29 +90,37 @@ def stream_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def stream_latest_actuals(spark: SparkSession, sf_dir: str, watermark: str = "2 days") -> DataFrame:
-    """Latest actual per (store_id, date) maintained as streaming state (batch twin: W07)."""
-    acts = actuals_from_events(stream_table(spark, sf_dir, "events")).withWatermark("updated_at", watermark)
-    latest = acts.groupBy("store_id", "date").agg(
-        F.max_by(F.struct("id", "actual_sales", "updated_at"), F.struct("updated_at", "id")).alias("_r"))
-    latest = latest.select("store_id", "date", "_r.id", "_r.actual_sales", "_r.updated_at")
-    out = run_available_now(latest, "latest-actuals", "update", batch_fn=_upsert_log)
-    return read_upserts(spark, out, ["store_id", "date"])
-
-
-def stream_join_actuals(spark: SparkSession, sf_dir: str, bound: str = "1 day",
-                        watermark: str = "31 days") -> DataFrame:
-    """Stream-stream inner join of the log with actual updates, event times within ``bound``."""
-    log = log_stream(spark, sf_dir, watermark).select("id", "store_id", "date", "timestamp", "prediction")
-    acts = actuals_from_events(stream_table(spark, sf_dir, "events")).withWatermark("updated_at", watermark) \
-        .select(F.col("id").alias("actual_id"), F.col("store_id").alias("a_store"), F.col("date").alias("a_date"),
-                "actual_sales", "updated_at")
-    cond = ((log.store_id == acts.a_store) & (log.date == acts.a_date)
-            & (acts.updated_at >= log.timestamp - F.expr(f"INTERVAL {bound}"))
-            & (acts.updated_at <= log.timestamp + F.expr(f"INTERVAL {bound}")))
-    j = log.join(acts, cond, "inner").drop("a_store", "a_date")
-    out = run_available_now(j, "join-actuals", "append")
-    return spark.read.parquet(out)
+def _latest_in_batch(batch: DataFrame, batch_id: int, out: str) -> None:
+    """foreachBatch sink: append the newest update of each key in this micro-batch.
+
+    Which update is newest overall is decided on read by its own time, so neither late
+    files nor replayed batches matter and the query keeps no state.
+    """
+    latest_actuals(batch).write.mode("append").parquet(out)
+
+
+def append_latest_actuals(acts: DataFrame) -> str:
+    """L04's ingest: a stream of updates into a table; read it with ``latest_actuals``."""
+    return run_available_now(acts, "latest-actuals", "append", batch_fn=_latest_in_batch)
+
+
+def stream_latest_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest actual per (store_id, date) from a stream of updates (batch twin: W07)."""
+    out = append_latest_actuals(actuals_from_events(stream_table(spark, sf_dir, "events")))
+    latest = latest_actuals(spark.read.parquet(out))
+    return latest.select("store_id", "date", "id", "actual_sales", "updated_at")
+
+
+def stream_join_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streamed log joined with the latest actual of each key (batch twin: J03).
+
+    Both streams are appended to tables; the join meets one actual per key, so a key with
+    many updates multiplies nothing, and an actual may arrive before or long after its
+    prediction.
+    """
+    log = run_available_now(log_from_events(stream_table(spark, sf_dir, "events")), "join-log", "append")
+    acts = append_latest_actuals(actuals_from_events(stream_table(spark, sf_dir, "events")))
+    return predictions_vs_actuals(spark.read.parquet(log), spark.read.parquet(acts))
 
 
 def stream_sliding_rate(spark: SparkSession, sf_dir: str, flag: str = "promo",

@@ -77,3 +77,29 @@ def test_scan_log_prunes_log_date_partitions(spark):
     text = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(log_date" in text and "log_date" in text.split("PartitionFilters")[1][:120]
     assert got.count() == rows.where("timestamp >= TIMESTAMP '2024-01-13 12:00:00'").count()
+
+
+def test_streamed_actuals_survive_late_and_replayed_files(spark):
+    """Four files in separate micro-batches, one late, one repeated, against the batch form."""
+    from daypanel.operators.joins import latest_actuals, predictions_vs_actuals
+    from daypanel.streaming.streams import append_latest_actuals
+
+    schema = "id long, store_id int, date date, actual_sales double, updated_at timestamp"
+    day = dt.date(2024, 1, 1)
+
+    def rows(*items):
+        return [(i, s, day, v, dt.datetime(2024, 1, d, 12)) for i, s, v, d in items]
+
+    files = [rows((1, 1, 10.0, 2), (2, 2, 20.0, 2)), rows((3, 1, 11.0, 20)), rows((4, 2, 19.0, 1), (5, 3, 30.0, 3)),
+             rows((3, 1, 11.0, 20))]
+    src = shared_dir(spark, "late-src")
+    for k, f in enumerate(files):
+        spark.createDataFrame(f, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    got = spark.read.parquet(append_latest_actuals(stream))
+    every = spark.createDataFrame([r for f in files for r in f], schema)
+    key = lambda df: sorted(map(tuple, latest_actuals(df).collect()))
+    assert key(got) == key(every) and len(key(got)) == 3
+    log = spark.createDataFrame([(9, 1, day, 12.0), (10, 3, day, 33.0)], "id long, store_id int, date date, prediction double")
+    pairs = {r.id: r.error for r in predictions_vs_actuals(log, got).collect()}
+    assert pairs == {9: -1.0, 10: -3.0}
