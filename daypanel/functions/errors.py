@@ -13,10 +13,10 @@ def pct_error(y: Column, p: Column) -> Column:
 
 def add_error_columns(df: DataFrame, actual: str = "Actual_Sales",
                       predicted: str = "Predicted_Sales") -> DataFrame:
-    """Prediction_Error = y - p, Absolute_Percentage_Error = |y - p| / y * 100, residual."""
+    """Prediction_Error = y - p, Absolute_Percentage_Error = |y - p| / y * 100, Residual = y - p."""
     y, p = F.col(actual), F.col(predicted)
     return df.withColumns({
         "Prediction_Error": y - p,
         "Absolute_Percentage_Error": F.abs(pct_error(y, p)) * 100,
-        "Residual": p - y,
+        "Residual": y - p,
     })

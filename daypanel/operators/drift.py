@@ -108,8 +108,15 @@ def drift_table(ref: DataFrame, cur: DataFrame, features: list[str],
     cats = [f for f in (CATEGORICAL if categorical is None else categorical) if f in features]
     nums = [f for f in features if f not in cats]
     parts = []
+    spark = ref.sparkSession
+
+    def every(names: list[str], scores: DataFrame) -> DataFrame:
+        """A row for each feature asked for, also for one without a value in either sample."""
+        asked = spark.createDataFrame([(f,) for f in names], "feature string")
+        return asked.join(scores, "feature", "left").fillna(0, ["n_ref", "n_cur"])
+
     if nums:
-        ks = ks_test(ref, cur, nums, blocks)
+        ks = every(nums, ks_test(ref, cur, nums, blocks))
         failed = (F.col("n_ref") == 0) | (F.col("n_cur") == 0)
         parts.append(ks.select(
             "feature",
@@ -118,9 +125,10 @@ def drift_table(ref: DataFrame, cur: DataFrame, features: list[str],
             "p_value",
             (~failed & (F.col("p_value") < KS_ALPHA)).alias("drift_detected")))
     if cats:
-        cd = categorical_distance(ref, cur, cats)
+        cd = every(cats, categorical_distance(ref, cur, cats))
         parts.append(cd.select(
-            "feature", F.lit("total_variation").alias("stattest"), F.col("l1_distance").alias("drift_score"),
+            "feature", F.lit("total_variation").alias("stattest"),
+            F.coalesce("l1_distance", F.lit(0.0)).alias("drift_score"),
             F.lit(None).cast("double").alias("p_value"),
             F.coalesce(F.col("l1_distance") > L1_THRESHOLD, F.lit(False)).alias("drift_detected")))
     out = parts[0]

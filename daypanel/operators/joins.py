@@ -1,8 +1,7 @@
 """Keyed joins.
 
-The dimension join broadcasts only after its row count has been checked against a
-bound; above it the join stays a shuffle join and AQE may still convert it at
-run time from real sizes.
+Joins carry no hints: Spark broadcasts a side whose bytes are below
+``spark.sql.autoBroadcastJoinThreshold`` and AQE decides again at run time from real sizes.
 """
 
 from __future__ import annotations
@@ -12,20 +11,9 @@ from pyspark.sql import functions as F
 
 from daypanel.functions.calendar import iso_day_of_week
 
-# Dimension rows we are willing to ship to every executor (~1M rows x 10 columns).
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the side's row count is proven below ``max_rows``."""
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
-def merge_entity_info(facts: DataFrame, dim: DataFrame, entity: str = "Store",
-                      max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def merge_entity_info(facts: DataFrame, dim: DataFrame, entity: str = "Store") -> DataFrame:
     """Facts LEFT JOIN dimension on the entity key; fact row count is preserved."""
-    return facts.join(checked_broadcast(dim, max_rows), entity, "left")
+    return facts.join(dim, entity, "left")
 
 
 def missing_entities(facts: DataFrame, dim: DataFrame, entity: str = "Store") -> DataFrame:
@@ -59,19 +47,19 @@ def predictions_vs_actuals(log: DataFrame, actuals: DataFrame) -> DataFrame:
 
 def errors_with_metadata(pva: DataFrame, dim: DataFrame, entity_left: str = "store_id",
                          entity_right: str = "Store") -> DataFrame:
-    """Prediction errors joined to the dimension (checked broadcast)."""
+    """Prediction errors joined to the dimension."""
     d = dim.withColumnRenamed(entity_right, entity_left)
     clash = {c.lower() for c in d.columns if c != entity_left}  # names resolve case-insensitively
     return pva.drop(*[c for c in pva.columns if c.lower() in clash]) \
-              .join(checked_broadcast(d), entity_left, "left")
+              .join(d, entity_left, "left")
 
 
 def holiday_lookup(df: DataFrame, date: str = "Date", calendar: DataFrame | None = None,
                    state_col: str = "StateHoliday", school_col: str = "SchoolHoliday") -> DataFrame:
     """Date -> state-holiday code and school-holiday flag.
 
-    With a ``calendar`` (date, code) table the state code comes from a broadcast
-    join (a calendar has at most 366 rows per year).  Without one the rule is a
+    With a ``calendar`` (date, code) table the state code comes from a join on
+    the day.  Without one the rule is a
     pure expression on month/day, which needs no join at all.
     """
     d = F.col(date)
@@ -81,7 +69,7 @@ def holiday_lookup(df: DataFrame, date: str = "Date", calendar: DataFrame | None
     if calendar is not None:
         cal = calendar.select(F.col(calendar.columns[0]).cast("date").alias("_hdate"),
                               F.col(calendar.columns[1]).cast("string").alias("_hcode"))
-        out = df.join(checked_broadcast(cal, 366 * 200), d == F.col("_hdate"), "left")
+        out = df.join(cal, d == F.col("_hdate"), "left")
         return out.withColumns({state_col: F.coalesce(F.col("_hcode"), F.lit("0")),
                                 school_col: school}).drop("_hdate", "_hcode")
     # Public holiday 3 October ('a'); Christmas days 24, 25, 26, 31 December ('c').

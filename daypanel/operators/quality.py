@@ -50,6 +50,11 @@ def _cast_set(values: list, dtype: str) -> list:
     return list(dict.fromkeys(out))
 
 
+def _present(c: Column, dtype: str) -> Column:
+    """A cell with a value; NaN counts as missing, like NULL."""
+    return c.isNotNull() & ~F.isnan(c) if dtype in ("double", "float") else c.isNotNull()
+
+
 def _between(c: Column, lo, hi) -> Column:
     cond = F.lit(True)
     if lo is not None:
@@ -72,21 +77,21 @@ def _column_rule(df: DataFrame, e: dict, i: int):
         return None
     dtypes = dict(df.dtypes)
     c = F.col(col)
-    nn = c.isNotNull()
+    nn = _present(c, dtypes[col])
     if kind == "expect_column_values_to_not_be_null":
         aggs = [F.count(F.lit(1)).alias(f"_e{i}"), F.count_if(~nn).alias(f"_u{i}")]
     elif kind == "expect_column_values_to_be_between":
         bad = nn & ~_between(c, kw.get("min_value"), kw.get("max_value"))
-        aggs = [F.count(c).alias(f"_e{i}"), F.count_if(bad).alias(f"_u{i}")]
+        aggs = [F.count_if(nn).alias(f"_e{i}"), F.count_if(bad).alias(f"_u{i}")]
     elif kind == "expect_column_values_to_be_in_set":
         vals = _cast_set(kw["value_set"], dtypes[col])
-        aggs = [F.count(c).alias(f"_e{i}"), F.count_if(nn & ~c.isin(vals)).alias(f"_u{i}")]
+        aggs = [F.count_if(nn).alias(f"_e{i}"), F.count_if(nn & ~c.isin(vals)).alias(f"_u{i}")]
     elif kind == "expect_column_values_to_match_regex":
-        aggs = [F.count(c).alias(f"_e{i}"),
+        aggs = [F.count_if(nn).alias(f"_e{i}"),
                 F.count_if(nn & ~c.cast("string").rlike(kw["regex"])).alias(f"_u{i}")]
     elif kind == "expect_column_values_to_not_be_infinite":
         x = c.cast("double")
-        aggs = [F.count(c).alias(f"_e{i}"),
+        aggs = [F.count_if(nn).alias(f"_e{i}"),
                 F.count_if(nn & ((x == float("inf")) | (x == float("-inf")))).alias(f"_u{i}")]
     else:
         return None
@@ -100,19 +105,20 @@ def _column_rule(df: DataFrame, e: dict, i: int):
     return aggs, row
 
 
-def _stat_rule(e: dict, i: int):
+def _stat_rule(df: DataFrame, e: dict, i: int):
     """Aggregate expectations: row count, mean, std, unique count, quantiles."""
     kind, kw = e["expectation_type"], e["kwargs"]
     col = kw.get("column")
     lo, hi = kw.get("min_value"), kw.get("max_value")
+    c = F.when(_present(F.col(col), dict(df.dtypes)[col]), F.col(col)) if col else None
     if kind == "expect_table_row_count_to_be_between":
         stat = F.count(F.lit(1))
     elif kind == "expect_column_mean_to_be_between":
-        stat = F.avg(col)
+        stat = F.avg(c)
     elif kind == "expect_column_stdev_to_be_between":
-        stat = F.stddev_samp(col)
+        stat = F.stddev_samp(c)
     elif kind == "expect_column_unique_value_count_to_be_between":
-        stat = F.count_distinct(col)
+        stat = F.count_distinct(c)
     else:
         return None
     s = F.col(f"_s{i}")
@@ -162,7 +168,7 @@ def _quantile_rows(df: DataFrame, e: dict) -> DataFrame:
 def _unique_rows(df: DataFrame, e: dict) -> DataFrame:
     """Rows whose value occurs more than once (own grouped pass, partial aggregation)."""
     col = e["kwargs"]["column"]
-    g = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    g = df.where(_present(F.col(col), dict(df.dtypes)[col])).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     s = g.agg(F.sum("n").alias("_e"), F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("_u"))
     unexp = F.coalesce(F.col("_u"), F.lit(0)).cast("long")
     elem = F.coalesce(F.col("_e"), F.lit(0)).cast("long")
@@ -193,7 +199,7 @@ def validate(df: DataFrame, suite: list[dict]) -> DataFrame:
         if e["expectation_type"] == "expect_column_quantile_values_to_be_between":
             uniques.append(_quantile_rows(df, e))
             continue
-        built = _column_rule(df, e, i) or _stat_rule(e, i)
+        built = _column_rule(df, e, i) or _stat_rule(df, e, i)
         if built is None:
             raise ValueError(f"unsupported expectation {e['expectation_type']}")
         aggs.extend(built[0])
@@ -239,19 +245,30 @@ STORE_RANGE = (1, 1115)
 HOLIDAY_CODES = ["0", "a", "b", "c"]
 
 
+def _number(df: DataFrame, col: str) -> Column:
+    """The cell as a number; NULL where it holds none.  Text files need no prior cast."""
+    return F.expr(f"try_cast(`{col}` AS DOUBLE)")
+
+
+def _integer_errors(df: DataFrame, col: str, lo: int, hi: int) -> Column:
+    """The type message where a given cell is no whole number, else the range message."""
+    x = _number(df, col)
+    typed = x.isNotNull() & (x == F.floor(x))
+    return (F.when(F.col(col).isNotNull() & ~F.coalesce(typed, F.lit(False)), F.lit(f"{col} must be integer type"))
+             .when(~F.coalesce(x.between(lo, hi), F.lit(False)), F.lit(f"{col} must be between {lo} and {hi}")))
+
+
 def row_errors(df: DataFrame, check_dow: bool = True, date_parsed: str | None = None) -> Column:
-    """Array of error messages per row (empty = valid)."""
+    """Array of error messages per row (empty = valid); columns may hold numbers or text."""
     cols = set(df.columns)
     checks = []
     if "Store" in cols:
-        checks.append(F.when(~F.coalesce(F.col("Store").between(*STORE_RANGE), F.lit(False)),
-                             F.lit("Store must be between 1 and 1115")))
+        checks.append(_integer_errors(df, "Store", *STORE_RANGE))
     if check_dow and "DayOfWeek" in cols:
-        checks.append(F.when(~F.coalesce(F.col("DayOfWeek").between(1, 7), F.lit(False)),
-                             F.lit("DayOfWeek must be between 1 and 7")))
+        checks.append(_integer_errors(df, "DayOfWeek", 1, 7))
     for c in ("Open", "Promo", "SchoolHoliday"):
         if c in cols:
-            checks.append(F.when(~F.coalesce(F.col(c).isin(0, 1), F.lit(False)), F.lit(f"{c} must be 0 or 1")))
+            checks.append(F.when(~F.coalesce(_number(df, c).isin(0, 1), F.lit(False)), F.lit(f"{c} must be 0 or 1")))
     if "StateHoliday" in cols:
         checks.append(F.when(~F.coalesce(F.col("StateHoliday").cast("string").isin(*HOLIDAY_CODES), F.lit(False)),
                              F.lit("StateHoliday must be one of ['0', 'a', 'b', 'c']")))
@@ -267,7 +284,8 @@ def missing_required(df: DataFrame, required: list[str] | None = None) -> list[s
 def validate_input_rows(df: DataFrame, check_dow: bool = True, date_parsed: str | None = None) -> DataFrame:
     """Distinct error messages with the number of offending rows.
 
-    A missing required column is reported as a message without reading data.
+    A missing required column is reported as a message without reading data; a batch file
+    (``check_dow`` off) without rows is reported as empty.
     """
     miss = missing_required(df, REQUIRED_INPUT if check_dow else
                             [c for c in REQUIRED_INPUT if c != "DayOfWeek"])
@@ -276,7 +294,11 @@ def validate_input_rows(df: DataFrame, check_dow: bool = True, date_parsed: str
     if miss:
         extra = df.sparkSession.createDataFrame([(f"Missing required columns: {miss}", 0)],
                                                 "message string, n_rows long")
-        errs = extra.unionByName(errs)
+        return extra.unionByName(errs)
+    if not check_dow:
+        empty = df.agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows = 0") \
+                  .select(F.lit("CSV file is empty").alias("message"), "n_rows")
+        errs = errs.unionByName(empty)
     return errs
 
 

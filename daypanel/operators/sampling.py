@@ -56,11 +56,11 @@ def stratified_quota_sample(df: DataFrame, size: int, strata: list[Column | str]
     return trimmed.drop(*names, "_key", "_rn")
 
 
-def reference_sample(features: DataFrame, size: int = 10000, max_entities: int = 100, seed: int = 42,
+def reference_sample(features: DataFrame, size: int = 10000, max_entities: int | None = None, seed: int = 42,
                      entity: str = "Store", date: str = "Date", target: str = "Sales",
                      drop: tuple[str, ...] = ("Sales", "Date", "Store", "Customers")) -> DataFrame:
-    """W09 then W08 over (entity, month) strata; feature columns plus the target."""
-    sub = sample_entities(features, max_entities, entity, seed)
+    """(W09, if ``max_entities`` is given, then) W08 over (entity, month) strata; features plus the target."""
+    sub = features if max_entities is None else sample_entities(features, max_entities, entity, seed)
     s = stratified_quota_sample(sub, size, [entity, F.month(date)], entity_day_key(entity, date), seed)
     keep = [c for c in features.columns if c not in drop]
     return s.select(*keep, target)

@@ -143,7 +143,7 @@ def q_drift_summary(spark, sf):
 
 # ---- reference sample and the log drift report -----------------------------------------------
 
-def ref_sample_sql(size: int = 10000, n_ent: int = 100, seed: int = 42) -> str:
+def ref_sample_sql(size: int = 10000, n_ent: int = 1_000_000_000, seed: int = 42) -> str:
     return f""",
 ents AS (SELECT DISTINCT Store FROM features),
 keep AS (SELECT Store FROM ents ORDER BY {_h('Store', seed)}, Store LIMIT {n_ent}),
@@ -155,7 +155,7 @@ pk AS (SELECT * FROM rk WHERE _rn <= least({size}, greatest(1, {size} // (SELECT
 refs AS (SELECT * EXCLUDE (_key, _m, _rn) FROM pk ORDER BY {_h('_key', seed + 1)}, _key LIMIT {size})"""
 
 
-@query("stratified_quota_sample", S.FEATURES_WITH + ref_sample_sql(size=2000, n_ent=1000000)
+@query("stratified_quota_sample", S.FEATURES_WITH + ref_sample_sql(size=2000, n_ent=1_000_000_000)
        + " SELECT Store, Date, Sales FROM refs")
 def q_stratified_quota_sample(spark, sf):
     """2000 rows, equal quota per (store, month) stratum, seeded-hash order."""
@@ -188,21 +188,21 @@ def _aligned_sql() -> str:
     ref_cols = ", ".join(f"{COLUMN_MAPPING[f]} AS {f}" for f in KEY_FEATURES)
     cur_cols = ", ".join(KEY_FEATURES)
     return f""",
-aref AS (SELECT {ref_cols}, Sales AS target FROM refs),
+aref AS (SELECT {ref_cols}, Sales AS target FROM features),
 acur AS (SELECT {cur_cols}, prediction AS target FROM curlog)"""
 
 
 REPORT_NUM = [f for f in KEY_FEATURES if f not in D.CATEGORICAL]
 REPORT_CAT = [f for f in KEY_FEATURES if f in D.CATEGORICAL]
-REPORT_BASE = (S.FEATURES_WITH + ref_sample_sql() + "," + S.LOG_CTE + LOG_WINDOW + _aligned_sql())
+REPORT_BASE = (S.FEATURES_WITH + "," + S.LOG_CTE + LOG_WINDOW + _aligned_sql())
 
 
 @query("drift_report", REPORT_BASE + ks_sql("aref", "acur", REPORT_NUM) + cat_sql("aref", "acur", REPORT_CAT)
        + TABLE_SQL + summary_sql(len(KEY_FEATURES))
        + ", CASE WHEN (SELECT COUNT(*) FROM acur) = 0 THEN 'No production data available' END AS error FROM dt")
 def q_drift_report(spark, sf):
-    """The log's last 7 days (anchored at its newest timestamp) against the reference sample."""
-    ref = reference_sample(features(spark, sf))
+    """The log's last 7 days (anchored at its newest timestamp) against the whole reference panel."""
+    ref = features(spark, sf)
     rep = drift_report(ref, plog(spark, sf), days=7)
     rep = rep.withColumn("drifted_features", F.transform(
         "drifted_features", lambda s: s.withField("drift_score", F.round(s["drift_score"], 6))))
@@ -212,8 +212,8 @@ def q_drift_report(spark, sf):
 @query("target_drift", REPORT_BASE + ks_sql("aref", "acur", ["target"])
        + " SELECT feature, n_ref, n_cur, round(ks_stat, 6) AS ks_stat, round(p_value, 6) AS p_value FROM ks")
 def q_target_drift(spark, sf):
-    """KS of recent predictions against the reference target."""
-    ref = reference_sample(features(spark, sf))
+    """KS of recent predictions against the whole reference panel's target."""
+    ref = features(spark, sf)
     r, c, _ = align(ref, scan_log(plog(spark, sf), 7))
     return rounded(D.ks_test(r, c, ["target"]), {"ks_stat": 6, "p_value": 6})
 

@@ -171,12 +171,12 @@ def q_histogram_log1p(spark, sf):
 
 
 @query("residual_histogram", FW + HIST_SQL.format(
-    v="(Sales_Lag_7 - Sales)", src="(SELECT * FROM features WHERE Open = 1 AND Sales_Lag_7 IS NOT NULL) s",
+    v="(Sales - Sales_Lag_7)", src="(SELECT * FROM features WHERE Open = 1 AND Sales_Lag_7 IS NOT NULL) s",
     bins=30))
 def q_residual_histogram(spark, sf):
-    """Histogram of the last-week forecast residuals."""
+    """Histogram of the last-week forecast residuals (actual - forecast)."""
     f = features(spark, sf).where("Open = 1 AND Sales_Lag_7 IS NOT NULL") \
-        .withColumn("residual", F.col("Sales_Lag_7") - F.col("Sales"))
+        .withColumn("residual", F.col("Sales") - F.col("Sales_Lag_7"))
     return rounded(histogram(f, "residual", 30), {"bin_lo": 4, "bin_hi": 4})
 
 

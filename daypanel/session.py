@@ -43,11 +43,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the cluster's shared checkpoint folder.
 
-    Uses ``spark.checkpoint.dir`` when the session names one; otherwise (tests,
-    local runs) sets it to a new private folder first.
+    Uses ``spark.checkpoint.dir`` when the session names one; otherwise, in local
+    mode only (tests), sets it to a new private folder first.  On a cluster a folder
+    of one machine would lose what the executors write, so the setting is required.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="daypanel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)

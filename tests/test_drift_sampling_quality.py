@@ -121,3 +121,57 @@ def test_input_validation_messages(spark):
     assert "Open must be 0 or 1" in msgs and any(m.startswith("StateHoliday") for m in msgs)
     valid, rejected = Q.quarantine_split(bad.withColumn("Date", F.current_date()))
     assert valid.count() == 0 and rejected.count() == 1
+
+
+def test_reference_sample_keeps_every_entity(spark):
+    import datetime as dt
+
+    from daypanel.operators.sampling import reference_sample
+
+    rows = [(s, dt.date(2020, 1, 1), float(s), 1.0, s % 3) for s in range(150)]
+    df = spark.createDataFrame(rows, "Store int, Date date, Sales double, Customers double, f int")
+    assert reference_sample(df).count() == 150
+    assert reference_sample(df, max_entities=100).count() == 100
+
+
+def test_drift_table_lists_a_feature_without_values(spark):
+    from daypanel.operators.drift import drift_table
+
+    ref = spark.createDataFrame([(1.0, None, None)], "a double, b double, store_type string")
+    out = {r.feature: r for r in drift_table(ref, ref, ["a", "b", "store_type"]).collect()}
+    assert set(out) == {"a", "b", "store_type"}
+    assert out["b"].stattest == "ks_failed" and not out["b"].drift_detected
+    assert out["store_type"].drift_score == 0.0 and not out["store_type"].drift_detected
+
+
+def test_nan_counts_as_missing_in_expectations(spark):
+    from daypanel.operators.quality import validate
+
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
+    suite = [{"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "x"}},
+             {"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "x", "min_value": 0}}]
+    rows = {r.expectation: r for r in validate(df, suite).collect()}
+    assert rows["expect_column_values_to_not_be_null"].unexpected_count == 2
+    assert rows["expect_column_values_to_be_between"].element_count == 1
+
+
+def test_text_requests_give_errors_not_crashes(spark):
+    from daypanel.operators.quality import quarantine_split, validate_input_rows
+
+    cols = "Store string, DayOfWeek string, Date string, Open string, Promo string, StateHoliday string, SchoolHoliday string"
+    df = spark.createDataFrame([("1", "5", "2015-01-02", "1", "0", "0", "0"), ("x", "9", "2015-01-02", "2", "0", "0", "0"),
+                                ("1.5", "5", "2015-01-02", "1", "0", "z", "no")], cols)
+    got = {r.message: r.n_rows for r in validate_input_rows(df).collect()}
+    assert got["Store must be integer type"] == 2 and got["DayOfWeek must be between 1 and 7"] == 1
+    assert got["Open must be 0 or 1"] == 1 and got["SchoolHoliday must be 0 or 1"] == 1
+    good, bad = quarantine_split(df)
+    assert good.count() == 1 and bad.count() == 2
+    empty = validate_input_rows(df.limit(0), check_dow=False).collect()
+    assert [r.message for r in empty] == ["CSV file is empty"]
+
+
+def test_residual_is_actual_minus_predicted(spark):
+    from daypanel.functions.errors import add_error_columns
+
+    df = spark.createDataFrame([(5100.0, 5000.0), (5900.0, 6000.0), (7200.0, 7000.0)], "Actual_Sales double, Predicted_Sales double")
+    assert [r.Residual for r in add_error_columns(df).collect()] == [100.0, -100.0, 200.0]
