@@ -2,7 +2,7 @@
 
 The text of every source is laid out as a line of words: its documents are dealt to
 shards by a seeded hash and ordered by that hash inside a shard.  Every shard's line is
-cut into blocks of ``block`` words.  Blocks are apportioned twice by highest quotients
+cut into blocks of equal length, as near to ``block`` words as it allows.  Blocks are apportioned twice by highest quotients
 (target / (2k - 1)): first to sources, then each source's blocks to its shards.  A shard
 with quota q of its n blocks takes every block q div n times and, once more, a run of
 q mod n blocks that starts at a seeded block and wraps round.  As documents lie in seeded
@@ -109,7 +109,6 @@ def shard_quotas(sized: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: f
                .withColumn("n_shards", F.greatest(F.lit(1), F.floor(F.col("source_size") / per_shard)).cast("long"))
                .withColumn("_group", F.lit(0))
                .withColumn("seats", F.round(F.sum("target").over(one) / F.col("block")).cast("long"))
-               # no source has more than cap times its blocks; shards may end in one short block each
                .withColumn("most", (F.ceil(F.col("source_size") * F.lit(float(cap)) / F.col("block"))).cast("long")))
     sources = materialise(sainte_lague(sources, ["_group"], "source_id", "target", "seats", "most")
                           .select("source", "source_id", "source_size", "target", "block", "n_shards",
@@ -117,7 +116,8 @@ def shard_quotas(sized: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: f
     cells = (deal(sized, sources, seed).groupBy("source_id", "shard")
              .agg(F.sum("size").cast("long").alias("shard_size"), F.first("block").alias("block"),
                   F.first("source_quota").alias("source_quota"))
-             .withColumn("n_blocks", F.ceil(F.col("shard_size") / F.col("block")).cast("long"))
+             .withColumn("n_blocks", F.when(F.col("shard_size") == 0, 0).otherwise(F.greatest(
+                 F.lit(1), F.round(F.col("shard_size") / F.col("block")))).cast("long"))
              .withColumn("most", (F.col("n_blocks") * int(cap)).cast("long"))
              .withColumn("shard_weight", F.col("shard_size").cast("double")))
     cells = (sainte_lague(cells, ["source_id"], "shard", "shard_weight", "source_quota", "most")
@@ -167,9 +167,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", size: Column | str = "size", se
         return (F.when(b > a, a - F.col("_lo")).otherwise(0).cast("long"),
                 F.when(b > a, b - F.col("_lo")).otherwise(0).cast("long"))
 
+    def border(j: Column) -> Column:  # the first word of block j
+        return F.call_function("div", j * F.col("shard_size"), F.nullif(F.col("n_blocks"), F.lit(0)))
+
     end = F.col("start") + F.col("_run")
-    f1, t1 = inside(F.col("start") * F.col("block"), F.least(F.col("shard_size"), end * F.col("block")))
-    f2, t2 = inside(F.lit(0).cast("long"), (end - F.col("n_blocks")) * F.col("block"))
+    f1, t1 = inside(border(F.col("start")), border(F.least(end, F.col("n_blocks"))))
+    f2, t2 = inside(F.lit(0).cast("long"), border(F.greatest(end - F.col("n_blocks"), F.lit(0))))
     d = d.withColumns({"from1": f1, "to1": t1, "from2": f2, "to2": t2})
     d = d.withColumn("taken", (F.col("passes") * F.col("size") + F.col("to1") - F.col("from1")
                                + F.col("to2") - F.col("from2")).cast("long"))
@@ -213,8 +216,9 @@ dealt AS (SELECT z.doc_id, z.id, z.size, s.source_id, s.source_size, s.target, s
         md5('1:' || z.id) AS o, ('0x' || substr(md5('1:' || z.id), 1, 8))::BIGINT % s.n_shards AS shard
     FROM sized z JOIN sou s ON z.source IS NOT DISTINCT FROM s.source),
 cel AS (SELECT source_id, shard, sum(size)::BIGINT AS shard_size, any_value(block) AS block,
-        any_value(source_quota) AS seats, ceil(sum(size) / any_value(block))::BIGINT AS n_blocks,
-        2 * ceil(sum(size) / any_value(block))::BIGINT AS most FROM dealt GROUP BY 1, 2),""" + _sql_seats(
+        any_value(source_quota) AS seats, CASE WHEN sum(size) = 0 THEN 0 ELSE greatest(1, round(sum(size)::DOUBLE / any_value(block))) END::BIGINT AS n_blocks,
+        2 * CASE WHEN sum(size) = 0 THEN 0 ELSE greatest(1, round(sum(size)::DOUBLE / any_value(block))) END::BIGINT AS most
+    FROM dealt GROUP BY 1, 2),""" + _sql_seats(
     "shq", "cel", "source_id", "shard", "shard_size", "seats", "most") + r""",
 sh AS (SELECT *, coalesce(('0x' || substr(md5('1:' || source_id || ':' || shard), 1, 8))::BIGINT % nullif(n_blocks, 0), 0) AS start,
         coalesce(floor(quota / nullif(n_blocks, 0)), 0)::BIGINT AS passes FROM shq),
@@ -222,5 +226,7 @@ line AS (SELECT d.*, sh.start, sh.passes, sh.shard_size, sh.n_blocks, sh.quota -
         sum(d.size) OVER (PARTITION BY d.source_id, d.shard ORDER BY d.o, d.id, d.size ROWS UNBOUNDED PRECEDING) AS hi
     FROM dealt d JOIN sh ON d.source_id = sh.source_id AND d.shard = sh.shard)
 SELECT doc_id, size, source_size, target, (passes * size
-    + greatest(0, least(hi, shard_size, (start + run) * block) - greatest(hi - size, start * block))
-    + greatest(0, least(hi, (start + run - n_blocks) * block) - (hi - size)))::BIGINT AS taken FROM line"""
+    + coalesce(greatest(0, least(hi, least(start + run, n_blocks) * shard_size // nullif(n_blocks, 0))
+        - greatest(hi - size, start * shard_size // nullif(n_blocks, 0))), 0)
+    + coalesce(greatest(0, least(hi, greatest(start + run - n_blocks, 0) * shard_size // nullif(n_blocks, 0)) - (hi - size)), 0)
+    )::BIGINT AS taken FROM line"""

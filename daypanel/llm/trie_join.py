@@ -5,8 +5,9 @@ sets share one order: by how often an n-gram's cell of a fixed-size counting ske
 whole corpus was hit, then by hash.
 
 1. Equal sets are one record.  Two records that link share one of their first
-   |x| - ceil(t|x|) + 1 n-grams in that order, rarest first; records that share one are put
-   into one candidate group (components over (n-gram, record) stars, never pairs).
+   |x| - ceil(t|x|) + 1 n-grams in that order, rarest first.  For each n-gram the records that
+   share it form a chain by size, broken where sizes are too far apart to link; the chains'
+   components are the candidate groups.  Pairs are never listed.
 2. A candidate group's sets are stored in a trie, commonest n-grams first, each run of
    n-grams without a fork on one edge.  All records of a block go down the trie together: a
    node holds every record's overlap with the path so far, which all sets below share, and a
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -39,6 +40,8 @@ from daypanel.llm.components import components
 
 #: Cells of the counting sketch (2 ** BITS) and of one row of it.
 BITS, CHUNK = 23, 1 << 16
+#: A cell with more hits may hold an n-gram of more documents than one task should sort.
+CROWD = 20_000
 
 
 def _stir(x: np.ndarray) -> np.ndarray:
@@ -85,7 +88,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
             if size > 4_000_000:
                 add()
     add()
-    hits = np.minimum(total, 255).astype("<u2").reshape(-1, CHUNK)
+    hits = np.minimum(total, 255).astype("u1").reshape(-1, CHUNK)
     part = TaskContext.get().partitionId()
     for k in np.flatnonzero(hits.any(axis=1)).tolist():
         yield pa.RecordBatch.from_pydict({"chunk": pa.array([k], pa.int32()), "salt": pa.array([part // 64], pa.int32()),
@@ -94,8 +97,8 @@ def _sketch(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
 
 def _add_hits(t: pa.Table) -> pa.Table:
     total = np.zeros(CHUNK, np.uint64)
-    for h in t["hits"].to_pylist():
-        total += np.frombuffer(h, "<u2")
+    for h in t["hits"].to_pylist():  # a partition's rows have a byte for a cell, sums two
+        total += np.frombuffer(h, "u1" if len(h) == CHUNK else "<u2")
     return pa.table({"chunk": t["chunk"][:1].cast(pa.int32()), "salt": t["salt"][:1].cast(pa.int32()),
                      "hits": pa.array([np.minimum(total, 65535).astype("<u2").tobytes()], pa.binary())})
 
@@ -116,23 +119,26 @@ def sketch(docs: DataFrame, text_col: str, n: int) -> np.ndarray:
 
 
 def _records(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, order) -> Iterator[pa.RecordBatch]:
-    """Per document: set size, digest of the set, and its first n-grams, rarest first."""
+    """Per document: set size, digest of the set, and its first n-grams, those of crowded cells apart."""
     for b in batches:
-        sizes, digests, firsts = [], [], []
+        sizes, digests, firsts, hot = [], [], [], []
         for text in b.column(1).to_pylist():
             x = shingles(text, n)
             need = -(-num * len(x) // den)
-            rare = np.lexsort((x, order.value[_cells(x)]))[:len(x) - need + 1] if len(x) else []
+            load = order.value[_cells(x)]
+            first = np.lexsort((x, load))[:len(x) - need + 1] if len(x) else np.zeros(0, np.int64)
             sizes.append(len(x))
             digests.append(hashlib.blake2b(x.astype("<u8").tobytes(), digest_size=16).digest())
-            firsts.append(x[rare].view(np.int64))
+            firsts.append(x[first[load[first] <= CROWD]].view(np.int64))
+            hot.append(x[first[load[first] > CROWD]].view(np.int64))
         yield pa.RecordBatch.from_arrays(
             [b.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-             pa.array(firsts, pa.list_(pa.int64()))], names=[b.schema.names[0], "n_shingles", "digest", "first"])
+             pa.array(firsts, pa.list_(pa.int64())), pa.array(hot, pa.list_(pa.int64()))],
+            names=[b.schema.names[0], "n_shingles", "digest", "first", "hot"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """The sets of the texts that still have the digest looked for."""
+    """The sets of the texts that have the digest looked for (an id may stand on several texts)."""
     for b in batches:
         cols = {name: b.column(name).to_pylist() for name in ("text", "digest")}
         sets, keep = [], []
@@ -198,6 +204,9 @@ class Trie:
 def link_block(grams: list[np.ndarray], mine: np.ndarray, other: np.ndarray, order: np.ndarray,
                num: int, den: int) -> np.ndarray:
     """Labels (a row's smallest connected row) by the links between rows ``mine`` and rows ``other``."""
+    label = np.arange(len(grams))
+    if not len(mine) or not len(other):  # a block without records
+        return label
     sizes = np.array([len(g) for g in grams], dtype=np.int64)
     every, inverse, counts = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
     shared = np.flatnonzero(counts > 1)  # others add nothing to an overlap
@@ -209,7 +218,6 @@ def link_block(grams: list[np.ndarray], mine: np.ndarray, other: np.ndarray, ord
     for a, b in zip(ends - sizes, ends):
         r = rank[inverse[a:b]]
         seqs.append(np.sort(r[r >= 0]))
-    label = np.arange(len(grams))
     trie = Trie([seqs[r] for r in mine], sizes[mine])
     step = max(1, 64_000_000 // max(1, len(by_order)))  # bounds the matrix of marks
     for k in range(0, len(other), step):
@@ -235,6 +243,24 @@ def _link(t: pa.Table, order, num: int, den: int) -> pa.Table:
                      "b": pa.array([digests[label[r]] for r in rows], pa.binary())})
 
 
+def _neighbours(records: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b) that connect all records that share a first n-gram and might link.
+
+    The records of an n-gram form a chain by set size, broken where neighbours' sizes are too
+    far apart to link (then so are all across the gap).  A chain has at most ``CROWD`` records;
+    n-grams of crowded cells connect their records to the smallest one instead.
+    """
+    node = F.xxhash64("digest").alias("a")
+    rare = records.select(F.explode("first").alias("gram"), F.col("n_shingles").alias("n"), node)
+    line = Window.partitionBy("gram").orderBy("n", "a")
+    chain = (rare.withColumn("b", F.lag("a").over(line)).withColumn("before", F.lag("n").over(line))
+             .filter((F.col("before") * den >= F.col("n") * num) & (F.col("a") != F.col("b"))))
+    hot = records.select(F.explode("hot").alias("gram"), node)
+    heads = hot.groupBy("gram").agg(F.min("a").alias("b"))
+    stars = hot.join(heads, "gram").filter(F.col("a") != F.col("b"))
+    return chain.select("a", "b").union(stars.select("a", "b"))
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80,
             den: int = 100, block_rows: int = 1000, block_grams: int = 500_000) -> DataFrame:
     """(id, n_shingles, component_id): classes of documents linked by Jaccard >= num / den.
@@ -245,21 +271,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     order = spark.sparkContext.broadcast(sketch(texts, "text", n))
     records = materialise(texts.mapInArrow(
-        lambda it: _records(it, n, num, den, order), with_fields(texts, "n_shingles long, digest binary, first array<bigint>")))
+        lambda it: _records(it, n, num, den, order),
+        with_fields(texts, "n_shingles long, digest binary, first array<bigint>, hot array<bigint>")))
     sets = materialise(records.filter("n_shingles > 0").groupBy("digest").agg(
-        F.min("_id").alias("_id"), F.first("n_shingles").alias("n_shingles"), F.first("first").alias("first"))
-        .withColumn("node", F.xxhash64("digest")))
-    # records that share one of their first n-grams: a star for each n-gram
-    firsts = sets.select("node", F.explode("first").alias("gram"))
-    heads = firsts.groupBy("gram").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k")
-    stars = firsts.join(heads, "gram").select(F.col("node").alias("a"), "b")
+        F.min("_id").alias("_id"), F.first("n_shingles").alias("n_shingles")).withColumn("node", F.xxhash64("digest")))
+    stars = _neighbours(records, num, den)
     grouped = materialise(sets.join(components(stars), "node").select("_id", "n_shingles", "digest", F.col("root").alias("grp")))
     blocks = grouped.groupBy("grp").agg(F.ceil(F.greatest(
         F.count(F.lit(1)) / block_rows, F.sum("n_shingles") / block_grams)).cast("int").alias("n_blocks"))
     wanted = grouped.join(blocks, "grp").select(F.col("_id").alias("_rep"), "digest", "grp", "n_blocks")
     found = (texts.join(wanted, F.col("_id").eqNullSafe(F.col("_rep"))).select("text", "digest", "grp", "n_blocks")
-             .mapInArrow(lambda it: _sets(it, n), "grp long, n_blocks int, digest binary, grams binary")
-             .dropDuplicates(["digest"]))
+             .mapInArrow(lambda it: _sets(it, n), "grp long, n_blocks int, digest binary, grams binary"))
     dealt = (found.withColumn("block", F.pmod(F.xxhash64("digest", F.lit(1)), F.col("n_blocks")).cast("int"))
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
              .withColumn("i", F.least("block", "_other")).withColumn("j", F.greatest("block", "_other"))
