@@ -1,21 +1,25 @@
 """N-gram Jaccard join of whole texts with a prefix tree.
 
-A document's set holds 64-bit hashes of its distinct word n-grams (A-Z lower-cased).  All
-sets share one order: by how often an n-gram's cell of a fixed-size counting sketch of the
-whole corpus was hit, then by hash.
-
-1. Equal sets are one record.  Two records that link share one of their first
-   |x| - ceil(t|x|) + 1 n-grams in that order, rarest first.  For each n-gram the records that
-   share it form a chain by size, broken where sizes are too far apart to link; the chains'
-   components are the candidate groups.  Pairs are never listed.
-2. A candidate group's sets are stored in a trie, commonest n-grams first, each run of
-   n-grams without a fork on one edge.  All records of a block go down the trie together: a
+A document's set holds 64-bit hashes of its distinct word n-grams (A-Z lower-cased); all sets
+share one order, that of the hashes.  Equal sets are one record.
+
+1. Filter.  Let p = |x| - ceil(t|x|) + 1 and q = p / 2.  Two records that link share at least
+   q + 1 of their first p + q n-grams (with the smaller q of the two).  A record with fewer
+   n-grams that any other record has among its first ones too can't link and is its own class.
+2. Groups.  The n-grams are dealt by a hash to a fixed number of parts for all sizes that may
+   link.  There are more parts than two linked sets can differ in, so at least two parts are
+   equal in both.  Records with an equal part form a chain; chains' components are the groups.
+   Pairs are never listed.
+3. Join.  A group's sets are stored in a trie, the group's commonest n-grams first, each run
+   of n-grams without a fork on one edge.  All records of a block go down the trie together: a
    node holds every record's overlap with the path so far, which all sets below share, and a
    subtree is left as soon as no record can reach the needed overlap with what remains below.
    A large group is cut into blocks by hash, and every pair of blocks is a task of its own,
    so no task holds a whole group and no link is lost.
-3. A task returns a star for each set of records that its links connect, not the links;
-   components over those stars are the classes.
+4. Classes.  A task returns a star for each set of records that its links connect, not the
+   links; components over those stars are the classes.
+
+What one task orders of an n-gram or a part met in very many records are rows of two numbers.
 
 Edge cases: null, empty and blank texts have an empty set, link with nothing and are their
 own class; with fewer than n words the whole sequence is the one n-gram; null ids never are
@@ -30,7 +34,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -38,12 +41,6 @@ from xxhash import xxh3_64_intdigest
 from daypanel.llm.common import byte_words, materialise, with_fields
 from daypanel.llm.components import components
 
-#: Cells of the counting sketch (2 ** BITS) and of one row of it.
-BITS, CHUNK = 23, 1 << 16
-#: A cell with more hits may hold an n-gram of more documents than one task should sort.
-CROWD = 20_000
-
-
 def _stir(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(32))
     x = x * np.uint64(0x9E3779B97F4A7C15)
@@ -65,92 +62,110 @@ def shingles(text: str | None, n: int) -> np.ndarray:
     return np.unique(_stir(x))
 
 
-def _cells(x: np.ndarray) -> np.ndarray:
-    return (x >> np.uint64(64 - BITS)).astype(np.int64)
+def first_grams(x: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The first p + p / 2 n-grams of a sorted set."""
+    p = len(x) - -(-num * len(x) // den) + 1
+    return x[:p + p // 2]
 
 
-def _sketch(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """One partition's hits of every cell, in rows of ``CHUNK`` cells."""
-    total, waiting, size = np.zeros(1 << BITS, np.uint32), [], 0
+def needed(n, num: int, den: int, div=lambda a, b: a // b, least=min):
+    """How many of its first n-grams a set of ``n`` shares with any set it links with.
 
-    def add() -> None:
-        nonlocal size
-        if waiting:
-            total[:] += np.bincount(_cells(np.concatenate(waiting)), minlength=1 << BITS).astype(np.uint32)
-        waiting.clear()
-        size = 0
+    Two sets share at least q + 1, with the smaller of their q; the smallest set that may
+    link with n n-grams has ceil(t * n).  Works on numbers, and on columns with their functions.
+    """
+    m = div(n * num + (den - 1), den)
+    at_least = div(m * num + (den - 1), den)
+    return least(div(m - at_least + 1, 2) + 1, at_least)
 
-    for b in batches:
-        for text in b.column(0).to_pylist():
-            x = shingles(text, n)
-            waiting.append(x)
-            size += len(x)
-            if size > 4_000_000:
-                add()
-    add()
-    hits = np.minimum(total, 255).astype("u1").reshape(-1, CHUNK)
-    part = TaskContext.get().partitionId()
-    for k in np.flatnonzero(hits.any(axis=1)).tolist():
-        yield pa.RecordBatch.from_pydict({"chunk": pa.array([k], pa.int32()), "salt": pa.array([part // 64], pa.int32()),
-                                          "hits": pa.array([hits[k].tobytes()], pa.binary())})
-
-
-def _add_hits(t: pa.Table) -> pa.Table:
-    total = np.zeros(CHUNK, np.uint64)
-    for h in t["hits"].to_pylist():  # a partition's rows have a byte for a cell, sums two
-        total += np.frombuffer(h, "u1" if len(h) == CHUNK else "<u2")
-    return pa.table({"chunk": t["chunk"][:1].cast(pa.int32()), "salt": t["salt"][:1].cast(pa.int32()),
-                     "hits": pa.array([np.minimum(total, 65535).astype("<u2").tobytes()], pa.binary())})
-
-
-def sketch(docs: DataFrame, text_col: str, n: int) -> np.ndarray:
-    """How often each of 2 ** BITS cells is hit by the n-grams of all texts, 65535 at most.
-
-    Its size is fixed (16 MB): it only decides the order of n-grams, which may be any.
+
+def size_classes(most: int, num: int, den: int) -> list[int]:
+    """Starts of size classes up to beyond ``most``: linked sets are in the same or neighbouring ones."""
+    starts = [1]
+    while starts[-1] <= most:
+        starts.append(starts[-1] * den // num + 1)
+    return starts + [starts[-1] * den // num + 1]
+
+
+def part_keys(x: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Keys of a set's parts.  Linked sets that differ have a key in common.
+
+    Class c's records take part in the pairs of classes (c - 1, c) and (c, c + 1).  Sets of
+    such a pair differ in at most d n-grams if they link; d + 2 parts leave two equal ones.
+    Empty parts count only for a set that has two of them.
     """
-    schema = "chunk int, salt int, hits binary"
-    rows = docs.select(text_col).mapInArrow(lambda it: _sketch(it, n), schema)
-    rows = rows.groupBy("chunk", "salt").applyInArrow(_add_hits, schema)
-    rows = rows.groupBy("chunk").applyInArrow(_add_hits, schema)
-    out = np.zeros(1 << BITS, np.uint16)
-    for r in rows.collect():
-        out[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(r["hits"], "<u2")
-    return out
-
-
-def _records(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, order) -> Iterator[pa.RecordBatch]:
-    """Per document: set size, digest of the set, and its first n-grams, those of crowded cells apart."""
+    starts = size_classes(len(x), num, den)
+    c = len(starts) - 3
+    mixed, out = _stir(x), []
+    for g in (c - 1, c):
+        if g < 0:
+            continue
+        d = (den - num) * 2 * (starts[g + 2] - 1) // (den + num)
+        if d == 0:  # only equal sets link
+            continue
+        m = d + 2
+        part = (mixed % np.uint64(m)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        begins = np.flatnonzero(np.append(True, np.diff(part[order]) > 0))
+        used, sums = part[order][begins], np.add.reduceat(mixed[order], begins)
+        tag = np.uint64(g * 1_000_003 + 17)
+        out.append(_stir(sums * np.uint64(0xC2B2AE3D27D4EB4F) + _stir(used.astype(np.uint64) + (tag << np.uint64(24)))))
+        empty = np.setdiff1d(np.arange(m), used)
+        if len(empty) > 1:
+            out.append(_stir(_stir(empty.astype(np.uint64) + (tag << np.uint64(24))) ^ np.uint64(0xA5A5A5A5)))
+    return np.concatenate([np.zeros(0, np.uint64), *out])
+
+
+def _digest(x: np.ndarray) -> bytes:
+    return hashlib.blake2b(x.astype("<u8").tobytes(), digest_size=16).digest()
+
+
+def _node(digest: bytes) -> int:
+    """A short name of a record for the filter and the groups, where a clash would do no harm."""
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
+def _records(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """Per document: set size, digest of the set, its short name."""
     for b in batches:
-        sizes, digests, firsts, hot = [], [], [], []
-        for text in b.column(1).to_pylist():
-            x = shingles(text, n)
-            need = -(-num * len(x) // den)
-            load = order.value[_cells(x)]
-            first = np.lexsort((x, load))[:len(x) - need + 1] if len(x) else np.zeros(0, np.int64)
-            sizes.append(len(x))
-            digests.append(hashlib.blake2b(x.astype("<u8").tobytes(), digest_size=16).digest())
-            firsts.append(x[first[load[first] <= CROWD]].view(np.int64))
-            hot.append(x[first[load[first] > CROWD]].view(np.int64))
+        sets = [shingles(t, n) for t in b.column(1).to_pylist()]
+        digests = [_digest(x) for x in sets]
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-             pa.array(firsts, pa.list_(pa.int64())), pa.array(hot, pa.list_(pa.int64()))],
-            names=[b.schema.names[0], "n_shingles", "digest", "first", "hot"])
+            [b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(digests, pa.binary()),
+             pa.array([_node(d) for d in digests], pa.int64())], names=[b.schema.names[0], "n_shingles", "digest", "node"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """The sets of the texts that have the digest looked for (an id may stand on several texts)."""
+def _first(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """(n-gram, record) for the first n-grams; equal sets of a partition once."""
+    done: set[bytes] = set()
     for b in batches:
-        cols = {name: b.column(name).to_pylist() for name in ("text", "digest")}
-        sets, keep = [], []
-        for k, (text, digest) in enumerate(zip(cols["text"], cols["digest"])):
-            raw = shingles(text, n).astype("<u8").tobytes()
-            if hashlib.blake2b(raw, digest_size=16).digest() == digest:
-                keep.append(k)
-                sets.append(raw)
-        yield pa.RecordBatch.from_arrays(
-            [b.column("grp").take(pa.array(keep, pa.int64())), b.column("n_blocks").take(pa.array(keep, pa.int64())),
-             pa.array([cols["digest"][k] for k in keep], pa.binary()), pa.array(sets, pa.binary())],
-            names=["grp", "n_blocks", "digest", "grams"])
+        grams, nodes, size = [], [], 0
+        for text in [*b.column(0).to_pylist(), None]:
+            x = shingles(text, n)
+            if len(x) and (d := _digest(x)) not in done:
+                done.add(d)
+                head = first_grams(x, num, den)
+                grams.append(head.view(np.int64))
+                nodes.append(np.full(len(head), _node(d)))
+                size += len(head)
+            if grams and (text is None or size > 500_000):
+                yield pa.RecordBatch.from_pydict({"gram": pa.array(np.concatenate(grams)), "node": pa.array(np.concatenate(nodes))})
+                grams, nodes, size = [], [], 0
+
+
+def _sets(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Sets and part keys of the texts that have the digest looked for (an id may stand on several texts)."""
+    for b in batches:
+        digests, sets, keys = [], [], []
+        for text, digest in zip(b.column("text").to_pylist(), b.column("digest").to_pylist()):
+            x = shingles(text, n)
+            if _digest(x) == digest:
+                digests.append(digest)
+                sets.append(x.astype("<u8").tobytes())
+                keys.append(part_keys(x, num, den).view(np.int64))
+        yield pa.RecordBatch.from_pydict({
+            "digest": pa.array(digests, pa.binary()), "node": pa.array([_node(d) for d in digests], pa.int64()),
+            "grams": pa.array(sets, pa.binary()), "keys": pa.array(keys, pa.list_(pa.int64()))})
 
 
 class Trie:
@@ -201,8 +216,7 @@ class Trie:
                 at = stop
 
 
-def link_block(grams: list[np.ndarray], mine: np.ndarray, other: np.ndarray, order: np.ndarray,
-               num: int, den: int) -> np.ndarray:
+def link_block(grams: list[np.ndarray], mine: np.ndarray, other: np.ndarray, num: int, den: int) -> np.ndarray:
     """Labels (a row's smallest connected row) by the links between rows ``mine`` and rows ``other``."""
     label = np.arange(len(grams))
     if not len(mine) or not len(other):  # a block without records
@@ -210,7 +224,7 @@ def link_block(grams: list[np.ndarray], mine: np.ndarray, other: np.ndarray, ord
     sizes = np.array([len(g) for g in grams], dtype=np.int64)
     every, inverse, counts = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
     shared = np.flatnonzero(counts > 1)  # others add nothing to an overlap
-    by_order = shared[np.lexsort((every[shared], -order[_cells(every[shared])].astype(np.int64)))]
+    by_order = shared[np.lexsort((every[shared], -counts[shared]))]
     rank = np.full(len(every), -1, np.int64)
     rank[by_order] = np.arange(len(by_order))
     ends = np.cumsum(sizes)
@@ -233,63 +247,54 @@ def link_block(grams: list[np.ndarray], mine: np.ndarray, other: np.ndarray, ord
     return label
 
 
-def _link(t: pa.Table, order, num: int, den: int) -> pa.Table:
+def _link(t: pa.Table, num: int, den: int) -> pa.Table:
     digests = t["digest"].to_pylist()
     grams = [np.frombuffer(g, "<u8") for g in t["grams"].to_pylist()]
     block, i, j = t["block"].to_numpy(), t["i"][0].as_py(), t["j"][0].as_py()
-    label = link_block(grams, np.flatnonzero(block == i), np.flatnonzero(block == j), order.value, num, den)
+    label = link_block(grams, np.flatnonzero(block == i), np.flatnonzero(block == j), num, den)
     rows = np.flatnonzero(label != np.arange(len(label)))
     return pa.table({"a": pa.array([digests[r] for r in rows], pa.binary()),
                      "b": pa.array([digests[label[r]] for r in rows], pa.binary())})
 
 
-def _neighbours(records: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges (a, b) that connect all records that share a first n-gram and might link.
-
-    The records of an n-gram form a chain by set size, broken where neighbours' sizes are too
-    far apart to link (then so are all across the gap).  A chain has at most ``CROWD`` records;
-    n-grams of crowded cells connect their records to the smallest one instead.
-    """
-    node = F.xxhash64("digest").alias("a")
-    rare = records.select(F.explode("first").alias("gram"), F.col("n_shingles").alias("n"), node)
-    line = Window.partitionBy("gram").orderBy("n", "a")
-    chain = (rare.withColumn("b", F.lag("a").over(line)).withColumn("before", F.lag("n").over(line))
-             .filter((F.col("before") * den >= F.col("n") * num) & (F.col("a") != F.col("b"))))
-    hot = records.select(F.explode("hot").alias("gram"), node)
-    heads = hot.groupBy("gram").agg(F.min("a").alias("b"))
-    stars = hot.join(heads, "gram").filter(F.col("a") != F.col("b"))
-    return chain.select("a", "b").union(stars.select("a", "b"))
+def candidates(texts: DataFrame, records: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Names of the records that may link (step 1)."""
+    rows = texts.select("text").mapInArrow(lambda it: _first(it, n, num, den), "gram long, node long")
+    gram = Window.partitionBy("gram")
+    shared = (rows.withColumn("low", F.min("node").over(gram)).withColumn("high", F.max("node").over(gram))
+              .filter("low != high").groupBy("node").agg(F.count(F.lit(1)).alias("shared")))
+    need = needed(F.col("n_shingles"), num, den, lambda a, b: F.call_function("div", a, F.lit(b)), F.least)
+    return (records.join(shared, "node").filter(F.col("shared") >= need)
+            .groupBy("digest").agg(F.min("_id").alias("_rep")))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80,
-            den: int = 100, block_rows: int = 1000, block_grams: int = 500_000) -> DataFrame:
+            den: int = 100, block_rows: int = 1000, block_bytes: int = 4_000_000) -> DataFrame:
     """(id, n_shingles, component_id): classes of documents linked by Jaccard >= num / den.
 
     component_id is the smallest id that links reach from a document, its own included.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    order = spark.sparkContext.broadcast(sketch(texts, "text", n))
     records = materialise(texts.mapInArrow(
-        lambda it: _records(it, n, num, den, order),
-        with_fields(texts, "n_shingles long, digest binary, first array<bigint>, hot array<bigint>")))
-    sets = materialise(records.filter("n_shingles > 0").groupBy("digest").agg(
-        F.min("_id").alias("_id"), F.first("n_shingles").alias("n_shingles")).withColumn("node", F.xxhash64("digest")))
-    stars = _neighbours(records, num, den)
-    grouped = materialise(sets.join(components(stars), "node").select("_id", "n_shingles", "digest", F.col("root").alias("grp")))
+        lambda it: _records(it, n), with_fields(texts, "n_shingles long, digest binary, node long")))
+    wanted = candidates(texts, records, n, num, den)
+    found = materialise(texts.join(wanted, F.col("_id").eqNullSafe(F.col("_rep"))).select("text", "digest")
+                        .mapInArrow(lambda it: _sets(it, n, num, den), "digest binary, node long, grams binary, keys array<bigint>"))
+    line = Window.partitionBy("key").orderBy("a")
+    chains = (found.select(F.explode("keys").alias("key"), F.col("node").alias("a"))
+              .withColumn("b", F.lag("a").over(line)).filter("b != a").select("a", "b"))
+    grouped = found.join(components(chains), "node").select("digest", F.col("root").alias("grp"), "grams")
     blocks = grouped.groupBy("grp").agg(F.ceil(F.greatest(
-        F.count(F.lit(1)) / block_rows, F.sum("n_shingles") / block_grams)).cast("int").alias("n_blocks"))
-    wanted = grouped.join(blocks, "grp").select(F.col("_id").alias("_rep"), "digest", "grp", "n_blocks")
-    found = (texts.join(wanted, F.col("_id").eqNullSafe(F.col("_rep"))).select("text", "digest", "grp", "n_blocks")
-             .mapInArrow(lambda it: _sets(it, n), "grp long, n_blocks int, digest binary, grams binary"))
-    dealt = (found.withColumn("block", F.pmod(F.xxhash64("digest", F.lit(1)), F.col("n_blocks")).cast("int"))
+        F.count(F.lit(1)) / block_rows, F.sum(F.length("grams")) / block_bytes)).cast("int").alias("n_blocks"))
+    dealt = (grouped.join(blocks, "grp")
+             .withColumn("block", F.pmod(F.xxhash64("digest", F.lit(1)), F.col("n_blocks")).cast("int"))
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
              .withColumn("i", F.least("block", "_other")).withColumn("j", F.greatest("block", "_other"))
              .select("grp", "i", "j", "block", "digest", "grams"))
-    links = dealt.groupBy("grp", "i", "j").applyInArrow(lambda t: _link(t, order, num, den), "a binary, b binary")
+    links = dealt.groupBy("grp", "i", "j").applyInArrow(lambda t: _link(t, num, den), "a binary, b binary")
     roots = components(links).select(F.col("node").alias("digest"), "root")
-    members = sets.select("digest", "_id").join(roots, "digest", "left").withColumn(
-        "root", F.coalesce("root", "digest"))
+    sets = records.filter("n_shingles > 0").groupBy("digest").agg(F.min("_id").alias("_id"))
+    members = sets.join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     least = members.groupBy("root").agg(F.min("_id").alias("component_id"))
     of = members.join(least, "root").select(F.col("digest").alias("_digest"), "component_id")
     return (records.join(of, (F.col("n_shingles") > 0) & (F.col("digest") == F.col("_digest")), "left")

@@ -257,7 +257,7 @@ def test_trie_join_against_all_pairs(docs, prose, n, num, block):
     assert len({c for _, c in want.values()}) < 300
 
 
-def test_trie_join_hot_group_of_near_copies_in_blocks(spark, monkeypatch):
+def test_trie_join_hot_group_of_near_copies_in_blocks(spark):
     rng = random.Random(8)
     base = [f"w{k}" for k in range(80)]
     rows = []
@@ -268,10 +268,24 @@ def test_trie_join_hot_group_of_near_copies_in_blocks(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = plain_classes(rows, 3, 90, 100)
-    for crowd in (20_000, 10):  # by chains, and by stars as for n-grams of very many documents
-        monkeypatch.setattr(trie_join, "CROWD", crowd)
-        got = trie_join.classes(df, n=3, num=90, den=100, block_rows=20).collect()
-        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    got = trie_join.classes(df, n=3, num=90, den=100, block_rows=20).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
+def test_linked_sets_pass_the_filter_and_share_a_part():
+    rng = np.random.default_rng(9)
+    for num in (90, 80, 50):
+        for _ in range(3000):
+            size = int(rng.integers(1, 90))
+            x = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+            y = np.unique(np.concatenate([x[rng.random(len(x)) > 0.1 * rng.random()],
+                                          rng.integers(0, 2**63, rng.integers(0, 1 + size // 4)).astype(np.uint64)]))
+            both = len(np.intersect1d(x, y))
+            if len(y) and 100 * both >= num * (len(x) + len(y) - both):
+                shared = len(np.intersect1d(trie_join.first_grams(x, num, 100), trie_join.first_grams(y, num, 100)))
+                assert shared >= max(trie_join.needed(len(x), num, 100), trie_join.needed(len(y), num, 100))
+                if both < max(len(x), len(y)):
+                    assert len(np.intersect1d(trie_join.part_keys(x, num, 100), trie_join.part_keys(y, num, 100)))
 
 
 def test_components(spark):
