@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daypanel.llm.common import with_fields
+from daypanel.llm.common import clear, with_fields
 
 LEAF = 16_384
 _CUT = re.compile(r"(?<=\S)(?=\s)")
@@ -289,6 +289,6 @@ def encode_decode(docs: DataFrame, text: Column | str, path: str, keep: list[str
                   want_ids: bool = False) -> DataFrame:
     """``keep`` columns with n_tokens, ids_sha256, decoded_sha256 and, if wanted, ids and the decoded text."""
     text = F.col(text) if isinstance(text, str) else text
-    rows = docs.select(*keep, text.alias("_text"))
+    rows = docs.select(*clear(keep, "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"), text.alias("_text"))
     more = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if want_ids else "")
     return rows.mapInArrow(lambda it: _run(it, path, leaf, want_ids), with_fields(rows, more))

@@ -42,6 +42,11 @@ def byte_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8").lower().split() if text else []
 
 
+def clear(keep: list[str], *added: str) -> list[str]:
+    """The columns to keep beside ``added`` ones, which replace kept ones of the same names."""
+    return [c for c in keep if c not in added]
+
+
 def with_fields(df: DataFrame, ddl: str) -> T.StructType:
     """The schema of ``df`` without its last column, then the columns of ``ddl``."""
     return T.StructType([*df.schema.fields[:-1], *T.StructType.fromDDL(ddl).fields])

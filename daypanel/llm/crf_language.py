@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daypanel.llm.common import materialise, with_fields
+from daypanel.llm.common import clear, materialise, with_fields
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -280,5 +280,5 @@ def predict(docs: DataFrame, crf: Crf, keep: list[str], text: Column | str = "te
     """``keep`` columns with lang_pred and score; a worker keeps the scores of about ``known`` words."""
     text = F.col(text) if isinstance(text, str) else text
     shared = docs.sparkSession.sparkContext.broadcast(crf)
-    rows = docs.select(*keep, text.alias("_text"))
+    rows = docs.select(*clear(keep, "lang_pred", "score"), text.alias("_text"))
     return rows.mapInArrow(lambda it: _predict(it, shared, known), with_fields(rows, "lang_pred string, score double"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daypanel.llm.common import with_fields
+from daypanel.llm.common import clear, with_fields
 
 BUCKETS = 2048
 _HALF = BUCKETS // 2
@@ -159,5 +159,5 @@ def score(docs: DataFrame, space: Space, keep: list[str], text: Column | str = "
     """``keep`` columns with the share of votes for label 1."""
     text = F.col(text) if isinstance(text, str) else text
     shared = docs.sparkSession.sparkContext.broadcast(space)
-    rows = docs.select(*keep, text.alias("_text"))
+    rows = docs.select(*clear(keep, "score"), text.alias("_text"))
     return rows.mapInArrow(lambda it: _scores(it, shared, k), with_fields(rows, "score double"))

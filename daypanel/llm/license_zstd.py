@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daypanel.llm.common import with_fields
+from daypanel.llm.common import clear, with_fields
 
 # Names and opening words of public licenses and the notices that refer to them.
 TEMPLATES = {
@@ -120,7 +120,7 @@ def scan(docs: DataFrame, keep: list[str], text_col: str = "text", templates: di
     for c in CUES:
         cue = cue | F.contains(text, F.lit(c))
     # documents without a cue send no text to the workers
-    rows = docs.select(*keep, F.when(cue, F.col(text_col)).alias("_text"))
+    rows = docs.select(*clear(keep, "n_blocks", "license", "reduction", "differences", "licenses"), F.when(cue, F.col(text_col)).alias("_text"))
     options = (templates or TEMPLATES, reach, confirm, slack)
     return rows.mapInArrow(lambda it: _scan(it, options), with_fields(rows, "n_blocks long, license string, reduction double, "
                            "differences long, licenses string"))

@@ -473,7 +473,7 @@ def test_every_operator_takes_odd_rows(spark):
     assert len(cls) == n and {r.component_id for r in cls if r.doc_id in (8, 9)} == {8}
     y = spark.createDataFrame([(3, 1), (3, 0), (4, None), (5, 1), (77, 1)], "doc_id long, quality int")
     space = knn_quality.fit(d, y)
-    assert all(0 <= r.score <= 1 for r in knn_quality.score(d, space, ["doc_id", "score"]).toDF("doc_id", "old", "score").collect())
+    assert all(0 <= r.score <= 1 for r in knn_quality.score(d, space, ["doc_id", "score"]).collect())
     assert license_zstd.scan(d, ["doc_id"]).count() == n
     assert bpe_tree.encode_decode(d, "text", queries.tokenizer_path(), ["doc_id"]).count() == n
     pred = crf_language.predict(d, crf_language.fit(d), ["doc_id"]).collect()
