@@ -8,6 +8,9 @@ percentage errors use NULLIF and are skipped where the definition skips them.
 from __future__ import annotations
 
 import itertools
+import math
+
+import numpy as np
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -195,6 +198,34 @@ def blend_weights(df: DataFrame, preds: list[str], y: str = "y", step: float = 0
     return best.select(*(by or []), *[f"w_{c}" for c in preds], "rmspe")
 
 
+def blend_weights_exact(df: DataFrame, preds: list[str], y: str = "y") -> DataFrame:
+    """M14 (refined): the simplex weights that minimise RMSPE, not bound to a lattice.
+
+    The blend's squared RMSPE is w' G w with sum(w) = 1 and w >= 0.  Its minimum lies where
+    some set of models has positive weights G_S^-1 1, scaled; G (a number per pair of models)
+    comes from one aggregation and every set is tried.  Returns one row.
+    """
+    row = blend_gram(df, preds, y).first().asDict()
+    k = len(preds)
+    g = np.array([[row[f"g_{preds[min(i, j)]}__{preds[max(i, j)]}"] or 0.0 for j in range(k)] for i in range(k)])
+    best = None
+    for size in range(1, k + 1):
+        for some in itertools.combinations(range(k), size):
+            part = g[np.ix_(some, some)]
+            v = np.linalg.lstsq(part, np.ones(size), rcond=None)[0]
+            if v.sum() == 0 or (v / v.sum() < 0).any():
+                continue
+            w = np.zeros(k)
+            w[list(some)] = v / v.sum()
+            value = float(w @ g @ w)
+            if best is None or value < best[0] - 1e-15:
+                best = (value, w)
+    if best is None:  # no error at all, or no row: equal weights
+        best = (0.0, np.full(k, 1.0 / k))
+    schema = ", ".join(f"w_{c} double" for c in preds) + ", rmspe double"
+    return df.sparkSession.createDataFrame([(*map(float, best[1]), math.sqrt(max(best[0], 0.0)))], schema)
+
+
 def average_weights(best: DataFrame, preds: list[str]) -> DataFrame:
     """M14 (averaged): mean of the per-fold optimal weights, renormalised to sum to 1."""
     s = sum((F.avg(f"w_{c}") for c in preds), F.lit(0.0))

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from daypanel.operators import models as MD
+from daypanel.operators.metrics import blend_weights, blend_weights_exact
 from daypanel.operators import predlog as L
 from daypanel.operators.clean import feature_columns
 from daypanel.operators.splits import expanding_folds, training_ready
@@ -57,12 +58,23 @@ def test_models_end_to_end(spark, daily_facts, entity_dim):
     assert scored.count() == df.count() and "Absolute_Percentage_Error" in scored.columns
     d0 = df.agg(F.min("Date")).first()[0]
     folds = expanding_folds(df, n_folds=2, fold_length_days=5, min_train_days=10)
-    oof, models = MD.out_of_fold(df, folds, feats, ("rf", "lr"))
-    scores = MD.cv_scores_from_oof(oof, ("rf", "lr")).collect()
-    assert {r.model for r in scores} == {"rf", "lr"} and all(r.rmspe >= 0 for r in scores)
+    learners = ("gbt", "rf", "lr")
+    oof, models = MD.out_of_fold(df, folds, feats, learners)
+    scores = MD.cv_scores_from_oof(oof, learners).collect()
+    assert {r.model for r in scores} == set(learners) and all(r.rmspe >= 0 for r in scores)
+    assert oof.count() == oof.select("Store", "Date").distinct().count()
+    best = blend_weights_exact(oof, [f"pred_{n}" for n in learners]).first()
+    assert abs(sum(best[f"w_pred_{n}"] for n in learners) - 1) < 1e-9
+    lattice = blend_weights(oof, [f"pred_{n}" for n in learners]).first()
+    assert best.rmspe <= lattice.rmspe + 1e-12
+    grids = {"lr": {"regParam": [0.1, 10.0], "elasticNetParam": [0.0]}, "rf": {"maxDepth": [2]}}
+    tuned = MD.grid_tune(df, folds, feats, grids).collect()
+    assert {(r.learner, r.params) for r in tuned} == {("lr", "regParam=0.1,elasticNetParam=0.0"),
+                                                     ("lr", "regParam=10.0,elasticNetParam=0.0"), ("rf", "maxDepth=2")}
+    assert set(MD.fold_models(df, folds, feats, "rf")) == {k for k in models if k[0] == "rf"}
     imp = MD.feature_importance(models, feats, "rf")
     assert imp.count() == len(feats)
     assert MD.top_features(imp, 5).count() == 5
-    st = MD.stacked_ensemble(oof, ("rf", "lr")).first()
-    assert len(st.coefficients) == 2 and st.n == oof.count()
+    st = MD.stacked_ensemble(oof, learners).first()
+    assert len(st.coefficients) == 3 and st.n == oof.count()
     assert d0 is not None
