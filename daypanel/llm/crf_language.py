@@ -213,11 +213,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     by_word = (counts.groupBy("word", "lang").agg(F.sum("n").alias("n")).groupBy("word")
                .agg(F.sum("n").alias("n"), F.max(F.struct("n", "lang")).alias("top"))
                .filter(F.length("word") > 0))
-    order = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(11)), F.lit(1 << 40))
-    first = Window.partitionBy("lang").orderBy("o", "text")
-    runs = (d.select("lang", order.alias("o"), "text").withColumn("r", F.row_number().over(first))
-            .filter(F.col("r") <= sample_docs).select("lang", "o", "text")
-            .mapInArrow(lambda it: _runs(it, sample_words), "lang string, o long, run binary").collect())
+    order = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), "text", F.lit(11)), F.lit(1 << 40))
+    d = d.withColumn("o", order)
+    first = Window.partitionBy("lang").orderBy("o")
+    chosen = (d.select("lang", "o").withColumn("r", F.row_number().over(first))
+              .filter(F.col("r") <= sample_docs).select("lang", "o").distinct())
+    runs = (d.join(F.broadcast(chosen), ["lang", "o"]).select("lang", "o", "text")  # at most sample_docs a language
+            .mapInArrow(lambda it: _runs(it, sample_words), "lang string, o long, run binary")
+            .dropDuplicates(["lang", "o"]).collect())
     langs = sorted({r["lang"] for r in runs})
     number = {g: i for i, g in enumerate(langs)}
     table = materialise(by_word)
