@@ -23,7 +23,7 @@ def rows():
         g = rng.choice(["en", "de"])
         out.append((i, " ".join(rng.choices(vocab[g], k=rng.randint(30, 60))), g, f"s{i % 3}", 0))
     out += [(100 + i, out[i][1], out[i][2], "s1", 0) for i in range(10)]                   # exact copies
-    out += [(120 + i, out[i][1] + " tail", out[i][2], "s1", 0) for i in range(20, 26)]     # near copies
+    out += [(200 + i, out[i][1] + " tail", out[i][2], "s1", 0) for i in range(20, 26)]     # near copies
     out += [(140, None, "en", "s0", 0), (141, "12 34 !!", "en", "s0", 0), (142, "", None, None, 0)]
     out += [(150, out[40][1] + " write to a.b@mail.example.com or +1 (555) 010-1234 now", out[40][2], None, 0)] * 2
     return out
