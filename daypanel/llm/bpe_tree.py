@@ -223,7 +223,7 @@ class Encoder:
             split.append(parts)
         if len(self.known) > self.most:
             self.known.clear()
-        missing = set().union(*(p for p in split if p)) - self.known.keys()
+        missing = {p for p in set().union(*(p for p in split if p)) if p not in self.known}
         if missing:
             self._learn(missing)
         get = self.known.__getitem__

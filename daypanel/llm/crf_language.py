@@ -243,7 +243,7 @@ def _predict(batches: Iterator[pa.RecordBatch], shared, known: int) -> Iterator[
             number.clear()
             table = table[:0]
         tokens = [w for t in texts for w in t]
-        new = list(set(tokens) - number.keys())
+        new = [w for w in set(tokens) if w not in number]
         if new:
             number.update(zip(new, range(len(number), len(number) + len(new))))
             table = np.concatenate([table, crf.emissions(new)])

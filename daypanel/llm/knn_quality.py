@@ -58,8 +58,9 @@ class Terms:
         if len(self.known) > self.most:
             self.known.clear()
         c = Counter(words)
-        for w in c.keys() - self.known.keys():
-            self.known[w] = _places(w)
+        for w in c:
+            if w not in self.known:
+                self.known[w] = _places(w)
         at = np.array(list(map(self.known.__getitem__, c)), dtype=np.int64)
         n = np.fromiter(c.values(), dtype=np.float64, count=len(c))
         out += np.bincount(at[:, 0], n, BUCKETS) + np.bincount(at[:, 1], n, BUCKETS)
