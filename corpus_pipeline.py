@@ -34,11 +34,12 @@ def _unpacked(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*[F.col(c) if c in CORE else F.col("_rest").getField(c).alias(c) for c in like.columns])
 
 
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
-    """Keep documents with a language of at least ``least`` certainty, and note that language.
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.0) -> DataFrame:
+    """Keep documents with a language, and note the language that most of their words have.
 
-    A document that is ``und`` (no letter) or uncertain goes.  The model learns from the given
-    languages of all documents that have one.
+    A document that is ``und`` (no letter) goes, and so does one whose language has a smaller
+    share of it than ``least``; by default text in several languages stays.  The model learns
+    from the given languages of all documents that have one.
     """
     model = crf_language.fit(docs)
     kept = crf_language.predict(_packed(docs), model, [*CORE, "_rest"]).filter(
