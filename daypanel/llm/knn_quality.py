@@ -37,11 +37,22 @@ _HALF = BUCKETS // 2
 _RUN = re.compile(r"(.)\1{2,}")
 
 
-def _places(word: str) -> tuple[int, int]:
-    """Buckets of a word and of its shape."""
-    shape = "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word[:40])
-    shape = _RUN.sub(r"\1\1\1", shape)
-    return (zlib.crc32(word.encode("utf-8")) % _HALF, _HALF + zlib.crc32(shape.encode("utf-8")) % (_HALF - 64))
+class _Shapes(dict):
+    """Character -> its class: A, a, 9 or itself; filled as characters turn up."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = "A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c
+        return self[code]
+
+
+_SHAPES = _Shapes()
+
+
+def _places(word: str) -> int:
+    """Buckets of a word and of its shape, as one number (times BUCKETS, plus)."""
+    shape = _RUN.sub(r"\1\1\1", word[:40].translate(_SHAPES))
+    return zlib.crc32(word.encode("utf-8")) % _HALF * BUCKETS + _HALF + zlib.crc32(shape.encode("utf-8")) % (_HALF - 64)
 
 
 class Terms:
@@ -61,9 +72,9 @@ class Terms:
         for w in c:
             if w not in self.known:
                 self.known[w] = _places(w)
-        at = np.array(list(map(self.known.__getitem__, c)), dtype=np.int64)
+        at = np.fromiter(map(self.known.__getitem__, c), dtype=np.int64, count=len(c))
         n = np.fromiter(c.values(), dtype=np.float64, count=len(c))
-        out += np.bincount(at[:, 0], n, BUCKETS) + np.bincount(at[:, 1], n, BUCKETS)
+        out += np.bincount(at // BUCKETS, n, BUCKETS) + np.bincount(at % BUCKETS, n, BUCKETS)
         lines = [x for x in text.split("\n") if x]
         pairs = len(set(zip(words, words[1:]))) / max(1, len(words) - 1)
         marks = (len(c) / len(words), pairs if len(words) > 1 else 1.0, len(set(lines)) / len(lines) if lines else 1.0)
