@@ -1,23 +1,32 @@
 """Scoring texts with a Brown class-based bigram model.
 
 Tokens are words with A-Z lower-cased, then one end token per text.  Word counts come from
-all training texts.  Words that make up at least 1 / ``units`` of the training tokens are
-clustering units of their own; every other word, known or not, belongs to the unit of its
-last two bytes (or to the rest, if those are rarer than 1 / ``units``).  So there are at most
-2 * units + 2 units, whatever the corpus; their bigram counts over the whole corpus are what
-the exchange algorithm works on: each unit in turn moves to the class that raises the
-likelihood of the class bigrams most, until no unit moves (``sweeps`` rounds at most).
+all training texts.  Every training word seen ``least`` times or more has a class of its own
+by exchange:
+
+* Words with at least 1 / ``lexicon`` of the tokens (at most ``lexicon`` of them) are listed:
+  tasks hold their classes.  As start, words with at least 1 / ``units`` of the tokens, and the
+  last two bytes of all others, are exchanged one by one on the driver (at most
+  2 * units + 2 units).  Then all listed words move in ``rounds`` rounds: every task counts the
+  classes beside the words of its texts, the counts meet by word, each word takes the class
+  that fits them best.  Half of the words move at a time; a step that doesn't raise the
+  likelihood of the class bigrams is taken back; two in a row end the rounds.
+* Each other word takes the class that fits the classes before all its uses best; its class is
+  kept in a table and joined.
+
+Words seen less than ``least`` times, and words not seen, have the class of their last two
+bytes (or of the rest, if those are rarer than 1 / ``units``).  So has a word that isn't
+listed where it stands before another word: tasks don't know its class there.
 
     P(w | previous) = (1 - u) * P(class(w) | class(previous)) * count(w) / count(class(w))
 
-for words seen in training, with transitions smoothed towards the class unigram; a word not
+for words seen in training (class(previous) as above), with transitions smoothed towards the class unigram; a word not
 seen has u = (words seen once + 1) / (tokens + 2), the Good-Turing mass of the unseen, taken
 as one event just as the base score does.  The probabilities of all known words and of that
 event add up to 1 after every word.
 
-Tasks hold the counts of the words with at least 1 / ``lexicon`` of the tokens (at most
-``lexicon`` of them); the other words of a text, none of them frequent, are joined with the
-count table.
+Tasks hold counts and classes of the listed words; the other words of a text, none of them
+frequent, are joined with the table of their counts and classes.
 
 Edge cases: a null text is empty and has its end token only; a null id counts as the empty
 text when rows are split; repeated rows are texts of their own; without training tokens every
@@ -74,26 +83,198 @@ class Units(dict):
         return Units, (dict(self), self.suffixes, self.rest)
 
 
-def _bigrams(batches: Iterator[pa.RecordBatch], units, n_units: int) -> Iterator[pa.RecordBatch]:
-    """Counts of neighbouring units; an end token precedes every text."""
+def _encode(batches: Iterator[pa.RecordBatch], units) -> Iterator[pa.RecordBatch]:
+    """Texts as runs of unit numbers; an end token precedes every text and ends every run."""
     of, pieces, size = units.value.__getitem__, [], 0
 
     def rows() -> pa.RecordBatch:
+        ids = np.concatenate([*pieces, np.array([of(END)], np.int32)])
+        pieces.clear()
+        return pa.RecordBatch.from_pydict({"ids": pa.array([ids.tobytes()], pa.binary())})
+
+    for b in batches:
+        for text in b.column(0).to_pylist():
+            pieces.append(np.fromiter(map(of, [END, *byte_words(text)]), dtype=np.int32))
+            size += len(pieces[-1])
+            if size > 1_000_000:
+                yield rows()
+                size = 0
+    if pieces:
+        yield rows()
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for b in batches:
+        for x in b.column(0):
+            yield np.frombuffer(x.as_buffer(), dtype=np.int32)
+
+
+def _bigrams(batches: Iterator[pa.RecordBatch], classes, k: int) -> Iterator[pa.RecordBatch]:
+    """Counts of neighbouring classes; few classes are counted in a table, many by sorting."""
+    of, codes, n, pieces, size = classes.value, np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
+    table = np.zeros(k * k, np.int64) if k <= 256 else None
+    for ids in _runs(batches):
+        u = of[ids].astype(np.int64)
+        pairs = u[:-1] * k + u[1:]
+        if table is not None:
+            table += np.bincount(pairs, minlength=k * k)
+            continue
+        pieces.append(pairs)
+        size += len(pairs)
+        if size > 4_000_000:
+            codes, n = np.unique(np.concatenate(pieces), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"code": pa.array(codes, pa.int64()), "n": pa.array(n, pa.int64())})
+            pieces, size = [], 0
+    if table is not None:
+        codes = np.flatnonzero(table)
+        n = table[codes]
+    else:
+        codes, n = np.unique(np.concatenate([np.zeros(0, np.int64), *pieces]), return_counts=True)
+    yield pa.RecordBatch.from_pydict({"code": pa.array(codes, pa.int64()), "n": pa.array(n, pa.int64())})
+
+
+def class_bigrams(runs: DataFrame, of: np.ndarray, k: int) -> np.ndarray:
+    """Bigram counts of the classes ``of`` the units, at most k ** 2 rows collected."""
+    shared = runs.sparkSession.sparkContext.broadcast(of)
+    pairs = (runs.mapInArrow(lambda it: _bigrams(it, shared, k), "code long, n long")
+             .groupBy("code").agg(F.sum("n").alias("n")).toArrow())
+    g = np.zeros(k * k)
+    g[pairs["code"].to_numpy()] = pairs["n"].to_numpy()
+    return g.reshape(k, k)
+
+
+def _beside(batches: Iterator[pa.RecordBatch], classes, k: int, half: int, fixed: int, width: int
+            ) -> Iterator[pa.RecordBatch]:
+    """Counts of (unit, class before or k + class after) for units of one half, by ranges of ``width`` units."""
+    of, pieces, size = classes.value, [], 0
+
+    def rows() -> Iterator[pa.RecordBatch]:
         codes, n = np.unique(np.concatenate([np.zeros(0, np.int64), *pieces]), return_counts=True)
         pieces.clear()
-        return pa.RecordBatch.from_pydict({"code": pa.array(codes, pa.int64()), "n": pa.array(n, pa.int64())})
+        span = width * 2 * k
+        cut = np.flatnonzero(np.diff(codes // span, prepend=-1))
+        for i, j in zip(cut, np.append(cut[1:], len(codes))):
+            at = int(codes[i] // span)
+            yield pa.RecordBatch.from_pydict({
+                "at": pa.array([at], pa.int32()), "codes": pa.array([(codes[i:j] - at * span).astype(np.int32).tobytes()], pa.binary()),
+                "n": pa.array([n[i:j].astype(np.int32).tobytes()], pa.binary())})
+
+    for ids in _runs(batches):
+        u, c = ids.astype(np.int64), of[ids].astype(np.int64)
+        mine = (u % 2 == half) & (u != fixed)
+        before, after = np.flatnonzero(mine[1:]) + 1, np.flatnonzero(mine[:-1])
+        pieces += [u[before] * (2 * k) + c[before - 1], u[after] * (2 * k) + k + c[after + 1]]
+        size += len(before) + len(after)
+        if size > 12_000_000:
+            yield from rows()
+            size = 0
+    yield from rows()
+
+
+def _fit_logs(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log affinity of a class to the class before it and to the class after it (rows: the neighbour)."""
+    total = g.sum()
+    share = (g.sum(axis=1, keepdims=True) + 1) * (g.sum(axis=0, keepdims=True) + 1) / (total + len(g))
+    ratio = np.log((g + share * 1e-3 + 1e-9) / share)
+    return ratio, ratio.T
+
+
+def _move(batches: Iterator[pa.RecordBatch], k: int, width: int, ratio: tuple) -> Iterator[pa.RecordBatch]:
+    """Best class of every counted unit; class 0 is the end token's."""
+    tables: dict[int, np.ndarray] = {}
+    for b in batches:
+        for at, codes, n in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+            t = tables.setdefault(at, np.zeros(width * 2 * k, np.int64))
+            t[np.frombuffer(codes.as_buffer(), np.int32)] += np.frombuffer(n.as_buffer(), np.int32)
+    for at, t in tables.items():
+        t = t.reshape(width, 2 * k)
+        there = np.flatnonzero(t.any(axis=1))
+        gain = t[there] @ np.concatenate(ratio)
+        gain[:, 0] = -np.inf
+        yield pa.RecordBatch.from_pydict({"unit": pa.array(there + at * width, pa.int64()),
+                                          "class": pa.array(gain.argmax(axis=1), pa.int64())})
+
+
+def likelihood(g: np.ndarray) -> float:
+    """Log likelihood of the class bigrams, without the part that doesn't depend on classes."""
+    def xlogx(x: np.ndarray) -> float:
+        return float((x * np.log(np.where(x > 0, x, 1))).sum())
+
+    return xlogx(g) - xlogx(g.sum(axis=0)) - xlogx(g.sum(axis=1))
+
+
+def refine(runs: DataFrame, of: np.ndarray, k: int, fixed: int, rounds: int, parts: int = 64
+           ) -> tuple[np.ndarray, np.ndarray]:
+    """Exchange of all units in tasks, from classes ``of``: (classes, their bigram counts)."""
+    spark = runs.sparkSession
+    g, width, still = class_bigrams(runs, of, k), -(-len(of) // parts), 0
+    for step in range(2 * rounds):
+        shared, ratio, half = spark.sparkContext.broadcast(of), _fit_logs(g), step % 2
+        got = (runs.mapInArrow(lambda it: _beside(it, shared, k, half, fixed, width), "at int, codes binary, n binary")
+               .repartition(parts, "at").mapInArrow(lambda it: _move(it, k, width, ratio), "unit long, class long")
+               .toArrow())  # at most one row per unit
+        new = of.copy()
+        new[got["unit"].to_numpy()] = got["class"].to_numpy()
+        new_g = class_bigrams(runs, new, k)
+        if likelihood(new_g) > likelihood(g):
+            of, g, still = new, new_g, 0
+        elif still:  # neither half gains
+            break
+        else:
+            still = 1
+    return of, g
+
+
+def _contexts(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """(word, classes before its uses) of words that are not listed."""
+    number, cls = shared.value
+    of, seen, size = number.__getitem__, {}, 0
+
+    def rows() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.binary()),
+                                          "before": pa.array([bytes(x) for x in seen.values()], pa.binary())})
+        seen.clear()
+        return out
 
     for b in batches:
         for text in b.column(0).to_pylist():
-            u = np.fromiter(map(of, [END, *byte_words(text), END]), dtype=np.int64)
-            pieces.append(u[:-1] * n_units + u[1:])
-            size += len(u)
-            if size > 4_000_000:
+            words = [END, *byte_words(text)]
+            u = np.fromiter(map(of, words), dtype=np.int64, count=len(words))
+            c = np.where(u >= 0, cls[u], -1 - u)
+            for p in np.flatnonzero(u < 0).tolist():
+                seen.setdefault(words[p], bytearray()).append(c[p - 1])
+                size += 1
+            if size > 2_000_000:
                 yield rows()
                 size = 0
     yield rows()
 
 
+def _assign(batches: Iterator[pa.RecordBatch], ratio: np.ndarray, by_end: Units, least: int) -> Iterator[pa.RecordBatch]:
+    """(word, c, class) of words with their contexts; a last row without word holds the changed class bigrams."""
+    k = len(ratio)
+    delta = np.zeros(k * k)
+    for b in batches:
+        for at in range(0, b.num_rows, 20_000):
+            part = b.slice(at, 20_000)
+            words = part.column(0).to_pylist()
+            lists = [b"".join(x) for x in part.column(1).to_pylist()]
+            flat = np.frombuffer(b"".join(lists), np.uint8).astype(np.int64)
+            c = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+            row = np.repeat(np.arange(len(lists)), c)
+            hist = np.bincount(row * k + flat, minlength=len(lists) * k).reshape(-1, k)
+            gain = hist @ ratio
+            gain[:, 0] = -np.inf
+            old = np.array([by_end[w] for w in words], dtype=np.int64)
+            new = np.where(c >= least, gain.argmax(axis=1), old)
+            delta += np.bincount(flat * k + new[row], minlength=k * k) - np.bincount(flat * k + old[row], minlength=k * k)
+            yield pa.RecordBatch.from_pydict({"word": pa.array(words, pa.binary()), "c": pa.array(c, pa.int64()),
+                                              "class": pa.array(new, pa.int64()),
+                                              "delta": pa.nulls(len(words), pa.binary())})
+    yield pa.RecordBatch.from_pydict({"word": pa.nulls(1, pa.binary()), "c": pa.nulls(1, pa.int64()),
+                                      "class": pa.nulls(1, pa.int64()), "delta": pa.array([delta.tobytes()], pa.binary())})
+
+
 def exchange(n: np.ndarray, classes: int, fixed: int, sweeps: int = 10) -> np.ndarray:
     """Class of each unit by the exchange algorithm on bigram counts ``n``; unit ``fixed`` has class 0 alone.
 
@@ -150,10 +331,11 @@ def exchange(n: np.ndarray, classes: int, fixed: int, sweeps: int = 10) -> np.nd
 @dataclass
 class Model:
     counts: DataFrame           # (word, c), all training words
+    others: DataFrame           # (word, c, class), those not listed
     tokens: int                 # N
     types: int                  # V
     unseen: float               # u
-    words: dict                 # frequent word -> number
+    words: dict                 # listed word -> number
     word_count: np.ndarray      # its count
     word_class: np.ndarray      # its class
     suffix_class: dict          # last two bytes -> class
@@ -162,51 +344,62 @@ class Model:
     step: np.ndarray            # log10 P(class | previous class)
 
     def params(self) -> dict:
-        """What tasks need: everything but the count table."""
-        return {k: v for k, v in self.__dict__.items() if k != "counts"}
+        """What tasks need: everything but the tables."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("counts", "others")}
 
 
 def fit(texts: DataFrame, classes: int = 48, units: int = 2000, lexicon: int = 500_000, smooth: float = 5.0,
-        sweeps: int = 10) -> Model:
-    """Fit on the single text column of ``texts``."""
+        sweeps: int = 10, rounds: int = 3, least: int = 3) -> Model:
+    """Fit on the single text column of ``texts``; at most 256 classes."""
     spark = texts.sparkSession
     counts = materialise(texts.mapInArrow(_count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")))
     t = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("once")).first()
     n, v, once = t["n"] or 0, t["v"], t["once"]
     listed = counts.filter(F.col("c") * lexicon >= n).toArrow()  # at most ``lexicon`` rows
     words = dict(zip(listed["word"].to_pylist(), listed["c"].to_pylist()))
+    whole = len(words) >= v
     words.setdefault(END, 0)
-    names = sorted(w for w, c in words.items() if c * units >= n or w == END)
-    own = F.col("c") * units >= n
-    suffixes = (counts.filter(~own & (F.col("word") != F.lit(END))).groupBy(F.substring("word", -2, 2).alias("s"))
+    frequent = sorted(w for w, c in words.items() if c * units >= n or w == END)
+    top = F.col("c") * units >= n
+    suffixes = (counts.filter(~top & (F.col("word") != F.lit(END))).groupBy(F.substring("word", -2, 2).alias("s"))
                 .agg(F.sum("c").alias("c")).filter(F.col("c") * units >= n))  # at most ``units`` rows
     ends = sorted(bytes(r["s"]) for r in suffixes.collect())
-    number = {w: k for k, w in enumerate(names)}
-    by_end = {s: len(names) + k for k, s in enumerate(ends)}
-    rest = len(names) + len(ends)
-    size = rest + 1
-    unit_of = Units(number, by_end, rest)
+    # units of the start: frequent words, suffixes, the rest; then come all other listed words
+    by_end = {s: len(frequent) + k for k, s in enumerate(ends)}
+    rest = len(frequent) + len(ends)
+    begin = Units({w: k for k, w in enumerate(frequent)}, by_end, rest)
+    own = sorted(w for w, c in words.items() if c >= least and w not in begin)
+    coarse = np.array([*range(rest + 1), *(begin[w] for w in own)], dtype=np.int32)
+    unit_of = Units({**begin, **{w: rest + 1 + k for k, w in enumerate(own)}}, by_end, rest)
     short = spark.sparkContext.broadcast(Units({w: unit_of[w] for w in words}, by_end, rest))
-    pairs = (texts.mapInArrow(lambda it: _bigrams(it, short, size), "code long, n long")
-             .groupBy("code").agg(F.sum("n").alias("n")).toArrow())  # at most size ** 2 rows
-    bigrams = np.zeros(size * size)
-    bigrams[pairs["code"].to_numpy()] = pairs["n"].to_numpy()
-    bigrams = bigrams.reshape(size, size)
-    of = exchange(bigrams, classes, number[END], sweeps)
-    member = np.zeros((size, classes))
-    member[np.arange(size), of] = 1
-    g = member.T @ bigrams @ member
+    runs = materialise(texts.mapInArrow(lambda it: _encode(it, short), "ids binary"))
+    fixed = unit_of[END]
+    of = exchange(class_bigrams(runs, coarse, rest + 1), classes, fixed, sweeps)
+    of, g = refine(runs, of[coarse].astype(np.uint8), classes, fixed, rounds)
+    end_class = {s: int(of[k]) for s, k in by_end.items()}
+    order = {w: k for k, w in enumerate(words)}
+    word_class = np.array([of[unit_of[w]] for w in words], dtype=np.int64)
+    rare = Units({}, end_class, int(of[rest]))
+    others = spark.createDataFrame([], "word binary, c long, class long")
+    if not whole:
+        names = spark.sparkContext.broadcast((Units(order, {s: -1 - c for s, c in end_class.items()}, -1 - rare.rest), word_class))
+        ratio = _fit_logs(g)[0]
+        found = (texts.mapInArrow(lambda it: _contexts(it, names), "word binary, before binary")
+                 .groupBy("word").agg(F.collect_list("before").alias("before"))  # at most tokens / lexicon bytes each
+                 .mapInArrow(lambda it: _assign(it, ratio, rare, least), "word binary, c long, class long, delta binary"))
+        found = materialise(found)
+        for r in found.filter("word is null").select("delta").toLocalIterator():  # one per task
+            g += np.frombuffer(bytes(r["delta"])).reshape(g.shape)
+        others = found.filter("word is not null").select("word", "c", "class")
     total = g.sum(axis=0)
     share = (total + 1e-9) / (total.sum() + 1e-9 * classes)
     step = np.log10((g + smooth * share) / (g.sum(axis=1, keepdims=True) + smooth))
-    order = {w: k for k, w in enumerate(words)}
-    return Model(counts, n, v, (once + 1) / (n + 2), order, np.array(list(words.values()), dtype=np.float64),
-                 np.array([of[unit_of[w]] for w in words], dtype=np.int64), {s: int(of[k]) for s, k in by_end.items()},
-                 int(of[rest]), np.log10(np.maximum(total, 1)), step)
+    return Model(counts, others, n, v, (once + 1) / (n + 2), order, np.array(list(words.values()), dtype=np.float64),
+                 word_class, end_class, rare.rest, np.log10(np.maximum(total, 1)), step)
 
 
 def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """One row per text with the frequent words' part, and one per other word of the text."""
+    """One row per text with the listed words' part, and one per other word of the text and class before it."""
     m = shared.value
     # a listed word's number, else -1 - class
     number = Units(m["words"], {s: -1 - c for s, c in m["suffix_class"].items()}, -1 - m["rest_class"])
@@ -221,35 +414,29 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
         for at in range(0, b.num_rows, 500):
             part = b.slice(at, 500)
             ids, held = part.column(0).to_pylist(), part.column(1).to_pylist()
-            out: dict[str, list] = {k: [] for k in ("rid", "key", "tf", "path", "id", "held", "n", "n_known", "base", "score")}
+            out: dict[str, list] = {k: [] for k in ("rid", "key", "tf", "before", "id", "held", "n", "n_known", "base", "score")}
             for doc, is_held, text in zip(ids, held, part.column(2).to_pylist()):
                 words = byte_words(text)
                 words.append(END)
                 w = np.fromiter(map(of, words), dtype=np.int64, count=len(words))
                 listed = w >= 0
                 cls = np.where(listed, m["word_class"][w], -1 - w)
-                path = step[np.append(end_class, cls[:-1]), cls]
+                before = np.append(end_class, cls[:-1])
+                path = step[before, cls]
                 freq = w[listed]
                 ok = seen[freq]
                 score = np.where(ok, path[listed] + emit[freq], np.log10(m["unseen"])).sum()
-                rare: dict[bytes, list] = {}
-                for p, x in zip(np.flatnonzero(~listed).tolist(), (path - class_log[cls])[~listed].tolist()):
-                    got = rare.get(words[p])
-                    if got is None:
-                        rare[words[p]] = [1, x]
-                    else:
-                        got[0] += 1
-                        got[1] += x
+                rare = Counter((words[p], c) for p, c in zip(np.flatnonzero(~listed).tolist(), before[~listed].tolist()))
                 k = len(rare)
                 out["rid"] += [row] * (k + 1)
-                out["key"] += [*rare, END + row.to_bytes(8, "big")]  # the text's own row matches no word
-                out["tf"] += [*(x[0] for x in rare.values()), None]
-                out["path"] += [*(x[1] for x in rare.values()), None]
+                out["key"] += [*(w for w, _ in rare), END + row.to_bytes(8, "big")]  # the text's own row matches no word
+                out["tf"] += [*rare.values(), None]
+                out["before"] += [*(c for _, c in rare), None]
                 for name, value in (("id", doc), ("held", is_held), ("n", len(words)), ("n_known", int(ok.sum())),
                                     ("base", float(base[freq].sum())), ("score", float(score))):
                     out[name] += [None] * k + [value]
                 row += 1
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.float64(), part.schema.field(0).type, pa.bool_(),
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), part.schema.field(0).type, pa.bool_(),
                      pa.int64(), pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out.values(), kinds)], names=list(out))
 
@@ -261,9 +448,13 @@ def score(docs: DataFrame, model: Model, held: Column, id_col: str = "doc_id", t
     shared = spark.sparkContext.broadcast(model.params())
     rows = docs.select(F.col(id_col).alias("_id"), held.alias("_held"), F.col(text_col).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()  # an atomic type
-    rows = rows.mapInArrow(lambda it: _score(it, shared), "rid long, key binary, tf long, path double, "
+    rows = rows.mapInArrow(lambda it: _score(it, shared), "rid long, key binary, tf long, before int, "
                            f"id {kind}, held boolean, n long, n_known long, base double, score double")
-    others = model.counts.filter(F.col("c") * lexicon < model.tokens).select(F.col("word").alias("key"), "c")
+    others = model.others.select(F.col("word").alias("key"), "c", "class")
+    k = len(model.step)
+    # log10 of P(class | class before) / tokens of the class
+    moves = F.lit((model.step - model.class_log).ravel())
+    path = F.get(moves, (F.col("before") * k + F.col("class")).cast("int"))
     space, tf, c = float(model.tokens + model.types + 1), F.col("tf"), F.col("c")
     known = F.lit(float(np.log10(1 - model.unseen)))
     unseen = F.lit(float(np.log10(model.unseen)))
@@ -272,7 +463,7 @@ def score(docs: DataFrame, model: Model, held: Column, id_col: str = "doc_id", t
         "rid", "id", "held", "n",
         F.when(rare, F.when(c.isNotNull(), tf).otherwise(0)).otherwise(F.col("n_known")).alias("n_known"),
         F.when(rare, tf * F.log10((F.coalesce(c, F.lit(0)) + 1) / F.lit(space))).otherwise(F.col("base")).alias("base"),
-        F.when(rare, F.when(c.isNotNull(), F.col("path") + tf * (F.log10(c.cast("double")) + known)).otherwise(tf * unseen))
+        F.when(rare, F.when(c.isNotNull(), tf * (path + F.log10(c.cast("double")) + known)).otherwise(tf * unseen))
         .otherwise(F.col("score")).alias("score"))
     total = joined.groupBy("rid").agg(F.max("id").alias(id_col), F.max("held").alias("held_out"),
                                       F.max("n").alias("n_tokens"), F.sum("n_known").alias("n_known"),

@@ -138,6 +138,26 @@ def test_brown_probabilities_sum_to_one(docs):
         assert math.isclose(p, 1, rel_tol=1e-5)
 
 
+@pytest.mark.parametrize("lexicon", [100_000, 40])
+def test_brown_rare_words_get_classes_of_their_own(spark, lexicon):
+    """Words of two kinds with the same last bytes, all too rare to be units of the start; listed, or joined."""
+    rng = random.Random(3)
+    kinds = [[f"{c}{i}xx" for i in range(60)] for c in "ab"]
+    rows = [(" ".join(w for _ in range(12) for w in (f"head{g}", rng.choice([f"mid{g}", rng.choice(kinds[g])]), f"tail{g}")),)
+            for g in (0, 1) for _ in range(60)]
+    m = brown.fit(spark.createDataFrame(rows, "text string").repartition(4), classes=8, units=20, lexicon=lexicon)
+    of = {w: int(m.word_class[k]) for w, k in m.words.items()}
+    assert (b"a1xx" in of) == (lexicon > 40)
+    of |= {bytes(r.word): r["class"] for r in m.others.collect()}
+    c = {bytes(r.word): r.c for r in m.counts.collect()}
+    first, second = ({of[w.encode()] for w in kind if c.get(w.encode(), 0) >= 3} for kind in kinds)
+    assert first and second and not first & second
+    total = np.zeros(8)
+    for w, n in c.items():
+        total[of[w]] += n
+    assert np.allclose(10 ** m.class_log, np.maximum(total, 1))  # so all known words add up to 1
+
+
 def test_exchange_never_lowers_the_likelihood_and_splits_two_languages():
     rng = np.random.default_rng(0)
     n = np.zeros((21, 21))
