@@ -2,8 +2,8 @@
 
 Spark keeps the documents with a cue word.  Around every cue a block of words is cut and
 compressed by zstandard, by itself and with each template as raw dictionary; the relative
-reduction in size ranks the templates.  The best ``confirm`` are compared with the words around
-the cue: a template is found if at most ``slack`` of its words are missing there, no word with
+reduction in size ranks the templates.  All that reduce the size, or whose exact words stand in
+the block, are compared with the words around the cue: a template is found if at most ``slack`` of its words are missing there, no word with
 a digit among them, and no words stand between its words beyond that number.
 
 Words are compared without case and the punctuation around them.  A document's license is the
@@ -56,12 +56,12 @@ def plain(text: str) -> list[str]:
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str], reach: int, confirm: int, slack: float):
+    def __init__(self, templates: dict[str, str], reach: int, slack: float):
         self.words = {k: w for k, t in sorted(templates.items()) if (w := plain(t))}
         self.alone = zstandard.ZstdCompressor(level=3)
         self.given = {k: zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(
             " ".join(w).encode("utf-8"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for k, w in self.words.items()}
-        self.reach, self.confirm, self.slack = reach, confirm, slack
+        self.reach, self.slack = reach, slack
 
     def reductions(self, block: str) -> list[tuple[float, str]]:
         """(share of the compressed size saved, template), largest first."""
@@ -93,8 +93,9 @@ class Scanner:
         best: dict[str, tuple[float, int]] = {}
         for i in cues:
             block = " ".join(words[max(0, i - self.reach):i + self.reach + 1])
-            for gain, name in self.reductions(block)[:self.confirm]:
-                if gain > 0 and (d := self.differences(name, words, i)) is not None:
+            for gain, name in self.reductions(block):
+                exact = f" {' '.join(self.words[name])} " in f" {block} "
+                if (gain > 0 or exact) and (d := self.differences(name, words, i)) is not None:
                     best[name] = max(best.get(name, (-1.0, 0)), (gain, -d))
         found = [(k, g, -d) for k, (g, d) in best.items()]
         return len(cues), sorted(found, key=lambda x: (-x[1], x[2], x[0]))
@@ -113,7 +114,7 @@ def _scan(batches: Iterator[pa.RecordBatch], options: tuple) -> Iterator[pa.Reco
 
 
 def scan(docs: DataFrame, keep: list[str], text_col: str = "text", templates: dict[str, str] | None = None,
-         reach: int = 24, confirm: int = 3, slack: float = 0.1) -> DataFrame:
+         reach: int = 24, slack: float = 0.1) -> DataFrame:
     """``keep`` columns with n_blocks, license, reduction, differences and licenses of every row."""
     text = F.lower(F.col(text_col))
     cue = F.lit(False)
@@ -121,6 +122,6 @@ def scan(docs: DataFrame, keep: list[str], text_col: str = "text", templates: di
         cue = cue | F.contains(text, F.lit(c))
     # documents without a cue send no text to the workers
     rows = docs.select(*clear(keep, "n_blocks", "license", "reduction", "differences", "licenses"), F.when(cue, F.col(text_col)).alias("_text"))
-    options = (templates or TEMPLATES, reach, confirm, slack)
+    options = (templates or TEMPLATES, reach, slack)
     return rows.mapInArrow(lambda it: _scan(it, options), with_fields(rows, "n_blocks long, license string, reduction double, "
                            "differences long, licenses string"))

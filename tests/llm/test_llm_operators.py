@@ -367,6 +367,14 @@ def test_licenses(spark):
     assert got[9].licenses == "CC-BY-NC-4.0,MIT"
 
 
+def test_licenses_in_a_list_of_notices():
+    names = ["MIT", "CC-BY-NC-4.0", "Apache-2.0", "GPL-3.0", "CC-BY-4.0", "MPL-2.0"]
+    for some in (names[:4], names):
+        text = " ".join(license_zstd.TEMPLATES[k] for k in some)
+        _, found = license_zstd.Scanner(license_zstd.TEMPLATES, reach=24, slack=0.1).scan(text)
+        assert set(some) <= {k for k, _, d in found if d == 0}
+
+
 # ---- 8 BPE -------------------------------------------------------------------------------------
 
 def test_bpe_tree_equals_the_library():
