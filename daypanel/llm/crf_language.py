@@ -1,6 +1,8 @@
 """Language identification: a linear-chain conditional random field labels every word.
 
-Words are lower-cased and stripped of ASCII punctuation.  A word's features are its affixes
+Words are lower-cased and stripped of ASCII punctuation; a run without white space of more than
+``LONG`` bytes is cut into successive words of at most that length, between characters, which
+the chain labels one after the other.  A word's features are its affixes
 of one to three bytes, its character trigrams (both hashed to 2 ** 16 weights for each
 language) and a lexicon entry: the language that has most of its training uses, and whether
 nearly all.  The lexicon counts every training document and keeps words with at least
@@ -35,12 +37,26 @@ from daypanel.llm.common import clear, materialise, with_fields
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
+LONG = 24
 _LETTER = re.compile(r"[^\W\d_]")
 _EDGES = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return [w.strip(_EDGES) for w in text.lower().encode("utf-8").split()] if text else []
+    words = [w.strip(_EDGES) for w in text.lower().encode("utf-8").split()] if text else []
+    return [p for w in words for p in (cut(w) if len(w) > LONG else (w,))]
+
+
+def cut(word: bytes) -> Iterator[bytes]:
+    """Successive parts of a long word, none over ``LONG`` bytes, no character parted."""
+    at = 0
+    while len(word) - at > LONG:
+        end = at + LONG
+        while word[end] & 0xC0 == 0x80:
+            end -= 1
+        yield word[at:end]
+        at = end
+    yield word[at:]
 
 
 def features(word: bytes) -> list[int]:
@@ -50,7 +66,7 @@ def features(word: bytes) -> list[int]:
     w = b"^" + word + b"$"
     h, m = zlib.crc32, BUCKETS - 1
     out = [h(w[:2], 1) & m, h(w[:3], 1) & m, h(w[:4], 1) & m, h(w[-2:], 2) & m, h(w[-3:], 2) & m, h(w[-4:], 2) & m]
-    out += [h(w[i:i + 3], 3) & m for i in range(min(len(w) - 2, 24))]
+    out += [h(w[i:i + 3], 3) & m for i in range(len(w) - 2)]
     return out
 
 

@@ -441,6 +441,16 @@ def test_language_held_out_and_code_switching(docs, prose):
     assert labels[:20].count("de") >= 18 and labels[-20:].count("es") >= 18
 
 
+def test_crf_reads_the_whole_of_a_long_unspaced_run():
+    text = "漢字かな" * 50 + "x" * 100 + "😀" * 30
+    words = crf_language.words_of(text)
+    assert b"".join(words).decode() == text and max(map(len, words)) <= crf_language.LONG
+    assert all(w.decode() for w in words)
+    a, b = "a" * 30 + "q" * 30 + "z" * 9, "a" * 30 + "k" * 30 + "z" * 9
+    assert list(map(crf_language.features, crf_language.words_of(a))) != list(map(crf_language.features, crf_language.words_of(b)))
+    assert len(crf_language.features(b"b" * 40)) == 6 + 40
+
+
 # ---- 10 personal data --------------------------------------------------------------------------
 
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
