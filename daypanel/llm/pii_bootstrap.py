@@ -2,8 +2,9 @@
 
 Four regular expressions find the base entities (email, ip, card, phone), which are the
 seeds.  Every other identifier-like token (five digits or more, or an @) is an unknown
-instance.  The words before an instance, one or two of them, are its lexical patterns.  On the
-graph of patterns and instances, scores spread in rounds:
+instance, and so is a run of digit groups with space, dot, bracket or hyphen between them
+(five to ``MOST`` digits; its tokens are none of their own).  The words before an instance and
+those after it, one or two of them, are its lexical patterns.  On the graph of patterns and instances, scores spread in rounds, ``rounds`` at least and until no instance is accepted anew:
 
     confidence of a pattern for a kind = sum of its instances' scores / (its instances + 1)
     score of an unknown instance       = 1 - product over its confident patterns (1 - confidence)
@@ -42,6 +43,11 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]+\.[0-9]", "card": r"(?:[0-9][\x20-]?){15}[0-9]", "phone": r"\+[0-9]"}
 #: A word with a digit or an @ in it.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+#: Digit groups written apart, the cheap test for them, and the most digits they have together.
+GROUPS = (r"(?<![0-9][\x20().-]{0,3})[+(]{0,2}[0-9]++(?:[\x20().-]{1,3}[0-9]++){1,18}+"
+          r"(?![\x20().-]{0,3}[0-9])")
+APART = r"[0-9][).-]{0,2}\x20[\x20(.-]{0,2}[0-9]"
+MOST = 19
 _PLACE = "array<struct<s:int,e:int,v:string>>"
 _SPAN = "array<struct<k:int,s:int,e:int>>"
 
@@ -95,13 +101,29 @@ def base_spans(text: Column) -> Column:
     return F.concat(*kinds).cast(_SPAN)
 
 
-def unknown_tokens(text: Column, base: Column) -> Column:
-    """Identifier-like tokens outside the base entities, without the punctuation around them."""
+def _digits(m: Column) -> Column:
+    return F.length(F.regexp_replace(m["v"], "[^0-9]", ""))
+
+
+def _apart(m: Column, spans: Column) -> Column:
+    return ~F.exists(spans, lambda b: (b["s"] < m["e"]) & (b["e"] > m["s"]))
+
+
+def spaced_groups(text: Column, base: Column) -> Column:
+    """Runs of digit groups outside the base entities; those without a space are part of one token."""
+    none = F.expr(f"cast(array() as {_PLACE})")
+    groups = F.filter(F.when(text.rlike(APART), _matches(text, GROUPS)).otherwise(none),
+                      lambda m: F.contains(m["v"], F.lit(" ")) & _digits(m).between(5, MOST))
+    return F.filter(groups, lambda m: _apart(m, base))
+
+
+def unknown_tokens(text: Column, base: Column, groups: Column) -> Column:
+    """Identifier-like tokens outside the base entities and groups, without the punctuation around them."""
     none = F.expr(f"cast(array() as {_PLACE})")
     tokens = F.when(text.rlike("[0-9@]"), _matches(text, TOKEN)).otherwise(none)
     # most words with a digit have too few; test that before comparing with spans
-    tokens = F.filter(tokens, lambda m: F.contains(m["v"], F.lit("@")) | (F.length(F.regexp_replace(m["v"], "[^0-9]", "")) >= 5))
-    tokens = F.filter(tokens, lambda m: ~F.exists(base, lambda b: (b["s"] < m["e"]) & (b["e"] > m["s"])))
+    tokens = F.filter(tokens, lambda m: F.contains(m["v"], F.lit("@")) | (_digits(m) >= 5))
+    tokens = F.filter(tokens, lambda m: _apart(m, base) & _apart(m, groups))
 
     def bare(m: Column) -> Column:
         lead = F.length(F.regexp_extract(m["v"], "^[^A-Za-z0-9+]*", 0))
@@ -112,30 +134,35 @@ def unknown_tokens(text: Column, base: Column) -> Column:
     return F.filter(F.transform(tokens, bare), lambda m: m["e"] > m["s"])
 
 
-def _patterns(text: Column, s: Column) -> Column:
-    """The last word, and the last two, before position ``s``; digits alike."""
+def _patterns(text: Column, s: Column, e: Column) -> Column:
+    """The last word, and the last two, before position ``s``, the first and first two after ``e``; digits alike."""
     begin = F.greatest(s - 80, F.lit(0))
     left = F.regexp_replace(F.lower(F.substring(text, begin + 1, s - begin)), "[0-9]", "0")
     word = r"[^\x20\x09-\x0D]+"
     two = F.regexp_extract(left, rf"({word})[\x20\x09-\x0D]+({word})[\x20\x09-\x0D]*$", 0)
     one = F.regexp_extract(left, rf"({word})[\x20\x09-\x0D]*$", 1)
-    return F.filter(F.array(F.concat(F.lit("1 "), one), F.concat(F.lit("2 "), two)), lambda p: F.length(p) > 2)
+    right = F.regexp_replace(F.lower(F.substring(text, e + 1, F.lit(80))), "[0-9]", "0")
+    next_two = F.regexp_extract(right, rf"^[\x20\x09-\x0D]*({word}[\x20\x09-\x0D]+{word})", 1)
+    next_one = F.regexp_extract(right, rf"^[\x20\x09-\x0D]*({word})", 1)
+    named = [F.concat(F.lit(f"{k} "), p) for k, p in enumerate((one, two, next_one, next_two), 1)]
+    return F.filter(F.array(*named), lambda p: F.length(p) > 2)
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, key, base, items) per row; items: (kind number or null, s, e, v, patterns)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     d = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    d = d.withColumn("base", base_spans(F.col("text"))).withColumn("tokens", unknown_tokens(F.col("text"), F.col("base")))
+    d = d.withColumn("base", base_spans(F.col("text"))).withColumn("groups", spaced_groups(F.col("text"), F.col("base")))
+    d = d.withColumn("tokens", F.concat("groups", unknown_tokens(F.col("text"), F.col("base"), F.col("groups"))))
     t = F.col("text")
 
     def known(b: Column) -> Column:
         return F.struct(b["k"].alias("k"), b["s"].alias("s"), b["e"].alias("e"),
-                        F.lower(F.substring(t, b["s"] + 1, b["e"] - b["s"])).alias("v"), _patterns(t, b["s"]).alias("p"))
+                        F.lower(F.substring(t, b["s"] + 1, b["e"] - b["s"])).alias("v"), _patterns(t, b["s"], b["e"]).alias("p"))
 
     def other(m: Column) -> Column:
         return F.struct(F.lit(None).cast("int").alias("k"), m["s"].alias("s"), m["e"].alias("e"),
-                        F.lower(m["v"]).alias("v"), _patterns(t, m["s"]).alias("p"))
+                        F.lower(m["v"]).alias("v"), _patterns(t, m["s"], m["e"]).alias("p"))
 
     return d.select("id", row_key(F.col("id"), t).alias("key"), "base",
                     F.concat(F.transform("base", known), F.transform("tokens", other)).alias("items"))
@@ -153,8 +180,9 @@ def bootstrap(items: DataFrame, rounds: int = 3, least: float = 0.7, support: fl
     seeds = edges.filter("k is not null").select("v", "k").distinct().withColumn("score", F.lit(1.0))
     unknown = edges.filter("k is null").select("p", "v")
     scores = seeds
-    found = None
-    for _ in range(rounds):
+    ever = seeds.select("v", "k").limit(0)
+    done, fresh = 0, True
+    while done < rounds or fresh:
         worth = edges.select("p", "v").join(scores, "v").groupBy("p", "k").agg(F.sum("score").alias("worth"))
         sure = (worth.filter(F.col("worth") >= support).join(size, "p")
                 .withColumn("c", F.col("worth") / (F.col("n") + 1)).filter(F.col("c") >= least))
@@ -162,6 +190,8 @@ def bootstrap(items: DataFrame, rounds: int = 3, least: float = 0.7, support: fl
                  .agg((1 - F.exp(F.sum(F.log(1 - F.col("c"))))).alias("score")))
         found = materialise(found)
         scores = seeds.union(found)
+        new = materialise(found.filter(F.col("score") >= accept).select("v", "k").join(ever, ["v", "k"], "left_anti"))
+        done, fresh, ever = done + 1, not new.isEmpty(), ever.union(new)
     best = found.filter(F.col("score") >= accept).groupBy("v").agg(
         F.max_by("k", F.struct("score", -F.col("k"))).alias("k"), F.max("score").alias("score"))
     return best

@@ -498,6 +498,15 @@ def test_pii_bootstrap_discovers_by_context_and_masks(spark):
     assert text[100] == "please reach me under phone: <PHONE> or visit" and text[102] == rows[-2][1]
 
 
+def test_pii_bootstrap_discovers_numbers_in_groups(spark):
+    rows = [(i, f"please reach me under phone: +1 (555) 010-{1000 + i} or visit the shop") for i in range(30)]
+    rows += [(100, "me under phone: 030 1234 567 or"), (101, "my phone: (555) 010-1234"), (102, "call 030 1234 567, please"),
+             (103, "sold 12 345 678 items"), (104, "a 4111 1111 1111 1112 or visit the shop")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii_bootstrap.digest(pii_bootstrap.find(df)).collect()}
+    assert [got[i] for i in range(100, 105)] == ["phone:16:28", "phone:10:24", "phone:5:17", "", "phone:2:21"]
+
+
 # ---- odd rows and empty tables for all -----------------------------------------------------------
 
 def test_every_operator_takes_odd_rows(spark):
