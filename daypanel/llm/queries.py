@@ -131,3 +131,17 @@ from daypanel.llm import license_zstd  # noqa: E402
 def op7_license_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses found in every document."""
     return license_zstd.scan(common.table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+from daypanel.llm import merkle  # noqa: E402
+
+
+@query("op13_merkle_manifest", merkle.MANIFEST_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of every document, and where proofs of documents with a changed length lead."""
+    docs = common.table(spark, sf_dir, "documents")
+    changed = F.col("n_chars") + F.when(common.remainder("doc_id", 7) == 0, 1).otherwise(0)
+    fields = [F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), F.col("text")]
+    found = merkle.manifest(docs, F.col("lang"), fields, [F.col("doc_id")],
+                            {"doc_id": F.col("doc_id"), "tried": merkle.leaf_hash([*fields[:3], changed, fields[4]])})
+    return merkle.verify(found, F.col("tried")).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
