@@ -145,3 +145,13 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.manifest(docs, F.col("lang"), fields, [F.col("doc_id")],
                             {"doc_id": F.col("doc_id"), "tried": merkle.leaf_hash([*fields[:3], changed, fields[4]])})
     return merkle.verify(found, F.col("tried")).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+from daypanel.llm import collocations  # noqa: E402
+
+
+@query("op11_collocations", collocations.COLLOCATIONS_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of every language, of those used 100 times or more."""
+    docs = common.table(spark, sf_dir, "documents")
+    return collocations.collocations(docs, F.col("lang"), F.col("text"))
