@@ -155,3 +155,14 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2,000 best phrases of every language, of those used 100 times or more."""
     docs = common.table(spark, sf_dir, "documents")
     return collocations.collocations(docs, F.col("lang"), F.col("text"))
+
+
+from daypanel.llm import dom_trees  # noqa: E402
+
+
+@query("op12_dom_trees")
+def op12_dom_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = common.table(spark, sf_dir, "pages")
+    model = dom_trees.fit(pages, F.col("html"), [F.col("page_id"), F.col("url")])
+    return dom_trees.extract(pages, model, ["page_id", "url"])
