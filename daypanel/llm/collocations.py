@@ -5,10 +5,11 @@ by a hash table of phrases.
 
 1. Words are counted for each group (language); words with fewer than ``least`` uses part the
    text, since no phrase that holds one can reach ``least``.
-2. Every position of a frequent word becomes a window of up to five words, cut at pieces' ends
-   and at rare words.  Windows are dealt by range of their bytes and sorted, so that all windows
-   that begin with a phrase lie together: one walk over the stream counts the phrases of
-   two to five words.  Groups of windows that a range border cuts are added up afterwards.
+2. Pairs of successive frequent words are the first stream: dealt by range of their bytes, sorted,
+   and counted in one walk.  Then every place where frequent pairs follow each other
+   becomes a window of three to five words, cut where a pair is rare.  Windows are dealt and sorted in
+   the same way, so that all that begin with a phrase lie together and one walk counts the
+   phrases of three to five words.  Groups that a range border cuts are added up afterwards.
 3. The counted phrases are kept in prefix order and in suffix order (words reversed).  A walk
    over the prefix stream gives every phrase the counts of its first k words and the largest count
    of a phrase with one word more at its end; the suffix stream gives those of its last k words
@@ -20,8 +21,8 @@ A phrase that stands in a longer one as often as alone stands so in one with one
 the two extension counts decide which candidates go.
 
 Bounds: a task of step 2 codes the words with at least 1 / ``lexicon`` of all uses in three
-bytes (so at most ``lexicon`` of them are broadcast) and others by spelling; a bitmap of
-2 ** 26 bits tells rare words, by a checksum: one taken for frequent only makes windows longer.  Range borders come
+bytes (so at most ``lexicon`` of them are broadcast) and others by spelling; two bitmaps of
+2 ** 26 bits tell rare words and pairs, by a checksum: one taken for frequent only makes streams longer.  Range borders come
 from a sample of windows, one in ``STRIDE`` words and of these at most ``8 * ranges``; they
 decide where rows go, not what is counted.  There are at most 65,536 ranges.  Texts are read in
 slices of a MB, long pieces with four words of the next slice.
@@ -118,14 +119,24 @@ def _words(batches: Iterator[pa.RecordBatch], most: int = 300_000) -> Iterator[p
     yield from rows()
 
 
-def _slot(group: str, word: bytes) -> int:
-    return zlib.crc32(word, zlib.crc32(group.encode())) >> (32 - BITS)
+def checksum(group: str, word: bytes) -> int:
+    return zlib.crc32(word, zlib.crc32(group.encode()))
+
+
+def pair_slot(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Bit of pairs of words given by checksums."""
+    return (((first * np.uint64(0x9E3779B1) + second * np.uint64(0x85EBCA77)) & np.uint64(0xFFFFFFFF)) >> np.uint64(32 - BITS)).astype(np.int64)
 
 
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bits of words or of pairs of words."""
     for b in batches:
-        h = [_slot(g, w) for g, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-        yield pa.RecordBatch.from_pydict({"page": pa.array([x >> 16 for x in h], pa.int32()), "at": pa.array([x & 0xFFFF for x in h], pa.int32())})
+        phrases = [p.split(b" ") for p in b.column(1).to_pylist()]
+        sums = [np.array([checksum(g, p[k]) for g, p in zip(b.column(0).to_pylist(), phrases)], np.uint64)
+                for k in range(max(map(len, phrases), default=0))]
+        if sums:
+            h = pair_slot(*sums) if len(sums) == 2 else (sums[0] >> np.uint64(32 - BITS)).astype(np.int64)
+            yield pa.RecordBatch.from_pydict({"page": pa.array(h >> 16, pa.int32()), "at": pa.array(h & 0xFFFF, pa.int32())})
 
 
 def _page(t: pa.Table) -> pa.Table:
@@ -134,6 +145,10 @@ def _page(t: pa.Table) -> pa.Table:
     return pa.table({"page": t["page"].slice(0, 1), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
 
 
+def _bit(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 class Coder:
     """Windows as bytes: the group's name in hex, then listed words by code, others by spelling.
 
@@ -141,14 +156,16 @@ class Coder:
     a common beginning of bytes, and lie together in byte order.
     """
 
-    def __init__(self, listed: list[bytes], bits: np.ndarray):
-        self.bits = bits
+    def __init__(self, listed: list[bytes], words: np.ndarray, pairs: np.ndarray | None = None):
+        self.words, self.pairs = words, pairs
         self.codes = {w: _LEADS[i >> 16:(i >> 16) + 1] + (i & 0xFFFF).to_bytes(2, "big") for i, w in enumerate(listed)}
         self.listed = listed
 
-    def frequent(self, group: str, word: bytes) -> bool:
-        at = _slot(group, word)
-        return bool(self.bits[at >> 3] >> (7 - (at & 7)) & 1)
+    def frequent(self, sums: list[int]) -> np.ndarray:
+        return _bit(self.words, np.array(sums, np.int64) >> (32 - BITS))
+
+    def frequent_pairs(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        return _bit(self.pairs, pair_slot(first, second))
 
     def group(self, group: str) -> bytes:
         return group.encode().hex().encode() + _END
@@ -181,47 +198,78 @@ def _packed(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray, ids: np.ndar
     return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def _windows(batches: Iterator[pa.RecordBatch], shared, most: int = 300_000) -> Iterator[pa.RecordBatch]:
-    """Windows (range, key, n) at every frequent word that another one follows."""
-    coder, cuts = shared.value
-    known: dict[str, tuple[dict[bytes, int], list[bytes]]] = {}  # ids of words, and elements' bytes by id; 0 ends a window
+def _coded(batches: Iterator[pa.RecordBatch], coder: Coder, most: int = 300_000
+           ) -> Iterator[tuple[str, list[bytes], list[int], np.ndarray, int]]:
+    """(group, elements' bytes by id, checksums by id, ids, own words) of each slice; id 0 parts the text, 1 is the group."""
+    known: dict[str, tuple[dict[bytes, int], list[bytes], list[int]]] = {}
     for b in batches:
         for group, words, own in slices(b):
-            if sum(len(parts) for _, parts in known.values()) > most:
+            if sum(len(parts) for _, parts, _ in known.values()) > most:
                 known.clear()
-            ids, parts = known.setdefault(group, ({b".": 0}, [b"", coder.group(group)]))
-            for w in set(words) - ids.keys():
-                if coder.frequent(group, w):
-                    ids[w] = len(parts)
+            ids, parts, sums = known.setdefault(group, ({b".": 0}, [b"", coder.group(group)], [0, 0]))
+            new = list(set(words) - ids.keys())
+            new_sums = [checksum(group, w) for w in new]
+            for w, h, often in zip(new, new_sums, coder.frequent(new_sums).tolist()):
+                ids[w] = len(parts) if often else 0
+                if often:
                     parts.append(coder.code(w))
-                else:
-                    ids[w] = 0
+                    sums.append(h)
             a = np.zeros(len(words) + LONGEST, np.int64)
             a[:len(words)] = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-            every = np.flatnonzero((a[:own] > 0) & (a[1:own + 1] > 0))
-            if not len(every):
-                continue
-            lens = np.fromiter(map(len, parts), np.int64, len(parts))
-            flat, starts = np.frombuffer(b"".join(parts), np.uint8), np.cumsum(lens) - lens
-            for lo in range(0, len(every), 200_000):
-                rows, n = _grouped(a, every[lo:lo + 200_000])
-                keys = _packed(flat, starts, lens, rows)
-                ranges = [bisect_right(cuts, k) for k in keys.to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(ranges, pa.int32()), keys, pa.array(n, pa.int64())],
-                                                 names=["range", "key", "n"])
-
-
-def _grouped(a: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different windows of ids ``a`` at places ``at``, the group's id 1 before them, and how often each stands."""
-    rows = np.ones((len(at), LONGEST + 1), np.int64)
-    live = np.ones(len(at), bool)
-    for k in range(LONGEST):
-        x = a[at + k]
-        live &= x > 0
-        rows[:, k + 1] = np.where(live, x, 0)
-    rows = rows[np.lexsort((rows[:, 4] << 32 | rows[:, 5], rows[:, 1] << 40 | rows[:, 2] << 20 | rows[:, 3]))]
-    fresh = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)]))
-    return rows[fresh], np.diff(np.append(fresh, len(rows)))
+            yield group, parts, sums, a, own
+
+
+def _keyed(parts: list[bytes], rows: np.ndarray, n: np.ndarray, cuts: list[bytes]) -> Iterator[pa.RecordBatch]:
+    """(range, key, n) of rows of ids."""
+    lens = np.fromiter(map(len, parts), np.int64, len(parts))
+    flat, starts = np.frombuffer(b"".join(parts), np.uint8), np.cumsum(lens) - lens
+    for lo in range(0, len(rows), 100_000):
+        keys = _packed(flat, starts, lens, rows[lo:lo + 100_000])
+        yield pa.RecordBatch.from_arrays([pa.array([bisect_right(cuts, k) for k in keys.to_pylist()], pa.int32()), keys,
+                                          pa.array(n[lo:lo + 100_000], pa.int64())], names=["range", "key", "n"])
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], shared, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Counts of pairs of successive frequent words (range, key, n), added up over ``most`` places."""
+    coder, cuts = shared.value
+    held: dict[str, tuple[list[bytes], list[np.ndarray]]] = {}
+    size = 0
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for parts, codes in held.values():
+            pair, n = np.unique(np.concatenate(codes), return_counts=True)
+            yield from _keyed(parts, np.stack([np.ones(len(pair), np.int64), pair >> 32, pair & 0xFFFFFFFF], axis=1), n, cuts)
+        held.clear()
+
+    for group, parts, _, a, own in _coded(batches, coder):
+        if size > most or (group in held and held[group][0] is not parts):
+            yield from rows()
+            size = 0
+        at = np.flatnonzero((a[:own] > 0) & (a[1:own + 1] > 0))
+        held.setdefault(group, (parts, []))[1].append(a[at] << 32 | a[at + 1])
+        size += len(at)
+    yield from rows()
+
+
+def _windows(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """Windows (range, key, n) of three words or more wherever frequent pairs follow each other."""
+    coder, cuts = shared.value
+    for _, parts, sums, a, own in _coded(batches, coder):
+        h = np.array(sums, np.uint64)[a]
+        linked = (a[:-1] > 0) & (a[1:] > 0)
+        linked &= coder.frequent_pairs(h[:-1], h[1:])
+        every = np.flatnonzero(linked[:own] & linked[1:own + 1])
+        for lo in range(0, len(every), 200_000):
+            at = every[lo:lo + 200_000]
+            rows = np.ones((len(at), LONGEST + 1), np.int64)
+            live = np.ones(len(at), bool)
+            for k in range(LONGEST):
+                if k:
+                    live &= linked[at + k - 1]
+                rows[:, k + 1] = np.where(live, a[at + k], 0)
+            rows = rows[np.lexsort((rows[:, 4] << 32 | rows[:, 5], rows[:, 1] << 40 | rows[:, 2] << 20 | rows[:, 3]))]
+            fresh = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)]))
+            yield from _keyed(parts, rows[fresh], np.diff(np.append(fresh, len(rows))), cuts)
 
 
 def element_ends(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
@@ -246,8 +294,8 @@ def element_ends(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.
     return ends
 
 
-def _count(batches: Iterator[pa.RecordBatch], shared, least: int) -> Iterator[pa.RecordBatch]:
-    """Counts of the phrases that the sorted windows of a range begin with.
+def _count(batches: Iterator[pa.RecordBatch], shared, least: int, lengths: range) -> Iterator[pa.RecordBatch]:
+    """Counts of the phrases of ``lengths`` words that the sorted windows of a range begin with.
 
     A group of windows that a range's first or last window belongs to may go on beyond; its
     count is given whatever it is.
@@ -287,7 +335,7 @@ def _count(batches: Iterator[pa.RecordBatch], shared, least: int) -> Iterator[pa
         if not begun:
             same[1:2] = 0
         found: list[tuple[bytes, int]] = []
-        for k in range(2, LONGEST + 1):  # elements before the last of the phrase: the group and k - 1 words
+        for k in lengths:  # the group and k - 1 words come before the phrase's last element
             rows = np.flatnonzero(has > k)
             rows = rows[rows > 0]
             first = np.flatnonzero(same[rows] <= k)
@@ -314,11 +362,37 @@ def _count(batches: Iterator[pa.RecordBatch], shared, least: int) -> Iterator[pa
             yield phrases(found)
     if begun:
         ends = element_ends(np.frombuffer(last, np.uint8), np.zeros(1, np.int64), np.array([len(last)]))[0]
-        found = [(last[:ends[k]], open_n[k]) for k in range(2, LONGEST + 1) if open_n[k] and ends[k] > 0]
+        found = [(last[:ends[k]], open_n[k]) for k in lengths if open_n[k] and ends[k] > 0]
         if found:
             yield phrases(found)
 
 
+def bitmap(phrases: DataFrame) -> np.ndarray:
+    """Bits of words or pairs (g, phrase); made in pages of 65,536 bits, at most 1,024 of them."""
+    bits = np.zeros(1 << (BITS - 3), np.uint8)
+    pages = (phrases.select("g", "phrase").mapInArrow(_slots, "page int, at int").distinct()
+             .groupBy("page").applyInArrow(_page, "page int, bits binary").collect())
+    for p in pages:
+        bits[p["page"] << 13:(p["page"] + 1) << 13] = np.frombuffer(p["bits"], np.uint8)
+    return bits
+
+
+def borders(coder: Coder, sample: list[tuple[str, list[bytes]]], ranges: int, most: int) -> list[bytes]:
+    """At most ``ranges`` - 1 keys that part a sample of windows, cut to ``most`` words, evenly."""
+    keys = []
+    for group, window in sample:
+        sums = np.array([checksum(group, w) for w in window], np.uint64)
+        often = coder.frequent(sums.astype(np.int64))
+        linked = often[:-1] & often[1:]
+        if coder.pairs is not None:
+            linked &= coder.frequent_pairs(sums[:-1], sums[1:])
+        k = int(np.argmin(np.append(linked, False))) + 1
+        if k >= min(most, 3):
+            keys.append(coder.group(group) + b"".join(map(coder.code, window[:min(k, most)])))
+    keys.sort()
+    return sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
+
+
 def counts(texts: DataFrame, least: int, lexicon: int = 1 << 17, range_words: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
     """(g, phrase, words, f) of all phrases of up to five words used ``least`` times, and (g, n) of all groups."""
     sc = texts.sparkSession.sparkContext
@@ -326,37 +400,29 @@ def counts(texts: DataFrame, least: int, lexicon: int = 1 << 17, range_words: in
     seen = materialise(rows.groupBy("g", "kind", "word").agg(F.sum("n").alias("n"))
                        .filter((F.col("kind") != WORD_ROW) | (F.col("n") >= least)))
     sizes = seen.filter(F.col("kind") == TOTAL_ROW).select("g", "n")
-    words = seen.filter(F.col("kind") == WORD_ROW)
+    words = seen.filter(F.col("kind") == WORD_ROW).select(
+        "g", F.col("word").alias("phrase"), F.lit(1).alias("words"), F.col("n").alias("f"))
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    top = (words.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") * min(lexicon, len(_LEADS) << 16) >= total)
-           .orderBy(F.desc("n"), "word").select("word").collect())  # at most ``lexicon`` rows
-    bits = np.zeros(1 << (BITS - 3), np.uint8)
-    pages = (words.select("g", "word").mapInArrow(_slots, "page int, at int").distinct()
-             .groupBy("page").applyInArrow(_page, "page int, bits binary").collect())  # at most 1,024 rows of 8 KB
-    for p in pages:
-        bits[p["page"] << 13:(p["page"] + 1) << 13] = np.frombuffer(p["bits"], np.uint8)
-    coder = Coder([bytes(r["word"]) for r in top], bits)
+    top = (words.groupBy("phrase").agg(F.sum("f").alias("f")).filter(F.col("f") * min(lexicon, len(_LEADS) << 16) >= total)
+           .orderBy(F.desc("f"), "phrase").select("phrase").collect())  # at most ``lexicon`` rows
+    listed, frequent = [bytes(r["phrase"]) for r in top], bitmap(words)
     ranges = max(1, min(1 << 16, int(total // range_words)))
-    sample = (seen.filter(F.col("kind") == SAMPLE_ROW).select("g", "word").orderBy(F.xxhash64("word"), "word", "g")
-              .limit(8 * ranges).collect())
-    keys = []
-    for r in sample:
-        window = []
-        for w in bytes(r["word"]).split(_END):
-            if not coder.frequent(r["g"], w):
-                break
-            window.append(coder.code(w))
-        if len(window) > 1:
-            keys.append(coder.group(r["g"]) + b"".join(window))
-    keys.sort()
-    cuts = sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
-    shared = sc.broadcast((coder, cuts))
-    stream = (texts.mapInArrow(lambda it: _windows(it, shared), "range int, key binary, n long")
-              .repartitionById(len(cuts) + 1, F.col("range")).select("key", "n").sortWithinPartitions("key"))
-    found = (stream.mapInArrow(lambda it: _count(it, shared, least), "g string, phrase binary, words int, f long")
-             .groupBy("g", "phrase", "words").agg(F.sum("f").alias("f")).filter(F.col("f") >= least))
-    singles = words.select("g", F.col("word").alias("phrase"), F.lit(1).alias("words"), F.col("n").alias("f"))
-    return materialise(found.unionByName(singles)), sizes
+    sample = [(r["g"], bytes(r["word"]).split(_END)) for r in
+              seen.filter(F.col("kind") == SAMPLE_ROW).select("g", "word").orderBy(F.xxhash64("word"), "word", "g").limit(8 * ranges).collect()]
+
+    def stream(make, pairs: np.ndarray | None, lengths: range, ranges: int) -> DataFrame:
+        coder = Coder(listed, frequent, pairs)
+        cuts = borders(coder, sample, ranges, lengths[-1])
+        shared = sc.broadcast((coder, cuts))
+        dealt = (texts.mapInArrow(lambda it: make(it, shared), "range int, key binary, n long")
+                 .repartitionById(len(cuts) + 1, F.col("range")).select("key", "n").sortWithinPartitions("key"))
+        return (dealt.mapInArrow(lambda it: _count(it, shared, least, lengths), "g string, phrase binary, words int, f long")
+                .groupBy("g", "phrase", "words").agg(F.sum("f").alias("f")).filter(F.col("f") >= least))
+
+    pairs = materialise(stream(_pairs, None, range(2, 3), ranges))
+    starts = pairs.agg(F.sum("f")).first()[0] or 0
+    longer = stream(_windows, bitmap(pairs), range(3, LONGEST + 1), max(1, min(1 << 16, int(starts // range_words))))
+    return materialise(longer.unionByName(pairs).unionByName(words)), sizes
 
 
 def _walk(batches: Iterator[pa.RecordBatch], heads) -> Iterator[pa.RecordBatch]:
