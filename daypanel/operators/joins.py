@@ -37,9 +37,13 @@ def latest_actuals(actuals: DataFrame, keys: tuple[str, ...] = ("store_id", "dat
 def predictions_vs_actuals(log: DataFrame, actuals: DataFrame) -> DataFrame:
     """Log joined with the latest actual per (store_id, date), with error columns."""
     act = latest_actuals(actuals).select("store_id", "date", "actual_sales")
-    j = log.join(act, ["store_id", "date"], "inner")
+    return with_errors(log.join(act, ["store_id", "date"], "inner"))
+
+
+def with_errors(pairs: DataFrame) -> DataFrame:
+    """Adds the error and the absolute percentage error of predictions beside their actuals."""
     y, p = F.col("actual_sales"), F.col("prediction")
-    return j.withColumns({
+    return pairs.withColumns({
         "error": y - p,
         "abs_pct_error": F.abs((y - p) / F.nullif(y, F.lit(0))) * 100,
     })

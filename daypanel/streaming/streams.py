@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypanel.operators.joins import latest_actuals, predictions_vs_actuals
+from daypanel.operators.joins import with_errors
 from daypanel.operators.quality import row_errors
 from daypanel.session import shared_dir
 from daypanel.sources.tables import actuals_from_events, log_from_events, requests_from_orders
@@ -28,8 +28,11 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def run_available_now(df: DataFrame, name: str, mode: str = "append", sink: str = "parquet",
-                      batch_fn=None) -> str:
-    """Run a streaming query over all available input, then stop. Returns the output path."""
+                      batch_fn=None, progress: list | None = None, places: dict | None = None) -> str:
+    """Run a streaming query over all available input, then stop. Returns the output path.
+
+    ``progress`` gets the query's progress reports, ``places`` its checkpoint folder.
+    """
     spark = df.sparkSession
     out, ckpt = shared_dir(spark, f"{name}-out"), shared_dir(spark, f"{name}-ckpt")
     w = df.writeStream.outputMode(mode).option("checkpointLocation", ckpt).trigger(availableNow=True)
@@ -38,6 +41,10 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append", sink: str
     else:
         q = w.format(sink).option("path", out).start()
     q.awaitTermination()
+    if progress is not None:
+        progress.extend(q.recentProgress)
+    if places is not None:
+        places["checkpoint"] = ckpt
     return out
 
 
@@ -90,37 +97,72 @@ def stream_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def _latest_in_batch(batch: DataFrame, batch_id: int, out: str) -> None:
-    """foreachBatch sink: append the newest update of each key in this micro-batch.
+#: Columns of an actual besides its key, newest first when compared in this order.
+ACTUAL = ["updated_at", "id", "actual_sales"]
+
 
-    Which update is newest overall is decided on read by its own time, so neither late
-    files nor replayed batches matter and the query keeps no state.
+def expiring_actuals(acts: DataFrame, keep: str = "31 days") -> DataFrame:
+    """A stream of updates to the latest actual of each (store_id, date), one row a key.
+
+    The newest update of a key is held as state for ``keep`` after its date, by the watermark on
+    the date; then it is emitted once and dropped.  An update that comes later than that is
+    ignored.  The state holds the keys of the last ``keep`` only, however long the stream runs.
     """
-    latest_actuals(batch).write.mode("append").parquet(out)
+    day = acts.withColumn("_day", F.col("date").cast("timestamp")).withWatermark("_day", keep)
+    newest = day.groupBy("store_id", F.window("_day", "1 day").alias("w")).agg(F.max(F.struct(*ACTUAL)).alias("newest"))
+    return newest.select("store_id", F.col("w.start").cast("date").alias("date"), *[F.col(f"newest.{c}") for c in ACTUAL])
+
 
+def read_expiring(spark: SparkSession, out: str, checkpoint: str) -> DataFrame:
+    """The latest actual of every key: those already final, and those still held as state.
 
-def append_latest_actuals(acts: DataFrame) -> str:
-    """L04's ingest: a stream of updates into a table; read it with ``latest_actuals``."""
-    return run_available_now(acts, "latest-actuals", "append", batch_fn=_latest_in_batch)
+    Every key stands in one of the two, so nothing has to be aggregated on read.
+    """
+    held = spark.read.format("statestore").load(checkpoint).select(
+        F.col("key.store_id").alias("store_id"), F.col("key.window.start").cast("date").alias("date"),
+        *[F.col(f"value.max.{c}").alias(c) for c in ACTUAL])
+    return spark.read.schema(held.schema).parquet(out).unionByName(held)
 
 
 def stream_latest_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest actual per (store_id, date) from a stream of updates (batch twin: W07)."""
-    out = append_latest_actuals(actuals_from_events(stream_table(spark, sf_dir, "events")))
-    latest = latest_actuals(spark.read.parquet(out))
-    return latest.select("store_id", "date", "id", "actual_sales", "updated_at")
+    places: dict = {}
+    acts = actuals_from_events(stream_table(spark, sf_dir, "events"))
+    out = run_available_now(expiring_actuals(acts), "latest-actuals", "append", places=places)
+    return read_expiring(spark, out, places["checkpoint"]).select("store_id", "date", "id", "actual_sales", "updated_at")
 
 
-def stream_join_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The streamed log joined with the latest actual of each key (batch twin: J03).
+def join_within(log: DataFrame, acts: DataFrame, early: str = "1 day", late: str = "1 day",
+                disorder: str = "2 days") -> DataFrame:
+    """Two streams, log rows with the actuals of their (store_id, date) that come in time.
 
-    Both streams are appended to tables; the join meets one actual per key, so a key with
-    many updates multiplies nothing, and an actual may arrive before or long after its
-    prediction.
+    An actual counts if it was updated from ``early`` before until ``late`` after the prediction's
+    time.  Both sides carry a watermark of ``disorder`` (how far out of order rows may come), so
+    each side's state holds only rows that can still meet one of the other side.  A
+    prediction without an actual in time comes out once, with nulls, when the watermark has passed
+    its last chance.
     """
-    log = run_available_now(log_from_events(stream_table(spark, sf_dir, "events")), "join-log", "append")
-    acts = append_latest_actuals(actuals_from_events(stream_table(spark, sf_dir, "events")))
-    return predictions_vs_actuals(spark.read.parquet(log), spark.read.parquet(acts))
+    left = log.withWatermark("timestamp", disorder)
+    right = acts.select(F.col("store_id").alias("_store"), F.col("date").alias("_date"), F.col("id").alias("actual_id"),
+                        "actual_sales", "updated_at").withWatermark("updated_at", disorder)
+    in_time = F.expr(f"updated_at >= timestamp - INTERVAL {early} AND updated_at <= timestamp + INTERVAL {late}")
+    same = (F.col("store_id") == F.col("_store")) & (F.col("date") == F.col("_date"))
+    return left.join(right, same & in_time, "leftOuter").drop("_store", "_date")
+
+
+def latest_match(pairs: DataFrame, key: str = "id") -> DataFrame:
+    """One row a prediction: the newest of the actuals it met, with error columns (null where it met none)."""
+    rest = [c for c in pairs.columns if c != key]
+    one = pairs.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct("updated_at", "actual_id")).alias("_r"))
+    return with_errors(one.select(key, *[F.col(f"_r.{c}").alias(c) for c in rest]))
+
+
+def stream_join_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streamed log joined with the streamed actuals of a day before to a day after (batch twin: J03)."""
+    log = log_from_events(stream_table(spark, sf_dir, "events"))
+    acts = actuals_from_events(stream_table(spark, sf_dir, "events"))
+    out = run_available_now(join_within(log, acts), "join-actuals", "append")
+    return latest_match(spark.read.parquet(out)).where(F.col("actual_id").isNotNull())
 
 
 def stream_sliding_rate(spark: SparkSession, sf_dir: str, flag: str = "promo",

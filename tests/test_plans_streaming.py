@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
 from daypanel.operators.encode import code_table, label_encode
-from daypanel.operators.joins import densify_panel, holiday_lookup
+from daypanel.operators.joins import densify_panel, holiday_lookup, latest_actuals, predictions_vs_actuals
 from daypanel.operators.sampling import stratified_quota_sample
 from daypanel.session import shared_dir
-from daypanel.streaming.streams import _upsert_log, read_upserts
+from daypanel.streaming.streams import (_upsert_log, expiring_actuals, join_within, latest_match, read_expiring,
+                                        read_upserts, run_available_now)
 
 
 def test_quota_sample_limits_before_the_shuffle(spark):
@@ -79,27 +81,66 @@ def test_scan_log_prunes_log_date_partitions(spark):
     assert got.count() == rows.where("timestamp >= TIMESTAMP '2024-01-13 12:00:00'").count()
 
 
-def test_streamed_actuals_survive_late_and_replayed_files(spark):
-    """Four files in separate micro-batches, one late, one repeated, against the batch form."""
-    from daypanel.operators.joins import latest_actuals, predictions_vs_actuals
-    from daypanel.streaming.streams import append_latest_actuals
-
-    schema = "id long, store_id int, date date, actual_sales double, updated_at timestamp"
-    day = dt.date(2024, 1, 1)
-
-    def rows(*items):
-        return [(i, s, day, v, dt.datetime(2024, 1, d, 12)) for i, s, v, d in items]
-
-    files = [rows((1, 1, 10.0, 2), (2, 2, 20.0, 2)), rows((3, 1, 11.0, 20)), rows((4, 2, 19.0, 1), (5, 3, 30.0, 3)),
-             rows((3, 1, 11.0, 20))]
-    src = shared_dir(spark, "late-src")
-    for k, f in enumerate(files):
-        spark.createDataFrame(f, schema).coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    got = spark.read.parquet(append_latest_actuals(stream))
-    every = spark.createDataFrame([r for f in files for r in f], schema)
-    key = lambda df: sorted(map(tuple, latest_actuals(df).collect()))
-    assert key(got) == key(every) and len(key(got)) == 3
-    log = spark.createDataFrame([(9, 1, day, 12.0), (10, 3, day, 33.0)], "id long, store_id int, date date, prediction double")
-    pairs = {r.id: r.error for r in predictions_vs_actuals(log, got).collect()}
-    assert pairs == {9: -1.0, 10: -3.0}
+def _files(spark, name, schema, files):
+    """A stream that reads ``files`` one micro-batch after the other."""
+    src = shared_dir(spark, name)
+    for k, rows in enumerate(files):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{src}/f{k}")
+        time.sleep(1.1)  # a file source takes files by their time of change
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
+
+
+ACTUALS = "id long, store_id int, date date, actual_sales double, updated_at timestamp"
+LOG = "id long, store_id int, date date, timestamp timestamp, prediction double"
+
+
+def _at(day, hour=12):
+    return dt.datetime(2024, 1, 1, hour) + dt.timedelta(days=day)
+
+
+def test_latest_actuals_survive_late_and_replayed_files_and_expire(spark):
+    """Five micro-batches, one late and one repeated, against the batch form; old keys leave the state."""
+    def act(i, store, day, value, updated):
+        return i, store, dt.date(2024, 1, 1) + dt.timedelta(days=day), value, _at(updated)
+
+    files = [[act(1, 1, 0, 10.0, 1), act(2, 2, 0, 20.0, 1)], [act(3, 1, 0, 11.0, 5), act(4, 2, 0, 19.0, 0)],
+             [act(5, 3, 3, 30.0, 3)], [act(3, 1, 0, 11.0, 5)], [act(6, 1, 40, 40.0, 40), act(7, 2, 60, 60.0, 60)],
+             [act(8, 1, 61, 61.0, 61)]]
+    progress, places = [], {}
+    out = run_available_now(expiring_actuals(_files(spark, "late", ACTUALS, files), "31 days"), "expire", "append",
+                            progress=progress, places=places)
+    got = read_expiring(spark, out, places["checkpoint"])
+    every = spark.createDataFrame([r for f in files for r in f], ACTUALS)
+    columns = ["store_id", "date", "id", "actual_sales", "updated_at"]
+    rows = sorted(map(tuple, got.select(columns).collect()))
+    assert rows == sorted(map(tuple, latest_actuals(every).select(columns).collect())) and len(rows) == 6
+    final = sorted(r.id for r in spark.read.parquet(out).collect())
+    assert final == [2, 3, 5]                              # older than 31 days: emitted and no longer held
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in progress]
+    assert max(held) > held[-1] == 3
+
+
+def test_stream_join_with_bounded_delay(spark):
+    """Late actuals inside and outside the bound, newest match, unmatched rows, and state that is dropped."""
+    def log(i, store, day):
+        return i, store, dt.date(2024, 1, 1) + dt.timedelta(days=day), _at(day), 100.0
+
+    def act(i, store, day, value, updated):
+        return i, store, dt.date(2024, 1, 1) + dt.timedelta(days=day), value, _at(updated)
+
+    logs = [[log(1, 1, 0), log(2, 2, 0), log(3, 3, 0)], [log(4, 1, 2)], [log(5, 1, 30)], [log(6, 1, 60)], [log(7, 1, 61)]]
+    acts = [[act(1, 1, 0, 90.0, 1)], [act(2, 1, 0, 95.0, 3), act(3, 2, 0, 80.0, 9), act(4, 1, 2, 70.0, 3)],  # 3: nine days late
+            [act(5, 1, 30, 60.0, 30)], [act(6, 1, 60, 50.0, 60)], [act(7, 9, 61, 1.0, 61)]]
+    progress: list = []
+    pairs = join_within(_files(spark, "join-log", LOG, logs), _files(spark, "join-acts", ACTUALS, acts),
+                        early="1 day", late="5 days", disorder="2 days")
+    out = run_available_now(pairs, "bounded", "append", progress=progress)
+    got = {r.id: r for r in latest_match(spark.read.parquet(out)).collect()}
+    assert {i: r.actual_sales for i, r in got.items()} == {1: 95.0, 2: None, 3: None, 4: 70.0, 5: 60.0, 6: 50.0}  # 7 still waits
+    every = predictions_vs_actuals(spark.createDataFrame([r for f in logs for r in f], LOG),
+                                   spark.createDataFrame([r for f in acts for r in f], ACTUALS))
+    batch = {r.id: (r.actual_sales, r.error) for r in every.collect()}
+    assert batch.pop(2) == (80.0, -20.0)                   # without a bound it would count
+    assert batch == {i: (r.actual_sales, r.error) for i, r in got.items() if r.actual_sales is not None}
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    assert max(held) >= 7 and held[-1] <= 4                # of 14 rows only those of the last days are held
