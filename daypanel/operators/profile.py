@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daypanel.operators.quantiles import exact_median, exact_percentiles
+from daypanel.session import stored
 
 
 def mean(c: Column, scale: int | None = None) -> Column:
@@ -69,6 +70,7 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     Moments for all columns come from one aggregation; quartiles from the
     distributed exact-percentile operator (no group gathered into one task).
     """
+    df = stored(df.select(*cols), "described")
     aggs = []
     for c in cols:
         x = F.col(c)
@@ -80,7 +82,7 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     # all columns in one pass: melt to (column, value) and take percentiles per column
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
                                         for c in cols])))
-    qs = exact_percentiles(long, "value", [0.25, 0.5, 0.75], ["column"]).select(
+    qs = exact_percentiles(long, "value", [0.25, 0.5, 0.75], ["column"], kept=True).select(
         "column", F.col("p0").alias("p25"), F.col("p1").alias("p50"), F.col("p2").alias("p75"))
     out = moments.join(qs, "column", "left")
     return out.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
@@ -88,13 +90,14 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def target_stats(df: DataFrame, target: str = "Sales", scale: int | None = None) -> DataFrame:
     """Mean, median, min, max, zero count, zero percent."""
+    df = stored(df.select(target), "target")
     y = F.col(target)
     main = df.agg(
         mean(y, scale).alias("mean"), F.min(y).alias("min"),
         F.max(y).alias("max"), F.count_if(y == 0).alias("n_zero"),
         (F.count_if(y == 0) * 100.0 / F.count(F.lit(1))).alias("zero_pct"),
     )
-    return main.withColumn("median", exact_median(df, target).scalar())  # scalar subquery
+    return main.withColumn("median", exact_median(df, target, kept=True).scalar())  # scalar subquery
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -116,12 +119,13 @@ def daily_total(df: DataFrame, target: str = "Sales", date: str = "Date", scale:
 def grouped_stats(df: DataFrame, by: str, target: str = "Sales", scale: int | None = None,
                   with_std: bool = True) -> DataFrame:
     """Mean, median, (sample std), count of the target per group."""
+    df = stored(df.select(by, target), "grouped")
     y = F.col(target)
     aggs = [mean(y, scale).alias("mean")]
     if with_std:
         aggs.append(F.stddev_samp(y).alias("std"))
     aggs.append(F.count(y).alias("n"))
-    return df.groupBy(by).agg(*aggs).join(exact_median(df, target, [by]), by, "left")
+    return df.groupBy(by).agg(*aggs).join(exact_median(df, target, [by], kept=True), by, "left")
 
 
 def promo_lift(df: DataFrame, flag: str = "Promo", target: str = "Sales", scale: int | None = None) -> DataFrame:
@@ -140,12 +144,13 @@ def boxplot_stats(df: DataFrame, by: str, target: str = "Sales") -> DataFrame:
     are joined back on the group key (one row per group) and one aggregation
     finds whiskers and outliers.
     """
+    df = stored(df.select(by, target), "boxes")
     y = F.col(target)
-    q = exact_percentiles(df, target, [0.25, 0.5, 0.75], [by]).select(
+    q = exact_percentiles(df, target, [0.25, 0.5, 0.75], [by], kept=True).select(
         by, F.col("p0").alias("q1"), F.col("p1").alias("median"), F.col("p2").alias("q3"))
     q = q.withColumns({"lo_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "hi_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
-    j = df.select(by, target).join(q, by)
+    j = df.join(q, by)
     inside = (y >= F.col("lo_fence")) & (y <= F.col("hi_fence"))
     return j.groupBy(by, "q1", "median", "q3").agg(
         F.min(F.when(inside, y)).alias("whisker_lo"),

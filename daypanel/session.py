@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -69,3 +69,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return base
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it: computed once, lineage cut."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
