@@ -13,7 +13,8 @@ of each.  The runs follow each other in seeded order as one text that changes la
 their borders, which is what the transitions learn from.
 
 A document's language is the one with the largest sum of word marginals; the score is that
-language's mean marginal.  Whole texts are labelled; documents are independent.
+language's mean marginal; ties go to the first language in code-point order.  Whole texts are
+labelled, in runs of at most 60,000 words; documents are independent.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0, as is every text
 if there are no labelled training documents; a null id counts as the empty text when rows are split; repeated rows are
@@ -77,10 +78,13 @@ class Crf:
     weights: np.ndarray      # (BUCKETS + 2 * languages, languages)
     trans: np.ndarray        # (languages, languages), from row to column
 
-    def emissions(self, words: list[bytes]) -> np.ndarray:
+    def emissions(self, words: list[bytes], step: int = 20_000) -> np.ndarray:
         """Scores of words (rows) for languages; the mean of the word's feature weights times 4."""
-        rows = [features(w) + ([self.lexicon[w]] * 3 if w in self.lexicon else []) for w in words]
-        return gather(self.weights, rows)
+        out = [np.zeros((0, len(self.langs)))]
+        for k in range(0, len(words), step):  # bounds the lists of features
+            out.append(gather(self.weights, [features(w) + ([self.lexicon[w]] * 3 if w in self.lexicon else [])
+                                             for w in words[k:k + step]]))
+        return np.concatenate(out)
 
 
 def gather(weights: np.ndarray, rows: list[list[int]]) -> np.ndarray:
@@ -200,9 +204,9 @@ def _lexicon_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         seen.clear()
 
     for b in batches:
-        for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            seen.setdefault(lang, Counter()).update(words_of(text))
-            if sum(map(len, seen.values())) > 400_000:
+        for text, lang in zip(b.column(0), b.column(1)):
+            seen.setdefault(lang.as_py(), Counter()).update(words_of(text.as_py()))
+            if sum(map(len, seen.values())) > 150_000:
                 yield from rows()
     yield from rows()
 
@@ -248,56 +252,67 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return train(seq, langs, entries, rounds)
 
 
-def _predict(batches: Iterator[pa.RecordBatch], shared, known: int) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], shared, known: int, at: int, most: int = 60_000) -> Iterator[pa.RecordBatch]:
+    """Labels of the texts in column ``at``, about ``most`` words at a time; the other columns pass by."""
     crf: Crf = shared.value
     number: dict[bytes, int] = {}
     table = np.zeros((0, len(crf.langs)))
 
-    def label(texts: list[list[bytes]]) -> list[tuple[str, float]]:
+    def label(runs: list[list[bytes]]) -> np.ndarray:
+        """Sums of the word marginals of each run."""
         nonlocal table
         if len(number) > known:
             number.clear()
             table = table[:0]
-        tokens = [w for t in texts for w in t]
+        tokens = [w for t in runs for w in t]
         new = [w for w in set(tokens) if w not in number]
         if new:
             number.update(zip(new, range(len(number), len(number) + len(new))))
             table = np.concatenate([table, crf.emissions(new)])
         e = table[np.fromiter(map(number.__getitem__, tokens), dtype=np.int64, count=len(tokens))]
-        begins = np.cumsum([0, *(len(t) for t in texts)])[:-1]
+        begins = np.cumsum([0, *(len(t) for t in runs)])[:-1]
         first = np.zeros(len(tokens), dtype=bool)
         first[begins] = True
         marg = forward_backward(e, crf.trans, first, block=max(64, min(1024, int(len(tokens) ** 0.5))))[0]
         counted = np.fromiter((bool(w) for w in tokens), dtype=bool, count=len(tokens))
-        sums = np.add.reduceat(marg * counted[:, None], begins, axis=0)
-        share = sums / np.maximum(sums.sum(axis=1, keepdims=True), 1e-300)
-        best = share.argmax(axis=1)
-        return [(crf.langs[i], float(min(1.0, s[i]))) for i, s in zip(best, share)]
+        return np.add.reduceat(marg * counted[:, None], begins, axis=0)
 
     for b in batches:
-        texts = b.column(b.num_columns - 1).to_pylist()
-        out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
+        sums = np.zeros((b.num_rows, len(crf.langs)))
         rows, todo, size = [], [], 0
-        for k, text in enumerate([*texts, None]):
-            if k == len(texts) or size > 300_000:
-                if todo:
-                    for r, got in zip(rows, label(todo)):
-                        out[r] = got
-                rows, todo, size = [], [], 0
+        for k, text in enumerate(b.column(at)):
+            text = text.as_py()
             if text and crf.langs and _LETTER.search(text):
                 words = words_of(text)
-                if any(words):
+                for a in range(0, len(words) if any(words) else 0, most):
                     rows.append(k)
-                    todo.append(words)
-                    size += len(words)
-        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([o[0] for o in out], pa.string()),
-                                          pa.array([o[1] for o in out], pa.float64())],
-                                         names=[*b.schema.names[:-1], "lang_pred", "score"])
+                    todo.append(words[a:a + most])
+                    size += len(todo[-1])
+                    if size >= most:
+                        np.add.at(sums, rows, label(todo))
+                        rows, todo, size = [], [], 0
+        if todo:
+            np.add.at(sums, rows, label(todo))
+        whole = sums.sum(axis=1, keepdims=True)
+        share = sums / np.maximum(whole, 1e-300)
+        told = whole[:, 0] > 0
+        best = share.argmax(axis=1) if crf.langs else np.zeros(b.num_rows, np.int64)
+        names = [crf.langs[i] if t else UNKNOWN for i, t in zip(best, told)]
+        score = np.minimum(1.0, share.max(axis=1)) if crf.langs else np.zeros(b.num_rows)
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.string()), pa.array(score, pa.float64())],
+                                         names=[*b.schema.names, "lang_pred", "score"])
 
 
 def predict(docs: DataFrame, crf: Crf, keep: list[str], text: Column | str = "text", known: int = 300_000) -> DataFrame:
-    """``keep`` columns with lang_pred and score; a worker keeps the scores of about ``known`` words."""
-    text = F.col(text) if isinstance(text, str) else text
+    """``keep`` columns with lang_pred and score; a worker keeps the scores of about ``known`` words.
+
+    The text goes to Python once: as it is if it is one of ``keep``, beside them otherwise.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(crf)
-    rows = docs.select(*clear(keep, "lang_pred", "score"), text.alias("_text"))
-    return rows.mapInArrow(lambda it: _predict(it, shared, known), with_fields(rows, "lang_pred string, score double"))
+    keep = clear(keep, "lang_pred", "score")
+    if isinstance(text, str) and text in keep:
+        rows, at = docs.select(*keep), keep.index(text)
+    else:
+        rows, at = docs.select(*keep, (F.col(text) if isinstance(text, str) else text).alias("_text")), len(keep)
+    schema = with_fields(rows.withColumn("_", F.lit(0)), "lang_pred string, score double")
+    return rows.mapInArrow(lambda it: _predict(it, shared, known, at), schema).select(*keep, "lang_pred", "score")

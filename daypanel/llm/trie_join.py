@@ -8,18 +8,20 @@ share one order, that of the hashes.  Equal sets are one record.
    n-grams that any other record has among its first ones too can't link and is its own class.
 2. Groups.  The n-grams are dealt by a hash to a fixed number of parts for all sizes that may
    link.  There are more parts than two linked sets can differ in, so at least two parts are
-   equal in both.  Records with an equal part form a chain; chains' components are the groups.
-   Pairs are never listed.
+   equal in both.  Records with an equal part are tied to the smallest of them; the components
+   of these stars are the groups.  Pairs are never listed.
 3. Join.  A group's sets are stored in a trie, the group's commonest n-grams first, each run
    of n-grams without a fork on one edge.  All records of a block go down the trie together: a
    node holds every record's overlap with the path so far, which all sets below share, and a
    subtree is left as soon as no record can reach the needed overlap with what remains below.
-   A large group is cut into blocks by hash, and every pair of blocks is a task of its own,
-   so no task holds a whole group and no link is lost.
+   A large group is cut into blocks by hash, and pairs of blocks are dealt by a hash of group and both
+   blocks, so no task holds a whole group and no link is lost (a group of k blocks sends each
+   of its sets to k pairs).
 4. Classes.  A task returns a star for each set of records that its links connect, not the
    links; components over those stars are the classes.
 
-What one task orders of an n-gram or a part met in very many records are rows of two numbers.
+An n-gram or a part met in very many records is reduced to its smallest record before the shuffle
+and joined back to narrow rows, which adaptive execution may split; nothing is ordered by it.
 
 Edge cases: null, empty and blank texts have an empty set, link with nothing and are their
 own class; with fewer than n words the whole sequence is the one n-gram; null ids never are
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -260,9 +262,9 @@ def _link(t: pa.Table, num: int, den: int) -> pa.Table:
 def candidates(texts: DataFrame, records: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Names of the records that may link (step 1)."""
     rows = texts.select("text").mapInArrow(lambda it: _first(it, n, num, den), "gram long, node long")
-    gram = Window.partitionBy("gram")
-    shared = (rows.withColumn("low", F.min("node").over(gram)).withColumn("high", F.max("node").over(gram))
-              .filter("low != high").groupBy("node").agg(F.count(F.lit(1)).alias("shared")))
+    several = (rows.groupBy("gram").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+               .filter("low != high").select("gram"))
+    shared = rows.join(several, "gram").groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
     need = needed(F.col("n_shingles"), num, den, lambda a, b: F.call_function("div", a, F.lit(b)), F.least)
     return (records.join(shared, "node").filter(F.col("shared") >= need)
             .groupBy("digest").agg(F.min("_id").alias("_rep")))
@@ -280,18 +282,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     wanted = candidates(texts, records, n, num, den)
     found = materialise(texts.join(wanted, F.col("_id").eqNullSafe(F.col("_rep"))).select("text", "digest")
                         .mapInArrow(lambda it: _sets(it, n, num, den), "digest binary, node long, grams binary, keys array<bigint>"))
-    line = Window.partitionBy("key").orderBy("a")
-    chains = (found.select(F.explode("keys").alias("key"), F.col("node").alias("a"))
-              .withColumn("b", F.lag("a").over(line)).filter("b != a").select("a", "b"))
-    grouped = found.join(components(chains), "node").select("digest", F.col("root").alias("grp"), "grams")
+    parts = found.select(F.explode("keys").alias("key"), F.col("node").alias("a"))
+    stars = parts.join(parts.groupBy("key").agg(F.min("a").alias("b")), "key").filter("b != a").select("a", "b")
+    grouped = found.join(components(stars), "node").select("digest", F.col("root").alias("grp"), "grams")
     blocks = grouped.groupBy("grp").agg(F.ceil(F.greatest(
         F.count(F.lit(1)) / block_rows, F.sum(F.length("grams")) / block_bytes)).cast("int").alias("n_blocks"))
     dealt = (grouped.join(blocks, "grp")
              .withColumn("block", F.pmod(F.xxhash64("digest", F.lit(1)), F.col("n_blocks")).cast("int"))
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
              .withColumn("i", F.least("block", "_other")).withColumn("j", F.greatest("block", "_other"))
-             .select("grp", "i", "j", "block", "digest", "grams"))
-    links = dealt.groupBy("grp", "i", "j").applyInArrow(lambda t: _link(t, num, den), "a binary, b binary")
+             .select(F.struct("grp", "i", "j").alias("pair"), "i", "j", "block", "digest", "grams"))
+    links = dealt.groupBy("pair").applyInArrow(lambda t: _link(t, num, den), "a binary, b binary")
     roots = components(links).select(F.col("node").alias("digest"), "root")
     sets = records.filter("n_shingles > 0").groupBy("digest").agg(F.min("_id").alias("_id"))
     members = sets.join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
