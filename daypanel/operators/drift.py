@@ -68,14 +68,86 @@ def kolmogorov_pvalue(lam: Column, terms: int = 100) -> Column:
     return F.when(lam < 0.04, F.lit(1.0)).otherwise(p)
 
 
+#: Samples of at most this size get the exact p-value; beyond, the library of the reference takes a limit law too.
+KS_EXACT = 10_000
+#: Below this bound on the p-value its exact digits aren't computed.
+KS_TINY = 1e-12
+
+
+def ks_equal_pvalue(n: Column, h: Column) -> Column:
+    """P(D >= h / n) for two samples of n values each, by reflection of paths at both borders.
+
+    2 * sum over k >= 1 of (-1) ** (k - 1) * C(2n, n - kh) / C(2n, n); every binomial ratio
+    follows from the last by h factors, so all take n products.
+    """
+    start = F.struct(F.lit(1.0).alias("ratio"), F.lit(1.0).alias("sign"), F.lit(0.0).alias("total"))
+
+    def factor(acc: Column, j: Column) -> Column:
+        ratio = acc["ratio"] * (n - j) / (n + j + 1)
+        ends = (j + 1) % h == 0
+        return F.struct(ratio.alias("ratio"), F.when(ends, -acc["sign"]).otherwise(acc["sign"]).alias("sign"),
+                        (acc["total"] + F.when(ends, acc["sign"] * ratio).otherwise(F.lit(0.0))).alias("total"))
+
+    last = F.floor(n / h) * h - 1
+    total = F.aggregate(F.sequence(F.lit(0).cast("long"), last), start, factor, lambda acc: acc["total"])
+    return F.when(h > n, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.lit(2.0) * total))
+
+
+def ks_walk_pvalue(n: Column, m: Column, h: Column) -> Column:
+    """P(max |i * m - j * n| >= h) over the merge orders of n and m values, all equally likely.
+
+    A merge order is a path of steps in i and j.  Its next step is one in i with probability (values left
+    in i) / (values left), whatever came before, so the probabilities of being at (i, t - i) without
+    having left the band follow from those one step before.  What leaves the band at each step is
+    added up, which keeps small p-values exact.  The state is one array, as wide as the band.
+    """
+    start = F.struct(F.lit(0).cast("long").alias("lo"), F.array(F.lit(1.0)).alias("at"), F.lit(0.0).alias("out"))
+
+    def step(acc: Column, t: Column) -> Column:
+        left = (n + m - t + 1).cast("double")
+
+        def arrive(k: Column) -> Column:
+            i = acc["lo"] + k
+            by_i = F.coalesce(F.get(acc["at"], k - 1), F.lit(0.0)) * (n - i + 1)
+            by_j = F.coalesce(F.get(acc["at"], k), F.lit(0.0)) * (m - (t - 1 - i))
+            return (by_i + by_j) / left
+
+        every = F.transform(F.sequence(F.lit(0), F.size(acc["at"])), arrive)
+
+        def inside(i: Column) -> Column:
+            return F.abs(i * m - (t - i) * n) < h
+
+        kept = F.filter(every, lambda x, k: inside(acc["lo"] + k))
+        gone = F.aggregate(F.filter(every, lambda x, k: ~inside(acc["lo"] + k)), acc["out"], lambda a, x: a + x)
+        first = F.greatest(acc["lo"], F.floor((t * n - h) / (n + m)).cast("long") + 1)
+        return F.struct(first.alias("lo"), kept.alias("at"), gone.alias("out"))
+
+    steps = F.sequence(F.lit(1).cast("long"), n + m)
+    return F.least(F.lit(1.0), F.aggregate(steps, start, step, lambda acc: acc["out"]))
+
+
+def ks_pvalue(n: Column, m: Column, d: Column) -> Column:
+    """Two-sided p-value of a two-sample statistic ``d`` for sample sizes n and m.
+
+    Exact up to ``KS_EXACT`` values a sample: in closed form for equal sizes, by the walk over the
+    band otherwise.  Larger samples, and statistics so large that p is under about ``KS_TINY``,
+    take the limit law.  Null sizes or an empty sample give null or the limit law's value.
+    """
+    n, m = n.cast("long"), m.cast("long")
+    x, y = n.cast("double"), m.cast("double")
+    limit = kolmogorov_pvalue(F.sqrt(x * y / (x + y)) * d)
+    h = F.round(d * x * y).cast("long")
+    exact = F.when(h <= 0, F.lit(1.0)).when(n == m, ks_equal_pvalue(n, F.floor(h / n).cast("long"))).otherwise(ks_walk_pvalue(n, m, h))
+    small = (F.greatest(n, m) <= KS_EXACT) & (F.least(n, m) > 0) & (limit > KS_TINY)
+    return F.when(small, exact).otherwise(limit)
+
+
 def ks_test(ref: DataFrame, cur: DataFrame, features: list[str], blocks: int = 64) -> DataFrame:
     """(feature, n_ref, n_cur, ks_stat, p_value) per numeric feature."""
     e = ecdf_pairs(value_counts_two(ref, cur, features), blocks)
     d = e.groupBy("feature").agg(F.first("tot1").alias("n_ref"), F.first("tot2").alias("n_cur"),
                                  F.max(F.abs(F.col("cdf1") - F.col("cdf2"))).alias("ks_stat"))
-    n, m = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
-    lam = F.sqrt(n * m / (n + m)) * F.col("ks_stat")
-    return d.withColumn("p_value", kolmogorov_pvalue(lam))
+    return d.withColumn("p_value", ks_pvalue(F.col("n_ref"), F.col("n_cur"), F.col("ks_stat")))
 
 
 def category_shares(ref: DataFrame, cur: DataFrame, features: list[str]) -> DataFrame:

@@ -5,15 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from daypanel.session import stored
 
 
 def code_table(df: DataFrame, col: str) -> DataFrame:
     """(value, code) with codes 0..k-1 in alphabetical order of the distinct values.
 
-    The window runs over the distinct values only (bounded by the cardinality).
+    The distinct values are dealt by range, counted for each range and numbered inside each; the
+    ranges before it give a range its first code.  No task orders all values.
     """
     vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull()).distinct()
-    return vals.select("_v", (F.row_number().over(Window.orderBy("_v")) - 1).cast("int").alias("_code"))
+    ranged = stored(vals.repartitionByRange("_v").withColumn("_range", F.spark_partition_id()), "codes")
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    every = sizes.agg(F.collect_list(F.struct("_range", "n"))).scalar()  # one entry a range
+    before = F.aggregate(F.filter("_sizes", lambda s: s["_range"] < F.col("_range")), F.lit(0).cast("long"), lambda a, s: a + s["n"])
+    inside = Window.partitionBy("_range").orderBy("_v")
+    return ranged.withColumn("_sizes", every).select(
+        "_v", (before + F.row_number().over(inside) - 1).cast("int").alias("_code"))
 
 
 def label_encode(df: DataFrame, cols: list[str], codes: dict[str, DataFrame] | None = None,

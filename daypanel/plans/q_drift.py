@@ -47,10 +47,26 @@ ecdf AS (SELECT feature, v, sum(n1) OVER (PARTITION BY feature) AS N1, sum(n2) O
 kd AS (SELECT feature, CAST(max(N1) AS BIGINT) AS n_ref, CAST(max(N2) AS BIGINT) AS n_cur,
               max(abs(F1 - F2)) AS ks_stat FROM ecdf GROUP BY feature),
 kl AS (SELECT *, sqrt(CAST(n_ref AS DOUBLE) * CAST(n_cur AS DOUBLE) / (CAST(n_ref AS DOUBLE) + CAST(n_cur AS DOUBLE))) * ks_stat AS lam FROM kd),
-ks AS (SELECT feature, n_ref, n_cur, ks_stat,
+kx AS (SELECT *, CAST(round(ks_stat * n_ref::DOUBLE * n_cur::DOUBLE) AS BIGINT) AS h,
               CASE WHEN lam < 0.04 THEN 1.0 ELSE least(1.0, greatest(0.0, 2.0 * (
                  SELECT sum(CASE WHEN j % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * j * j * lam * lam))
-                 FROM range(1, 101) t(j)))) END AS p_value FROM kl)"""
+                 FROM range(1, 101) t(j)))) END AS limit_p FROM kl),
+kc AS (SELECT DISTINCT n_ref AS n, n_cur AS m, h FROM kx
+       WHERE greatest(n_ref, n_cur) <= 10000 AND least(n_ref, n_cur) > 0 AND limit_p > 1e-12 AND h > 0),
+kwalk(n, m, h, t, lo, f, gone) AS (
+  SELECT n, m, h, 0::BIGINT, 0::BIGINT, [1.0::DOUBLE], 0.0::DOUBLE FROM kc
+  UNION ALL
+  SELECT n, m, h, t, greatest(lo, CAST(floor((t * n - h)::DOUBLE / (n + m)) AS BIGINT) + 1),
+         list_filter(every, lambda x, k: abs((lo + k - 1) * m - (t - lo - k + 1) * n) < h),
+         gone + coalesce(list_sum(list_filter(every, lambda x, k: abs((lo + k - 1) * m - (t - lo - k + 1) * n) >= h)), 0.0)
+  FROM (SELECT n, m, h, t + 1 AS t, lo, gone, list_transform(range(0, len(f) + 1), lambda k:
+               (coalesce(list_extract(f, k), 0.0) * (n - lo - k + 1) + coalesce(list_extract(f, k + 1), 0.0) * (m - t + lo + k)) / (n + m - t)) AS every
+        FROM kwalk WHERE t < n + m)),
+kp AS (SELECT n, m, h, least(1.0, gone) AS p FROM kwalk WHERE t = n + m),
+ks AS (SELECT feature, n_ref, n_cur, ks_stat,
+              CASE WHEN kx.h <= 0 AND greatest(n_ref, n_cur) <= 10000 AND least(n_ref, n_cur) > 0 THEN 1.0
+                   ELSE coalesce(p, limit_p) END AS p_value
+       FROM kx LEFT JOIN kp ON kp.n = n_ref AND kp.m = n_cur AND kp.h = kx.h)"""
 
 
 def cat_sql(ref: str, cur: str, feats: list[str]) -> str:

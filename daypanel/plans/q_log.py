@@ -176,12 +176,12 @@ def q_latest_version(spark, sf):
 
 # ---- sinks and sources (write to the shared folder, read back) ------------------------------
 
-@query("sink_parquet_partitioned", S.PANEL_WITH + " SELECT *, CAST(year(Date) AS INTEGER) AS Year FROM clean WHERE year(Date) = 1998")
+@query("sink_parquet_partitioned", S.PANEL_WITH + " SELECT *, CAST(year(Date) AS INTEGER) AS Year FROM clean")
 def q_sink_parquet_partitioned(spark, sf):
-    """S04 + S02: panel written partitioned by year; the read prunes to one partition."""
+    """S04 + S02: panel written partitioned by year, every year read back."""
     path = shared_dir(spark, "panel")
     IO.sink_parquet(clean(spark, sf).withColumn("Year", F.year("Date")), path, ["Year"])
-    return IO.scan_parquet(spark, path).where("Year = 1998")
+    return IO.scan_parquet(spark, path)
 
 
 @query("csv_roundtrip", S.PANEL_WITH + " SELECT * FROM facts")
@@ -224,13 +224,14 @@ SELECT b.batch_id, b.model_version, COUNT(*) AS n,
 FROM features, (VALUES ('batch-1', '1'), ('batch-2', '2')) b(batch_id, model_version)
 WHERE Sales_Lag_7 IS NOT NULL GROUP BY 1, 2""")
 def q_sink_log_append(spark, sf):
-    """Two scored batches appended to a log partitioned by log date; read back per batch."""
+    """Two scored batches in a log partitioned by log date, one of them written twice; read back per batch."""
     path = shared_dir(spark, "predlog")
     scored = features(spark, sf).where("Sales_Lag_7 IS NOT NULL").select(
         F.col("Store").alias("store_id"), F.col("Date").alias("date"), F.col("Sales_Lag_7").alias("prediction"))
     IO.sink_log(scored, path, "batch-1", "1")
     IO.sink_log(scored, path, "batch-2", "2")
-    back = IO.scan_parquet(spark, path)
+    IO.sink_log(scored, path, "batch-1", "1")
+    back = IO.read_log(spark, path)
     return back.groupBy("batch_id", "model_version").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("prediction").cast("decimal(18,2)")).cast("double").alias("total_prediction"))

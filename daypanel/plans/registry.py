@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if sql is not None:
-            TWINS[name] = sql
+            TWINS[name] = sql.replace("WITH ", "WITH RECURSIVE ", 1) if "kwalk(" in sql else sql
         return fn
     return deco
 

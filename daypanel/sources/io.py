@@ -73,13 +73,22 @@ def sort_panel(df: DataFrame, entity: str = "Store", date: str = "Date") -> Data
 
 def sink_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                  mode: str = "overwrite") -> None:
-    """Parquet, optionally partitioned (e.g. by year) for pruning on read."""
-    w = df.write.mode(mode)
+    """Parquet, optionally partitioned (e.g. by year) for pruning on read.
+
+    Rows are clustered by partition first, so a partition is one file, or a few where it is large
+    (adaptive execution splits it), not one for every task.
+    """
+    w = clustered(df, partition_by).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
+def clustered(df: DataFrame, by: list[str] | None) -> DataFrame:
+    """Rows of a partition together, in files of even size."""
+    return df.hint("rebalance", *by) if by else df
+
+
 def load_panel(spark: SparkSession, facts_path: str, dim_path: str) -> tuple[DataFrame, DataFrame]:
     """The two typed raw reads."""
     facts = scan_csv(spark, facts_path, RAW_FACTS_SCHEMA)
@@ -133,16 +142,35 @@ def scan_log(log: DataFrame, days: int, anchor=None, ts: str = "timestamp",
     return log.where(cond).select(*cols)
 
 
-def sink_log(scored: DataFrame, path: str, batch_id: str, model_version: str,
-             model_stage: str = "Production") -> None:
-    """Append a scored batch, partitioned by log date."""
-    out = scored.withColumns({
-        "batch_id": F.lit(batch_id),
-        "timestamp": F.current_timestamp(),
-        "model_version": F.lit(model_version),
-        "model_stage": F.lit(model_stage),
-    }).withColumn("log_date", F.to_date("timestamp"))
-    out.write.mode("append").partitionBy("log_date").parquet(path)
+#: The whole log row; what a scored batch doesn't have is null.
+LOG_ROW = """id long, timestamp timestamp, batch_id string, store_id int, date date, prediction double, model_version string,
+    model_stage string, day_of_week int, open int, promo int, state_holiday string, school_holiday int, month int, year int,
+    store_type string, assortment string, competition_distance double, promo2 int, is_promo2_active int, sales_lag_7 double,
+    sales_rolling_mean_7 double, response_time_ms double"""
+
+
+def sink_log(scored: DataFrame, path: str, batch_id: str, model_version: str, model_stage: str = "Production",
+             at=None) -> None:
+    """Write a scored batch's whole log rows, partitioned by log date and batch.
+
+    The batch replaces its own earlier rows of that day (dynamic partition overwrite), so a rerun doesn't
+    double them; pass the batch's own time as ``at`` where a rerun may fall on another day.  A row's
+    id follows from batch, entity and date.
+    """
+    when = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    given = scored.withColumns({
+        "batch_id": F.lit(batch_id), "timestamp": when, "model_version": F.lit(model_version),
+        "model_stage": F.lit(model_stage), "id": F.xxhash64(F.lit(batch_id), "store_id", "date")})
+    have = set(given.columns)
+    row = given.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                         for f in T.StructType.fromDDL(LOG_ROW)]).withColumn("log_date", F.to_date("timestamp"))
+    (clustered(row, ["log_date", "batch_id"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("log_date", "batch_id").parquet(path))
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The written log rows (partition columns typed as in ``LOG_ROW``)."""
+    return spark.read.schema(LOG_ROW + ", log_date date").parquet(path)
 
 
 JSON_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # keep microseconds in JSON text
