@@ -8,8 +8,8 @@ share one order, that of the hashes.  Equal sets are one record.
    n-grams that any other record has among its first ones too can't link and is its own class.
 2. Groups.  The n-grams are dealt by a hash to a fixed number of parts for all sizes that may
    link.  There are more parts than two linked sets can differ in, so at least two parts are
-   equal in both.  Records with an equal part are tied to the smallest of them; the components
-   of these stars are the groups.  Pairs are never listed.
+   equal in both.  Records with an equal part form a chain; the chains' components are the
+   groups.  Pairs are never listed.
 3. Join.  A group's sets are stored in a trie, the group's commonest n-grams first, each run
    of n-grams without a fork on one edge.  All records of a block go down the trie together: a
    node holds every record's overlap with the path so far, which all sets below share, and a
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -138,7 +138,7 @@ def _records(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBat
 
 
 def _first(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """(n-gram, record) for the first n-grams; equal sets of a partition once."""
+    """(n-gram, record, n) for the first n-grams; equal sets of a partition once (see ``_resolved``)."""
     done: set[bytes] = set()
     for b in batches:
         grams, nodes, size = [], [], 0
@@ -150,11 +150,31 @@ def _first(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Ite
                 grams.append(head.view(np.int64))
                 nodes.append(np.full(len(head), _node(d)))
                 size += len(head)
-            if grams and (text is None or size > 500_000):
-                yield pa.RecordBatch.from_pydict({"gram": pa.array(np.concatenate(grams)), "node": pa.array(np.concatenate(nodes))})
+            if grams and (text is None or size > 1_000_000):
+                yield _resolved(np.concatenate(grams), np.concatenate(nodes))
                 grams, nodes, size = [], [], 0
 
 
+def _resolved(grams: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+    """Rows (gram, node, n) of n-grams and the records that have them, frequent n-grams reduced.
+
+    An n-gram that several of these records have is known to be shared: it goes on as two witnesses
+    (n = 0) only, and its records get counts of such n-grams (n < 0, under a gram of their own).
+    Others (n = 1) are decided where all rows of the n-gram meet.
+    """
+    order = np.lexsort((nodes, grams))
+    g, x = grams[order], nodes[order]
+    begin = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+    size = np.diff(np.append(begin, len(g)))
+    several = size > 1
+    first, last, known = begin[several], (begin + size - 1)[several], np.repeat(several, size)
+    sure, times = np.unique(x[known], return_counts=True)
+    return pa.RecordBatch.from_pydict({
+        "gram": pa.array(np.concatenate([g[~known], g[first], g[first], sure])),
+        "node": pa.array(np.concatenate([x[~known], x[first], x[last], sure])),
+        "n": pa.array(np.concatenate([np.ones(int((~known).sum()), np.int32), np.zeros(2 * len(first), np.int32), -times.astype(np.int32)]))})
+
+
 def _sets(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
     """Sets and part keys of the texts that have the digest looked for (an id may stand on several texts)."""
     for b in batches:
@@ -170,6 +190,37 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iter
             "grams": pa.array(sets, pa.binary()), "keys": pa.array(keys, pa.list_(pa.int64()))})
 
 
+def _chained(batches: Iterator[pa.RecordBatch], most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """Rows (part, record, other record): records of equal parts tied together where they meet first.
+
+    Among the records read together a part's records form a chain, whose different links go on
+    (under a part of their own); the part itself goes on with its smallest record and no other.
+    """
+    def rows(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((nodes, keys))
+        k, x = keys[order], nodes[order]
+        fresh = np.concatenate([[True], k[1:] != k[:-1]])
+        later = np.flatnonzero(~fresh)
+        pairs = np.unique(np.stack([x[later], x[later - 1]], axis=1), axis=0)
+        a, b = pairs[pairs[:, 0] != pairs[:, 1]].T
+        none = int(fresh.sum())
+        return pa.RecordBatch.from_pydict({
+            "key": pa.array(np.concatenate([k[fresh], a])), "a": pa.array(np.concatenate([x[fresh], a])),
+            "b": pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array(b, pa.int64())])})
+
+    held, size = [], 0
+    for batch in batches:
+        lists = batch.column(1)
+        lens = np.diff(lists.offsets.to_numpy())
+        held.append((lists.flatten().to_numpy(), np.repeat(batch.column(0).to_numpy(), lens)))
+        size += int(lens.sum())
+        if size > most:
+            yield rows(*map(np.concatenate, zip(*held)))
+            held, size = [], 0
+    if size:
+        yield rows(*map(np.concatenate, zip(*held)))
+
+
 class Trie:
     """Sets of ranks (ascending), ready for traversal by many records at once."""
 
@@ -261,10 +312,10 @@ def _link(t: pa.Table, num: int, den: int) -> pa.Table:
 
 def candidates(texts: DataFrame, records: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Names of the records that may link (step 1)."""
-    rows = texts.select("text").mapInArrow(lambda it: _first(it, n, num, den), "gram long, node long")
-    several = (rows.groupBy("gram").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-               .filter("low != high").select("gram"))
-    shared = rows.join(several, "gram").groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+    rows = texts.select("text").mapInArrow(lambda it: _first(it, n, num, den), "gram long, node long, n int")
+    gram = Window.partitionBy("gram")  # a hot n-gram has two rows or one for each million rows read
+    shared = (rows.withColumn("low", F.min("node").over(gram)).withColumn("high", F.max("node").over(gram))
+              .filter("n < 0 OR low != high").groupBy("node").agg(F.sum(F.abs("n")).alias("shared")))
     need = needed(F.col("n_shingles"), num, den, lambda a, b: F.call_function("div", a, F.lit(b)), F.least)
     return (records.join(shared, "node").filter(F.col("shared") >= need)
             .groupBy("digest").agg(F.min("_id").alias("_rep")))
@@ -282,9 +333,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     wanted = candidates(texts, records, n, num, den)
     found = materialise(texts.join(wanted, F.col("_id").eqNullSafe(F.col("_rep"))).select("text", "digest")
                         .mapInArrow(lambda it: _sets(it, n, num, den), "digest binary, node long, grams binary, keys array<bigint>"))
-    parts = found.select(F.explode("keys").alias("key"), F.col("node").alias("a"))
-    stars = parts.join(parts.groupBy("key").agg(F.min("a").alias("b")), "key").filter("b != a").select("a", "b")
-    grouped = found.join(components(stars), "node").select("digest", F.col("root").alias("grp"), "grams")
+    line = Window.partitionBy("key").orderBy("a")  # a hot part has one row for each million parts read
+    chains = (found.select("node", "keys").mapInArrow(_chained, "key long, a long, b long")
+              .withColumn("b", F.coalesce("b", F.lag("a").over(line))).filter("b != a").select("a", "b"))
+    grouped = found.join(components(chains), "node").select("digest", F.col("root").alias("grp"), "grams")
     blocks = grouped.groupBy("grp").agg(F.ceil(F.greatest(
         F.count(F.lit(1)) / block_rows, F.sum(F.length("grams")) / block_bytes)).cast("int").alias("n_blocks"))
     dealt = (grouped.join(blocks, "grp")

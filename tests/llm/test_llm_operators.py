@@ -542,3 +542,54 @@ def test_every_operator_takes_an_empty_table(spark):
     assert pii_bootstrap.find(d).count() == 0
     v = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert rotated_bits.nearest(v, F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_shared_ngrams_are_counted_whatever_the_flush(spark):
+    """Counts of shared first n-grams by records, in one flush or spread over many, against plain counting."""
+    rng = random.Random(2)
+    pairs = sorted({(rng.choice([1, 2, 3] + list(range(10, 60))), rng.randint(1, 40)) for _ in range(400)})
+    holders = Counter(g for g, _ in pairs)
+    want = Counter(x for g, x in pairs if holders[g] > 1)
+    for cuts in (1, 7):
+        rows = []
+        for k in range(cuts):  # a record's n-grams stay together
+            part = [(g, x + 1000) for g, x in pairs if x % cuts == k]
+            rows += trie_join._resolved(np.array([g for g, _ in part]), np.array([x for _, x in part])).to_pylist()
+        by_gram = {}
+        for r in rows:
+            by_gram.setdefault(r["gram"], set()).add(r["node"])
+        got = Counter()
+        for r in rows:
+            if r["n"] < 0 or len(by_gram[r["gram"]]) > 1:
+                got[r["node"] - 1000] += abs(r["n"])
+        assert +got == want
+
+
+def test_hot_group_is_dealt_over_tasks(spark):
+    """Links of one group of near copies come from many partitions."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(240):
+        words = list(base)
+        words[rng.randrange(80)] = f"x{i}"
+        rows.append((i, " ".join(words), "en", "s", 0))
+    df = spark.createDataFrame(rows, DOC).repartition(4)
+    seen = []
+    original = trie_join.components
+
+    def watched(edges):
+        seen.append(edges)
+        return original(edges)
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    trie_join.components = watched
+    try:
+        got = trie_join.classes(df, n=3, num=80, den=100, block_rows=30).collect()
+        parts = seen[-1].select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        trie_join.components = original
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert {r.component_id for r in got} == {0} and parts >= 8
