@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -180,10 +180,9 @@ def _unique_rows(df: DataFrame, e: dict) -> DataFrame:
         F.lit(None).cast("double").alias("observed"))
 
 
-def validate(df: DataFrame, suite: list[dict]) -> DataFrame:
-    """Evaluate a suite: one aggregation for all column/stat rules, one pass per unique rule."""
-    spark = df.sparkSession
-    aggs, rows, fixed, uniques = [], [], [], []
+def _compiled(df: DataFrame, suite: list[dict]) -> tuple[list, list, list, list]:
+    """(aggregates, their result rows, rows known from the schema, expectations with a pass of their own)."""
+    aggs, rows, fixed, own = [], [], [], []
     for i, e in enumerate(suite):
         kw = e["kwargs"]
         if "column" in kw and kw["column"] not in df.columns and e["expectation_type"] != "expect_column_to_exist":
@@ -193,27 +192,69 @@ def validate(df: DataFrame, suite: list[dict]) -> DataFrame:
         if r is not None:
             fixed.append(r)
             continue
-        if e["expectation_type"] == "expect_column_values_to_be_unique":
-            uniques.append(_unique_rows(df, e))
-            continue
-        if e["expectation_type"] == "expect_column_quantile_values_to_be_between":
-            uniques.append(_quantile_rows(df, e))
+        if e["expectation_type"] in _OWN_PASS:
+            own.append(e)
             continue
         built = _column_rule(df, e, i) or _stat_rule(df, e, i)
         if built is None:
             raise ValueError(f"unsupported expectation {e['expectation_type']}")
         aggs.extend(built[0])
         rows.append(built[1])
+    return aggs, rows, fixed, own
+
+
+_OWN_PASS = {"expect_column_values_to_be_unique": _unique_rows,
+             "expect_column_quantile_values_to_be_between": _quantile_rows}
+#: A distinct count can't be gathered while rows pass by.
+_NOT_IN_PASSING = "expect_column_unique_value_count_to_be_between"
+
+
+def _together(spark, parts: list[DataFrame]) -> DataFrame:
+    out = parts[0] if parts else spark.createDataFrame([], RESULT_SCHEMA)
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def validate(df: DataFrame, suite: list[dict]) -> DataFrame:
+    """Evaluate a suite: one aggregation for all column/stat rules, one pass per unique rule."""
+    aggs, rows, fixed, own = _compiled(df, suite)
     parts = []
     if aggs:
         parts.append(df.agg(*aggs).select(F.inline(F.array(*rows))))
+    if fixed:
+        parts.append(df.sparkSession.createDataFrame(fixed, RESULT_SCHEMA))
+    parts.extend(_OWN_PASS[e["expectation_type"]](df, e) for e in own)
+    return _together(df.sparkSession, parts)
+
+
+def write_validated(df: DataFrame, suite: list[dict], path: str,
+                    partition_by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Write ``df`` as Parquet and evaluate a suite in the same pass: (the written rows, results).
+
+    Column and statistics rules are metrics observed on the rows as they are written, so they
+    cost no scan; nothing is shuffled between them and the files, so a task that runs again
+    isn't counted twice.  Unique values, distinct counts and quantiles need all rows together:
+    each reads its one column of the written files.  Results equal those of ``validate``.
+    """
+    spark = df.sparkSession
+    later = [e for e in suite if e["expectation_type"] == _NOT_IN_PASSING and e["kwargs"]["column"] in df.columns]
+    aggs, rows, fixed, own = _compiled(df, [e for e in suite if e not in later])
+    seen = Observation()
+    writer = (df.observe(seen, *aggs) if aggs else df).write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    parts = []
+    if aggs:
+        shape = df.agg(*aggs).schema
+        metrics = spark.createDataFrame([tuple(seen.get[c] for c in shape.names)], shape)
+        parts.append(metrics.select(F.inline(F.array(*rows))))
     if fixed:
         parts.append(spark.createDataFrame(fixed, RESULT_SCHEMA))
-    parts.extend(uniques)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    if later:
+        parts.append(validate(written, later))
+    parts.extend(_OWN_PASS[e["expectation_type"]](written, e) for e in own)
+    return written, _together(spark, parts)
 
 
 def suite_statistics(results: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -302,8 +343,15 @@ def validate_input_rows(df: DataFrame, check_dow: bool = True, date_parsed: str
     return errs
 
 
-def quarantine_split(df: DataFrame, check_dow: bool = True,
-                     date_parsed: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows with an ``errors`` array) - two filters of one projection."""
-    tagged = df.withColumn("errors", row_errors(df, check_dow, date_parsed))
+def quarantine_split(df: DataFrame, check_dow: bool = True, date_parsed: str | None = None,
+                     read_errors: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rejected rows with an ``errors`` array) - two filters of one projection.
+
+    ``read_errors`` names an array column with what went wrong when the row was read (see
+    ``sources.io.scan_csv_checked``); such a row is rejected for that and not judged further.
+    """
+    errors = row_errors(df, check_dow, date_parsed)
+    if read_errors is not None:
+        errors = F.when(F.size(read_errors) > 0, F.col(read_errors)).otherwise(errors)
+    tagged = df.withColumn("errors", errors)
     return tagged.where(F.size("errors") == 0).drop("errors"), tagged.where(F.size("errors") > 0)

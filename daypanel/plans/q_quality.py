@@ -6,14 +6,18 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daypanel.functions.calendar import iso_day_of_week
 from daypanel.functions.dates import parse_multi_format_date
 from daypanel.operators import quality as Q
 from daypanel.plans import sqlparts as S
-from daypanel.plans.registry import clean, dim, facts, features, query
+from daypanel.plans.features import build_all_features, clean_panel
+from daypanel.plans.registry import PANEL_CONFIG, clean, dim, facts, features, query
 from daypanel.plans.suites import (EXTENDED_SUITE, FEATURES_SUITE, PROCESSED_SUITE, RAW_DIM_SUITE,
                                    RAW_FACTS_SUITE)
+from daypanel.session import shared_dir
+from daypanel.sources import io as IO
 from daypanel.sources.tables import DIM_COLUMNS, FACT_COLUMNS, read_table, requests_from_orders
 
 # Known schemas of the suite inputs, used by the SQL twin for the schema rules.
@@ -149,15 +153,6 @@ def q_validate_extended(spark, sf):
     return Q.validate(clean(spark, sf), EXTENDED_SUITE)
 
 
-def _stage_results(spark, sf):
-    return {
-        "raw": Q.validate(facts(spark, sf), RAW_FACTS_SUITE).unionByName(
-            Q.validate(dim(spark, sf), RAW_DIM_SUITE)),
-        "processed": Q.validate(clean(spark, sf), PROCESSED_SUITE),
-        "features": Q.validate(features(spark, sf), FEATURES_SUITE),
-    }
-
-
 def _stage_sql() -> str:
     parts = [f"SELECT 'raw' AS stage, * FROM ({suite_sql(*SUITES_SQL['raw'])})",
              f"SELECT 'raw' AS stage, * FROM ({suite_sql(*SUITES_SQL['raw_dim'])})",
@@ -181,8 +176,17 @@ def q_suite_statistics(spark, sf):
 @query("stage_gate", S.FEATURES_WITH + ", r AS (" + _stage_sql() + ") "
        + STATS_SQL.format(by="stage,") + " FROM r GROUP BY stage")
 def q_stage_gate(spark, sf):
-    """All suites of a stage unioned; the stage passes only if all passed."""
-    return Q.stage_gate(_stage_results(spark, sf))
+    """All suites of a stage unioned; the stage passes only if all passed.
+
+    Each stage is validated while it is written, and the next one reads what was written.
+    """
+    path = shared_dir(spark, "stages")
+    raw, raw_results = Q.write_validated(facts(spark, sf), RAW_FACTS_SUITE, f"{path}/facts")
+    entities, dim_results = Q.write_validated(dim(spark, sf), RAW_DIM_SUITE, f"{path}/entities")
+    panel, panel_results = Q.write_validated(clean_panel(raw, entities), PROCESSED_SUITE, f"{path}/processed")
+    _, feature_results = Q.write_validated(build_all_features(panel, PANEL_CONFIG), FEATURES_SUITE, f"{path}/features")
+    return Q.stage_gate({"raw": raw_results.unionByName(dim_results), "processed": panel_results,
+                         "features": feature_results})
 
 
 # ---- row validation on batch requests (stand-in rows from orders) ---------------------------
@@ -232,6 +236,44 @@ def q_quarantine_valid(spark, sf):
     return good
 
 
+# Fixed test faults of a request file, by request id: a missing last field, text for a number, an open quote.
+def _request_line(r, fault):
+    holiday = F.when(fault == 11, F.concat(F.lit('"'), F.col("StateHoliday"))).otherwise(F.col("StateHoliday"))
+    promo = F.when(fault == 7, F.concat(F.lit("x"), F.col("Promo").cast("string"))).otherwise(F.col("Promo").cast("string"))
+    last = F.when(fault == 3, F.lit("")).otherwise(F.concat(F.lit(","), F.col("SchoolHoliday").cast("string")))
+    return F.concat(F.concat_ws(",", "request_id", "Store", "DayOfWeek", "Date", "Open", promo, holiday), last)
+
+
+REQUEST_FILE = T.StructType([
+    T.StructField("request_id", T.LongType()), T.StructField("Store", T.IntegerType()),
+    T.StructField("DayOfWeek", T.IntegerType()), T.StructField("Date", T.DateType()),
+    T.StructField("Open", T.IntegerType()), T.StructField("Promo", T.IntegerType()),
+    T.StructField("StateHoliday", T.StringType()), T.StructField("SchoolHoliday", T.IntegerType())])
+LINE_SQL = REQ_SQL.format(dow=DOW_SQL) + """,
+lines AS (SELECT request_id, request_id % 16 AS fault, concat_ws(',', request_id, Store, DayOfWeek, Date, Open,
+    CASE WHEN request_id % 16 = 7 THEN 'x' ELSE '' END || Promo, CASE WHEN request_id % 16 = 11 THEN '"' ELSE '' END || StateHoliday)
+    || CASE WHEN request_id % 16 = 3 THEN '' ELSE ',' || SchoolHoliday END AS line, Promo FROM req)"""
+
+
+@query("csv_quarantine", LINE_SQL + """
+SELECT request_id, COALESCE(len(e) = 0, true) AS accepted, e AS errors, line FROM (
+  SELECT request_id, CASE WHEN fault IN (3, 11) THEN ['record does not have 8 fields']
+      WHEN fault = 7 THEN ['Promo is not of type int: x' || Promo] ELSE errors END AS e,
+    CASE WHEN fault IN (3, 11) THEN line END AS line
+  FROM lines JOIN errs USING (request_id))""")
+def q_csv_quarantine(spark, sf):
+    """S01 + S11 + V19: a text file of requests with broken lines; every record comes back, accepted or with its faults."""
+    path = shared_dir(spark, "request-lines")
+    r = _requests(spark, sf)
+    lines = r.select(_request_line(r, F.pmod("request_id", F.lit(16))).alias("value"))
+    lines.write.option("lineSep", "\n").text(path)
+    read = IO.scan_csv_checked(spark, path, REQUEST_FILE, header=False)
+    good, bad = Q.quarantine_split(read, read_errors=IO.READ_ERRORS)
+    none = F.array().cast("array<string>")
+    both = good.withColumn("errors", none).withColumn("accepted", F.lit(True)).unionByName(bad.withColumn("accepted", F.lit(False)))
+    return both.select("request_id", "accepted", "errors", F.col(IO.RAW_LINE).alias("line"))
+
+
 # Fixed test layouts for batch files: three accepted layouts and one that is not.
 def _batch_text(d, key):
     m, dd, y = F.month(d), F.dayofmonth(d), F.year(d)

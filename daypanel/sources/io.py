@@ -52,6 +52,36 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return reader.csv(path)
 
 
+#: Columns that ``scan_csv_checked`` adds.
+RAW_LINE, READ_ERRORS = "_line", "_read_errors"
+
+
+def scan_csv_checked(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
+    """Header CSV with every record kept, and what is wrong with it.
+
+    Fields are read as text and cast one by one.  ``_read_errors`` lists the faults (empty: none): a
+    record with too few or too many fields, which an open quote also gives, or the fields that
+    aren't of their column's type; ``_line`` holds the raw line of a record with a wrong number of
+    fields, else null.  The columns hold what could be read, so no record is lost; an empty field
+    is NULL and no fault.  A column projection doesn't change what counts as a fault; to count
+    faults, use ``_read_errors``, as Spark refuses a query of a file's raw lines alone.
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema] + [T.StructField(RAW_LINE, T.StringType())])
+    raw = (spark.read.option("header", True).option("enforceSchema", True).options(**options)
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW_LINE)
+           .option("columnPruning", False).schema(text).csv(path))
+
+    def value(f: T.StructField):
+        return F.col(f.name).try_cast(f.dataType) if f.dataType != T.StringType() else F.col(f.name)
+
+    bad = [F.when(F.col(f.name).isNotNull() & value(f).isNull(),
+                  F.concat(F.lit(f"{f.name} is not of type {f.dataType.simpleString()}: "), F.col(f.name)))
+           for f in schema if f.dataType != T.StringType()]
+    faults = F.when(F.col(RAW_LINE).isNotNull(), F.array(F.lit(f"record does not have {len(schema)} fields")))
+    fields = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
+    return raw.select(*[value(f).alias(f.name) for f in schema], RAW_LINE, faults.otherwise(fields).alias(READ_ERRORS))
+
+
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Parquet read; categorical columns stay strings."""
     return spark.read.parquet(path)
