@@ -1,7 +1,9 @@
 """I-Match document fingerprints with randomised lexicon subsets.
 
-The lexicon holds the terms (lower-cased words) whose document frequency lies in a band: at
-most ``most_common`` of all documents, and at least 2 and 1 / ``lexicon`` of all (document,
+The lexicon holds the terms (lower-cased words) whose document frequency lies in a band: in at
+most ``most_common`` of all documents, where large groups of copies and near copies (texts with
+equal signatures, two min-hashes of their terms, that make up 1 / 1000 of all or more) count as one document
+each, so that a text's copies don't push its own terms out; and in at least 2 and 1 / ``lexicon`` of all (document,
 term) pairs of repeated terms.  The band's rare end bounds the lexicon by ``lexicon`` terms
 whatever the corpus, which is why it may be broadcast.  A seeded hash puts each term into one
 of 16 subsets on each of up to four levels; level l keeps one term in 8 ** l, so that texts
@@ -18,7 +20,7 @@ buckets of neighbouring ids at approximate quantiles of the ids (bounded size, o
 the texts); the first document of each bucket also goes to the bucket before.  Exploding to
 terms, the broadcast join, regrouping and the look at the next row all stay in that bucket.
 
-Edge cases: null texts are empty; null ids come last and count as one larger than any; rows
+Edge cases: ids are whole numbers, or texts in byte order; null texts are empty; null ids come last and count as one larger than any; rows
 with the same id follow each other by the hash of their text; of a single document, the next
 is itself; an empty table gives no rows; extra columns are ignored.
 """
@@ -34,6 +36,8 @@ SUBSETS, LEVELS = 16, (1, 8, 64, 512)
 _SPACE = r"[\x20\x09-\x0D]+"
 #: Stands for the row itself among its terms; no word holds a space.
 _ROW = " "
+#: A document's weight in document frequencies.
+ONE = 1_000_000
 
 
 def terms(text: Column) -> Column:
@@ -41,20 +45,32 @@ def terms(text: Column) -> Column:
     return F.array_remove(F.array_distinct(F.split(F.lower(text), _SPACE)), "")
 
 
+def signature(words: Column) -> Column:
+    """Two min-hashes of a text's terms as one number: equal for most near copies, seldom for other texts."""
+    return F.xxhash64(*[F.array_min(F.transform(words, lambda w: F.xxhash64(F.concat(F.lit(f"{i}:"), w)))) for i in (1, 2)])
+
+
 def lexicon_of(texts: DataFrame, lexicon: int = 200_000, most_common: float = 0.1, seed: int = 1) -> DataFrame:
     """(term, subset, level) of the band; ``texts`` has one column ``text`` without nulls.
 
     There are at most ``lexicon`` rows: their frequencies add up to no more than all repeated
     terms' frequencies, and each has at least 1 / ``lexicon`` of that sum.
     """
-    n = texts.count()
-    df = materialise(texts.select(F.explode(terms(F.col("text"))).alias("term"))
-                     .groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter("df >= 2"))
+    marked = texts.select(terms(F.col("text")).alias("t")).select("t", signature(F.col("t")).alias("sig"))
+    groups = materialise(marked.groupBy("sig").agg(F.count(F.lit(1)).alias("c")))
+    n = groups.agg(F.sum("c")).first()[0] or 0
+    large = groups.filter((F.col("c") > 1) & (F.col("c") * 1000 >= n))  # at most 1,000 rows
+    # millionths of a document, in whole numbers, so that sums don't depend on their order
+    weight = F.coalesce(F.floor(F.lit(ONE) / F.col("c")), F.lit(ONE)).cast("long")
+    whole = groups.join(F.broadcast(large.select("sig")), "sig", "left_anti").agg(F.sum("c")).first()[0] or 0
+    n = whole + large.count()
+    df = materialise(marked.join(F.broadcast(large), "sig", "left").select(F.explode("t").alias("term"), weight.alias("w"))
+                     .groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("w").alias("weight")).filter("df >= 2"))
     pairs = df.agg(F.sum("df")).first()[0] or 0
     h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("term")).cast("binary")), 1, 8), 16, 10).cast("long")
     deep = F.floor(h / SUBSETS)
     level = sum((F.when(deep % d == 0, 1).otherwise(0) for d in LEVELS[1:]), F.lit(0))
-    return (df.filter((F.col("df") * lexicon >= pairs) & (F.col("df") <= max(2, int(n * most_common))))
+    return (df.filter((F.col("df") * lexicon >= pairs) & (F.col("weight") <= ONE * max(2, int(n * most_common))))
             .select("term", (h % SUBSETS).cast("int").alias("subset"), level.cast("int").alias("level")))
 
 
@@ -128,8 +144,13 @@ def _buckets(keys: DataFrame, rows: int) -> tuple[Column, DataFrame]:
 def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = 1000,
             **options) -> DataFrame:
     """Fingerprints of every text, of its edited text, and likenesses (see the module)."""
+    if docs.schema[id_col].dataType.typeName() in ("string", "varchar", "char"):  # the first seven bytes
+        start = F.rpad(F.hex(F.substring(F.col(id_col).cast("binary"), 1, 7)), 14, "0")
+        order = F.conv(start, 16, 10).cast("long")
+    else:
+        order = F.col(id_col).cast("long")
     d = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"),
-                    F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("k"))
+                    F.coalesce(order, F.lit(2**63 - 1)).alias("k"))
     bucket, before = _buckets(d.select("k"), rows)
     lexicon = lexicon_of(d.select("text"), **options)
     marker = d.sparkSession.createDataFrame([(_ROW, -1, -1)], lexicon.schema)
@@ -139,7 +160,7 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
     dealt = (d.withColumn("b", bucket).join(F.broadcast(before), F.col("k") == F.col("first"), "left")
              .withColumn("at", F.explode(F.when(F.col("first").isNull(), F.array(own)).otherwise(F.array(own, guest))))
              .select("id", "text", "k", "at.b", "at.extra"))
-    line = Window.partitionBy("b").orderBy("extra", "k", F.xxhash64("text"))
+    line = Window.partitionBy("b").orderBy("extra", "k", F.asc_nulls_last("id"), F.xxhash64("text"))
     following = F.coalesce(F.lead("text").over(line), F.col("text"))
     n = F.length("text")
     tail = F.floor(n / 4).cast("int")
