@@ -17,6 +17,9 @@ Everything is columns, joins and aggregations; positions come from the lengths o
 stretches between matches.  The graph has a row per distinct (pattern, instance), grouped by
 partial sums, so a frequent word before identifiers is a counter, not a group.
 
+Very long texts: positions, overlaps and contexts cost about as much per match in a long text
+as in a short one; only context words longer than ``CHUNK`` characters are looked for in the whole text.
+
 Edge cases: a null text is empty; spans are code points, end exclusive; repeated rows get
 the same spans; a null id is carried along; extra columns are ignored or, by ``mask``,
 kept; an empty table gives no rows.
@@ -48,24 +51,47 @@ GROUPS = (r"(?<![0-9][\x20().-]{0,3})[+(]{0,2}[0-9]++(?:[\x20().-]{1,3}[0-9]++){
           r"(?![\x20().-]{0,3}[0-9])")
 APART = r"[0-9][).-]{0,2}\x20[\x20(.-]{0,2}[0-9]"
 MOST = 19
+#: Matches in a block of running positions, and characters in a chunk of a text.
+BLOCK, CHUNK = 512, 1024
 _PLACE = "array<struct<s:int,e:int,v:string>>"
 _SPAN = "array<struct<k:int,s:int,e:int>>"
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)``, the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _matches(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches as (s, e, v)."""
+    """Leftmost non-overlapping matches as (s, e, v).
+
+    Positions are running sums: first inside blocks of ``BLOCK`` matches, then over the blocks, so
+    that lists are never extended match by match over their whole length.
+    """
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"),
                          F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("v"))
     parts = F.filter(parts, lambda x: x["v"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {_PLACE})").alias("out"))
+
+    def place(s: Column, e: Column, v: Column) -> Column:
+        return F.struct(s.alias("s"), e.alias("e"), v.alias("v"))
 
     def add(acc: Column, x: Column) -> Column:
         s = acc["at"] + F.length(x["gap"])
         e = s + F.length(x["v"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(
-            s.alias("s"), e.alias("e"), x["v"].alias("v")))).cast(_PLACE).alias("out"))
+        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(place(s, e, x["v"]))).alias("out"))
+
+    def follow(acc: Column, block: Column) -> Column:
+        moved = F.transform(block["out"], lambda m: place(m["s"] + acc["at"], m["e"] + acc["at"], m["v"]))
+        return F.struct((acc["at"] + block["at"]).alias("at"), F.concat(acc["out"], F.array(moved)).alias("out"))
 
-    return F.aggregate(parts, start, add)["out"]
+    def blocks(p: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor(F.greatest(F.size(p) - 1, F.lit(0)) / BLOCK).cast("int"))
+        return F.transform(numbers, lambda i: F.slice(p, i * BLOCK + 1, F.lit(BLOCK)))
+
+    first = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {_PLACE})").alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{_PLACE}>)").alias("out"))
+    inner = _let(parts, lambda p: F.transform(blocks(p), lambda b: F.aggregate(b, first, add)))
+    return F.flatten(F.aggregate(inner, start, follow)["out"]).cast(_PLACE)
 
 
 def _luhn(digits: Column) -> Column:
@@ -105,8 +131,27 @@ def _digits(m: Column) -> Column:
     return F.length(F.regexp_replace(m["v"], "[^0-9]", ""))
 
 
-def _apart(m: Column, spans: Column) -> Column:
-    return ~F.exists(spans, lambda b: (b["s"] < m["e"]) & (b["e"] > m["s"]))
+def _clear_of(places: Column, spans: Column) -> Column:
+    """The places, none of which overlap each other, that overlap no span: one walk over both by their starts."""
+    def event(x: Column, kind: int, v: Column) -> Column:
+        return F.struct(x["s"].alias("s"), F.lit(kind).alias("kind"), x["e"].alias("e"), v.alias("v"))
+
+    events = F.array_sort(F.concat(F.transform(spans, lambda b: event(b, 0, F.lit(""))),
+                                   F.transform(places, lambda m: event(m, 1, m["v"]))))
+    none = F.expr(f"cast(array() as {_PLACE})")
+
+    def walk(acc: Column, x: Column) -> Column:
+        span = x["kind"] == 0
+        here = F.array(F.struct(x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v")))
+        # only the last place can reach beyond the start of the next span
+        kept = F.filter(acc["last"], lambda p: p["e"] <= x["s"])
+        return F.struct(F.when(span, F.greatest(acc["end"], x["e"])).otherwise(acc["end"]).alias("end"),
+                        F.when(span, kept).when(x["s"] >= acc["end"], here).otherwise(none).alias("last"),
+                        F.when(span, acc["out"]).otherwise(F.concat(acc["out"], acc["last"])).alias("out"))
+
+    start = F.struct(F.lit(0).alias("end"), none.alias("last"), none.alias("out"))
+    walked = F.aggregate(events, start, walk, lambda acc: F.concat(acc["out"], acc["last"])).cast(_PLACE)
+    return F.when((F.size(places) == 0) | (F.size(spans) == 0), places).otherwise(walked)
 
 
 def spaced_groups(text: Column, base: Column) -> Column:
@@ -114,7 +159,7 @@ def spaced_groups(text: Column, base: Column) -> Column:
     none = F.expr(f"cast(array() as {_PLACE})")
     groups = F.filter(F.when(text.rlike(APART), _matches(text, GROUPS)).otherwise(none),
                       lambda m: F.contains(m["v"], F.lit(" ")) & _digits(m).between(5, MOST))
-    return F.filter(groups, lambda m: _apart(m, base))
+    return _let(groups, lambda g: _clear_of(g, base))
 
 
 def unknown_tokens(text: Column, base: Column, groups: Column) -> Column:
@@ -123,7 +168,8 @@ def unknown_tokens(text: Column, base: Column, groups: Column) -> Column:
     tokens = F.when(text.rlike("[0-9@]"), _matches(text, TOKEN)).otherwise(none)
     # most words with a digit have too few; test that before comparing with spans
     tokens = F.filter(tokens, lambda m: F.contains(m["v"], F.lit("@")) | (_digits(m) >= 5))
-    tokens = F.filter(tokens, lambda m: _apart(m, base) & _apart(m, groups))
+    tokens = _let(tokens, lambda t: _clear_of(t, base))
+    tokens = _let(tokens, lambda t: _clear_of(t, groups))
 
     def bare(m: Column) -> Column:
         lead = F.length(F.regexp_extract(m["v"], "^[^A-Za-z0-9+]*", 0))
@@ -134,18 +180,39 @@ def unknown_tokens(text: Column, base: Column, groups: Column) -> Column:
     return F.filter(F.transform(tokens, bare), lambda m: m["e"] > m["s"])
 
 
-def _patterns(text: Column, s: Column, e: Column) -> Column:
-    """The last word, and the last two, before position ``s``, the first and first two after ``e``; digits alike."""
-    begin = F.greatest(s - 80, F.lit(0))
-    left = F.regexp_replace(F.lower(F.substring(text, begin + 1, s - begin)), "[0-9]", "0")
-    word = r"[^\x20\x09-\x0D]+"
-    two = F.regexp_extract(left, rf"({word})[\x20\x09-\x0D]+({word})[\x20\x09-\x0D]*$", 0)
-    one = F.regexp_extract(left, rf"({word})[\x20\x09-\x0D]*$", 1)
-    right = F.regexp_replace(F.lower(F.substring(text, e + 1, F.lit(80))), "[0-9]", "0")
-    next_two = F.regexp_extract(right, rf"^[\x20\x09-\x0D]*({word}[\x20\x09-\x0D]+{word})", 1)
-    next_one = F.regexp_extract(right, rf"^[\x20\x09-\x0D]*({word})", 1)
-    named = [F.concat(F.lit(f"{k} "), p) for k, p in enumerate((one, two, next_one, next_two), 1)]
-    return F.filter(F.array(*named), lambda p: F.length(p) > 2)
+def _piece(text: Column, chunks: Column, s: Column, e: Column) -> Column:
+    """``text`` from ``s`` to ``e``; a piece of at most ``CHUNK`` characters is cut from two chunks of the text."""
+    c = F.floor(s / CHUNK).cast("int")
+    two = F.concat(F.coalesce(F.get(chunks, c), F.lit("")), F.coalesce(F.get(chunks, c + 1), F.lit("")))
+    return (F.when(e - s <= CHUNK, F.substring(two, s - c * CHUNK + 1, e - s))
+            .otherwise(F.substring(text, s + 1, e - s)))
+
+
+def _patterns(text: Column, chunks: Column, size: Column, s: Column, e: Column) -> Column:
+    """The last word, and the last two, before position ``s``, the first and first two after ``e``; digits alike.
+
+    Words are whole: where 80 characters, or ``CHUNK``, don't hold two of them, all that stands
+    before or after is taken.
+    """
+    word, space = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]"
+    start = r"(?<![^\x20\x09-\x0D])"
+
+    def whole_words(parts: list[tuple[Column, Column]], rest: Column) -> Column:
+        out = F.when(parts[0][1], parts[0][0])
+        for piece, enough in parts[1:]:
+            out = out.when(enough, piece)
+        return F.regexp_replace(F.lower(out.otherwise(rest)), "[0-9]", "0")
+
+    before = [_piece(text, chunks, F.greatest(s - n, F.lit(0)), s) for n in (80, CHUNK)]
+    after = [_piece(text, chunks, e, F.least(e + n, size)) for n in (80, CHUNK)]
+    left = whole_words([(a, (s <= n) | a.rlike(rf"{space}{word}{space}+{word}{space}*$"))
+                        for a, n in zip(before, (80, CHUNK))], F.substring(text, F.lit(1), s))
+    right = whole_words([(a, (e + n >= size) | a.rlike(rf"^{space}*{word}{space}+{word}{space}"))
+                         for a, n in zip(after, (80, CHUNK))], F.substring(text, e + 1, size - e))
+    sides = ((left, rf"{start}({word}){space}*$"), (left, rf"{start}({word}{space}+{word}{space}*)$"),
+             (right, rf"^{space}*({word})"), (right, rf"^{space}*({word}{space}+{word})"))
+    found = F.array(*[F.concat(F.lit(f"{k} "), F.regexp_extract(x, p, 1)) for k, (x, p) in enumerate(sides, 1)])
+    return F.filter(found, lambda p: F.length(p) > 2)
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -155,17 +222,24 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     d = d.withColumn("base", base_spans(F.col("text"))).withColumn("groups", spaced_groups(F.col("text"), F.col("base")))
     d = d.withColumn("tokens", F.concat("groups", unknown_tokens(F.col("text"), F.col("base"), F.col("groups"))))
     t = F.col("text")
+    cut = F.regexp_extract_all(t, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+    def items(whole: Column) -> Column:
+        chunks, size = whole["chunks"], whole["size"]
+
+        def known(b: Column) -> Column:
+            return F.struct(b["k"].alias("k"), b["s"].alias("s"), b["e"].alias("e"),
+                            F.lower(_piece(t, chunks, b["s"], b["e"])).alias("v"), _patterns(t, chunks, size, b["s"], b["e"]).alias("p"))
 
-    def known(b: Column) -> Column:
-        return F.struct(b["k"].alias("k"), b["s"].alias("s"), b["e"].alias("e"),
-                        F.lower(F.substring(t, b["s"] + 1, b["e"] - b["s"])).alias("v"), _patterns(t, b["s"], b["e"]).alias("p"))
+        def other(m: Column) -> Column:
+            return F.struct(F.lit(None).cast("int").alias("k"), m["s"].alias("s"), m["e"].alias("e"),
+                            F.lower(m["v"]).alias("v"), _patterns(t, chunks, size, m["s"], m["e"]).alias("p"))
 
-    def other(m: Column) -> Column:
-        return F.struct(F.lit(None).cast("int").alias("k"), m["s"].alias("s"), m["e"].alias("e"),
-                        F.lower(m["v"]).alias("v"), _patterns(t, m["s"], m["e"]).alias("p"))
+        return F.concat(F.transform("base", known), F.transform("tokens", other))
 
-    return d.select("id", row_key(F.col("id"), t).alias("key"), "base",
-                    F.concat(F.transform("base", known), F.transform("tokens", other)).alias("items"))
+    # a text is cut and measured once, not once for each item
+    cut = F.when(F.size("base") + F.size("tokens") > 0, cut)
+    return d.select("id", row_key(F.col("id"), t).alias("key"), "base", _let(F.struct(cut.alias("chunks"), F.length(t).alias("size")), items).alias("items"))
 
 
 def row_key(id_: Column, text: Column) -> Column:
