@@ -51,7 +51,7 @@ _SHAPES = _Shapes()
 
 def _places(word: str) -> int:
     """Buckets of a word and of its shape, as one number (times BUCKETS, plus)."""
-    shape = _RUN.sub(r"\1\1\1", word[:40].translate(_SHAPES))
+    shape = _RUN.sub(r"\1\1\1", word.translate(_SHAPES))
     return zlib.crc32(word.encode("utf-8")) % _HALF * BUCKETS + _HALF + zlib.crc32(shape.encode("utf-8")) % (_HALF - 64)
 
 
