@@ -146,14 +146,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", size: Column | str = "size", se
     size = F.col(size) if isinstance(size, str) else size
     added = ["source_id", "source_size", "target", "block", "n_shards", "source_quota", "_order", "shard",
              "passes", "from1", "to1", "from2", "to2", "taken", "_id"]
-    base = docs.withColumn("size", size.cast("long")).drop(*added).withColumn(
-        "_id", F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
+    kind = docs.schema[id_col].dataType
+    # no number reads "null"; texts get a mark, so that none does either
+    textual = kind.typeName() in ("string", "varchar", "char")
+    name = F.concat(F.lit("="), F.col(id_col)) if textual else F.col(id_col).cast("string")
+    base = docs.withColumn("size", size.cast("long")).drop(*added).withColumn("_id", F.coalesce(name, F.lit("null")))
     sized = materialise(base.select("_id", "source", "size"))
     sources, cells = shard_quotas(sized, seed=seed, cap=cap, **options)
     rows = sized if set(docs.columns) <= {id_col, "source", "size"} else base
     if rows is sized:
-        kind = docs.schema[id_col].dataType
-        rows = sized.withColumn(id_col, F.when(F.col("_id") != "null", F.col("_id")).cast(kind))
+        given = F.substr("_id", F.lit(2)) if textual else F.col("_id")
+        rows = sized.withColumn(id_col, F.when(F.col("_id") != "null", given).cast(kind))
     line = (Window.partitionBy("source_id", "shard").orderBy("_order", "_id", "size")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     d = (deal(rows, sources, seed).join(cells, ["source_id", "shard"])
