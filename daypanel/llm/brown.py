@@ -35,9 +35,10 @@ token is unseen; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,7 @@ from daypanel.llm.common import byte_words, materialise
 
 #: The end token; no word holds a space.
 END = b" "
+NONE = -(1 << 40)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,6 +84,13 @@ class Units(dict):
     def __reduce__(self):
         return Units, (dict(self), self.suffixes, self.rest)
 
+    def of_all(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of many words, none of them below ``NONE``."""
+        n = np.fromiter(map(self.get, words, repeat(NONE)), dtype=np.int64, count=len(words))
+        others = np.flatnonzero(n == NONE)
+        n[others] = [*map(self.suffixes.get, [words[p][-2:] for p in others.tolist()], repeat(self.rest))]
+        return n
+
 
 def _encode(batches: Iterator[pa.RecordBatch], units) -> Iterator[pa.RecordBatch]:
     """Texts as runs of unit numbers; an end token precedes every text and ends every run."""
@@ -228,7 +237,7 @@ def refine(runs: DataFrame, of: np.ndarray, k: int, fixed: int, rounds: int, par
 def _contexts(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """(word, classes before its uses) of words that are not listed."""
     number, cls = shared.value
-    of, seen, size = number.__getitem__, {}, 0
+    seen, size = defaultdict(bytearray), 0
 
     def rows() -> pa.RecordBatch:
         out = pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.binary()),
@@ -239,11 +248,12 @@ def _contexts(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBa
     for b in batches:
         for text in b.column(0).to_pylist():
             words = [END, *byte_words(text)]
-            u = np.fromiter(map(of, words), dtype=np.int64, count=len(words))
+            u = number.of_all(words)
             c = np.where(u >= 0, cls[u], -1 - u)
-            for p in np.flatnonzero(u < 0).tolist():
-                seen.setdefault(words[p], bytearray()).append(c[p - 1])
-                size += 1
+            at = np.flatnonzero(u < 0)
+            for p, before in zip(at.tolist(), c[at - 1].tolist()):
+                seen[words[p]].append(before)
+            size += len(at)
             if size > 2_000_000:
                 yield rows()
                 size = 0
@@ -399,11 +409,11 @@ def fit(texts: DataFrame, classes: int = 48, units: int = 2000, lexicon: int = 5
 
 
 def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """One row per text with the listed words' part, and one per other word of the text and class before it."""
+    """One row per text with the listed words' part, and one per other word, with the class before it."""
     m = shared.value
     # a listed word's number, else -1 - class
     number = Units(m["words"], {s: -1 - c for s, c in m["suffix_class"].items()}, -1 - m["rest_class"])
-    of, space, known = number.__getitem__, m["tokens"] + m["types"] + 1, np.log10(1 - m["unseen"])
+    space, known = m["tokens"] + m["types"] + 1, np.log10(1 - m["unseen"])
     step, class_log = m["step"], m["class_log"]
     seen = m["word_count"] > 0
     emit = np.log10(np.maximum(m["word_count"], 1)) - class_log[m["word_class"]] + known
@@ -413,12 +423,11 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
     for b in batches:
         for at in range(0, b.num_rows, 500):
             part = b.slice(at, 500)
-            ids, held = part.column(0).to_pylist(), part.column(1).to_pylist()
-            out: dict[str, list] = {k: [] for k in ("rid", "key", "tf", "before", "id", "held", "n", "n_known", "base", "score")}
-            for doc, is_held, text in zip(ids, held, part.column(2).to_pylist()):
+            keys, before_rare, counts, whole = [], [], [], []
+            for text in part.column(2).to_pylist():
                 words = byte_words(text)
                 words.append(END)
-                w = np.fromiter(map(of, words), dtype=np.int64, count=len(words))
+                w = number.of_all(words)
                 listed = w >= 0
                 cls = np.where(listed, m["word_class"][w], -1 - w)
                 before = np.append(end_class, cls[:-1])
@@ -426,19 +435,23 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
                 freq = w[listed]
                 ok = seen[freq]
                 score = np.where(ok, path[listed] + emit[freq], np.log10(m["unseen"])).sum()
-                rare = Counter((words[p], c) for p, c in zip(np.flatnonzero(~listed).tolist(), before[~listed].tolist()))
-                k = len(rare)
-                out["rid"] += [row] * (k + 1)
-                out["key"] += [*(w for w, _ in rare), END + row.to_bytes(8, "big")]  # the text's own row matches no word
-                out["tf"] += [*rare.values(), None]
-                out["before"] += [*(c for _, c in rare), None]
-                for name, value in (("id", doc), ("held", is_held), ("n", len(words)), ("n_known", int(ok.sum())),
-                                    ("base", float(base[freq].sum())), ("score", float(score))):
-                    out[name] += [None] * k + [value]
+                rare = np.flatnonzero(~listed)
+                keys += [words[p] for p in rare.tolist()]
+                keys.append(END + row.to_bytes(8, "big"))  # the text's own row matches no word
+                before_rare += [before[rare], [-1]]
+                counts.append(len(rare) + 1)
+                whole.append((row, len(words), int(ok.sum()), float(base[freq].sum()), float(score)))
                 row += 1
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), part.schema.field(0).type, pa.bool_(),
-                     pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out.values(), kinds)], names=list(out))
+            last = np.cumsum(counts) - 1  # a text's own row stands after those of its other words
+            own = np.zeros(len(keys), bool)
+            own[last] = True
+            which = pa.array(np.cumsum(own) - own, pa.int64(), mask=~own)
+            rid, n, n_known, base_part, score_part = (np.array(x) for x in zip(*whole))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(rid, counts), pa.int64()), pa.array(keys, pa.binary()),
+                 pa.array(np.concatenate(before_rare), pa.int32(), mask=own), part.column(0).take(which),
+                 part.column(1).take(which), *(pa.array(x).take(which) for x in (n, n_known, base_part, score_part))],
+                names=["rid", "key", "before", "id", "held", "n", "n_known", "base", "score"])
 
 
 def score(docs: DataFrame, model: Model, held: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -448,22 +461,22 @@ def score(docs: DataFrame, model: Model, held: Column, id_col: str = "doc_id", t
     shared = spark.sparkContext.broadcast(model.params())
     rows = docs.select(F.col(id_col).alias("_id"), held.alias("_held"), F.col(text_col).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()  # an atomic type
-    rows = rows.mapInArrow(lambda it: _score(it, shared), "rid long, key binary, tf long, before int, "
+    rows = rows.mapInArrow(lambda it: _score(it, shared), "rid long, key binary, before int, "
                            f"id {kind}, held boolean, n long, n_known long, base double, score double")
     others = model.others.select(F.col("word").alias("key"), "c", "class")
     k = len(model.step)
     # log10 of P(class | class before) / tokens of the class
     moves = F.lit((model.step - model.class_log).ravel())
     path = F.get(moves, (F.col("before") * k + F.col("class")).cast("int"))
-    space, tf, c = float(model.tokens + model.types + 1), F.col("tf"), F.col("c")
+    space, c = float(model.tokens + model.types + 1), F.col("c")
     known = F.lit(float(np.log10(1 - model.unseen)))
     unseen = F.lit(float(np.log10(model.unseen)))
-    rare = F.col("tf").isNotNull()
+    rare = F.col("before").isNotNull()
     joined = rows.join(others, "key", "left").select(
         "rid", "id", "held", "n",
-        F.when(rare, F.when(c.isNotNull(), tf).otherwise(0)).otherwise(F.col("n_known")).alias("n_known"),
-        F.when(rare, tf * F.log10((F.coalesce(c, F.lit(0)) + 1) / F.lit(space))).otherwise(F.col("base")).alias("base"),
-        F.when(rare, F.when(c.isNotNull(), tf * (path + F.log10(c.cast("double")) + known)).otherwise(tf * unseen))
+        F.when(rare, F.when(c.isNotNull(), 1).otherwise(0)).otherwise(F.col("n_known")).alias("n_known"),
+        F.when(rare, F.log10((F.coalesce(c, F.lit(0)) + 1) / F.lit(space))).otherwise(F.col("base")).alias("base"),
+        F.when(rare, F.when(c.isNotNull(), path + F.log10(c.cast("double")) + known).otherwise(unseen))
         .otherwise(F.col("score")).alias("score"))
     total = joined.groupBy("rid").agg(F.max("id").alias(id_col), F.max("held").alias("held_out"),
                                       F.max("n").alias("n_tokens"), F.sum("n_known").alias("n_known"),
