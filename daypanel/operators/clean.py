@@ -130,6 +130,16 @@ def common_columns(a: DataFrame, b: DataFrame) -> list[str]:
     return [c for c in a.columns if c in bset]
 
 
+def align_common(reference: DataFrame, current: DataFrame, tag: str = "side") -> DataFrame:
+    """Both frames on their common columns, told apart by ``tag`` (reference, current).
+
+    A column of the name of ``tag`` gives way to it; frames without a common column leave the tag alone.
+    """
+    keep = [c for c in common_columns(reference, current) if c != tag]
+    parts = [df.select(F.lit(side).alias(tag), *keep) for df, side in ((reference, "reference"), (current, "current"))]
+    return parts[0].unionByName(parts[1])
+
+
 def feature_columns(df: DataFrame, exclude: list[str] | None = None) -> list[str]:
     """All columns except identifiers and target."""
     ex = set(exclude if exclude is not None else NON_FEATURES)

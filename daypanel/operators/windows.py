@@ -57,30 +57,34 @@ def rolling_exact_inputs(target: str = "Sales", scale: int = 2) -> dict[str, Col
     return {"_rx": xd, "_rx2": xd * xd}
 
 
+def rolling_exact_sums(target: str = "Sales", entity: str = "Store", date: str = "Date") -> dict[str, Column]:
+    """Running sums of x and x^2 and the count, up to the current row (needs ``rolling_exact_inputs``)."""
+    w = _spec(entity, date).rowsBetween(Window.unboundedPreceding, 0)
+    return {"_s1": F.sum("_rx").over(w), "_s2": F.sum("_rx2").over(w), "_sn": F.count(F.col(target)).over(w)}
+
+
 def rolling_exact_columns(target: str = "Sales", windows=None, entity: str = "Store",
                           date: str = "Date", closed: str = "right", scale: int = 2) -> dict[str, Column]:
     """W02-W04 from exact running DECIMAL sums, O(1) work per row and window.
 
-    A frame of w rows is the difference of two running sums: rows (first..i)
-    minus rows (first..i-w).  Both are unbounded-preceding frames, which Spark
-    evaluates incrementally, and all of them share one Window operator with the
-    lags.  A sliding frame would re-aggregate all w rows for every row instead.
+    A frame of w rows is the difference of the running sum here and that of w rows before.
+    Every sum is built once, in the Window operator of the lags; the earlier ones are shifts
+    of it, in a second Window operator over the same sorted rows.  A sliding frame would re-aggregate all w rows
+    for every row instead.
     Decimal differences are exact, so the result is bit-identical to summing
     each frame, and a re-executed task reproduces identical features.
     mean = S1 / N, var = (N * S2 - S1 * S1) / (N * (N - 1)) for N > 1; the difference, in
     which large values would cancel, is taken in decimals before any cast to double.
-    Needs the columns of ``rolling_exact_inputs`` on the frame.
+    Needs the columns of ``rolling_exact_sums`` on the frame.
     """
     spec = _spec(entity, date)
-    x = F.col(target)
     zero1 = F.lit(0).cast(f"decimal(28,{scale})")
     zero2 = F.lit(0).cast(f"decimal(38,{2 * scale})")
 
     def upto(off: int):
         """Running S1, S2, N over rows first..(i - off)."""
-        fr = spec.rowsBetween(Window.unboundedPreceding, -off)
-        return (F.coalesce(F.sum("_rx").over(fr), zero1), F.coalesce(F.sum("_rx2").over(fr), zero2),
-                F.count(x).over(fr))
+        s1, s2, n = (F.col(c) if off == 0 else F.lag(c, off).over(spec) for c in ("_s1", "_s2", "_sn"))
+        return F.coalesce(s1, zero1), F.coalesce(s2, zero2), F.coalesce(n, F.lit(0))
 
     cols = {}
     for w in (windows or DEFAULT_WINDOWS):
@@ -106,9 +110,10 @@ def add_rolling(df: DataFrame, target: str = "Sales", windows=None, entity: str
     """W02-W04; with ``exact_scale`` (e.g. 2 for currency) the exact running-sum form."""
     if exact_scale is not None:
         helpers = rolling_exact_inputs(target, exact_scale)
-        out = df.withColumns(helpers).withColumns(
+        sums = rolling_exact_sums(target, entity, date)
+        out = df.withColumns(helpers).withColumns(sums).withColumns(
             rolling_exact_columns(target, windows, entity, date, closed, exact_scale))
-        return out.drop(*helpers)
+        return out.drop(*helpers, *sums)
     return df.withColumns(rolling_columns(target, windows, entity, date, closed))
 
 

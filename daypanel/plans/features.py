@@ -15,7 +15,7 @@ from daypanel.functions.promo import promo_columns
 from daypanel.operators.clean import add_dummy_target, basic_cleaning, feature_columns
 from daypanel.operators.joins import merge_entity_info
 from daypanel.operators.windows import (DEFAULT_LAGS, DEFAULT_WINDOWS, lag_columns, rolling_columns,
-                                       rolling_exact_columns, rolling_exact_inputs)
+                                       rolling_exact_columns, rolling_exact_inputs, rolling_exact_sums)
 
 DEFAULT_CONFIG = {
     "lags": DEFAULT_LAGS,
@@ -36,8 +36,8 @@ def build_all_features(df: DataFrame, config: dict | None = None, target: str =
                        entity: str = "Store", date: str = "Date") -> DataFrame:
     """calendar (12) -> promo (5) -> competition (3) -> lags (4) -> rolling (8).
 
-    One Exchange on the entity, one Sort and one Window operator; the row-wise
-    feature columns are computed after the window so the shuffle stays narrow.
+    One Exchange on the entity, one Sort and one Window operator (two over the same rows with an
+    exact scale); the row-wise feature columns are computed after the window so the shuffle stays narrow.
     """
     cfg = {**DEFAULT_CONFIG, **(config or {})}
     d = F.col(date)
@@ -49,17 +49,17 @@ def build_all_features(df: DataFrame, config: dict | None = None, target: str =
         cols.update(competition_columns(d, F.col("CompetitionDistance"),
                                         F.col("CompetitionOpenSinceMonth"),
                                         F.col("CompetitionOpenSinceYear")))
-    win = dict(lag_columns(target, cfg["lags"], entity, date))
-    helpers = {}
+    lags = lag_columns(target, cfg["lags"], entity, date)
     if cfg["exact_scale"] is not None:
-        helpers = rolling_exact_inputs(target, cfg["exact_scale"])
-        win.update(rolling_exact_columns(target, cfg["rolling_windows"], entity, date, scale=cfg["exact_scale"]))
+        helpers, sums = rolling_exact_inputs(target, cfg["exact_scale"]), rolling_exact_sums(target, entity, date)
+        rolling = rolling_exact_columns(target, cfg["rolling_windows"], entity, date, scale=cfg["exact_scale"])
+        out = df.withColumns(helpers).withColumns({**lags, **sums}).withColumns(rolling)
     else:
-        win.update(rolling_columns(target, cfg["rolling_windows"], entity, date))
+        rolling = rolling_columns(target, cfg["rolling_windows"], entity, date)
+        out = df.withColumns({**lags, **rolling})
     # Window first, row-wise columns after: the entity shuffle then carries only the input
     # columns, not the 20 derived ones.  The final select restores the documented order.
-    out = df.withColumns(helpers).withColumns(win).withColumns(cols)
-    return out.select(*df.columns, *cols.keys(), *win.keys())
+    return out.withColumns(cols).select(*df.columns, *cols.keys(), *lags.keys(), *rolling.keys())
 
 
 def union_history(history: DataFrame, rows: DataFrame) -> DataFrame:

@@ -12,9 +12,11 @@ from daypanel.operators import clean as C
 from daypanel.operators import joins as J
 from daypanel.operators import windows as W
 from daypanel.plans import sqlparts as S
-from daypanel.plans.features import prediction_features
+from daypanel.plans.features import clean_panel, prediction_features
 from daypanel.plans.naive import naive_last_week_by_fold
 from daypanel.plans.registry import PANEL_CONFIG, clean, dim, facts, features, query, rounded
+from daypanel.session import shared_dir
+from daypanel.sources import io as IO
 
 FW = S.FEATURES_WITH
 PW = S.PANEL_WITH
@@ -42,6 +44,25 @@ def q_load_panel(spark, sf):
     return facts(spark, sf)
 
 
+@query("load_panel_files", PW + " SELECT * FROM clean")
+def q_load_panel_files(spark, sf):
+    """S05 + J01 + P04: both raw files, written as header CSV, through the typed two-file reader into the clean panel."""
+    paths = shared_dir(spark, "panel-facts"), shared_dir(spark, "panel-dim")
+    for df, path in zip((facts(spark, sf), dim(spark, sf)), paths):
+        IO.sink_csv(df, path)
+    return clean_panel(*IO.load_panel(spark, *paths))
+
+
+@query("common_columns", PW + """
+SELECT 'reference' AS side, * EXCLUDE (Customers) FROM clean WHERE Date < DATE '1996-01-01'
+UNION ALL SELECT 'current' AS side, * EXCLUDE (Customers) FROM clean WHERE Date >= DATE '1996-01-01'""")
+def q_common_columns(spark, sf):
+    """The panel up to a day beside the later feature rows, which lack the customers, on their common columns."""
+    day = F.lit("1996-01-01").cast("date")
+    current = features(spark, sf).drop("Customers")
+    return C.align_common(clean(spark, sf).where(F.col("Date") < day), current.where(F.col("Date") >= day))
+
+
 @query("merge_entity_info", PW + """
 SELECT f.*, d.StoreType, d.Assortment, d.CompetitionDistance, d.CompetitionOpenSinceMonth,
        d.CompetitionOpenSinceYear, d.Promo2, d.Promo2SinceWeek, d.Promo2SinceYear, d.PromoInterval

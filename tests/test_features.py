@@ -197,3 +197,33 @@ def test_history_requests_see_past_values_only(spark, entity_dim):
     out = sorted(prediction_features(req, entity_dim, history=hist).collect(), key=lambda r: r.Date)
     assert out[0].Sales_Lag_1 == 100.0 and out[1].Sales_Lag_1 is None
     assert out[0].Sales_RollingMean_7 == 100.0 and out[1].Sales_RollingMean_7 == 100.0
+
+
+def test_align_common_keeps_shared_columns_and_tags_sides(spark):
+    from daypanel.operators.clean import align_common
+    a = spark.createDataFrame([(1, "x", 2.0), (1, "x", 2.0)], "k int, side string, v double")
+    b = spark.createDataFrame([(None, 7, "y")], "k int, w int, side string")
+    got = align_common(a, b)
+    assert got.columns == ["side", "k"]
+    assert sorted(map(tuple, got.collect()), key=str) == [("current", None), ("reference", 1), ("reference", 1)]
+    assert align_common(b.limit(0), b.select("w")).columns == ["side", "w"]
+
+
+def test_exact_rolling_is_one_exchange_and_sums_each_frame(spark):
+    import statistics
+
+    from daypanel.operators.windows import add_rolling
+    rows = [(s, f"2020-01-{d:02d}", None if d % 5 == 0 else s * 1e7 + d * d / 100) for s in (1, 2) for d in range(1, 21)]
+    df = spark.createDataFrame(rows, "Store int, Date string, Sales double")
+    for closed in ("right", "left"):
+        out = add_rolling(df, windows=[3], closed=closed, exact_scale=2)
+        assert out.columns == [*df.columns, "Sales_RollingMean_3", "Sales_RollingStd_3"]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(Store") == 1 and plan.count("Sort [Store") == 1
+        for r in out.collect():
+            day = int(r.Date[-2:])
+            last = day if closed == "right" else day - 1
+            frame = [x for s, d, x in rows if s == r.Store and last - 3 < int(d[-2:]) <= last and x is not None]
+            assert r.Sales_RollingMean_3 == (None if not frame else sum(round(x * 100) for x in frame) / 100 / len(frame))
+            want = statistics.stdev(frame) if len(frame) > 1 else None
+            assert (r.Sales_RollingStd_3 is None) if want is None else abs(r.Sales_RollingStd_3 - want) < 1e-6
