@@ -57,3 +57,14 @@ def test_only_brackets_are_kept(spark):
     parts = bracketed(rows, ["g"], [0.25, 0.5], 2 / 10000, 10000)
     assert parts.where("_in").count() < 500 and parts.where("NOT _in").count() == 3
     assert parts.agg(F.sum("_n")).first()[0] == 200_000
+
+
+def test_brackets_meet_the_rows_without_a_shuffle_of_them(spark):
+    rows = spark.createDataFrame([(i % 3, float(i)) for i in range(3000)], "g int, _v double")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = bracketed(rows, ["g"], [0.5], 2 / 10000, 10000)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
