@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypanel.llm import bpe_tree, crf_language, mixing, pii_bootstrap, trie_join
-from daypanel.llm.common import WORD, table, word_count
+from daypanel.llm.common import WORD, marked, materialise, table, word_count
 from daypanel.llm.queries import tokenizer_path
 from daypanel.session import shared_dir
 
@@ -55,8 +55,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     keyed = _packed(docs).withColumn("_key", pii_bootstrap.row_key(F.col("doc_id"), F.coalesce("text", F.lit(""))))
     classes = trie_join.classes(keyed.select(F.struct("doc_id", "_key").alias("row"), "text"), id_col="row", n=5, num=80, den=100)
-    first = classes.select(F.col("component_id._key").alias("_first")).distinct()
-    kept = keyed.join(first, F.col("_key") == F.col("_first"), "left_semi").dropDuplicates(["_key"])
+    # rows of a key that stands alone and first in its class stay as they are, the others meet by key
+    others = materialise(classes.groupBy(F.col("row._key").alias("_key"))
+                         .agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.col("component_id._key") == F.col("row._key")).alias("first"))
+                         .filter("n > 1 OR NOT first").select("_key", "first"))
+    seen = marked(keyed, "_key", others.select("_key"), "_meet")
+    met = (seen.filter("_meet").join(others.filter("NOT first").select("_key"), "_key", "left_anti")
+           .dropDuplicates(["_key"]))
+    kept = seen.filter("NOT _meet").unionByName(met)
     return _unpacked(kept, docs)
 
 

@@ -22,6 +22,27 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def marked(df: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
+    """``df`` with a boolean column ``name``, false only where ``key`` certainly isn't in ``keys``.
+
+    ``keys`` (computed already; a column of the same name) becomes a broadcast bitmap of 16 to 32 bits
+    a key and 8 MB at most, so that rows which a join with ``keys`` would not touch need no shuffle.
+    """
+    bits = 1 << min(26, max(10, (16 * keys.count()).bit_length()))
+
+    def at(col: str):
+        return F.pmod(F.xxhash64(col), F.lit(bits))
+
+    def word(col: str):
+        return F.call_function("div", at(col), F.lit(64))
+
+    words = keys.groupBy(word(key).alias("_word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (at(key) % 64).cast("int"))).alias("_bits"))
+    found = df.withColumn("_at", word(key)).join(F.broadcast(words), F.col("_at") == F.col("_word"), "left")
+    hit = F.call_function("getbit", F.coalesce("_bits", F.lit(0).cast("long")), (at(key) % 64).cast("int")) == 1
+    return found.withColumn(name, hit).drop("_at", "_word", "_bits")
+
+
 def remainder(id_col: str, modulus: int) -> Column:
     """crc32(id as text) mod ``modulus``; a null id counts as the empty text."""
     text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))

@@ -6,23 +6,30 @@ share one order, that of the hashes.  Equal sets are one record.
 1. Filter.  Let p = |x| - ceil(t|x|) + 1 and q = p / 2.  Two records that link share at least
    q + 1 of their first p + q n-grams (with the smaller q of the two).  A record with fewer
    n-grams that any other record has among its first ones too can't link and is its own class.
-2. Groups.  The n-grams are dealt by a hash to a fixed number of parts for all sizes that may
-   link.  There are more parts than two linked sets can differ in, so at least two parts are
-   equal in both.  Records with an equal part form a chain; the chains' components are the
-   groups.  Pairs are never listed.
+2. Groups.  Among the longer prefixes (p + 2 p n-grams) of the records left, two that link share
+   as many again; in the order from the rarest n-gram to the commonest, each record without the last
+   of them but one less, so they meet in one of the n-grams that remain.  Records that do form a chain;
+   the chains' components are the groups.  Passages found in many texts come last in that order and
+   so don't tie unrelated records together.  Pairs are never listed.
 3. Join.  A group's sets are stored in a trie, the group's commonest n-grams first, each run
    of n-grams without a fork on one edge.  All records of a block go down the trie together: a
    node holds every record's overlap with the path so far, which all sets below share, and a
    subtree is left as soon as no record can reach the needed overlap with what remains below.
    A large group is cut into blocks by hash, and pairs of blocks are dealt by a hash of group and both
    blocks, so no task holds a whole group and no link is lost (a group of k blocks sends each
-   of its sets to k pairs).
+   of its sets to k pairs).  Of two blocks, records without a part in common with the other one stay
+   out: a set is cut by a hash into more parts than two linked sets can differ in.
 4. Classes.  A task returns a star for each set of records that its links connect, not the
    links; components over those stars are the classes.
 
-An n-gram or a part met in very many records is reduced to its smallest record before the shuffle
+An n-gram met in very many records is reduced to its smallest record before the shuffle
 and joined back to narrow rows, which adaptive execution may split; nothing is ordered by it.
 
+Little goes over the disk: the filter's n-grams and records travel packed, ten bytes a pair, with
+the n-gram cut to 32 bits beside its range and the record's name to 47 (a clash only lets more
+records pass or meet); texts are joined with the records that passed only where a bitmap of those is hit;
+sets move once to their digest's group and once to their blocks.
+
 Edge cases: null, empty and blank texts have an empty set, link with nothing and are their
 own class; with fewer than n words the whole sequence is the one n-gram; null ids never are
 a class's smallest id unless it has no other; repeated rows are documents of their own;
@@ -40,9 +47,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from daypanel.llm.common import byte_words, materialise, with_fields
+from daypanel.llm.common import byte_words, marked, materialise, with_fields
 from daypanel.llm.components import components
 
+#: Prefixes that the groups come from have so many times the filter's p n-grams more.
+LONGER = 2
+
+
 def _stir(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(32))
     x = x * np.uint64(0x9E3779B97F4A7C15)
@@ -81,6 +92,15 @@ def needed(n, num: int, den: int, div=lambda a, b: a // b, least=min):
     return least(div(m - at_least + 1, 2) + 1, at_least)
 
 
+def longer_prefix(x: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
+    """The first p + ``LONGER`` p n-grams of a sorted set, and how many it shares of them with any set it links with."""
+    def p(n: int) -> int:
+        return n - -(-num * n // den) + 1
+
+    least = -(-num * len(x) // den)
+    return x[:(1 + LONGER) * p(len(x))], min(LONGER * p(least) + 1, -(-num * least // den))
+
+
 def size_classes(most: int, num: int, den: int) -> list[int]:
     """Starts of size classes up to beyond ``most``: linked sets are in the same or neighbouring ones."""
     starts = [1]
@@ -123,8 +143,8 @@ def _digest(x: np.ndarray) -> bytes:
 
 
 def _node(digest: bytes) -> int:
-    """A short name of a record for the filter and the groups, where a clash would do no harm."""
-    return int.from_bytes(digest[:8], "little", signed=True)
+    """A short name (47 bits) of a record for the filter and the groups, where a clash would do no harm."""
+    return int.from_bytes(digest[:8], "little") >> 17
 
 
 def _records(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -175,26 +195,139 @@ def _resolved(grams: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
         "n": pa.array(np.concatenate([np.ones(int((~known).sum()), np.int32), np.zeros(2 * len(first), np.int32), -times.astype(np.int32)]))})
 
 
+def _packed(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_resolved`` as arrays, a row for each of 2 ** ``bits`` ranges of n-grams.
+
+    grams: 32 bits each; names: 47 bits of the record, then whether the row counts (n = 1).  Counts
+    (n < 0) are a row of their own without grams.
+    """
+    for b in batches:
+        gram, node, n = (b.column(k).to_numpy() for k in range(3))
+        mixed, names = _stir(gram.view(np.uint64)), node.astype(np.uint64)
+        at = (mixed >> np.uint64(64 - bits)).astype(np.int32)
+        low = (mixed >> np.uint64(32 - bits)).astype("<u4")
+        rows = np.flatnonzero(n >= 0)
+        rows = rows[np.argsort(at[rows], kind="stable")]
+        begin = np.flatnonzero(np.diff(at[rows], prepend=-1))
+        flagged = (names << np.uint64(1) | (n == 1).astype(np.uint64)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+        ends = np.append(begin[1:], len(rows))
+        sure = np.flatnonzero(n < 0)
+        yield pa.RecordBatch.from_pydict({
+            "at": pa.array([*at[rows[begin]], *at[sure[:1]]], pa.int32()),
+            "grams": pa.array([*(low[rows[i:j]].tobytes() for i, j in zip(begin, ends)), *[None] * len(sure[:1])], pa.binary()),
+            "names": pa.array([*(flagged[rows[i:j]].tobytes() for i, j in zip(begin, ends)),
+                               *[names[sure].astype("<u8").tobytes()] * len(sure[:1])], pa.binary()),
+            "counts": pa.array([*[None] * len(begin), *[(-n[sure]).astype("<i4").tobytes()] * len(sure[:1])], pa.binary())})
+
+
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(range, n-grams, names, flags), ordered by n-gram and name, of every range of ``_packed``; its
+    rows come range by range.  Rows of counts give (None, None, names, counts)."""
+    now, grams, names = None, [], []
+
+    def rows() -> tuple:
+        g, raw = np.frombuffer(b"".join(grams), "<u4"), np.zeros((sum(map(len, names)) // 6, 8), np.uint8)
+        raw[:, :6] = np.frombuffer(b"".join(names), np.uint8).reshape(-1, 6)
+        x = raw.view("<u8").ravel()
+        order = np.lexsort((x, g))
+        return now, g[order], (x[order] >> np.uint64(1)).astype(np.int64), (x[order] & np.uint64(1)) == 1
+
+    for b in batches:
+        for at, g, x, c in zip(*(b.column(k).to_pylist() for k in range(4))):
+            if g is None:
+                yield None, None, np.frombuffer(x, "<u8").astype(np.int64), np.frombuffer(c, "<i4")
+                continue
+            if at != now and grams:
+                yield rows()
+                grams, names = [], []
+            now = at
+            grams.append(g)
+            names.append(x)
+    if grams:
+        yield rows()
+
+
+def _holders(g: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """For each row, the number of different names that its n-gram has."""
+    fresh = np.concatenate([[True], g[1:] != g[:-1]])
+    begin = np.flatnonzero(fresh)
+    other = fresh | np.concatenate([[True], names[1:] != names[:-1]])
+    return np.repeat(np.add.reduceat(other.astype(np.int64), begin), np.diff(np.append(begin, len(g))))
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, n-grams shared with another record)."""
+    def out(nodes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"node": pa.array(nodes), "n": pa.array(counts.astype(np.int32))})
+
+    found, size = [], 0
+    for at, g, names, flags in _ranges(batches):
+        if at is None:
+            yield out(names, flags)
+            continue
+        found.append(names[(_holders(g, names) > 1) & flags])
+        size += len(found[-1])
+        if size > 1_000_000:
+            yield out(*np.unique(np.concatenate(found), return_counts=True))
+            found, size = [], 0
+    if found:
+        yield out(*np.unique(np.concatenate(found), return_counts=True))
+
+
+def _frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, n-gram, number of records that have it) for n-grams of several records."""
+    for at, g, names, _ in _ranges(batches):
+        many = _holders(g, names)
+        keep = many > 1
+        yield pa.RecordBatch.from_pydict({"node": pa.array(names[keep]), "many": pa.array(many[keep].astype(np.int32)),
+                                          "gram": pa.array(g[keep].astype(np.int64) | np.int64(at) << np.int64(32))})
+
+
 def _sets(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Sets and part keys of the texts that have the digest looked for (an id may stand on several texts)."""
+    """Sets of the texts that have the digest looked for (an id may stand on several texts), and how many
+    n-grams of their longer prefixes they share at least."""
     for b in batches:
-        digests, sets, keys = [], [], []
+        digests, sets, need = [], [], []
         for text, digest in zip(b.column("text").to_pylist(), b.column("digest").to_pylist()):
             x = shingles(text, n)
             if _digest(x) == digest:
                 digests.append(digest)
                 sets.append(x.astype("<u8").tobytes())
-                keys.append(part_keys(x, num, den).view(np.int64))
+                need.append(longer_prefix(x, num, den)[1])
         yield pa.RecordBatch.from_pydict({
             "digest": pa.array(digests, pa.binary()), "node": pa.array([_node(d) for d in digests], pa.int64()),
-            "grams": pa.array(sets, pa.binary()), "keys": pa.array(keys, pa.list_(pa.int64()))})
+            "grams": pa.array(sets, pa.binary()), "need": pa.array(need, pa.int32())})
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """(n-gram, record, 1) for the n-grams of longer prefixes."""
+    grams, nodes, size = [], [], 0
+
+    def rows() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_pydict({"gram": pa.array(np.concatenate(grams).view(np.int64)),
+                                          "node": pa.array(np.concatenate(nodes)), "n": pa.array(np.ones(size, np.int32))})
+        grams.clear()
+        nodes.clear()
+        return out
+
+    for b in batches:
+        for node, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            head, _ = longer_prefix(np.frombuffer(x, "<u8"), num, den)
+            grams.append(head)
+            nodes.append(np.full(len(head), node))
+            size += len(head)
+            if size > 1_000_000:
+                yield rows()
+                size = 0
+    if grams:
+        yield rows()
 
 
 def _chained(batches: Iterator[pa.RecordBatch], most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
-    """Rows (part, record, other record): records of equal parts tied together where they meet first.
+    """Rows (n-gram, record, other record): records of equal n-grams tied together where they meet first.
 
-    Among the records read together a part's records form a chain, whose different links go on
-    (under a part of their own); the part itself goes on with its smallest record and no other.
+    Among the records read together an n-gram's records form a chain, whose different links go on
+    (under a key of their own); the n-gram itself goes on with its smallest record and no other.
     """
     def rows(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
         order = np.lexsort((nodes, keys))
@@ -300,22 +433,40 @@ def link_block(grams: list[np.ndarray], mine: np.ndarray, other: np.ndarray, num
     return label
 
 
+def _meeting(grams: list[np.ndarray], mine: np.ndarray, other: np.ndarray, num: int, den: int) -> tuple:
+    """The rows of either block that have a part in common with one of the other block."""
+    def keys(rows: np.ndarray) -> tuple:
+        found = [part_keys(grams[r], num, den) for r in rows]
+        return np.repeat(rows, [len(k) for k in found]), np.concatenate([np.zeros(0, np.uint64), *found])
+
+    (a, x), (b, y) = keys(mine), keys(other)
+    return np.unique(a[np.isin(x, y)]), np.unique(b[np.isin(y, x)])
+
+
 def _link(t: pa.Table, num: int, den: int) -> pa.Table:
     digests = t["digest"].to_pylist()
     grams = [np.frombuffer(g, "<u8") for g in t["grams"].to_pylist()]
     block, i, j = t["block"].to_numpy(), t["i"][0].as_py(), t["j"][0].as_py()
-    label = link_block(grams, np.flatnonzero(block == i), np.flatnonzero(block == j), num, den)
+    mine, other = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    if i != j:
+        mine, other = _meeting(grams, mine, other, num, den)
+    label = link_block(grams, mine, other, num, den)
     rows = np.flatnonzero(label != np.arange(len(label)))
     return pa.table({"a": pa.array([digests[r] for r in rows], pa.binary()),
                      "b": pa.array([digests[label[r]] for r in rows], pa.binary())})
 
 
+def by_range(rows: DataFrame) -> DataFrame:
+    """Rows (gram, node, n) packed and dealt by ranges of n-grams, four a partition, so a task holds one at a time."""
+    bits = min(16, 2 + int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")).bit_length())
+    return (rows.mapInArrow(lambda it: _packed(it, bits), "at int, grams binary, names binary, counts binary")
+            .repartition("at").sortWithinPartitions("at"))
+
+
 def candidates(texts: DataFrame, records: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Names of the records that may link (step 1)."""
     rows = texts.select("text").mapInArrow(lambda it: _first(it, n, num, den), "gram long, node long, n int")
-    gram = Window.partitionBy("gram")  # a hot n-gram has two rows or one for each million rows read
-    shared = (rows.withColumn("low", F.min("node").over(gram)).withColumn("high", F.max("node").over(gram))
-              .filter("n < 0 OR low != high").groupBy("node").agg(F.sum(F.abs("n")).alias("shared")))
+    shared = by_range(rows).mapInArrow(_shared, "node long, n int").groupBy("node").agg(F.sum("n").alias("shared"))
     need = needed(F.col("n_shingles"), num, den, lambda a, b: F.call_function("div", a, F.lit(b)), F.least)
     return (records.join(shared, "node").filter(F.col("shared") >= need)
             .groupBy("digest").agg(F.min("_id").alias("_rep")))
@@ -330,16 +481,24 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     records = materialise(texts.mapInArrow(
         lambda it: _records(it, n), with_fields(texts, "n_shingles long, digest binary, node long")))
-    wanted = candidates(texts, records, n, num, den)
-    found = materialise(texts.join(wanted, F.col("_id").eqNullSafe(F.col("_rep"))).select("text", "digest")
-                        .mapInArrow(lambda it: _sets(it, n, num, den), "digest binary, node long, grams binary, keys array<bigint>"))
-    line = Window.partitionBy("key").orderBy("a")  # a hot part has one row for each million parts read
-    chains = (found.select("node", "keys").mapInArrow(_chained, "key long, a long, b long")
+    wanted = materialise(candidates(texts, records, n, num, den))
+    near = marked(texts, "_id", wanted.select(F.col("_rep").alias("_id")), "_near").filter("_near")
+    found = materialise(near.join(wanted, F.col("_id").eqNullSafe(F.col("_rep"))).select("text", "digest")
+                        .mapInArrow(lambda it: _sets(it, n, num, den), "digest binary, node long, grams binary, need int"))
+    rows = found.select("node", "grams").mapInArrow(lambda it: _prefixes(it, num, den), "gram long, node long, n int")
+    common = Window.partitionBy("node").orderBy(F.desc("many"), F.desc("gram"))
+    rare = (by_range(rows).mapInArrow(_frequency, "node long, many int, gram long")
+            .join(found.groupBy("node").agg(F.min("need").alias("need")), "node")
+            .withColumn("place", F.row_number().over(common)).filter(F.col("place") >= F.col("need")))
+    line = Window.partitionBy("key").orderBy("a")  # a hot n-gram has one row for each million read
+    chains = (rare.groupBy("node").agg(F.collect_list("gram")).mapInArrow(_chained, "key long, a long, b long")
               .withColumn("b", F.coalesce("b", F.lag("a").over(line))).filter("b != a").select("a", "b"))
-    grouped = found.join(components(chains), "node").select("digest", F.col("root").alias("grp"), "grams")
+    grouped = (found.select("digest", "node", F.length("grams").alias("size")).join(components(chains), "node")
+               .select("digest", F.col("root").alias("grp"), "size"))
     blocks = grouped.groupBy("grp").agg(F.ceil(F.greatest(
-        F.count(F.lit(1)) / block_rows, F.sum(F.length("grams")) / block_bytes)).cast("int").alias("n_blocks"))
-    dealt = (grouped.join(blocks, "grp")
+        F.count(F.lit(1)) / block_rows, F.sum("size") / block_bytes)).cast("int").alias("n_blocks"))
+    placed = grouped.join(blocks, "grp").select("digest", "grp", "n_blocks").distinct()
+    dealt = (found.select("digest", "grams").join(placed, "digest")
              .withColumn("block", F.pmod(F.xxhash64("digest", F.lit(1)), F.col("n_blocks")).cast("int"))
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
              .withColumn("i", F.least("block", "_other")).withColumn("j", F.greatest("block", "_other"))

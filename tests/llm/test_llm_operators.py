@@ -658,3 +658,59 @@ def test_hot_group_is_dealt_over_tasks(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert {r.component_id for r in got} == {0} and parts >= 8
+
+
+def test_passages_of_many_texts_do_not_tie_groups_together(spark):
+    """Pairs of near copies with passages from one pool: classes are those of all pairs, groups stay small."""
+    rng = random.Random(6)
+    pool = [[f"p{k}_{i}" for i in range(40)] for k in range(6)]
+    rows = []
+    for i in range(120):
+        words = [f"u{i}_{k}" for k in range(160)]
+        a, b = rng.sample(pool, 2)
+        words = words[:80] + a + words[80:] + b
+        near = list(words)
+        near[rng.randrange(80)] = "changed"
+        rows += [(2 * i, " ".join(words), "en", "s", 0), (2 * i + 1, " ".join(near), "en", "s", 0)]
+    groups, original = [], trie_join.components
+
+    def watched(edges):
+        groups.append(original(edges))
+        return groups[-1]
+
+    trie_join.components = watched
+    try:
+        got = trie_join.classes(spark.createDataFrame(rows, DOC), n=5, num=80, den=100).collect()
+        most = groups[0].groupBy("root").count().agg(F.max("count")).first()[0]
+    finally:
+        trie_join.components = original
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, *_ in rows}
+    assert most <= 20
+
+
+def test_prefixes_from_the_rarest_ngrams_meet_for_linked_sets():
+    rng = np.random.default_rng(19)
+    for num in (90, 80, 50):
+        for _ in range(3000):
+            size = int(rng.integers(1, 90))
+            x = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+            y = np.unique(np.concatenate([x[rng.random(len(x)) > 0.1 * rng.random()],
+                                          rng.integers(0, 2**63, rng.integers(0, 1 + size // 4)).astype(np.uint64)]))
+            both = len(np.intersect1d(x, y))
+            if len(y) and 100 * both >= num * (len(x) + len(y) - both):
+                left = []
+                for z in (x, y):
+                    head, need = trie_join.longer_prefix(z, num, 100)
+                    order = sorted(head.tolist(), key=lambda g: (g % 7, g))  # any common order
+                    left.append(set(order[:len(order) - need + 1]))
+                assert left[0] & left[1]
+
+
+def test_marked_rows_hold_all_of_the_keys(spark):
+    df = spark.range(2000).select(F.when(F.col("id") > 0, F.col("id").cast("string")).alias("k"))
+    keys = df.filter("k IS NULL OR k % 50 = 0")
+    got = common.marked(df, "k", keys, "hit")
+    assert got.columns == ["k", "hit"] and got.count() == 2000
+    assert got.filter("(k IS NULL OR k % 50 = 0) AND NOT hit").count() == 0
+    assert got.filter("hit").count() < 300
+    assert common.marked(df, "k", keys.limit(0), "hit").filter("hit").count() == 0
