@@ -26,7 +26,8 @@ as one event just as the base score does.  The probabilities of all known words
 event add up to 1 after every word.
 
 Tasks hold counts and classes of the listed words; the other words of a text, none of them
-frequent, are joined with the table of their counts and classes.
+frequent, are joined with the table of their counts and classes.  Words are cut, numbered and
+counted as Arrow arrays of many texts at a time, none of them as a Python object.
 
 Edge cases: a null text is empty and has its end token only; a null id counts as the empty
 text when rows are split; repeated rows are texts of their own; without training tokens every
@@ -35,39 +36,59 @@ token is unseen; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daypanel.llm.common import byte_words, materialise
+from daypanel.llm.common import materialise
 
 #: The end token; no word holds a space.
 END = b" "
-NONE = -(1 << 40)
+
+
+def _tokens(texts: pa.Array, most: int = 8_000_000) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """(first text, words of some texts in a row, number of words of each); A-Z lower-cased, ``WORD``'s white space.
+
+    At most ``most`` bytes of text at a time, or one text.
+    """
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, "right")))
+        part = pc.ascii_lower(pc.fill_null(texts.slice(at, end - at), ""))
+        lists = pc.ascii_split_whitespace(part)
+        words = lists.flatten()
+        there = pc.greater(pc.binary_length(words), 0)
+        kept = there.to_numpy(zero_copy_only=False)
+        text = np.repeat(np.arange(end - at), np.diff(lists.offsets.to_numpy()))
+        yield at, words.filter(there).cast(pa.binary()), np.bincount(text[kept], minlength=end - at)
+        at = end
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
+    held, size, ends = [], 0, 0
 
     def rows() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.binary()),
-                                          "c": pa.array(list(seen.values()), pa.int64())})
-        seen.clear()
-        return out
+        seen = pc.value_counts(pa.chunked_array([*held, pa.array([END] * (ends > 0), pa.binary())]))
+        words = seen.field("values")
+        c = seen.field("counts").to_numpy().copy()
+        c[len(c) - (ends > 0):] = [ends] * (ends > 0)  # no word equals the end token, which comes last
+        return pa.RecordBatch.from_pydict({"word": words, "c": pa.array(c, pa.int64())})
 
     for b in batches:
-        for text in b.column(0).to_pylist():
-            seen.update(byte_words(text))
-            seen[END] += 1
-            if len(seen) > 400_000:
+        for _, words, n in _tokens(b.column(0)):
+            held.append(words)
+            size += words.nbytes
+            ends += len(n)
+            if size > 64_000_000:
                 yield rows()
+                held, size, ends = [], 0, 0
     yield rows()
 
 
@@ -84,26 +105,51 @@ class Units(dict):
     def __reduce__(self):
         return Units, (dict(self), self.suffixes, self.rest)
 
-    def of_all(self, words: list[bytes]) -> np.ndarray:
-        """The numbers of many words, none of them below ``NONE``."""
-        n = np.fromiter(map(self.get, words, repeat(NONE)), dtype=np.int64, count=len(words))
-        others = np.flatnonzero(n == NONE)
-        n[others] = [*map(self.suffixes.get, [words[p][-2:] for p in others.tolist()], repeat(self.rest))]
+
+class Numbers:
+    """``Units`` for arrays of words: the number of each word, those that are not listed by their last two bytes."""
+
+    def __init__(self, units: Units):
+        self.words = pa.array(list(units), pa.binary())
+        self.of = np.fromiter(units.values(), dtype=np.int64, count=len(units))
+        self.by_end = np.full(257 * 256, units.rest, np.int64)  # one byte: 256 before it
+        for s, k in units.suffixes.items():
+            if len(s) in (1, 2):
+                self.by_end[(s[0] if len(s) == 2 else 256) * 256 + s[-1]] = k
+
+    def __call__(self, words: pa.Array) -> np.ndarray:
+        at = pc.index_in(words, value_set=self.words)
+        missing = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+        at = at.fill_null(0).to_numpy(zero_copy_only=False)
+        n = self.of[at] if len(self.of) else np.zeros(len(words), np.int64)
+        if len(missing):
+            _, offsets, data = words.buffers()
+            offsets = np.frombuffer(offsets, np.int32)[words.offset:words.offset + len(words) + 1]
+            data = np.frombuffer(data, np.uint8)
+            end, one = offsets[missing + 1], offsets[missing + 1] - offsets[missing] == 1
+            n[missing] = self.by_end[np.where(one, 256, data[np.maximum(end - 2, 0)]).astype(np.int64) * 256 + data[end - 1]]
         return n
 
 
+def _starts(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts of n words each, an end token before or after every text: the first places of the texts, the texts of the words."""
+    return np.cumsum(n + 1) - n - 1, np.repeat(np.arange(len(n)), n)
+
+
 def _encode(batches: Iterator[pa.RecordBatch], units) -> Iterator[pa.RecordBatch]:
     """Texts as runs of unit numbers; an end token precedes every text and ends every run."""
-    of, pieces, size = units.value.__getitem__, [], 0
+    number, end, pieces, size = Numbers(units.value), units.value[END], [], 0
 
     def rows() -> pa.RecordBatch:
-        ids = np.concatenate([*pieces, np.array([of(END)], np.int32)])
+        ids = np.concatenate([*pieces, np.array([end], np.int32)])
         pieces.clear()
         return pa.RecordBatch.from_pydict({"ids": pa.array([ids.tobytes()], pa.binary())})
 
     for b in batches:
-        for text in b.column(0).to_pylist():
-            pieces.append(np.fromiter(map(of, [END, *byte_words(text)]), dtype=np.int32))
+        for _, words, n in _tokens(b.column(0)):
+            ids = np.full(len(words) + len(n), end, np.int32)
+            ids[np.arange(len(words)) + _starts(n)[1] + 1] = number(words)
+            pieces.append(ids)
             size += len(pieces[-1])
             if size > 1_000_000:
                 yield rows()
@@ -236,27 +282,31 @@ def refine(runs: DataFrame, of: np.ndarray, k: int, fixed: int, rounds: int, par
 
 def _contexts(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """(word, classes before its uses) of words that are not listed."""
-    number, cls = shared.value
-    seen, size = defaultdict(bytearray), 0
+    units, cls = shared.value
+    number, words_held, before_held, size = Numbers(units), [], [], 0
+    end = cls[units[END]]
 
     def rows() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.binary()),
-                                          "before": pa.array([bytes(x) for x in seen.values()], pa.binary())})
-        seen.clear()
-        return out
+        names = pa.chunked_array(words_held, pa.binary()).combine_chunks().dictionary_encode()
+        code = names.indices.to_numpy()
+        before = np.concatenate([np.zeros(0, np.uint8), *before_held])[np.argsort(code, kind="stable")]
+        offsets = np.append(0, np.cumsum(np.bincount(code, minlength=len(names.dictionary)))).astype(np.int32)
+        return pa.RecordBatch.from_pydict({"word": names.dictionary, "before": pa.Array.from_buffers(
+            pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(before.tobytes())])})
 
     for b in batches:
-        for text in b.column(0).to_pylist():
-            words = [END, *byte_words(text)]
-            u = number.of_all(words)
-            c = np.where(u >= 0, cls[u], -1 - u)
-            at = np.flatnonzero(u < 0)
-            for p, before in zip(at.tolist(), c[at - 1].tolist()):
-                seen[words[p]].append(before)
-            size += len(at)
+        for _, words, n in _tokens(b.column(0)):
+            u = number(words)
+            c = np.full(len(words) + len(n), end, np.int64)
+            place = np.arange(len(words)) + _starts(n)[1] + 1
+            c[place] = np.where(u >= 0, cls[u], -1 - u)
+            rare = np.flatnonzero(u < 0)
+            words_held.append(words.take(pa.array(rare)))
+            before_held.append(c[place[rare] - 1].astype(np.uint8))
+            size += len(rare)
             if size > 2_000_000:
                 yield rows()
-                size = 0
+                words_held, before_held, size = [], [], 0
     yield rows()
 
 
@@ -409,49 +459,42 @@ def fit(texts: DataFrame, classes: int = 48, units: int = 2000, lexicon: int = 5
 
 
 def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """One row per text with the listed words' part, and one per other word, with the class before it."""
+    """One row per text with the listed words' part, and one per other word; use: the text and the class before it."""
     m = shared.value
     # a listed word's number, else -1 - class
-    number = Units(m["words"], {s: -1 - c for s, c in m["suffix_class"].items()}, -1 - m["rest_class"])
+    units = Units(m["words"], {s: -1 - c for s, c in m["suffix_class"].items()}, -1 - m["rest_class"])
+    number, end = Numbers(units), m["words"][END]
     space, known = m["tokens"] + m["types"] + 1, np.log10(1 - m["unseen"])
     step, class_log = m["step"], m["class_log"]
     seen = m["word_count"] > 0
     emit = np.log10(np.maximum(m["word_count"], 1)) - class_log[m["word_class"]] + known
     base = np.log10((m["word_count"] + 1) / space)
-    end_class = m["word_class"][m["words"][END]]
     row = TaskContext.get().partitionId() << 33
     for b in batches:
-        for at in range(0, b.num_rows, 500):
-            part = b.slice(at, 500)
-            keys, before_rare, counts, whole = [], [], [], []
-            for text in part.column(2).to_pylist():
-                words = byte_words(text)
-                words.append(END)
-                w = number.of_all(words)
-                listed = w >= 0
-                cls = np.where(listed, m["word_class"][w], -1 - w)
-                before = np.append(end_class, cls[:-1])
-                path = step[before, cls]
-                freq = w[listed]
-                ok = seen[freq]
-                score = np.where(ok, path[listed] + emit[freq], np.log10(m["unseen"])).sum()
-                rare = np.flatnonzero(~listed)
-                keys += [words[p] for p in rare.tolist()]
-                keys.append(END + row.to_bytes(8, "big"))  # the text's own row matches no word
-                before_rare += [before[rare], [-1]]
-                counts.append(len(rare) + 1)
-                whole.append((row, len(words), int(ok.sum()), float(base[freq].sum()), float(score)))
-                row += 1
-            last = np.cumsum(counts) - 1  # a text's own row stands after those of its other words
-            own = np.zeros(len(keys), bool)
-            own[last] = True
-            which = pa.array(np.cumsum(own) - own, pa.int64(), mask=~own)
-            rid, n, n_known, base_part, score_part = (np.array(x) for x in zip(*whole))
+        for at, words, n in _tokens(b.column(2)):
+            start, text = _starts(n)
+            place, last = np.arange(len(words)) + text, start + n
+            w = np.full(len(words) + len(n), end, np.int64)
+            w[place] = number(words)
+            listed = w >= 0
+            cls = np.where(listed, m["word_class"][w], -1 - w)
+            before = np.append(m["word_class"][end], cls[:-1])  # the text before ends with the end token
+            freq = np.where(listed, w, 0)
+            ok = listed & seen[freq]
+            path = np.where(ok, step[before, cls] + emit[freq], np.where(listed, np.log10(m["unseen"]), 0))
+            sums = [np.add.reduceat(x, start) for x in (ok.astype(np.int64), np.where(listed, base[freq], 0), path)]
+            rid = row + np.arange(len(n))
+            row += len(n)
+            # rows of the other words, then one of every text by itself, whose key matches no word
+            rare = np.flatnonzero(~listed[place])
+            spot = place[rare]
+            own = pa.StructArray.from_arrays(
+                [b.column(0).slice(at, len(n)), b.column(1).slice(at, len(n)), pa.array(n + 1, pa.int64()), *map(pa.array, sums)],
+                names=["id", "held", "n", "n_known", "base", "score"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(rid, counts), pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(np.concatenate(before_rare), pa.int32(), mask=own), part.column(0).take(which),
-                 part.column(1).take(which), *(pa.array(x).take(which) for x in (n, n_known, base_part, score_part))],
-                names=["rid", "key", "before", "id", "held", "n", "n_known", "base", "score"])
+                [pa.array(np.concatenate([rid[text[rare]] << 8 | before[spot], rid << 8])),
+                 pa.concat_arrays([words.take(pa.array(rare)), pa.array([END + r.to_bytes(8, "big") for r in rid.tolist()], pa.binary())]),
+                 pa.concat_arrays([pa.nulls(len(rare), own.type), own])], names=["use", "key", "own"])
 
 
 def score(docs: DataFrame, model: Model, held: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -461,23 +504,24 @@ def score(docs: DataFrame, model: Model, held: Column, id_col: str = "doc_id", t
     shared = spark.sparkContext.broadcast(model.params())
     rows = docs.select(F.col(id_col).alias("_id"), held.alias("_held"), F.col(text_col).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()  # an atomic type
-    rows = rows.mapInArrow(lambda it: _score(it, shared), "rid long, key binary, before int, "
-                           f"id {kind}, held boolean, n long, n_known long, base double, score double")
+    rows = rows.mapInArrow(lambda it: _score(it, shared), "use long, key binary, "
+                           f"own struct<id: {kind}, held: boolean, n: long, n_known: long, base: double, score: double>")
     others = model.others.select(F.col("word").alias("key"), "c", "class")
     k = len(model.step)
     # log10 of P(class | class before) / tokens of the class
     moves = F.lit((model.step - model.class_log).ravel())
-    path = F.get(moves, (F.col("before") * k + F.col("class")).cast("int"))
+    path = F.get(moves, (F.col("use").bitwiseAND(F.lit(255)) * k + F.col("class")).cast("int"))
     space, c = float(model.tokens + model.types + 1), F.col("c")
     known = F.lit(float(np.log10(1 - model.unseen)))
     unseen = F.lit(float(np.log10(model.unseen)))
-    rare = F.col("before").isNotNull()
-    joined = rows.join(others, "key", "left").select(
-        "rid", "id", "held", "n",
-        F.when(rare, F.when(c.isNotNull(), 1).otherwise(0)).otherwise(F.col("n_known")).alias("n_known"),
-        F.when(rare, F.log10((F.coalesce(c, F.lit(0)) + 1) / F.lit(space))).otherwise(F.col("base")).alias("base"),
+    rare = F.col("own").isNull()
+    # words are spread evenly, so a part of their table fits in memory and the texts' words needn't be sorted
+    joined = rows.join(others.hint("shuffle_hash"), "key", "left").select(
+        F.shiftright("use", 8).alias("rid"), "own.id", "own.held", "own.n",
+        F.when(rare, F.when(c.isNotNull(), 1).otherwise(0)).otherwise(F.col("own.n_known")).alias("n_known"),
+        F.when(rare, F.log10((F.coalesce(c, F.lit(0)) + 1) / F.lit(space))).otherwise(F.col("own.base")).alias("base"),
         F.when(rare, F.when(c.isNotNull(), path + F.log10(c.cast("double")) + known).otherwise(unseen))
-        .otherwise(F.col("score")).alias("score"))
+        .otherwise(F.col("own.score")).alias("score"))
     total = joined.groupBy("rid").agg(F.max("id").alias(id_col), F.max("held").alias("held_out"),
                                       F.max("n").alias("n_tokens"), F.sum("n_known").alias("n_known"),
                                       F.sum("base").alias("base_score"), F.sum("score").alias("score"))

@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -159,6 +160,32 @@ def test_brown_rare_words_get_classes_of_their_own(spark, lexicon):
     assert np.allclose(10 ** m.class_log, np.maximum(total, 1))  # so all known words add up to 1
 
 
+def test_brown_words_and_numbers_as_arrays_are_those_of_single_words():
+    texts = [" A\x0bb\x85c  d\x1ce ", None, "", "É ß x", "\t\r\n", "aä aÄ z " * 50, "İ kelvin K q"]
+    units = brown.Units({b"a": 5, brown.END: 0, b"\xc3\xa9": 7}, {b"in": 11, b"x": 12, b"\xa4": 13, b"\x9f": 14}, 3)
+    number = brown.Numbers(units)
+    for most in (1, 40, 10_000):
+        got = []
+        for source in (pa.array(["cut", *texts]).slice(1), pa.array(texts)):
+            for at, words, n in brown._tokens(source, most):
+                assert at == len(got) % len(texts)
+                cut = np.split(np.array(words.to_pylist(), object), np.cumsum(n)[:-1])
+                got += [list(x) for x in cut]
+                assert number(words).tolist() == [units[w] for w in words.to_pylist()]
+                assert number(words.slice(2)).tolist() == [units[w] for w in words.to_pylist()[2:]]
+        assert got == [common.byte_words(t) for t in texts] * 2
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    (counts,) = brown._count(iter([batch, batch]))
+    want = Counter(w for t in texts for w in [*common.byte_words(t), brown.END])
+    assert dict(zip(counts["word"].to_pylist(), counts["c"].to_pylist())) == {w: 2 * c for w, c in want.items()}
+
+
+def test_brown_rare_words_are_joined_without_a_sort(spark, docs):
+    m = brown.fit(docs.select("text"), classes=8, units=50, lexicon=300)
+    plan = brown.score(docs, m, F.lit(False))._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_exchange_never_lowers_the_likelihood_and_splits_two_languages():
     rng = np.random.default_rng(0)
     n = np.zeros((21, 21))
