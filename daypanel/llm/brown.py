@@ -127,7 +127,7 @@ class Numbers:
             offsets = np.frombuffer(offsets, np.int32)[words.offset:words.offset + len(words) + 1]
             data = np.frombuffer(data, np.uint8)
             end, one = offsets[missing + 1], offsets[missing + 1] - offsets[missing] == 1
-            n[missing] = self.by_end[np.where(one, 256, data[np.maximum(end - 2, 0)]).astype(np.int64) * 256 + data[end - 1]]
+            n[missing] = self.by_end[np.where(one, 256, data[np.maximum(end - 2, 0)].astype(np.int64)) * 256 + data[end - 1]]
         return n
 
 
