@@ -39,7 +39,7 @@ extra columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +53,9 @@ from daypanel.llm.components import components
 #: Prefixes that the groups come from have so many times the filter's p n-grams more.
 LONGER = 2
 
+#: So many n-grams a task gathers before it sorts them, and so many marks it holds of records against n-grams.
+HELD, MARKS = 500_000, 32_000_000
+
 
 def _stir(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(32))
@@ -147,32 +150,50 @@ def _node(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little") >> 17
 
 
+def _values(column: pa.Array, step: int = 500) -> Iterator:
+    """The values of a column, so many at a time as Python objects."""
+    for k in range(0, len(column), step):
+        yield from column.slice(k, step).to_pylist()
+
+
 def _records(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """Per document: set size, digest of the set, its short name."""
     for b in batches:
-        sets = [shingles(t, n) for t in b.column(1).to_pylist()]
-        digests = [_digest(x) for x in sets]
+        sizes, digests = [], []
+        for text in _values(b.column(1)):
+            x = shingles(text, n)
+            sizes.append(len(x))
+            digests.append(_digest(x))
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(digests, pa.binary()),
+            [b.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
              pa.array([_node(d) for d in digests], pa.int64())], names=[b.schema.names[0], "n_shingles", "digest", "node"])
 
 
 def _first(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
     """(n-gram, record, n) for the first n-grams; equal sets of a partition once (see ``_resolved``)."""
     done: set[bytes] = set()
+    grams, nodes, size = [], [], 0
+
+    def rows() -> pa.RecordBatch:
+        g, x = np.concatenate(grams).view(np.int64), np.concatenate(nodes)
+        grams.clear()
+        nodes.clear()
+        return _resolved(g, x)
+
     for b in batches:
-        grams, nodes, size = [], [], 0
-        for text in [*b.column(0).to_pylist(), None]:
+        for text in _values(b.column(0)):
             x = shingles(text, n)
             if len(x) and (d := _digest(x)) not in done:
                 done.add(d)
-                head = first_grams(x, num, den)
-                grams.append(head.view(np.int64))
+                head = first_grams(x, num, den).copy()  # a view would keep the whole set
+                grams.append(head)
                 nodes.append(np.full(len(head), _node(d)))
                 size += len(head)
-            if grams and (text is None or size > 1_000_000):
-                yield _resolved(np.concatenate(grams), np.concatenate(nodes))
-                grams, nodes, size = [], [], 0
+            if size > HELD:
+                yield rows()
+                size = 0
+    if grams:
+        yield rows()
 
 
 def _resolved(grams: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
@@ -267,7 +288,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         found.append(names[(_holders(g, names) > 1) & flags])
         size += len(found[-1])
-        if size > 1_000_000:
+        if size > HELD:
             yield out(*np.unique(np.concatenate(found), return_counts=True))
             found, size = [], 0
     if found:
@@ -288,7 +309,7 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iter
     n-grams of their longer prefixes they share at least."""
     for b in batches:
         digests, sets, need = [], [], []
-        for text, digest in zip(b.column("text").to_pylist(), b.column("digest").to_pylist()):
+        for text, digest in zip(_values(b.column("text")), _values(b.column("digest"))):
             x = shingles(text, n)
             if _digest(x) == digest:
                 digests.append(digest)
@@ -311,19 +332,19 @@ def _prefixes(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator
         return out
 
     for b in batches:
-        for node, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        for node, x in zip(_values(b.column(0)), _values(b.column(1))):
             head, _ = longer_prefix(np.frombuffer(x, "<u8"), num, den)
-            grams.append(head)
+            grams.append(head.copy())
             nodes.append(np.full(len(head), node))
             size += len(head)
-            if size > 1_000_000:
+            if size > HELD:
                 yield rows()
                 size = 0
     if grams:
         yield rows()
 
 
-def _chained(batches: Iterator[pa.RecordBatch], most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+def _chained(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterator[pa.RecordBatch]:
     """Rows (n-gram, record, other record): records of equal n-grams tied together where they meet first.
 
     Among the records read together an n-gram's records form a chain, whose different links go on
@@ -387,8 +408,9 @@ class Trie:
                 continue
             if not live_now.all():
                 live, over = live[live_now], over[live_now]
-            if end > depth:
-                over = over + has[a[depth:end]][:, live].sum(axis=0, dtype=np.int64)
+            step = max(1, MARKS // 8 // has.shape[1])  # bounds the copies of marks
+            for k in range(depth, end, step):
+                over = over + has[a[k:min(end, k + step)]][:, live].sum(axis=0, dtype=np.int64)
             at = lo
             while at < hi and len(self.seqs[at]) == end:
                 hit = over * (num + den) >= num * (sizes[live] + self.sizes[at])
@@ -419,7 +441,7 @@ def link_block(grams: list[np.ndarray], mine: np.ndarray, other: np.ndarray, num
         r = rank[inverse[a:b]]
         seqs.append(np.sort(r[r >= 0]))
     trie = Trie([seqs[r] for r in mine], sizes[mine])
-    step = max(1, 64_000_000 // max(1, len(by_order)))  # bounds the matrix of marks
+    step = max(1, MARKS // max(1, len(by_order)))  # bounds the matrix of marks
     for k in range(0, len(other), step):
         probe = other[k:k + step]
         has = np.zeros((len(by_order), len(probe)), np.uint8)
@@ -456,17 +478,19 @@ def _link(t: pa.Table, num: int, den: int) -> pa.Table:
                      "b": pa.array([digests[label[r]] for r in rows], pa.binary())})
 
 
-def by_range(rows: DataFrame) -> DataFrame:
-    """Rows (gram, node, n) packed and dealt by ranges of n-grams, four a partition, so a task holds one at a time."""
-    bits = min(16, 2 + int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")).bit_length())
-    return (rows.mapInArrow(lambda it: _packed(it, bits), "at int, grams binary, names binary, counts binary")
+def by_range(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """Rows (gram, node, n) that ``rows`` makes of ``df``, packed and dealt by ranges of n-grams, four a partition.
+
+    A task holds one range at a time, and rows are made and packed by the same Python worker.
+    """
+    bits = min(16, 2 + int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")).bit_length())
+    return (df.mapInArrow(lambda it: _packed(rows(it), bits), "at int, grams binary, names binary, counts binary")
             .repartition("at").sortWithinPartitions("at"))
 
 
 def candidates(texts: DataFrame, records: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Names of the records that may link (step 1)."""
-    rows = texts.select("text").mapInArrow(lambda it: _first(it, n, num, den), "gram long, node long, n int")
-    shared = by_range(rows).mapInArrow(_shared, "node long, n int").groupBy("node").agg(F.sum("n").alias("shared"))
+    shared = by_range(texts.select("text"), lambda it: _first(it, n, num, den)).mapInArrow(_shared, "node long, n int").groupBy("node").agg(F.sum("n").alias("shared"))
     need = needed(F.col("n_shingles"), num, den, lambda a, b: F.call_function("div", a, F.lit(b)), F.least)
     return (records.join(shared, "node").filter(F.col("shared") >= need)
             .groupBy("digest").agg(F.min("_id").alias("_rep")))
@@ -485,12 +509,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     near = marked(texts, "_id", wanted.select(F.col("_rep").alias("_id")), "_near").filter("_near")
     found = materialise(near.join(wanted, F.col("_id").eqNullSafe(F.col("_rep"))).select("text", "digest")
                         .mapInArrow(lambda it: _sets(it, n, num, den), "digest binary, node long, grams binary, need int"))
-    rows = found.select("node", "grams").mapInArrow(lambda it: _prefixes(it, num, den), "gram long, node long, n int")
     common = Window.partitionBy("node").orderBy(F.desc("many"), F.desc("gram"))
-    rare = (by_range(rows).mapInArrow(_frequency, "node long, many int, gram long")
+    rare = (by_range(found.select("node", "grams"), lambda it: _prefixes(it, num, den)).mapInArrow(_frequency, "node long, many int, gram long")
             .join(found.groupBy("node").agg(F.min("need").alias("need")), "node")
             .withColumn("place", F.row_number().over(common)).filter(F.col("place") >= F.col("need")))
-    line = Window.partitionBy("key").orderBy("a")  # a hot n-gram has one row for each million read
+    line = Window.partitionBy("key").orderBy("a")  # a hot n-gram has one row for each HELD read
     chains = (rare.groupBy("node").agg(F.collect_list("gram")).mapInArrow(_chained, "key long, a long, b long")
               .withColumn("b", F.coalesce("b", F.lag("a").over(line))).filter("b != a").select("a", "b"))
     grouped = (found.select("digest", "node", F.length("grams").alias("size")).join(components(chains), "node")

@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -741,3 +742,38 @@ def test_marked_rows_hold_all_of_the_keys(spark):
     assert got.filter("(k IS NULL OR k % 50 = 0) AND NOT hit").count() == 0
     assert got.filter("hit").count() < 300
     assert common.marked(df, "k", keys.limit(0), "hit").filter("hit").count() == 0
+
+
+def test_one_python_worker_makes_and_packs_the_ngrams(spark, capsys):
+    """No task of the filter needs two Python workers at a time: an exchange parts one from the next."""
+    texts = spark.createDataFrame([(1, "a b c d"), (2, "a b c e")], "_id long, text string")
+    records = spark.createDataFrame([(1, 2, b"x", 5)], "_id long, n_shingles long, digest binary, node long")
+    capsys.readouterr()
+    trie_join.candidates(texts, records, 3, 90, 100).explain()
+    steps = re.findall(r"MapInArrow|Exchange", capsys.readouterr().out)
+    assert steps.count("MapInArrow") == 2 and "MapInArrow,MapInArrow" not in ",".join(steps)
+
+
+def test_a_task_of_the_join_holds_few_texts_and_sets():
+    """Python's memory while a batch of 1,600 texts of 2,000 words becomes records and first n-grams."""
+    batch = pa.RecordBatch.from_pydict({"_id": list(range(1600)),
+                                        "text": [" ".join(f"{i}w{k}" for k in range(2000)) for i in range(1600)]})
+    for work, limit in ((lambda: trie_join._records(iter([batch]), 3), 25_000_000),
+                        (lambda: trie_join._first(iter([batch.select(["text"])]), 3, 90, 100), 50_000_000)):
+        tracemalloc.start()
+        rows = [b.num_rows for b in work()]
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sum(rows) >= 1600 and most < limit
+
+
+def test_links_are_the_same_whatever_marks_are_held(monkeypatch):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 300).astype(np.uint64)
+    grams = [np.unique(np.concatenate([base[rng.random(300) > 0.03], rng.integers(0, 2**63, 4).astype(np.uint64)]))
+             for _ in range(40)]
+    rows = np.arange(40)
+    want = [trie_join.link_block(grams, rows, rows, num, 100).tolist() for num in (80, 90, 95)]
+    monkeypatch.setattr(trie_join, "MARKS", 2000)
+    assert [trie_join.link_block(grams, rows, rows, num, 100).tolist() for num in (80, 90, 95)] == want
+    assert len(set(map(tuple, want))) > 1
