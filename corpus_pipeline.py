@@ -89,7 +89,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row; the decoded text is kept as its hash."""
     rows = docs.select("doc_id", "lang", "source", "text")
-    return bpe_tree.encode_decode(rows, "text", tokenizer_path(), ["doc_id", "lang", "source"], want_ids=True).drop("decoded")
+    return bpe_tree.encode_decode(rows, "text", tokenizer_path(), ["doc_id", "lang", "source"], want_ids=True, want_text=False)
 
 
 STAGES = [("language_id", language), ("ngram_jaccard_join", near_copies), ("pii", personal_data),

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daypanel.llm.common import clear, with_fields
+from daypanel.llm.common import clear, small_batches, with_fields
 
 LEAF = 16_384
 _CUT = re.compile(r"(?<=\S)(?=\s)")
@@ -267,7 +267,8 @@ def decode(ids: bytes, path: str) -> str:
     return b"".join(map(table.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode("utf-8", "replace")
 
 
-def _run(batches: Iterator[pa.RecordBatch], path: str, leaf: int, want_ids: bool) -> Iterator[pa.RecordBatch]:
+def _run(batches: Iterator[pa.RecordBatch], path: str, leaf: int, want_ids: bool,
+         want_text: bool) -> Iterator[pa.RecordBatch]:
     encoder = Encoder(path, leaf)
     for b in batches:
         for at in range(0, b.num_rows, 256):
@@ -279,16 +280,22 @@ def _run(batches: Iterator[pa.RecordBatch], path: str, leaf: int, want_ids: bool
                     pa.array([hashlib.sha256(d.encode("utf-8")).hexdigest() for d in decoded], pa.string())]
             names = [*part.schema.names[:-1], "n_tokens", "ids_sha256", "decoded_sha256"]
             if want_ids:
-                cols += [pa.array([np.frombuffer(i, "<i4") for i in ids], pa.list_(pa.int32())),
-                         pa.array(decoded, pa.string())]
-                names += ["ids", "decoded"]
+                cols.append(pa.array([np.frombuffer(i, "<i4") for i in ids], pa.list_(pa.int32())))
+                names.append("ids")
+            if want_text:
+                cols.append(pa.array(decoded, pa.string()))
+                names.append("decoded")
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
 
 def encode_decode(docs: DataFrame, text: Column | str, path: str, keep: list[str], leaf: int = LEAF,
-                  want_ids: bool = False) -> DataFrame:
-    """``keep`` columns with n_tokens, ids_sha256, decoded_sha256 and, if wanted, ids and the decoded text."""
+                  want_ids: bool = False, want_text: bool | None = None) -> DataFrame:
+    """``keep`` columns with n_tokens, ids_sha256, decoded_sha256 and, if wanted, ids and (by default with them)
+    the decoded text."""
+    want_text = want_ids if want_text is None else want_text
+    small_batches(docs)
     text = F.col(text) if isinstance(text, str) else text
     rows = docs.select(*clear(keep, "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"), text.alias("_text"))
-    more = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if want_ids else "")
-    return rows.mapInArrow(lambda it: _run(it, path, leaf, want_ids), with_fields(rows, more))
+    more = ("n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * want_ids
+            + ", decoded string" * want_text)
+    return rows.mapInArrow(lambda it: _run(it, path, leaf, want_ids, want_text), with_fields(rows, more))

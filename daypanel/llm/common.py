@@ -22,6 +22,17 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(df: DataFrame) -> None:
+    """Let the session send Python rows in batches of 4 MB, unless it has a limit of its own.
+
+    Beside its heap an executor's JVM holds a batch of each running task, grown by doubling, and keeps much of
+    that memory when it is free again; Python workers hold one too.
+    """
+    key, default = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+    if df.sparkSession.conf.get(key, default) == default:
+        df.sparkSession.conf.set(key, "4m")
+
+
 def marked(df: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
     """``df`` with a boolean column ``name``, false only where ``key`` certainly isn't in ``keys``.
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daypanel.llm.common import clear, materialise, with_fields
+from daypanel.llm.common import clear, materialise, small_batches, with_fields
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -227,6 +227,7 @@ def _runs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBat
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", lexicon: int = 50_000,
         sample_docs: int = 300, sample_words: int = 150, rounds: int = 30) -> Crf:
     """Learn from the rows of ``docs`` with a text and a language."""
+    small_batches(docs)
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = d.select("text", "lang").mapInArrow(_lexicon_counts, "word binary, lang string, n long")
@@ -308,6 +309,7 @@ def predict(docs: DataFrame, crf: Crf, keep: list[str], text: Column | str = "te
 
     The text goes to Python once: as it is if it is one of ``keep``, beside them otherwise.
     """
+    small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(crf)
     keep = clear(keep, "lang_pred", "score")
     if isinstance(text, str) and text in keep:

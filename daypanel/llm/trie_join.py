@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from daypanel.llm.common import byte_words, marked, materialise, with_fields
+from daypanel.llm.common import byte_words, marked, materialise, small_batches, with_fields
 from daypanel.llm.components import components
 
 #: Prefixes that the groups come from have so many times the filter's p n-grams more.
@@ -276,23 +276,53 @@ def _holders(g: np.ndarray, names: np.ndarray) -> np.ndarray:
     return np.repeat(np.add.reduceat(other.astype(np.int64), begin), np.diff(np.append(begin, len(g))))
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, n-grams shared with another record)."""
-    def out(nodes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"node": pa.array(nodes), "n": pa.array(counts.astype(np.int32))})
+def _shared(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Names of records and the number of n-grams they share with another record, as far as this task sees them.
 
-    found, size = [], 0
+    They go packed, a row for each of 2 ** ``bits`` ranges of names: a record's n-grams lie in as many tasks as
+    there are, so rows of single records would grow with the records times the tasks.
+    """
+    def rows() -> pa.RecordBatch:
+        name, n = _sums(found, counts)
+        found.clear()
+        counts.clear()
+        at = (name >> (47 - bits)).astype(np.int32)
+        begin = np.flatnonzero(np.diff(at, prepend=-1))
+        ends = np.append(begin[1:], len(name))
+        short = name.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6]
+        return pa.RecordBatch.from_pydict({
+            "at": pa.array(at[begin], pa.int32()),
+            "names": pa.array([short[i:j].tobytes() for i, j in zip(begin, ends)], pa.binary()),
+            "counts": pa.array([n[i:j].astype("<i4").tobytes() for i, j in zip(begin, ends)], pa.binary())})
+
+    found, counts, size = [], [], 0
     for at, g, names, flags in _ranges(batches):
         if at is None:
-            yield out(names, flags)
-            continue
-        found.append(names[(_holders(g, names) > 1) & flags])
+            found.append(names)
+            counts.append(flags)
+        else:
+            found.append(names[(_holders(g, names) > 1) & flags])
+            counts.append(np.ones(len(found[-1]), np.int32))
         size += len(found[-1])
         if size > HELD:
-            yield out(*np.unique(np.concatenate(found), return_counts=True))
-            found, size = [], 0
-    if found:
-        yield out(*np.unique(np.concatenate(found), return_counts=True))
+            yield rows()
+            size = 0
+    if size:
+        yield rows()
+
+
+def _sums(names: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Each different name, ascending, and the sum of its counts."""
+    name, of = np.unique(np.concatenate(names), return_inverse=True)
+    return name, np.bincount(of, np.concatenate(counts)).astype(np.int64)
+
+
+def _summed(t: pa.Table) -> pa.Table:
+    """(node, n-grams shared with another record) of ``_shared``'s rows of one range of names."""
+    raw = np.frombuffer(b"".join(t["names"].to_pylist()), np.uint8).reshape(-1, 6)
+    names = np.pad(raw, ((0, 0), (0, 2))).view("<i8").ravel()
+    node, shared = _sums([names], [np.frombuffer(b"".join(t["counts"].to_pylist()), "<i4")])
+    return pa.table({"node": pa.array(node), "shared": pa.array(shared)})
 
 
 def _frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -478,19 +508,27 @@ def _link(t: pa.Table, num: int, den: int) -> pa.Table:
                      "b": pa.array([digests[label[r]] for r in rows], pa.binary())})
 
 
+def range_bits(df: DataFrame) -> int:
+    """2 to this power ranges make four or more a shuffle partition."""
+    return min(16, 2 + int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")).bit_length())
+
+
 def by_range(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
     """Rows (gram, node, n) that ``rows`` makes of ``df``, packed and dealt by ranges of n-grams, four a partition.
 
     A task holds one range at a time, and rows are made and packed by the same Python worker.
     """
-    bits = min(16, 2 + int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")).bit_length())
+    bits = range_bits(df)
     return (df.mapInArrow(lambda it: _packed(rows(it), bits), "at int, grams binary, names binary, counts binary")
             .repartition("at").sortWithinPartitions("at"))
 
 
 def candidates(texts: DataFrame, records: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Names of the records that may link (step 1)."""
-    shared = by_range(texts.select("text"), lambda it: _first(it, n, num, den)).mapInArrow(_shared, "node long, n int").groupBy("node").agg(F.sum("n").alias("shared"))
+    bits = range_bits(texts)
+    shared = (by_range(texts.select("text"), lambda it: _first(it, n, num, den))
+              .mapInArrow(lambda it: _shared(it, bits), "at int, names binary, counts binary")
+              .groupBy("at").applyInArrow(_summed, "node long, shared long"))
     need = needed(F.col("n_shingles"), num, den, lambda a, b: F.call_function("div", a, F.lit(b)), F.least)
     return (records.join(shared, "node").filter(F.col("shared") >= need)
             .groupBy("digest").agg(F.min("_id").alias("_rep")))
@@ -502,6 +540,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
 
     component_id is the smallest id that links reach from a document, its own included.
     """
+    small_batches(docs)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     records = materialise(texts.mapInArrow(
         lambda it: _records(it, n), with_fields(texts, "n_shingles long, digest binary, node long")))

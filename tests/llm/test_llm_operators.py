@@ -777,3 +777,58 @@ def test_links_are_the_same_whatever_marks_are_held(monkeypatch):
     monkeypatch.setattr(trie_join, "MARKS", 2000)
     assert [trie_join.link_block(grams, rows, rows, num, 100).tolist() for num in (80, 90, 95)] == want
     assert len(set(map(tuple, want))) > 1
+
+
+def test_counts_of_shared_ngrams_are_few_rows_however_many_tasks():
+    """Records whose n-grams lie in every task: a task makes a row for each range of names, and the sums are plain ones."""
+    rng = np.random.default_rng(8)
+    names = rng.choice(2**47, 3000, replace=False)
+    grams = rng.integers(0, 2**62, 200)
+    want = Counter()
+    rows = []
+    for _ in range(16):  # an n-gram of each record a task, shared by fifteen records
+        head = np.repeat(grams + rng.integers(2**62), 15)
+        node = rng.permutation(names)
+        resolved = pa.RecordBatch.from_pydict({"gram": head, "node": node, "n": np.ones(3000, np.int32)})
+        sure = pa.RecordBatch.from_pydict({"gram": names[:5], "node": names[:5], "n": np.full(5, -2, np.int32)})
+        want.update(names.tolist())
+        want.update(names[:5].tolist() * 2)
+        packed = trie_join._packed(iter([resolved, sure]), 4)
+        rows += list(trie_join._shared(packed, 4))
+    assert sum(b.num_rows for b in rows) <= 16 * 16
+    table = pa.Table.from_batches(rows)
+    got = Counter()
+    for at in range(16):
+        part = trie_join._summed(table.take(np.flatnonzero(table["at"].to_numpy() == at)))
+        assert not got.keys() & set(part["node"].to_pylist())
+        got.update(dict(zip(part["node"].to_pylist(), part["shared"].to_pylist())))
+    assert got == want
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    """20 MB of texts of one partition, which went as one batch; a session's own limit stays."""
+    def sizes(session):
+        docs = session.range(0, 2000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("abcde fgh "), 1000).alias("text"))
+        bpe_tree.encode_decode(docs, "text", queries.tokenizer_path(), ["doc_id"])
+        return [r.n for r in docs.mapInArrow(
+            lambda it: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in it), "n long").collect()]
+
+    got = sizes(spark.newSession())
+    assert sum(got) > 20_000_000 and max(got) < 5_000_000
+    own = spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "32m")
+    assert len(sizes(own)) == 1
+
+
+def test_decoded_text_is_returned_only_if_wanted(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    digests = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+    def got(**want):
+        return bpe_tree.encode_decode(docs, "text", queries.tokenizer_path(), ["doc_id"], **want)
+
+    assert got().columns == digests and got(want_ids=True).columns == [*digests, "ids", "decoded"]
+    lean = got(want_ids=True, want_text=False)
+    assert lean.columns == [*digests, "ids"]
+    assert lean.orderBy("doc_id").collect() == got(want_ids=True).drop("decoded").orderBy("doc_id").collect()
+    assert {r.doc_id: r.decoded for r in got(want_text=True).collect()} == {1: "a b", 2: ""}
